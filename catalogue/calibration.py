@@ -1,0 +1,155 @@
+"""Raw counts of every line item to physical units."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalogue import inputs as I
+from catalogue.registry import query
+from sensorstream.functions.bits import word_big_endian, word_little_endian
+from sensorstream.operators import calibrate as C
+
+
+def r(name: str, digits: int = 6):
+    return F.round(name, digits).alias(name)
+
+
+def _bh1750(spark, sf_dir):
+    raw = I.bh1750_raw(spark, sf_dir)
+    word = word_big_endian(F.col("hi"), F.col("lo"))
+    return raw.withColumn("raw", F.when(F.col("failed"), F.lit(-1)).otherwise(word))
+
+
+@query(f"with {I.SQL_BH1750} select sample_id, device_id, raw, round(raw / cast(1.2 as double) / accuracy, 6) as illumination "
+       "from bh where raw >= 0 and accuracy between cast(0.96 as double) and cast(1.44 as double)")
+def calibrate_bh1750(spark, sf_dir):
+    return C.calibrate_bh1750(_bh1750(spark, sf_dir)).select("sample_id", "device_id", "raw", r("illumination"))
+
+
+def _rpr(spark, sf_dir):
+    raw = I.rpr_raw(spark, sf_dir)
+    return raw.withColumns({
+        "data0": word_little_endian(F.col("d0_lo"), F.col("d0_hi")),
+        "data1": word_little_endian(F.col("d1_lo"), F.col("d1_hi")),
+    })
+
+
+@query(f"with {I.SQL_RPR} select sample_id, gain0, gain1, ms as measure_ms from rpr_set")
+def rpr_register_settings(spark, sf_dir):
+    return C.rpr_settings(_rpr(spark, sf_dir)).select("sample_id", "gain0", "gain1", "measure_ms")
+
+
+@query(f"""with {I.SQL_RPR}
+select sample_id, round(d0, 6) as illumination, round(d1, 6) as infrared_illumination,
+  round(case when ms = 0 then -1 when d0 = 0 then 0
+    when d1 / d0 < 0.595::double then 1.682::double * d0 - 1.877::double * d1
+    when d1 / d0 < 1.015::double then 0.644::double * d0 - 0.132::double * d1
+    when d1 / d0 < 1.352::double then 0.756::double * d0 - 0.243::double * d1
+    when d1 / d0 < 3.053::double then 0.766::double * d0 - 0.25::double * d1
+    else 0 end, 6) as ambient_light
+from rpr_adj""")
+def calibrate_rpr(spark, sf_dir):
+    out = C.calibrate_rpr(_rpr(spark, sf_dir))
+    return out.select("sample_id", r("illumination"), r("infrared_illumination"), r("ambient_light"))
+
+
+@query(f"with {I.SQL_RPR} select sample_id, ps as proximity, case when ps >= 1000 then 1 else 0 end as near from rpr")
+def proximity_state(spark, sf_dir):
+    return C.calibrate_rpr(_rpr(spark, sf_dir)).select("sample_id", F.col("proximity").cast("bigint").alias("proximity"), "near")
+
+
+@query(f"with {I.SQL_DPS310_COEFF} select device_id, c0, c1, c00, c10, c01, c11, c20, c21, c30 from coeff")
+def dps310_coefficients(spark, sf_dir):
+    return C.dps310_coefficients(I.dps310_tables(spark, sf_dir)).drop("coeff")
+
+
+@query(f"""with {I.SQL_DPS310}
+select sample_id, round(temperature, 6) as temperature, round(air_pressure, 6) as air_pressure,
+  case when air_pressure > 0 then
+    round(cast(44330 as double) * (1 - pow(air_pressure / sea_level, cast(0.190284 as double))), 4) end as altitude,
+  air_pressure <= 0 as no_altitude
+from dps_out""")
+def calibrate_dps310(spark, sf_dir):
+    raw = I.dps310_raw(spark, sf_dir).withColumns({
+        "p_raw": word_big_endian(F.col("p2"), F.col("p1"), F.col("p0")),
+        "t_raw": word_big_endian(F.col("t2"), F.col("t1"), F.col("t0")),
+    })
+    coefficients = C.dps310_coefficients(I.dps310_tables(spark, sf_dir))
+    out = C.calibrate_dps310(raw, coefficients)
+    return out.select("sample_id", r("temperature"), r("air_pressure"), *_altitude_out())
+
+
+def _altitude_out():
+    unknown = F.isnan("altitude")
+    return F.when(~unknown, F.round("altitude", 4)).alias("altitude"), unknown.alias("no_altitude")
+
+
+_PRESSURE = "(l_extendedprice / cast(50 as double) - cast(100 as double))"
+_SEA_LEVEL = "cast(l_partkey % 40 * 30 as double)"
+_HEIGHT = "cast((l_partkey % 1000) * 50 as double)"
+
+
+@query(f"""with p as (
+  select l_orderkey * 8 + l_linenumber as sample_id, {_PRESSURE} as p, {_SEA_LEVEL} as p0 from lineitem)
+select sample_id, case when p > 0 and p0 > 0 then
+    round(cast(44330 as double) * (1 - pow(p / p0, cast(0.190284 as double))), 4) end as altitude,
+  not (p > 0 and p0 > 0) as no_altitude
+from p""")
+def altitude(spark, sf_dir):
+    rows = I.table(spark, sf_dir, "lineitem").select(
+        F.expr("l_orderkey * 8 + l_linenumber").alias("sample_id"),
+        C.altitude(F.expr(_PRESSURE), F.expr(_SEA_LEVEL)).alias("altitude"),
+    )
+    return rows.select("sample_id", *_altitude_out())
+
+
+@query(f"""with p as (
+  select l_orderkey * 8 + l_linenumber as sample_id, {_PRESSURE} as p, {_HEIGHT} as h from lineitem)
+select sample_id, case when p > 0 and 1 - h / cast(44330 as double) > 0 then
+    round(p / pow(1 - h / cast(44330 as double), cast(5.255301895 as double)), 2) end as sea_level
+from p""")
+def sea_level(spark, sf_dir):
+    return I.table(spark, sf_dir, "lineitem").select(
+        F.expr("l_orderkey * 8 + l_linenumber").alias("sample_id"),
+        F.round(C.sea_level_pressure(F.expr(_PRESSURE), F.expr(_HEIGHT)), 2).alias("sea_level"),
+    )
+
+
+@query(f"""with {I.SQL_SCD41}, judged as (select *, fault > 2 as frame_ok, status & 2047 <> 0 as ready from frames)
+select sample_id, frame_ok, case when frame_ok and ready then w0 end as co2,
+  case when frame_ok and ready then round(175 * cast(w1 as double) / 65536 - 45, 6) end as temperature,
+  case when frame_ok and ready then round(100 * cast(w2 as double) / 65536, 6) end as humidity
+from judged""")
+def calibrate_scd41(spark, sf_dir):
+    out = C.calibrate_scd41(I.scd41_raw(spark, sf_dir), ready_word="status")
+    return out.select("sample_id", "frame_ok", "co2", r("temperature"), r("humidity"))
+
+
+@query(f"""with {I.SQL_SCD41}
+select sample_id, round(-45 + 175 * cast(w1 as double) / 65535, 6) as temperature,
+  round(100 * cast(w2 as double) / 65535, 6) as humidity from frames where fault > 2""")
+def calibrate_scd41_65535(spark, sf_dir):
+    out = C.calibrate_scd41(I.scd41_raw(spark, sf_dir), divisor=65535.0)
+    return out.where("frame_ok").select("sample_id", r("temperature"), r("humidity"))
+
+
+@query(f"""with {I.SQL_SCD41}
+select sample_id, b2, b5, b8, b2 = k0 and b5 = k1 and b8 = k2 as frame_ok from frames""")
+def crc_check(spark, sf_dir):
+    frames = I.scd41_raw(spark, sf_dir)
+    return frames.select(
+        "sample_id", *[F.col(b).cast("bigint").alias(b) for b in ("b2", "b5", "b8")],
+        C.scd41_frame_ok([f"b{i}" for i in range(9)]).alias("frame_ok"),
+    )
+
+
+@query(f"with {I.SQL_SCD41} select sample_id, status from frames where status & 2047 <> 0")
+def data_ready(spark, sf_dir):
+    return I.scd41_raw(spark, sf_dir).where(C.scd41_data_ready(F.col("status"))).select(
+        "sample_id", F.col("status").cast("bigint").alias("status")
+    )
+
+
+@query(f"with {I.SQL_RPR} select sample_id, data0, data1 from rpr")
+def little_endian_words(spark, sf_dir):
+    return _rpr(spark, sf_dir).select("sample_id", "data0", "data1")
