@@ -10,20 +10,16 @@ from sensorstream.functions.bits import word_big_endian, word_little_endian
 from sensorstream.operators import calibrate as C
 
 
-def r(name: str, digits: int = 6):
-    return F.round(name, digits).alias(name)
-
-
 def _bh1750(spark, sf_dir):
     raw = I.bh1750_raw(spark, sf_dir)
     word = word_big_endian(F.col("hi"), F.col("lo"))
     return raw.withColumn("raw", F.when(F.col("failed"), F.lit(-1)).otherwise(word))
 
 
-@query(f"with {I.SQL_BH1750} select sample_id, device_id, raw, round(raw / cast(1.2 as double) / accuracy, 6) as illumination "
+@query(f"with {I.SQL_BH1750} select sample_id, device_id, raw, raw / cast(1.2 as double) / accuracy as illumination "
        "from bh where raw >= 0 and accuracy between cast(0.96 as double) and cast(1.44 as double)")
 def calibrate_bh1750(spark, sf_dir):
-    return C.calibrate_bh1750(_bh1750(spark, sf_dir)).select("sample_id", "device_id", "raw", r("illumination"))
+    return C.calibrate_bh1750(_bh1750(spark, sf_dir)).select("sample_id", "device_id", "raw", "illumination")
 
 
 def _rpr(spark, sf_dir):
@@ -40,17 +36,17 @@ def rpr_register_settings(spark, sf_dir):
 
 
 @query(f"""with {I.SQL_RPR}
-select sample_id, round(d0, 6) as illumination, round(d1, 6) as infrared_illumination,
-  round(case when ms = 0 then -1 when d0 = 0 then 0
+select sample_id, d0 as illumination, d1 as infrared_illumination,
+  cast(case when ms = 0 then -1 when d0 = 0 then 0
     when d1 / d0 < 0.595::double then 1.682::double * d0 - 1.877::double * d1
     when d1 / d0 < 1.015::double then 0.644::double * d0 - 0.132::double * d1
     when d1 / d0 < 1.352::double then 0.756::double * d0 - 0.243::double * d1
     when d1 / d0 < 3.053::double then 0.766::double * d0 - 0.25::double * d1
-    else 0 end, 6) as ambient_light
+    else 0 end as double) as ambient_light
 from rpr_adj""")
 def calibrate_rpr(spark, sf_dir):
     out = C.calibrate_rpr(_rpr(spark, sf_dir))
-    return out.select("sample_id", r("illumination"), r("infrared_illumination"), r("ambient_light"))
+    return out.select("sample_id", "illumination", "infrared_illumination", "ambient_light")
 
 
 @query(f"with {I.SQL_RPR} select sample_id, ps as proximity, case when ps >= 1000 then 1 else 0 end as near from rpr")
@@ -64,7 +60,7 @@ def dps310_coefficients(spark, sf_dir):
 
 
 @query(f"""with {I.SQL_DPS310}
-select sample_id, round(temperature, 6) as temperature, round(air_pressure, 6) as air_pressure,
+select sample_id, temperature, air_pressure,
   case when air_pressure > 0 then
     round(cast(44330 as double) * (1 - pow(air_pressure / sea_level, cast(0.190284 as double))), 4) end as altitude,
   air_pressure <= 0 as no_altitude
@@ -76,7 +72,7 @@ def calibrate_dps310(spark, sf_dir):
     })
     coefficients = C.dps310_coefficients(I.dps310_tables(spark, sf_dir))
     out = C.calibrate_dps310(raw, coefficients)
-    return out.select("sample_id", r("temperature"), r("air_pressure"), *_altitude_out())
+    return out.select("sample_id", "temperature", "air_pressure", *_altitude_out())
 
 
 def _altitude_out():
@@ -86,7 +82,7 @@ def _altitude_out():
 
 _PRESSURE = "(l_extendedprice / cast(50 as double) - cast(100 as double))"
 _SEA_LEVEL = "cast(l_partkey % 40 * 30 as double)"
-_HEIGHT = "cast((l_partkey % 1000) * 50 as double)"
+_HEIGHT = "cast(case when l_partkey % 20 = 19 then 50000 else (l_partkey % 100) * 400 end as double)"
 
 
 @query(f"""with p as (
@@ -117,20 +113,20 @@ def sea_level(spark, sf_dir):
 
 @query(f"""with {I.SQL_SCD41}, judged as (select *, fault > 2 as frame_ok, status & 2047 <> 0 as ready from frames)
 select sample_id, frame_ok, case when frame_ok and ready then w0 end as co2,
-  case when frame_ok and ready then round(175 * cast(w1 as double) / 65536 - 45, 6) end as temperature,
-  case when frame_ok and ready then round(100 * cast(w2 as double) / 65536, 6) end as humidity
+  case when frame_ok and ready then 175 * cast(w1 as double) / 65536 - 45 end as temperature,
+  case when frame_ok and ready then 100 * cast(w2 as double) / 65536 end as humidity
 from judged""")
 def calibrate_scd41(spark, sf_dir):
     out = C.calibrate_scd41(I.scd41_raw(spark, sf_dir), ready_word="status")
-    return out.select("sample_id", "frame_ok", "co2", r("temperature"), r("humidity"))
+    return out.select("sample_id", "frame_ok", "co2", "temperature", "humidity")
 
 
 @query(f"""with {I.SQL_SCD41}
-select sample_id, round(-45 + 175 * cast(w1 as double) / 65535, 6) as temperature,
-  round(100 * cast(w2 as double) / 65535, 6) as humidity from frames where fault > 2""")
+select sample_id, 175 * cast(w1 as double) / 65535 - 45 as temperature,
+  100 * cast(w2 as double) / 65535 as humidity from frames where fault > 2""")
 def calibrate_scd41_65535(spark, sf_dir):
     out = C.calibrate_scd41(I.scd41_raw(spark, sf_dir), divisor=65535.0)
-    return out.where("frame_ok").select("sample_id", r("temperature"), r("humidity"))
+    return out.where("frame_ok").select("sample_id", "temperature", "humidity")
 
 
 @query(f"""with {I.SQL_SCD41}

@@ -129,7 +129,7 @@ base as (
   select *, 's' || cast(1000 + user_id % 10 as varchar) as dev, cast(round(value * 100) as bigint) as cents
   from events),
 rec as (
-  select event_id, epoch_ms(ts) as ts_ms, cast(event_id % 4 as integer) as src_partition, event_id // 4 as src_offset,
+  select event_id, epoch_us(ts) // 1000 as ts_ms, cast(event_id % 4 as integer) as src_partition, event_id // 4 as src_offset,
     case event_type
       when 'view' then 'i483-sensors-' || dev || '-BH1750-illumination'
       when 'click' then 'i483-sensors-' || dev || '-SCD41-co2'

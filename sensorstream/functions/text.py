@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: what counts as a number in a payload
@@ -25,39 +27,56 @@ def parse_integer(text: Column) -> Column:
     return F.when(text.rlike(PLAIN_INTEGER), text.try_cast("bigint"))
 
 
-def fixed2(value: Column) -> Column:
-    """Two decimals, rounded from the exact binary value, ties to even.
+def with_fixed2(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Adds text columns: the number with two decimals, rounded from its exact binary value,
+    ties to even.
 
-    `format_string('%.2f', 52.915)` gives 52.92 because it rounds the shortest decimal
-    text of the double; the double itself lies just below 52.915. Here the fraction is
-    split into integers by powers of two, which is exact, and rounded on those.
-    Magnitudes of 2^53 and above have no fraction and are written as whole numbers.
+    `format_string('%.2f', 52.915)` gives 52.92 because it rounds the shortest decimal text of
+    the double; the double itself lies just below 52.915. Here the fraction is taken times 2^62
+    as an integer. That is exact unless the fraction is below 2^-10, too small to round up to
+    a hundredth. The steps are separate projections, so nothing is computed twice and all of it
+    stays in generated code. From 2^53 on there is no fraction.
     """
-    size = F.abs(value)
-    whole = F.floor(size)
-    unit = F.lit(1 << 52)
-    scaled = (size - whole) * F.lit(float(1 << 52))
-    high = F.floor(scaled)
-    low = F.floor((scaled - high) * F.lit(float(1 << 40)))
-    tail = low * F.lit(100)
-    tail_unit = F.lit(1 << 40)
-    hundredths = high * F.lit(100) + F.call_function("div", tail, tail_unit)
-    kept = F.call_function("div", hundredths, unit)
-    rest = F.pmod(hundredths, unit)
-    half = F.lit(1 << 51)
-    above_half = (rest > half) | ((rest == half) & (F.pmod(tail, tail_unit) > 0))
-    tie_to_odd = (rest == half) & (F.pmod(tail, tail_unit) == 0) & (F.pmod(kept, F.lit(2)) == 1)
-    cents = kept + (above_half | tie_to_odd).cast("bigint")
-    sign = F.when((value < 0) | (value.cast("string") == "-0.0"), "-").otherwise("")
-    exact = F.concat(
-        sign,
-        (whole + (cents == 100).cast("bigint")).cast("string"),
-        F.lit("."),
-        F.lpad(F.pmod(cents, F.lit(100)).cast("string"), 2, "0"),
-    )
-    return (
-        F.when(F.isnan(value), "NaN")
-        .when(size == float("inf"), F.concat(sign, F.lit("Infinity")))
-        .when(size < float(1 << 62), exact)
-        .when(size.isNotNull(), F.format_string("%.2f", value))
-    )
+    names = list(columns)
+    step = {n: [f"_{part}_{i}" for part in ("x", "m", "h")] for i, n in enumerate(names)}
+
+    df = df.withColumns({step[n][0]: columns[n].cast("double") for n in names})
+
+    def fraction(x):
+        size = F.abs(x)
+        return ((size - F.floor(size)) * F.lit(float(1 << 62))).try_cast("bigint")
+
+    df = df.withColumns({step[n][1]: fraction(F.col(step[n][0])) for n in names})
+
+    # fraction * 100 in units of 2^-56, and whether anything is left below that
+    def hundredths(m):
+        low = m.bitwiseAND(F.lit(63)) * 100
+        return F.struct(
+            (F.shiftright(m, 6) * 100 + F.shiftright(low, 6)).alias("high"),
+            (low.bitwiseAND(F.lit(63)) != 0).alias("more"),
+        )
+
+    df = df.withColumns({step[n][2]: hundredths(F.col(step[n][1])) for n in names})
+
+    def total(x, h):
+        high, half = h["high"], F.lit(1 << 55)
+        rest = high.bitwiseAND(F.lit((1 << 56) - 1))
+        kept = F.shiftright(high, 56)
+        up = (rest > half) | ((rest == half) & (h["more"] | (kept.bitwiseAND(F.lit(1)) == 1)))
+        return F.when(F.abs(x) < float(1 << 53), F.floor(F.abs(x)) * 100 + kept + up.cast("bigint"))
+
+    df = df.withColumns({step[n][1]: total(F.col(step[n][0]), F.col(step[n][2])) for n in names})
+
+    def text(x, cents):
+        sign = F.when((x < 0) | (x.cast("string") == "-0.0"), "-").otherwise("")
+        whole, part = F.call_function("div", cents, F.lit(100)), F.pmod(cents, F.lit(100))
+        return (
+            F.when(cents.isNotNull(), F.concat(sign, whole.cast("string"), F.lit("."), F.lpad(part.cast("string"), 2, "0")))
+            .when(F.isnan(x), "NaN")
+            .when(F.abs(x) == float("inf"), F.concat(sign, F.lit("Infinity")))
+            .when(F.abs(x) < float(1 << 62), F.concat(x.try_cast("bigint").cast("string"), F.lit(".00")))
+            .when(x.isNotNull(), F.format_string("%.2f", x))
+        )
+
+    df = df.withColumns({n: text(F.col(step[n][0]), F.col(step[n][1])) for n in names})
+    return df.drop(*[c for n in names for c in step[n]])

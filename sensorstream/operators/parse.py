@@ -5,7 +5,7 @@ All functions are projections and filters: no shuffle, and the same on batch and
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorstream import fixed
@@ -46,31 +46,36 @@ def to_envelopes(decoded: DataFrame) -> DataFrame:
     )
 
 
-def _typed(df: DataFrame, topic: Column, ts_ms: Column, value: Column, enough: Column,
-           keep: list[str]) -> DataFrame:
-    parts = F.split(topic, fixed.TOPIC_SEPARATOR)
+def _judge(fields: DataFrame, keep: list[str]) -> DataFrame:
+    """Typed columns with the reason a row is not a reading, null if it is one.
+
+    `fields` has topic, ts_ms, value, enough and the place in the source. The reason comes out
+    of a one-element generator: Spark would otherwise move a filter on it below the parsing
+    and do all of it a second time inside the filter.
+    """
+    parts = F.col("_parts")
     known_topic = (
         (F.size(parts) == 5)
         & (F.get(parts, F.lit(0)) == fixed.TOPIC_ROOT)
         & (F.get(parts, F.lit(1)) == fixed.SENSOR_BRANCH)
     )
     reason = (
-        F.when(~enough, TOO_FEW_PARTS)
-        .when(ts_ms.isNull(), BAD_TIMESTAMP)
-        .when(value.isNull(), BAD_VALUE)
+        F.when(~F.col("enough"), TOO_FEW_PARTS)
+        .when(F.col("ts_ms").isNull(), BAD_TIMESTAMP)
+        .when(F.col("value").isNull(), BAD_VALUE)
         .when(~F.coalesce(known_topic, F.lit(False)), BAD_TOPIC)
     )
-    return df.select(
+    return fields.withColumn("_parts", F.split("topic", fixed.TOPIC_SEPARATOR)).select(
         *keep,
         F.get(parts, F.lit(2)).alias("device_id"),
         F.get(parts, F.lit(3)).alias("sensor"),
         F.get(parts, F.lit(4)).alias("metric"),
-        topic.alias("topic"),
-        F.timestamp_millis(ts_ms).alias("ts"),
-        value.alias("value"),
+        "topic",
+        F.timestamp_millis("ts_ms").alias("ts"),
+        "value",
         "src_partition",
         "src_offset",
-        reason.alias("reject_reason"),
+        F.explode(F.array(reason)).alias("reject_reason"),
     )
 
 
@@ -81,27 +86,33 @@ def parse_envelopes(lines: DataFrame, raw: str = "raw") -> DataFrame:
         lines = lines.withColumn("src_partition", F.lit(0))
     if "src_offset" not in have:
         lines = lines.withColumn("src_offset", F.lit(None).cast("bigint"))
-    parts = F.split(F.col(raw), ",")
-    return _typed(
-        lines,
-        topic=F.get(parts, F.lit(0)),
-        ts_ms=parse_integer(F.get(parts, F.lit(1))),
-        value=parse_decimal(F.get(parts, F.lit(2))),
-        enough=F.coalesce(F.size(parts), F.lit(0)) >= 3,
-        keep=[raw],
+    line = F.col("_line")
+    fields = (
+        lines.withColumn("_line", F.split(F.col(raw), ","))
+        .select(
+            raw,
+            "src_partition",
+            "src_offset",
+            F.get(line, F.lit(0)).alias("topic"),
+            F.get(line, F.lit(1)).alias("_ts_text"),
+            F.get(line, F.lit(2)).alias("_value_text"),
+            (F.coalesce(F.size(line), F.lit(0)) >= 3).alias("enough"),
+        )
+        .withColumns({
+            "ts_ms": parse_integer(F.col("_ts_text")),
+            "value": parse_decimal(F.col("_value_text")),
+        })
     )
+    return _judge(fields, keep=[raw])
 
 
 def parse_records(decoded: DataFrame) -> DataFrame:
     """Decoded records, without building the text line first."""
-    return _typed(
-        decoded,
-        topic=F.col("topic"),
-        ts_ms=F.col("ts_ms"),
-        value=parse_decimal(F.substring_index("value_text", ",", 1)),
-        enough=F.lit(True),
-        keep=["value_text"],
-    )
+    fields = decoded.withColumn("_value_text", F.substring_index("value_text", ",", 1)).withColumns({
+        "value": parse_decimal(F.col("_value_text")),
+        "enough": F.lit(True),
+    })
+    return _judge(fields, keep=["value_text"])
 
 
 def only_topics(df: DataFrame, pattern: str = fixed.ALL_DEVICES_PATTERN, topic: str = "topic") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorstream import fixed
-from sensorstream.functions.text import fixed2
+from sensorstream.functions.text import with_fixed2
 from sensorstream.functions.topics import fill_name, strip_prefix
 from sensorstream.operators.occupancy import OCCUPIED, UNOCCUPIED
 
@@ -41,12 +41,12 @@ def rolling_mean_records(
     means: DataFrame, template: str = fixed.ROLLING_MEAN_TOPIC, keep=()
 ) -> DataFrame:
     """Rolling means as two-decimal text."""
-    return means.select(
+    return with_fixed2(means, {"_text": F.col("mean_value")}).select(
         *keep,
         fill_name(
             template, device=F.col("device_id"), sensor=F.col("sensor"), metric=F.col("metric")
         ).alias("topic"),
-        fixed2(F.col("mean_value")).alias("value"),
+        F.col("_text").alias("value"),
     )
 
 

@@ -4,25 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorstream import fixed
-from sensorstream.functions.text import fixed2
+from sensorstream.functions.text import with_fixed2
 from sensorstream.functions.topics import fill_name
 from sensorstream.schemas import ARRIVAL_ORDER
 
 
-def payload_text(value: Column, data_type: T.DataType) -> Column | None:
-    """Floats with two decimals, integers and text as they are; nothing else is sent."""
-    if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return fixed2(value.cast("double"))
-    if isinstance(data_type, (T.IntegralType, T.StringType)):
-        return value.cast("string")
-    return None
-
-
 def samples_to_messages(
     samples: DataFrame,
     metrics: Mapping[str, Sequence[str]],
@@ -33,27 +24,33 @@ def samples_to_messages(
     """One message per sensor and metric that has a value.
 
     `metrics` maps a sensor name to its metrics; `columns` maps `sensor/metric` to the sample
-    column where that differs from `sensor_metric` in lower case. One generator, no shuffle.
+    column where that differs from `sensor_metric` in lower case. Floats are written with two
+    decimals, integers and text as they are; columns of other types are not sent. One
+    generator, no shuffle.
     """
-    messages = []
+    floats, payloads = {}, {}
     for sensor, names in metrics.items():
         for name in names:
-            column = (columns or {}).get(f"{sensor}/{name}", f"{sensor}_{name}".lower())
-            text = payload_text(F.col(column), samples.schema[column].dataType)
-            if text is None:
-                continue
-            topic = F.concat(fill_name(fixed.MQTT_BASE, device=F.col(device)), F.lit(f"{sensor}/{name}"))
-            messages.append(F.struct(topic.alias("topic"), text.alias("payload")))
-    if not messages:
+            metric = f"{sensor}/{name}"
+            column = (columns or {}).get(metric, f"{sensor}_{name}".lower())
+            kind = samples.schema[column].dataType
+            if isinstance(kind, (T.DoubleType, T.FloatType)):
+                payloads[metric] = f"_text_{len(floats)}"
+                floats[payloads[metric]] = F.col(column)
+            elif isinstance(kind, (T.IntegralType, T.StringType)):
+                payloads[metric] = column
+    if not payloads:
         raise ValueError("no metric has a type that can be sent")
-    kept = list(dict.fromkeys(keep))
-    return samples.select(*kept, F.inline(F.array(*messages))).where(F.col("payload").isNotNull())
-
-
-def readings_to_samples(readings: DataFrame, at: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """Long readings to one wide row per `at`, a column per metric of the fixed list."""
-    return readings.groupBy(*at).agg(
-        *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in metrics]
+    base = fill_name(fixed.MQTT_BASE, device=F.col(device))
+    messages = [
+        F.struct(F.lit(metric).alias("_metric"), F.col(column).cast("string").alias("payload"))
+        for metric, column in payloads.items()
+    ]
+    return (
+        with_fixed2(samples, floats)
+        .select(*dict.fromkeys(keep), base.alias("_base"), F.inline(F.array(*messages)))
+        .where(F.col("payload").isNotNull())
+        .select(*dict.fromkeys(keep), F.concat("_base", "_metric").alias("topic"), "payload")
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ class Occupancy(StatefulProcessor):
         self.stay = handle.getValueState("stay", T.StructType([T.StructField("last_us", T.LongType())]))
 
     def _row(self, key, state: str, us: int) -> Row:
-        return Row(*key, state, _instant(us))
+        return Row(**dict(zip(self.key_names, key)), state=state, at=_instant(us))
 
     def _timer_ms(self, last_us: int) -> int:
         # the first whole millisecond at which the timeout has passed
