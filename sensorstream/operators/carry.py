@@ -20,23 +20,22 @@ def carry_forward(
     """Every sample with `out` = its value, or the latest earlier one; null before the first.
 
     Filled inside time blocks first. Samples still empty after that look up what the earlier
-    blocks of their key hand over: one row per block, joined on key and block, which is how
-    both sides are partitioned already. Key columns must not be null.
+    blocks of their key hand over: one row per block, from an aggregate that combines before
+    its shuffle, joined on key and block, which is how the samples are partitioned already.
+    Key columns must not be null.
     """
     keys, order = list(key_cols), list(order_cols)
+    placed = samples.withColumn("_block", floor_div(F.unix_micros("ts"), duration_us(block)))
     in_block = Window.partitionBy(*keys, "_block").orderBy(*order)
-    filled = (
-        samples.withColumn("_block", floor_div(F.unix_micros("ts"), duration_us(block)))
-        .withColumn(
-            out,
-            F.last(value, ignorenulls=True).over(in_block.rowsBetween(Window.unboundedPreceding, 0)),
-        )
-        .withColumn("_last", F.lead(F.lit(1)).over(in_block).isNull())
+    filled = placed.withColumn(
+        out, F.last(value, ignorenulls=True).over(in_block.rowsBetween(Window.unboundedPreceding, 0))
     )
+    known_at = F.when(F.col(value).isNotNull(), F.struct(*order))
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     handed = (
-        filled.where("_last")
-        .select(*keys, "_block", F.last(out, ignorenulls=True).over(earlier).alias("_handed"))
+        placed.groupBy(*keys, "_block")
+        .agg(F.max_by(value, known_at).alias("_tail"))
+        .select(*keys, "_block", F.last("_tail", ignorenulls=True).over(earlier).alias("_handed"))
         .where(F.col("_handed").isNotNull())
     )
     return (

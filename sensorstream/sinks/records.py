@@ -43,14 +43,13 @@ def to_console(df: DataFrame, checkpoint: str, rows: int = 20,
     return checkpointed(writer.option("truncate", "false").option("numRows", rows), checkpoint, period)
 
 
-def write_by_topic(records: DataFrame, path: str, mode: str = "append", files_per_topic: int = 8) -> None:
+def write_by_topic(records: DataFrame, path: str, mode: str = "append") -> None:
     """A table partitioned by topic, so a topic filter later reads only its folder.
 
-    A topic is spread over up to `files_per_topic` tasks: a hot one is not written by a single
-    task, and a rare one does not leave a file per task.
+    The rebalance lets Spark cut a hot topic into several files at run time and put rare ones
+    together in a task, each with a file of its own.
     """
-    spread = F.pmod(F.xxhash64("value"), F.lit(files_per_topic))
-    records.repartition("topic", spread).write.mode(mode).partitionBy("topic").parquet(path)
+    records.hint("rebalance", F.col("topic")).write.mode(mode).partitionBy("topic").parquet(path)
 
 
 def batch_folder(path: str, batch_id: int) -> str:

@@ -1,0 +1,108 @@
+from conftest import at, ms
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sensorstream.operators import parse
+from sensorstream.schemas import READING
+from sensorstream.sources import messages as src
+
+TOPIC = "i483-sensors-s1001-SCD41-co2"
+LINES = {
+    "i483-sensors-s1001-BH1750-illumination,1748664532952,48.33": ("s1001", "BH1750", "illumination", 48.33),
+    f"{TOPIC},1748664532945,281": ("s1001", "SCD41", "co2", 281.0),
+    f"{TOPIC},1748664532945,1,2": ("s1001", "SCD41", "co2", 1.0),
+    f"{TOPIC},1748664532945": parse.TOO_FEW_PARTS,
+    f"{TOPIC},abc,1": parse.BAD_TIMESTAMP,
+    f"{TOPIC}, 1748664532945,1": parse.BAD_TIMESTAMP,
+    f"{TOPIC},1748664532945,null": parse.BAD_VALUE,
+    f"{TOPIC},1748664532945,NaN": parse.BAD_VALUE,
+    f"{TOPIC},1748664532945,": parse.BAD_VALUE,
+    "i483-sensors-s1001-SCD41,1748664532945,1": parse.BAD_TOPIC,
+    "x483-sensors-s1001-SCD41-co2,1748664532945,1": parse.BAD_TOPIC,
+    "i483-other-s1001-SCD41-co2,1748664532945,1": parse.BAD_TOPIC,
+    # the order of the checks: timestamp, value, topic
+    "x,abc,bad": parse.BAD_TIMESTAMP,
+    "x,1,bad": parse.BAD_VALUE,
+    "ERROR: broken": parse.TOO_FEW_PARTS,
+    "": parse.TOO_FEW_PARTS,
+}
+
+
+def test_lines(spark):
+    parsed = parse.parse_envelopes(spark.createDataFrame([(line,) for line in LINES], "raw string"))
+    found = {
+        r.raw: r.reject_reason or (r.device_id, r.sensor, r.metric, r.value) for r in parsed.collect()
+    }
+    assert found == LINES
+    good = parse.readings(parsed)
+    assert good.columns == READING.fieldNames()
+    assert good.count() == 3
+    assert parse.rejects(parsed).count() == len(LINES) - 3
+    report = {r.reject_reason: r.n for r in parse.reject_report(parsed).collect()}
+    assert report == {parse.TOO_FEW_PARTS: 3, parse.BAD_TIMESTAMP: 3, parse.BAD_VALUE: 4, parse.BAD_TOPIC: 3}
+
+
+def test_null_line_is_rejected(spark):
+    parsed = parse.parse_envelopes(spark.createDataFrame([(None,)], "raw string"))
+    assert parsed.first().reject_reason == parse.TOO_FEW_PARTS
+
+
+def test_records_and_lines_agree(spark):
+    schema = T.StructType([
+        T.StructField("topic", T.StringType()), T.StructField("timestamp", T.TimestampType()),
+        T.StructField("value", T.BinaryType()), T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+    ])
+    when = at("2025-05-31 04:08:52.952")
+    rows = [(TOPIC, when, v, 2, i) for i, v in enumerate([b"281", b" 5.5 ", None, b"x", b"1,2", "３".encode()])]
+    decoded = parse.decode_records(spark.createDataFrame(rows, schema))
+    assert decoded.where("src_offset = 2").first().value_text == "null"
+    direct = parse.parse_records(decoded).drop("value_text")
+    lines = parse.parse_envelopes(parse.to_envelopes(decoded)).drop("raw")
+    assert sorted(direct.collect(), key=str) == sorted(lines.collect(), key=str)
+    reading = parse.readings(direct).where("src_offset = 0").first()
+    assert (ms(reading.ts), reading.value, reading.src_partition) == (1748664532952, 281.0, 2)
+    assert {r.src_offset: r.reject_reason for r in direct.collect()} == {
+        0: None, 1: None, 2: parse.BAD_VALUE, 3: parse.BAD_VALUE, 4: None, 5: parse.BAD_VALUE}
+
+
+def test_result_topics_do_not_come_back_in(spark):
+    names = [TOPIC, "i483-sensors-s1001-BH1750_avg-illumination", "i483-sensors-s1001-analytics-BH1750_min-illumination"]
+    df = spark.createDataFrame([(n,) for n in names], "topic string")
+    assert [r.topic for r in parse.only_topics(df).collect()] == [TOPIC]
+
+
+def test_metric_name_case(spark):
+    df = spark.createDataFrame([("CO2",), ("co2",), ("humidity",)], "metric string")
+    assert parse.only_metric(df, "Co2").count() == 2
+
+
+def test_nothing_is_parsed_twice(spark):
+    """One generated stage, and the regular expressions appear once per column."""
+    df = parse.readings(parse.parse_envelopes(spark.createDataFrame([("a,1,2",)], "raw string")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 2 and "Exchange" not in plan
+
+
+def test_source_filters_reach_the_scan(spark, tmp_path):
+    rows = [("t1", "1"), ("t2", "2"), ("t3", "3")]
+    path = str(tmp_path / "landed")
+    spark.createDataFrame(rows, "topic string, payload string").write.partitionBy("topic").parquet(path)
+    landed = spark.read.parquet(path)
+    chosen = src.from_topics(landed, ["t1", "t3"])
+    assert sorted(r.payload for r in chosen.collect()) == ["1", "3"]
+    assert "PartitionFilters: [topic" in chosen._jdf.queryExecution().executedPlan().toString()
+    assert src.from_topic(landed, "t2").first().payload == "2"
+
+
+def test_kafka_options():
+    options = src.kafka_options("k:9092", pattern="a.*", group_id="g", max_offsets_per_trigger=10)
+    assert options == {"kafka.bootstrap.servers": "k:9092", "startingOffsets": "latest", "subscribePattern": "a.*",
+                       "kafka.group.id": "g", "maxOffsetsPerTrigger": "10"}
+    assert src.kafka_options("k:9092", topics=["a", "b"])["subscribe"] == "a,b"
+    for wrong in ({}, {"pattern": "a", "topics": "b"}):
+        try:
+            src.kafka_options("k:9092", **wrong)
+        except ValueError:
+            continue
+        raise AssertionError("a subscription needs exactly one of pattern and topics")

@@ -1,0 +1,211 @@
+"""Streams against tables: the same rows, whatever the micro-batches."""
+
+import uuid
+from datetime import timedelta
+
+import pytest
+from conftest import START, at, make_readings, ms, random_readings
+from pyspark.sql import functions as F
+
+from sensorstream.operators import changes, occupancy, stats, trend
+from sensorstream.operators.parse import only_metric
+from sensorstream.plans import analytics as plan
+from sensorstream.plans import bridge, collectors
+from sensorstream.sinks import records as sinks
+from sensorstream.sources import messages as src
+from sensorstream.streaming.changes import threshold_changes_stream
+from sensorstream.streaming.occupancy import occupancy_transitions_stream
+from sensorstream.streaming.run import run_to_table, shared_folder, stream_settings
+
+PARTITIONS = 1
+
+
+@pytest.fixture
+def land(spark, tmp_path):
+    """Write frames as files of one folder, oldest first, and stream them one per micro-batch."""
+
+    def stream(*frames):
+        path = str(tmp_path / uuid.uuid4().hex)
+        for i, frame in enumerate(frames):
+            target = f"{path}/{i:03d}"
+            frame.coalesce(1).write.parquet(target)
+        return src.read_stream(spark, f"{path}/*", frames[0].schema, files_per_trigger=1)
+
+    return stream
+
+
+def slices(readings, n):
+    """n frames in event order."""
+    ordered = readings.orderBy("ts", "src_offset").collect()
+    spark, size = readings.sparkSession, -(-len(ordered) // n)
+    return [spark.createDataFrame(ordered[i: i + size], readings.schema) for i in range(0, len(ordered), size)]
+
+
+def window_rows(df):
+    return sorted((r.device_id, r.metric, ms(r.window_start), r.min_value, r.max_value, round(r.avg_value, 8), r.n)
+                  for r in df.collect())
+
+
+def closed(windows, readings, delay_ms=10_000):
+    limit = ms(readings.agg(F.max("ts")).first()[0]) - delay_ms
+    return windows.where(F.unix_millis("window_end") <= limit)
+
+
+def test_sliding_stats(spark, land):
+    readings = random_readings(spark, 400, span_s=3_000)
+    stream = src.watermarked(land(*slices(readings, 4)))
+    found = run_to_table(stats.sliding_stats(stream).drop("window"), "stats", PARTITIONS)
+    assert window_rows(found) == window_rows(closed(stats.sliding_stats(readings), readings))
+
+
+def test_late_rows_are_left_out_of_closed_windows(spark, land):
+    # a row is judged by the watermark of the micro-batch before it, so 3601 comes in between
+    frames = [make_readings(spark, [(START + timedelta(seconds=s), v)]) for s, v in (
+        (0, 1), (3600, 2), (3601, 2), (10, 3), (3610, 4), (7200, 5))]
+    stream = src.watermarked(land(*frames))
+    found = run_to_table(stats.sliding_stats(stream, "5 minutes", "5 minutes").drop("window"), "late", PARTITIONS)
+    assert sorted((ms(r.window_start) - ms(START), r.n, r.max_value) for r in found.collect()) == [
+        (0, 1, 1.0), (3_600_000, 3, 4.0)]
+
+
+@pytest.mark.parametrize("batches", [1, 5])
+def test_threshold_changes(spark, land, batches):
+    readings = random_readings(spark, 300, step_ms=5_000)
+    stream = land(*slices(readings, batches))
+    found = run_to_table(threshold_changes_stream(stream), "changes", PARTITIONS)
+
+    def rows(df):
+        return sorted((r.device_id, ms(r.ts), r.src_offset, r.above) for r in df.collect())
+
+    assert rows(found) == rows(changes.threshold_changes(readings))
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+def test_trend(spark, land, batches):
+    rows = [(START + timedelta(seconds=20 * i), (i % 23) // 2, f"s{1001 + i % 2}") for i in range(200)]
+    readings = make_readings(spark, rows)
+    stream = src.watermarked(land(*slices(readings, batches)))
+    found = run_to_table(trend.trend_windows_stream(stream).drop("window"), "trend", PARTITIONS)
+    wanted = closed(trend.trend_windows(readings), readings)
+
+    def plain(df):
+        return sorted((r.sensor, ms(r.window_start), r.n) for r in df.collect())
+
+    assert plain(found) == plain(wanted) and plain(found)
+
+
+def events_of(spark, minutes, room="r"):
+    return spark.createDataFrame([(room, START + timedelta(minutes=m)) for m in minutes], "room string, at timestamp")
+
+
+def states(df):
+    return sorted((r.room, ms(r.at), r.state) for r in df.collect())
+
+
+# the last event only moves the watermark on
+@pytest.mark.parametrize("split", [
+    [[0, 60, 121, 400, 1000]], [[0], [60], [121], [400], [1000]], [[0], [30], [20], [85], [1000]],
+])
+def test_stays(spark, land, split):
+    frames = [events_of(spark, part) for part in split]
+    stream = land(*frames).withWatermark("at", "90 minutes")
+    found = run_to_table(occupancy_transitions_stream(stream), "stays", PARTITIONS)
+    whole = events_of(spark, sum(split, []))
+    wanted = occupancy.occupancy_transitions(whole).where("closed")
+    assert states(found) == states(wanted)
+
+
+def test_timer_needs_no_further_event_of_the_room(spark, land):
+    frames = [events_of(spark, [0], "a"), events_of(spark, [30], "b"), events_of(spark, [200], "c")]
+    stream = land(*frames).withWatermark("at", "10 seconds")
+    found = states(run_to_table(occupancy_transitions_stream(stream), "timers", PARTITIONS))
+    t0 = ms(START)
+    assert found == [
+        ("a", t0, "Occupied"), ("a", t0 + 3_600_000, "Unoccupied"),
+        ("b", t0 + 1_800_000, "Occupied"), ("b", t0 + 5_400_000, "Unoccupied"),
+        ("c", t0 + 12_000_000, "Occupied"),
+    ]
+
+
+def source_rows(readings):
+    return readings.select("topic", F.col("ts").alias("timestamp"), F.col("value").cast("string").alias("value"),
+                           F.col("src_partition").alias("partition"), F.col("src_offset").alias("offset"))
+
+
+def room_readings(spark):
+    """Light that jumps twice, two hours apart, CO2 that rises in between, and a quiet end."""
+    light = [(START + timedelta(seconds=60 * i), 300 if i in (10, 11, 150) else 20) for i in range(260)]
+    co2 = [(START + timedelta(seconds=60 * i), 500 + (i if 40 <= i < 50 else -3 * (i % 2))) for i in range(260)]
+    return make_readings(spark, light, "BH1750", "illumination").unionByName(make_readings(spark, co2))
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+def test_whole_graph(spark, land, batches):
+    readings = room_readings(spark)
+    table = source_rows(readings)
+    parts = [source_rows(p) for p in slices(readings, batches)]
+    options = plan.AnalyticsOptions(owner="s1001")
+    batch = plan.analytics(table, options)
+    stream = plan.analytics(land(*parts), options)
+    limit = ms(readings.agg(F.max("ts")).first()[0]) - 10_000
+    found = run_to_table(stream.transitions, "graph", PARTITIONS)
+    # on a stream an event's time is the last microsecond of its window
+    moved = found.withColumn("at", F.timestamp_micros(F.unix_micros("at") + 1))
+    wanted = [r for r in states(batch.transitions) if r[1] <= limit]
+    assert states(moved) == wanted and len(wanted) == 4
+    records = run_to_table(stream.records.select("topic", "number"), "records", PARTITIONS)
+    whole = batch.stats.where(F.unix_millis("window_end") <= limit)
+    assert records.count() == 6 * whole.count()
+
+
+def test_collectors(spark, land):
+    readings = random_readings(spark, 200, span_s=2_000)
+    table = source_rows(readings)
+    stream = land(*[source_rows(p) for p in slices(readings, 3)])
+    devices = ["s1001", "s1002"]
+    found = run_to_table(collectors.crossings(stream, devices), "crossings", PARTITIONS)
+    wanted = collectors.crossings(table, devices)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(tuple(r) for r in wanted.collect())
+    assert {r.device_id for r in wanted.collect()} == {"s1001", "s1002"}
+    means = run_to_table(collectors.rolling_means(stream, devices, "SCD41/co2"), "means", PARTITIONS)
+    windows = closed(stats.sliding_stats(readings.where(F.col("device_id").isin(devices))), readings)
+    assert means.count() == windows.count()
+
+
+def test_bridge_tables_hold_every_batch_once(spark, land, tmp_path):
+    frames = [spark.createDataFrame([(f"a/{i}", str(i)), ("a/ä", "x")], "topic string, payload string") for i in range(3)]
+    options = bridge.BridgeOptions.from_properties({
+        "mqtt.server": "m", "mqtt.topics.subscribe": "a/#", "bootstrap.servers": "k"})
+    forward, dead = str(tmp_path / "forward"), str(tmp_path / "dead")
+    with stream_settings(spark, PARTITIONS):
+        bridge.bridge_to_tables(land(*frames), options, forward, dead, str(tmp_path / "cp")).start().awaitTermination()
+    assert sorted(r.topic for r in spark.read.parquet(forward).collect()) == ["a-0", "a-1", "a-2"]
+    assert spark.read.parquet(dead).count() == 3
+    # the same batch again, as after a failure
+    frames[0].limit(1).write.mode("overwrite").parquet(sinks.batch_folder(forward, 0))
+    assert spark.read.parquet(forward).count() == 3
+
+
+def test_kafka_writers_only_take_options(spark, land):
+    writer = sinks.to_kafka(land(events_of(spark, [0])).selectExpr("room as topic", "room as value"), "/cp", "k:9092", period="30 seconds")
+    assert hasattr(writer, "start")
+    assert hasattr(sinks.to_console(land(events_of(spark, [0])), "/cp"), "start")
+
+
+def test_scratch_goes_to_the_shared_folder(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_settings_are_put_back(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with stream_settings(spark, 3):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    src.idle_source_settings(spark)
+    assert spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy") == "max"
+    spark.conf.unset("spark.sql.streaming.multipleWatermarkPolicy")
+
+
+def test_metric_filter_works_on_streams(spark, land):
+    assert only_metric(land(random_readings(spark, 5)), "CO2").isStreaming
+    assert at("2025-05-31 00:00:00").year == 2025
