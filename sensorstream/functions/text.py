@@ -68,10 +68,12 @@ def with_fixed2(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     df = df.withColumns({step[n][1]: total(F.col(step[n][0]), F.col(step[n][2])) for n in names})
 
     def text(x, cents):
-        sign = F.when((x < 0) | (x.cast("string") == "-0.0"), "-").otherwise("")
+        negative_zero = (x == 0) & (x.cast("string") == "-0.0")
+        sign = F.when((x < 0) | negative_zero, "-").otherwise("")
         whole, part = F.call_function("div", cents, F.lit(100)), F.pmod(cents, F.lit(100))
+        point = F.when(part < 10, ".0").otherwise(".")
         return (
-            F.when(cents.isNotNull(), F.concat(sign, whole.cast("string"), F.lit("."), F.lpad(part.cast("string"), 2, "0")))
+            F.when(cents.isNotNull(), F.concat(sign, whole.cast("string"), point, part.cast("string")))
             .when(F.isnan(x), "NaN")
             .when(F.abs(x) == float("inf"), F.concat(sign, F.lit("Infinity")))
             .when(F.abs(x) < float(1 << 62), F.concat(x.try_cast("bigint").cast("string"), F.lit(".00")))

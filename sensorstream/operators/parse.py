@@ -49,9 +49,9 @@ def to_envelopes(decoded: DataFrame) -> DataFrame:
 def _judge(fields: DataFrame, keep: list[str]) -> DataFrame:
     """Typed columns with the reason a row is not a reading, null if it is one.
 
-    `fields` has topic, ts_ms, value, enough and the place in the source. The reason comes out
-    of a one-element generator: Spark would otherwise move a filter on it below the parsing
-    and do all of it a second time inside the filter.
+    `fields` has topic, ts_ms, value, enough and the place in the source. Value and reason come
+    out of a one-element generator: Spark would otherwise move a filter on them below the
+    parsing and do all of it a second time inside the filter.
     """
     parts = F.col("_parts")
     known_topic = (
@@ -72,10 +72,9 @@ def _judge(fields: DataFrame, keep: list[str]) -> DataFrame:
         F.get(parts, F.lit(4)).alias("metric"),
         "topic",
         F.timestamp_millis("ts_ms").alias("ts"),
-        "value",
         "src_partition",
         "src_offset",
-        F.explode(F.array(reason)).alias("reject_reason"),
+        F.inline(F.array(F.struct(F.col("value").alias("value"), reason.alias("reject_reason")))),
     )
 
 

@@ -28,29 +28,36 @@ def samples_to_messages(
     decimals, integers and text as they are; columns of other types are not sent. One
     generator, no shuffle.
     """
-    floats, payloads = {}, {}
+    messages = []
     for sensor, names in metrics.items():
         for name in names:
             metric = f"{sensor}/{name}"
             column = (columns or {}).get(metric, f"{sensor}_{name}".lower())
             kind = samples.schema[column].dataType
+            number = text = F.lit(None)
             if isinstance(kind, (T.DoubleType, T.FloatType)):
-                payloads[metric] = f"_text_{len(floats)}"
-                floats[payloads[metric]] = F.col(column)
+                number = F.col(column)
             elif isinstance(kind, (T.IntegralType, T.StringType)):
-                payloads[metric] = column
-    if not payloads:
+                text = F.col(column)
+            else:
+                continue
+            messages.append(F.struct(
+                F.lit(metric).alias("_metric"),
+                number.cast("double").alias("_number"),
+                text.cast("string").alias("_text"),
+            ))
+    if not messages:
         raise ValueError("no metric has a type that can be sent")
+    kept = list(dict.fromkeys(keep))
     base = fill_name(fixed.MQTT_BASE, device=F.col(device))
-    messages = [
-        F.struct(F.lit(metric).alias("_metric"), F.col(column).cast("string").alias("payload"))
-        for metric, column in payloads.items()
-    ]
-    return (
-        with_fixed2(samples, floats)
-        .select(*dict.fromkeys(keep), base.alias("_base"), F.inline(F.array(*messages)))
-        .where(F.col("payload").isNotNull())
-        .select(*dict.fromkeys(keep), F.concat("_base", "_metric").alias("topic"), "payload")
+    # rows first, then text: one formatter in the generated code, not one per metric
+    rows = samples.select(*kept, base.alias("_base"), F.inline(F.array(*messages))).where(
+        F.col("_number").isNotNull() | F.col("_text").isNotNull()
+    )
+    return with_fixed2(rows, {"_decimals": F.col("_number")}).select(
+        *kept,
+        F.concat("_base", "_metric").alias("topic"),
+        F.coalesce("_text", "_decimals").alias("payload"),
     )
 
 

@@ -53,13 +53,15 @@ class BridgeOptions:
 
 
 def route(messages: DataFrame, options: BridgeOptions) -> DataFrame:
-    """Subscribed messages with the Kafka topic they map to and `error` where they cannot go."""
+    """Subscribed messages with the Kafka topic they map to and `error` where they cannot go.
+
+    `error` comes out of a one-element generator, which keeps a filter on it from being moved
+    down and checked a second time.
+    """
     chosen = from_mqtt_filters(messages, " ".join(options.mqtt_filters))
-    kafka_topic = to_kafka_topic(F.col("topic"), options.topic_separator)
-    return chosen.withColumns({
-        "kafka_topic": kafka_topic,
-        "error": sinks.bridge_error(kafka_topic, F.col("payload")),
-    })
+    mapped = chosen.withColumn("kafka_topic", to_kafka_topic(F.col("topic"), options.topic_separator))
+    error = sinks.bridge_error(F.col("kafka_topic"), F.col("payload"))
+    return mapped.select("*", F.explode(F.array(error)).alias("error"))
 
 
 def forwarded(routed: DataFrame) -> DataFrame:
