@@ -15,7 +15,7 @@ def carry_forward(
     order_cols=ARRIVAL_ORDER,
     value: str = "value",
     out: str = "published",
-    block: str = "1 hour",
+    block: str = "5 minutes",
 ) -> DataFrame:
     """Every sample with `out` = its value, or the latest earlier one; null before the first.
 

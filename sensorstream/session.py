@@ -8,13 +8,19 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
+# State on disk, and only its changes written per micro-batch.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 # Settings that change results or plan shape, not cluster sizing.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    **STATE_SETTINGS,
 }
 
 

@@ -74,9 +74,20 @@ class Occupancy(StatefulProcessor):
 def occupancy_transitions_stream(
     events: DataFrame, key_cols=("room",), timeout: str = fixed.OCCUPANCY_TIMEOUT
 ) -> DataFrame:
-    """key_cols, state, at. `events` is watermarked on `at`."""
+    """key_cols, state, at. `events` is watermarked on `at`.
+
+    Events of one key and instant are first combined by a windowless aggregate, whose partial
+    step leaves at most one row per key, instant and task before its shuffle: the state machine
+    of a single global key sees one row per instant, however many devices report. The aggregate
+    also hands events on only once the watermark has passed them, so they come in order across
+    micro-batches.
+    """
     keys = list(key_cols)
-    rows = events.select(*keys, "at", F.unix_micros("at").alias("at_us"))
+    rows = (
+        events.groupBy(*keys, "at")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(*keys, "at", F.unix_micros("at").alias("at_us"))
+    )
     schema = T.StructType(
         [rows.schema[k] for k in keys]
         + [T.StructField("state", T.StringType()), T.StructField("at", T.TimestampType())]

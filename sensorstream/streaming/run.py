@@ -9,7 +9,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorstream.session import ROCKSDB_PROVIDER
+from sensorstream.session import STATE_SETTINGS
 
 _OWN_SCRATCH: list[str] = []
 
@@ -32,7 +32,7 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None) ->
 
     The number of state partitions is fixed by a query's first run.
     """
-    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
+    wanted = dict(STATE_SETTINGS)
     if state_partitions:
         wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
     before = {key: spark.conf.get(key, None) for key in wanted}

@@ -102,17 +102,18 @@ def states(df):
     return sorted((r.room, ms(r.at), r.state) for r in df.collect())
 
 
-# the last event only moves the watermark on
+# the last event only moves the watermark on, so it is not reported itself
 @pytest.mark.parametrize("split", [
-    [[0, 60, 121, 400, 1000]], [[0], [60], [121], [400], [1000]], [[0], [30], [20], [85], [1000]],
+    [[0, 60, 121, 400, 1000]], [[0], [60], [121], [400], [1000]], [[0, 121], [60], [400, 400], [1000]],
+    [[0], [30], [20], [85], [1000]],
 ])
 def test_stays(spark, land, split):
     frames = [events_of(spark, part) for part in split]
     stream = land(*frames).withWatermark("at", "90 minutes")
     found = run_to_table(occupancy_transitions_stream(stream), "stays", PARTITIONS)
-    whole = events_of(spark, sum(split, []))
-    wanted = occupancy.occupancy_transitions(whole).where("closed")
-    assert states(found) == states(wanted)
+    whole = occupancy.occupancy_transitions(events_of(spark, sum(split, [])))
+    passed = ms(START) + (1000 - 90) * 60_000
+    assert states(found) == [r for r in states(whole) if r[1] <= passed]
 
 
 def test_timer_needs_no_further_event_of_the_room(spark, land):
@@ -123,7 +124,6 @@ def test_timer_needs_no_further_event_of_the_room(spark, land):
     assert found == [
         ("a", t0, "Occupied"), ("a", t0 + 3_600_000, "Unoccupied"),
         ("b", t0 + 1_800_000, "Occupied"), ("b", t0 + 5_400_000, "Unoccupied"),
-        ("c", t0 + 12_000_000, "Occupied"),
     ]
 
 
