@@ -142,7 +142,7 @@ def crc_check(spark, sf_dir):
 @query(f"with {I.SQL_SCD41} select sample_id, status from frames where status & 2047 <> 0")
 def data_ready(spark, sf_dir):
     return I.scd41_raw(spark, sf_dir).where(C.scd41_data_ready(F.col("status"))).select(
-        "sample_id", F.col("status").cast("bigint").alias("status")
+        "sample_id", "status"
     )
 
 

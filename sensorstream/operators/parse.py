@@ -59,13 +59,7 @@ def _judge(fields: DataFrame, keep: list[str]) -> DataFrame:
         & (F.get(parts, F.lit(0)) == fixed.TOPIC_ROOT)
         & (F.get(parts, F.lit(1)) == fixed.SENSOR_BRANCH)
     )
-    reason = (
-        F.when(~F.col("enough"), TOO_FEW_PARTS)
-        .when(F.col("ts_ms").isNull(), BAD_TIMESTAMP)
-        .when(F.col("value").isNull(), BAD_VALUE)
-        .when(~F.coalesce(known_topic, F.lit(False)), BAD_TOPIC)
-    )
-    return fields.withColumn("_parts", F.split("topic", fixed.TOPIC_SEPARATOR)).select(
+    typed = fields.withColumn("_parts", F.split("topic", fixed.TOPIC_SEPARATOR)).select(
         *keep,
         F.get(parts, F.lit(2)).alias("device_id"),
         F.get(parts, F.lit(3)).alias("sensor"),
@@ -74,8 +68,18 @@ def _judge(fields: DataFrame, keep: list[str]) -> DataFrame:
         F.timestamp_millis("ts_ms").alias("ts"),
         "src_partition",
         "src_offset",
-        F.inline(F.array(F.struct(F.col("value").alias("value"), reason.alias("reject_reason")))),
+        F.col("value").alias("_value"),
+        "enough",
+        F.coalesce(known_topic, F.lit(False)).alias("_known_topic"),
+    )
+    reason = (
+        F.when(~F.col("enough"), TOO_FEW_PARTS)
+        .when(F.col("ts").isNull(), BAD_TIMESTAMP)
+        .when(F.col("_value").isNull(), BAD_VALUE)
+        .when(~F.col("_known_topic"), BAD_TOPIC)
     )
+    judged = F.struct(F.col("_value").alias("value"), reason.alias("reject_reason"))
+    return typed.select("*", F.inline(F.array(judged))).drop("_value", "enough", "_known_topic")
 
 
 def parse_envelopes(lines: DataFrame, raw: str = "raw") -> DataFrame:

@@ -34,7 +34,7 @@ def sliding_stats(
     method: str = "auto",
     left_open: bool = False,
 ) -> DataFrame:
-    """min, max, avg and count per key and sliding window.
+    """min, max, avg and count per key and sliding window; missing values do not count.
 
     `compat_max_floor` never reports a maximum below the smallest positive double.
     `left_open` makes windows (start, end] where the default is [start, end).
@@ -46,6 +46,7 @@ def sliding_stats(
         raise ValueError("left_open windows need the batch form with slide dividing size")
 
     keys = list(key_cols)
+    readings = readings.where(F.col("value").isNotNull())
     if method == "rows":
         merged = _by_rows(readings, keys, size, slide)
     elif method == "panes":

@@ -68,9 +68,12 @@ def trailing(readings: DataFrame, width: str, key_cols=READING_KEY, keep=()) ->
 def rolling_mean_per_reading(
     readings: DataFrame, width: str = fixed.ROLLING_WIDTH, key_cols=READING_KEY, keep=()
 ) -> DataFrame:
-    """At every reading, the mean of the readings newer than `width`, itself included."""
+    """At every reading, the mean of the readings newer than `width`, itself included.
+
+    Missing values do not count; where there is nothing else, the mean is null.
+    """
     frame = trailing(readings, width, key_cols, keep)
-    return frame.withColumn("mean_value", F.col("sum_value") / F.col("n")).drop(
+    return frame.withColumn("mean_value", F.try_divide("sum_value", "n")).drop(
         "sum_value", "min_value", "max_value"
     )
 

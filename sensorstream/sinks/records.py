@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from sensorstream import fixed
 from sensorstream.functions.topics import is_legal_kafka_topic
+from sensorstream.schemas import RECORD
 
 ILLEGAL_TOPIC = "illegal topic name"
 NO_PAYLOAD = "no payload"
@@ -37,6 +38,16 @@ def to_kafka(records: DataFrame, checkpoint: str, bootstrap_servers: str, topic:
     return checkpointed(writer, checkpoint, period)
 
 
+def publish_to_kafka(records: DataFrame, bootstrap_servers: str, topic: str | None = None, **producer: str) -> None:
+    """A finished table of records, sent once; needs the Spark Kafka connector."""
+    records.write.format("kafka").options(**kafka_sink_options(bootstrap_servers, topic, **producer)).save()
+
+
+def one_record(spark: SparkSession, topic: str, text: str) -> DataFrame:
+    """A single text message for a topic."""
+    return spark.createDataFrame([(topic, text)], RECORD)
+
+
 def to_console(df: DataFrame, checkpoint: str, rows: int = 20,
                period: str | None = fixed.CHECKPOINT_PERIOD) -> DataStreamWriter:
     writer = df.writeStream.format("console").outputMode("append")

@@ -48,14 +48,17 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None) ->
                 spark.conf.set(key, value)
 
 
-def run_to_table(stream: DataFrame, name: str, state_partitions: int | None = None) -> DataFrame:
+def run_to_table(
+    stream: DataFrame, name: str, state_partitions: int | None = None, folder: str | None = None
+) -> DataFrame:
     """Process all there is and return what the stream appended, as a table.
 
-    State, offsets and rows go to the shared folder, so a lost executor costs a retried task
-    and a restarted query continues from its checkpoint.
+    State, offsets and rows go to the shared folder, so a lost executor costs a retried task.
+    Called again with the same `folder`, the query continues from its checkpoint; without one
+    it starts anew.
     """
     spark = stream.sparkSession
-    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = folder or f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     with stream_settings(spark, state_partitions or spark.sparkContext.defaultParallelism):
         query = (
             stream.writeStream.format("parquet")

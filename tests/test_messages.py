@@ -138,6 +138,10 @@ def test_sink_options():
     assert "topic" not in sinks.kafka_sink_options("k:9092")
 
 
+def test_one_record(spark):
+    assert tuple(sinks.one_record(spark, "t", "yes").first()) == ("t", "yes")
+
+
 def test_table_by_topic(spark, tmp_path):
     rows = [("hot", f"{i}-{'x' * (i % 50)}") for i in range(20_000)] + [("rare", "x")]
     path = str(tmp_path / "by_topic")

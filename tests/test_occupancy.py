@@ -78,3 +78,10 @@ def test_one_room_is_not_one_task(spark):
     events = occ.with_global_key(random_readings(spark, 300).selectExpr("ts as at"))
     plan = occ.occupancy_transitions(events)._jdf.queryExecution().optimizedPlan().toString()
     assert "_block" in plan and "Distinct" not in plan
+
+
+def test_jumps_only_aggregate_their_metric(spark):
+    """The metric is a key, so the filter goes below both aggregates."""
+    windows = stats.sliding_stats(random_readings(spark, 50))
+    plan = occ.light_jumps(windows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("lower(metric") > plan.rindex("Aggregate")

@@ -88,6 +88,12 @@ def test_trailing_mean_keeps_small_values_beside_huge_ones(spark):
     assert [r.mean_value for r in found.collect()] == [1e17, 1.0, 1.5]
 
 
+def test_trailing_mean_of_missing_values(spark):
+    rows = [(START, None), (START + timedelta(seconds=1), 3), (START + timedelta(seconds=2), None)]
+    found = trailing.rolling_mean_per_reading(make_readings(spark, rows), "5 minutes").orderBy("ts").collect()
+    assert [(r.n, r.mean_value) for r in found] == [(0, None), (1, 3.0), (1, 3.0)]
+
+
 def test_sudden_increase(spark):
     rows = [(START, 10), (START + timedelta(seconds=30), 110), (START + timedelta(seconds=59), 111),
             (START + timedelta(seconds=60), 112), (START + timedelta(seconds=300), 5)]

@@ -56,6 +56,14 @@ def test_before_the_epoch(spark):
     assert as_rows(stats.sliding_stats(readings, method="panes")) == as_rows(stats.sliding_stats(readings, method="rows"))
 
 
+def test_missing_values_do_not_count(spark):
+    rows = [(START, 4), (START, None), (START + timedelta(minutes=20), None)]
+    readings = make_readings(spark, rows)
+    for method in ("rows", "panes"):
+        found = stats.sliding_stats(readings, method=method).collect()
+        assert {(r.n, r.avg_value) for r in found} == {(1, 4.0)} and len(found) == 10
+
+
 def test_maximum_of_values_that_are_not_positive(spark):
     zero = make_readings(spark, [(START, 0), (START, 0)], device="s1")
     below = make_readings(spark, [(START, -5), (START, -2)], device="s2")
@@ -89,14 +97,12 @@ def test_hot_key_is_combined_before_the_shuffle_and_spread_after_it(spark):
     assert "_block" in plan
 
 
-def test_wrong_settings():
-    class Batch:
-        isStreaming = False
-
+def test_wrong_settings(spark):
+    readings = random_readings(spark, 3)
     with pytest.raises(ValueError):
-        stats.sliding_stats(Batch(), "5 minutes", "2 minutes", method="panes")
+        stats.sliding_stats(readings, "5 minutes", "2 minutes", method="panes")
     with pytest.raises(ValueError):
-        stats.sliding_stats(Batch(), method="magic")
+        stats.sliding_stats(readings, method="magic")
 
 
 def test_uneven_slide_uses_rows(spark):

@@ -7,7 +7,7 @@ import pytest
 from conftest import START, at, make_readings, ms, random_readings
 from pyspark.sql import functions as F
 
-from sensorstream.operators import changes, occupancy, stats, trend
+from sensorstream.operators import changes, occupancy, samples, stats, trend
 from sensorstream.operators.parse import only_metric
 from sensorstream.plans import analytics as plan
 from sensorstream.plans import bridge, collectors
@@ -94,6 +94,37 @@ def test_trend(spark, land, batches):
     assert plain(found) == plain(wanted) and plain(found)
 
 
+def test_a_restarted_query_goes_on_where_it_stopped(spark, tmp_path):
+    readings = random_readings(spark, 300, step_ms=5_000)
+    path, folder = str(tmp_path / "landed"), str(tmp_path / "query")
+
+    def run():
+        stream = src.read_stream(spark, f"{path}/*", readings.schema, files_per_trigger=1)
+        return run_to_table(threshold_changes_stream(stream), "restart", PARTITIONS, folder)
+
+    for i, part in enumerate(slices(readings, 3)):
+        part.coalesce(1).write.parquet(f"{path}/{i}")
+        found = run()
+    assert sorted((r.device_id, ms(r.ts), r.src_offset, r.above) for r in found.collect()) == sorted(
+        (r.device_id, ms(r.ts), r.src_offset, r.above) for r in changes.threshold_changes(readings).collect())
+
+
+def test_latest_commands_follow_a_stream(spark, land, tmp_path):
+    topic = "i483/actuators/s1001/co2_threshold_crossed"
+    frames = [
+        spark.createDataFrame([(topic, payload, START + timedelta(seconds=s), 0, s)],
+                              "topic string, payload string, ts timestamp, src_partition int, src_offset bigint")
+        for s, payload in ((1, "yes"), (5, "no"), (3, "yes"))
+    ]
+    latest = samples.actuator_latest(samples.actuator_commands(land(*frames)))
+    path = str(tmp_path / "latest")
+    with stream_settings(spark, PARTITIONS):
+        latest.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).trigger(
+            availableNow=True
+        ).foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{path}/{i}")).start().awaitTermination()
+    assert [spark.read.parquet(f"{path}/{i}").first().on for i in range(3)] == [True, False, False]
+
+
 def events_of(spark, minutes, room="r"):
     return spark.createDataFrame([(room, START + timedelta(minutes=m)) for m in minutes], "room string, at timestamp")
 
