@@ -40,10 +40,8 @@ def crc32_utf8(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Number of `[^\\x20\\x09-\\x0D]+` in a text; null counts as empty. A word starts where a word
-    character follows white space or the start, so that many are left after dropping the rest of each word."""
-    marks = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\f\r", "     "), "[^ ]+", "x")
-    return F.length(F.translate(marks, " ", "")).cast("long")
+    """Number of `[^\\x20\\x09-\\x0D]+` in a text; null counts as empty."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
 # ---- texts as arrays -------------------------------------------------------------------------

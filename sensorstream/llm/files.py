@@ -17,6 +17,11 @@ def _at(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def make_folder(uri: str) -> None:
+    system, path = _at(uri)
+    system.create_dir(path, recursive=True)
+
+
 def open_file(uri: str) -> pa.NativeFile:
     system, path = _at(uri)
     return system.open_input_file(path)

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorstream.llm import piece, rans
-from sensorstream.llm.common import shared_path
+from sensorstream.llm import hilbert, mixing, piece, rans, warc
+from sensorstream.llm.common import crc32_utf8, shared_path, table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,21 @@ def op3_rans_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+@query
+def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
+    light = documents(spark, sf_dir).select("doc_id", "lang", "source", size.alias("size"), crc32_utf8(F.col("text")).alias("text_crc32"))
+    cut = hilbert.hilbert_shards(light, ["lang", "source", "size"], 24, ["doc_id", "text_crc32", "size"])
+    return cut.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert_index")
+
+
+@query
+def op7_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    light = documents(spark, sf_dir).select("doc_id", "source", word_count(F.col("text")).alias("words"), F.xxhash64("text").alias("text_hash"))
+    mixed = mixing.mix_copies(table(light, "mix-rows"), F.col("words"), keys=("doc_id", "text_hash"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 @query
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -45,3 +60,21 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_path(spark, "warc")
+    warc.write_archives(warc.mark_revisits(spark.read.parquet(f"{sf_dir}/pages.parquet")), folder).agg(F.sum("records")).collect()
+    return warc.read_archives(spark, folder, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op10_warc_ranges"] = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+h as (select page_id, octet_length(encode(html)) as payload_bytes, sha1(html) as payload_digest from p),
+g as (select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest) end as original from h)
+select page_id, payload_bytes, payload_digest,
+  case when original is not null and page_id is distinct from original then 'revisit' else 'response' end as record_type,
+  case when original is not null and page_id is distinct from original then original end as refers_to
+from g
+"""

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorstream.llm.common import pieces
-from sensorstream.llm.files import open_file, publish
+from sensorstream.llm.files import make_folder, open_file, publish
 
 MAGIC = b"RANSIDS1"
 #: log2 of the sum of a table's frequencies; lower bound of a state.
@@ -241,6 +241,7 @@ def write_ids(df: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", t
     the end id alone. An empty table writes nothing. Only `key` and `text` are read, so other
     columns cannot clash. `folder` and `tokenizer` are paths that all executors see."""
     plain = df.select(F.col(key).cast("long").alias("key"), F.coalesce(text, F.lit("")).alias("text"))
+    make_folder(folder)
     ranged = plain.repartitionByRange(F.col("key")).sortWithinPartitions("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
