@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorstream.llm import hilbert, mixing, piece, rans, warc
+from sensorstream.llm import hilbert, langid, mixing, piece, rans, warc
 from sensorstream.llm.common import crc32_utf8, shared_path, table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,11 @@ select page_id, payload_bytes, payload_digest,
   case when original is not null and page_id is distinct from original then original end as refers_to
 from g
 """
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs, ~langid.held_out())
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
