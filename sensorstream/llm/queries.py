@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorstream.llm import hilbert, langid, mixing, piece, rans, warc
+from sensorstream.llm import hilbert, langid, mixing, piece, rans, spotsigs, warc
 from sensorstream.llm.common import crc32_utf8, shared_path, table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,8 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs, ~langid.held_out())
     found = langid.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_fingerprints(documents(spark, sf_dir))
