@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorstream.llm import hilbert, langid, mixing, partenum, piece, rans, spotsigs, warc
+from sensorstream.llm import hilbert, langid, mixing, multiindex, partenum, piece, rans, spotsigs, warc
 from sensorstream.llm.common import crc32_utf8, shared_path, table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,9 +104,14 @@ with recursive w as (
 s as (select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
   else list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as g from w),
 e as (select doc_id, len(g) as n, unnest(g) as x from s),
-c as (select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as both from e a join e b on a.x = b.x and a.doc_id <> b.doc_id
+c as (select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as shared from e a join e b on a.x = b.x and a.doc_id <> b.doc_id
   and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) group by 1, 2),
-l as (select a, b from c where 100 * both >= 90 * (na + nb - both)),
+l as (select a, b from c where 100 * shared >= 90 * (na + nb - shared)),
 r as (select doc_id as node, doc_id as seen from s union select r.node, l.b from r join l on r.seen = l.a)
 select s.doc_id, len(s.g)::bigint as n_shingles, m.component_id from s join (select node, min(seen) as component_id from r group by 1) m on m.node = s.doc_id
 """
+
+
+@query
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.95)
