@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorstream.llm import hilbert, langid, mixing, multiindex, partenum, piece, rans, spotsigs, warc
+from sensorstream.llm import hilbert, langid, mixing, multiindex, partenum, piece, rans, spotsigs, warc, wrappers
 from sensorstream.llm.common import crc32_utf8, shared_path, table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,9 @@ select s.doc_id, len(s.g)::bigint as n_shingles, m.component_id from s join (sel
 @query
 def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.95)
+
+
+@query
+def op2_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrappers.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
