@@ -34,6 +34,12 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """Deal few rows that stand for much work (byte ranges, blocks) to as many tasks; Spark would pack them by their own size."""
+    most = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(1, min(rows, most)))
+
+
 def crc32_utf8(text: Column) -> Column:
     """Unsigned CRC-32 of the UTF-8 bytes; null counts as empty."""
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
@@ -133,7 +139,8 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     rolled = np.zeros(len(words), np.uint64)
     for i in range(width):
         part = np.zeros(len(words), np.uint64)
-        part[: len(words) - i] = words[i:]
+        if i < len(words):
+            part[: len(words) - i] = words[i:]
         rolled = rolled * np.uint64(0xD6E8FEB86659FD93) + part
         if i < width - 1:
             rolled = mix(rolled)

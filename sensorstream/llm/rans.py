@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorstream.llm.common import pieces
+from sensorstream.llm.common import pieces, spread, table
 from sensorstream.llm.files import make_folder, open_file, publish
 
 MAGIC = b"RANSIDS1"
@@ -295,10 +295,10 @@ def read_ids(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:
     """Decode all blocks below `folder`: doc (null for a null key), start (ids of all documents before
     it), n_tokens, ids_crc32 and, if `ids`, the ids as array of long. Wrong checksums raise. A folder
     without files gives an empty table."""
-    blocks = read_blocks(spark, folder)
+    blocks = table(read_blocks(spark, folder), "id-blocks")
     before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
     files = blocks.groupBy("path").agg(F.sum("ids").alias("n")).select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    dealt = blocks.join(files, "path").select("path", "block", (F.col("base") + F.col("first_id")).alias("start")).repartition("path", "block")
+    dealt = spread(blocks.join(files, "path").select("path", "block", (F.col("base") + F.col("first_id")).alias("start")), blocks.count())
     schema = "doc long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorstream.llm.common import pieces
+from sensorstream.llm.common import pieces, spread
 from sensorstream.llm.files import make_folder, open_file, publish
 
 MAGIC = b"\x1f\x8b\x08"
@@ -211,7 +211,7 @@ def read_archives(spark: SparkSession, folder: str, payload: bool = True, range_
                     if rows:
                         yield _batch(rows, names, kinds)
 
-    return ranges.repartition("path", "start").mapInArrow(run, RECORD + ", payload binary" * payload)
+    return spread(ranges, ranges.count()).mapInArrow(run, RECORD + ", payload binary" * payload)
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
