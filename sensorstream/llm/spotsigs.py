@@ -148,7 +148,11 @@ def _ahead(docs: DataFrame, buckets: int) -> DataFrame:
     firsts = sorted(placed.groupBy("bucket").agg(F.min(F.struct(F.col("key").isNotNull().alias("set"), "key"))["key"].alias("first")).collect())
     turned = [(firsts[i - 1]["bucket"], r["bucket"], r["first"]) for i, r in enumerate(firsts)]
     heads = docs.sparkSession.createDataFrame(turned, "into int, bucket int, first long")
-    again = placed.join(heads, (placed["bucket"] == heads["bucket"]) & placed["key"].eqNullSafe(heads["first"])).select(F.col("into").alias("bucket"), F.lit(True).alias("ahead"), "key", "text")
+    # Only rows that are somebody's first go into the join; the list is as long as there are ranges.
+    known = [r["first"] for r in firsts if r["first"] is not None]
+    likely = F.coalesce(F.col("key").isin(known), F.lit(len(known) < len(firsts))) if known else F.lit(True)
+    placed_heads = placed.where(likely)
+    again = placed_heads.join(heads, (placed_heads["bucket"] == heads["bucket"]) & placed_heads["key"].eqNullSafe(heads["first"])).select(F.col("into").alias("bucket"), F.lit(True).alias("ahead"), "key", "text")
     return placed.select("bucket", F.lit(False).alias("ahead"), "key", "text").unionByName(again)
 
 
