@@ -8,7 +8,7 @@ cells, and leaving out one cell in turn, one choice leaves the difference out. S
 share a signature for certain: the hash of what a set has in a part without one of its cells.
 
 Equal sets are one class before anything is joined. Of the classes under one signature only links to
-the least one are tried first (a star). What then still lies in several components under one signature is
+the least one are tried first (a star, in each batch and then over all batches). What then still lies in several components under one signature is
 compared across components: in pairs where a signature has few members, else in blocks of bounded
 size that meet two at a time in a task and give back links only. All candidates are compared exactly, on
 sets made anew from the texts. Nothing is capped, no group is gathered in one task and no list of all
@@ -22,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorstream.llm.common import components, mix, mix1, pieces, shingle_sets, table
@@ -79,28 +79,48 @@ def _long(values: np.ndarray) -> pa.Array:
     return pa.array(np.asarray(values, np.uint64).view(np.int64))
 
 
-def shingled(docs: DataFrame, percent: int, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, h1, h2, sigs): size, 128-bit hash and PartEnum signatures of every text's shingle set.
-    The signatures stand on one row at least of every (h1, h2); copies met again by the same worker's slice carry none."""
-    kind = docs.schema[key].dataType.simpleString()
+SETS = "key long, n_shingles long, h1 long, h2 long, sigs array<long>, near array<struct<sig: long, low: long>>"
+
+
+def shingled(docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """Of every row (key, text): size and 128-bit hash of its shingle set, and its PartEnum signatures. A signature that
+    several sets of the same Arrow batch have stands in `sigs` of the set with the least h1 only; the others have it in
+    `near`, with that h1. So what is shuffled by signature is combined before: a signature has a row per batch,
+    however many near copies share it. Copies of a set in a batch have their signatures once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            sizes, h1, h2, sigs = [], [], [], []
+            met: set[tuple[int, int]] = set()
             for part in pieces(batch, "text"):
-                sets = shingle_sets(part.column("text"), width)
-                h1 = np.array([mix1(len(s), int(s.sum(dtype=np.uint64))) for s in sets], np.uint64)
-                h2 = np.array([mix1(len(s) + 1, int(mix(s).sum(dtype=np.uint64))) for s in sets], np.uint64)
-                met: set[tuple[int, int]] = set()
-                sigs = []
-                for s, h in zip(sets, zip(h1.tolist(), h2.tolist(), strict=True), strict=True):
-                    sigs.append(signatures(s, percent) if h not in met else np.zeros(0, np.uint64))
-                    met.add(h)
-                bounds = np.cumsum([0, *map(len, sigs)])
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), _long(np.concatenate(sigs) if sigs else np.zeros(0, np.uint64)))
-                sizes = pa.array([len(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("key"), sizes, _long(h1), _long(h2), lists], names=["key", "n_shingles", "h1", "h2", "sigs"])
-
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n_shingles long, h1 long, h2 long, sigs array<long>")
+                for s in shingle_sets(part.column("text"), width):
+                    own = mix1(len(s), int(s.sum(dtype=np.uint64))), mix1(len(s) + 1, int(mix(s).sum(dtype=np.uint64)))
+                    sigs.append(signatures(s, percent) if own not in met else np.zeros(0, np.uint64))
+                    met.add(own)
+                    sizes.append(len(s))
+                    h1.append(own[0])
+                    h2.append(own[1])
+            counts = np.array([len(x) for x in sigs], np.int64)
+            sig = np.concatenate(sigs).view(np.int64) if sigs else np.zeros(0, np.int64)
+            row = np.repeat(np.arange(len(sigs)), counts)
+            h = np.array(h1, np.uint64).view(np.int64)
+            order = np.lexsort((h[row], sig))
+            first = np.ones(len(order), bool)
+            first[1:] = sig[order[1:]] != sig[order[:-1]]
+            low = np.empty(len(sig), np.int64)
+            low[order] = h[row[order]][np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))] if len(order) else 0
+            head = np.zeros(len(sig), bool)
+            head[order[first]] = True
+            near = ~head & (low != h[row])
+            ends = lambda mask: pa.array(np.append(0, np.cumsum(np.bincount(row[mask], minlength=len(sigs)))), pa.int32())
+            lists = pa.ListArray.from_arrays(ends(head), pa.array(sig[head]))
+            pairs = pa.StructArray.from_arrays([pa.array(sig[near]), pa.array(low[near])], names=["sig", "low"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(h), _long(np.array(h2, np.uint64)), lists, pa.ListArray.from_arrays(ends(near), pairs)],
+                names=["key", "n_shingles", "h1", "h2", "sigs", "near"],
+            )
+
+    return docs.select("key", "text").mapInArrow(run, SETS)
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
@@ -185,17 +205,23 @@ def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, key:
     one document: they get the least component of any of them. Null keys are never linked and have a null component. Other
     columns are not read; an empty table gives an empty table."""
     plain = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    rows = table(shingled(plain, percent, width, "key"), "join-sets")
+    rows = table(shingled(plain, percent, width), "join-sets")
     known = rows.where("n_shingles > 0 and key is not null")
     classes = known.groupBy("h1", "h2").agg(F.min("key").alias("rep"), F.max("n_shingles").alias("n"))
     classes = table(classes, "join-classes")
 
-    each = known.where(F.size("sigs") > 0).select("h1", F.explode("sigs").alias("sig"))
-    shared = each.groupBy("sig").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high").select("sig", "low")
-    members = table(each.join(shared, "sig").select("sig", "low", "h1").distinct(), "join-members")
+    # Of each signature: the least set over all batches, beside every batch's least one.
+    every = Window.partitionBy("sig")
+    heads = known.select("h1", F.explode("sigs").alias("sig")).select(
+        "sig", "h1", F.min("h1").over(every).alias("low"), F.max("h1").over(every).alias("high")
+    )
+    heads = table(heads.where("low <> high").select("sig", "low", "h1"), "join-heads")
+    inside = known.select("h1", F.explode("near").alias("n")).select("n.sig", "n.low", "h1")
+    members = heads.select("sig", "h1").unionByName(inside.select("sig", "h1")).unionByName(inside.select("sig", F.col("low").alias("h1")))
+    members = table(members.distinct(), "join-members")
 
     ids = classes.select("h1", "rep")
-    stars = members.where("h1 <> low").select("low", "h1").distinct()
+    stars = heads.where("h1 <> low").select("low", "h1").unionByName(inside.select("low", "h1")).distinct()
     stars = stars.join(ids.select(F.col("h1").alias("low"), F.col("rep").alias("x")), "low").join(ids.select("h1", F.col("rep").alias("y")), "h1")
     twins = ids.groupBy("h1").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y").select("x", "y")
     stars = stars.select("x", "y").unionByName(twins).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
@@ -221,7 +247,8 @@ def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, key:
         more = more.unionByName(_block_links(nodes, plain, percent, width))
     more = table(more, "join-more")
     if more.head(1):
-        found = table(components(links.unionByName(more)), "join-components")
+        joined = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = table(components(joined.unionByName(more)), "join-components")
 
     own = known.select("key", "h1", "h2").join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).join(found.withColumnRenamed("node", "rep"), "rep", "left")
     own = own.groupBy("key").agg(F.min(F.coalesce("component", "rep")).alias("component"))
