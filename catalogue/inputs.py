@@ -34,7 +34,8 @@ case event_type
     when 2 then '-SCD41'
     when 4 then '-BH1750_avg-illumination'
     when 5 then '-DPS310-temperature'
-    when 7 then '-RPR0521RS-infrared_illumination'
+    when 7 then case event_id div 8 % 3 when 0 then '-RPR0521RS-infrared_illumination'
+      when 1 then '-BH1750-illumination' else '-SCD41-co2' end
     else '-SCD41-co2' end
 end"""
 _PREFIX = "case when event_type = 'error' and event_id % 8 = 3 then 'x483-sensors-s' else 'i483-sensors-s' end"
@@ -97,12 +98,16 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records as text lines, two of the faults turned into faults of the line itself."""
+    """The records as text lines, some of the faults turned into faults of the line itself: no
+    timestamp, no line at all, and three timestamps beyond any calendar."""
     return records(spark, sf_dir).select(
         "event_id",
         F.expr("""
             case when value = 'NaN' then concat(topic, ',abc,1')
                  when value = '1e999' then 'ERROR: broken'
+                 when value = 'n/a' and event_id % 32 = 8 then concat(topic, ',9223372036854775807,1')
+                 when value = 'n/a' and event_id % 32 = 16 then concat(topic, ',9223372036854775,1')
+                 when value = 'n/a' and event_id % 32 = 24 then concat(topic, ',-62135596800001,1')
                  else concat_ws(',', topic, cast(unix_millis(timestamp) as string), coalesce(value, 'null'))
             end""").alias("raw"),
         F.col("partition").alias("src_partition"),
@@ -152,7 +157,8 @@ rec as (
         when 3 then 'x483-sensors-' || dev || '-SCD41-co2'
         when 4 then 'i483-sensors-' || dev || '-BH1750_avg-illumination'
         when 5 then 'i483-sensors-' || dev || '-DPS310-temperature'
-        when 7 then 'i483-sensors-' || dev || '-RPR0521RS-infrared_illumination'
+        when 7 then 'i483-sensors-' || dev || case event_id // 8 % 3 when 0 then '-RPR0521RS-infrared_illumination'
+          when 1 then '-BH1750-illumination' else '-SCD41-co2' end
         else 'i483-sensors-' || dev || '-SCD41-co2' end
     end as topic,
     case event_type
@@ -182,6 +188,9 @@ lines as (
   select event_id, src_partition, src_offset,
     case when value = 'NaN' then topic || ',abc,1'
          when value = '1e999' then 'ERROR: broken'
+         when value = 'n/a' and event_id % 32 = 8 then topic || ',9223372036854775807,1'
+         when value = 'n/a' and event_id % 32 = 16 then topic || ',9223372036854775,1'
+         when value = 'n/a' and event_id % 32 = 24 then topic || ',-62135596800001,1'
          else topic || ',' || ts_ms || ',' || coalesce(value, 'null') end as raw
   from rec)"""
 
@@ -221,7 +230,7 @@ def _counts(spark: SparkSession, sf_dir: str, **columns: str) -> DataFrame:
 
 
 def bh1750_raw(spark, sf_dir) -> DataFrame:
-    """Two bytes per sample, and a failed read now and then; accuracy is set per device."""
+    """Two bytes per sample, and a failed read now and then; accuracy is set per device, but not for all."""
     counts = _counts(
         spark, sf_dir,
         hi=f"cast({BH_RAW} div 256 as int)", lo=f"cast({BH_RAW} % 256 as int)",
@@ -231,7 +240,7 @@ def bh1750_raw(spark, sf_dir) -> DataFrame:
         F.col("s_suppkey").alias("settings_id"),
         F.expr("cast(0.9 as double) + (s_suppkey % 60) / cast(100 as double)").alias("accuracy"),
     )
-    return counts.join(settings, "settings_id").drop("settings_id")
+    return counts.join(settings.where("settings_id % 23 <> 0"), "settings_id", "left").drop("settings_id")
 
 
 SQL_BH1750 = f"""
@@ -239,7 +248,7 @@ bh as (
   select l_orderkey * 8 + l_linenumber as sample_id, 's' || cast(1000 + l_suppkey as varchar) as device_id,
     case when l_orderkey % 50 = 0 then -1 else {BH_RAW} end as raw,
     cast(0.9 as double) + (s_suppkey % 60) / cast(100 as double) as accuracy
-  from lineitem join supplier on l_suppkey = s_suppkey)"""
+  from lineitem left join supplier on l_suppkey = s_suppkey and s_suppkey % 23 <> 0)"""
 
 
 def rpr_raw(spark, sf_dir) -> DataFrame:
@@ -258,7 +267,7 @@ rpr as (
     {RPR_PS} as ps, {RPR_D0} as data0, {RPR_D1} as data1,
     (l_suppkey * 37) % 256 as als, (l_suppkey * 11) % 256 as mode
   from lineitem),
-rpr_set as (
+rpr_set as ( -- fixed values: gains and measurement times of the data sheet, by register field
   select *, ([1, 2, 64, 128])[cast((als >> 4) & 3 as integer) + 1] as gain0,
     ([1, 2, 64, 128])[cast((als >> 2) & 3 as integer) + 1] as gain1,
     ([0, 0, 0, 0, 0, 100, 100, 100, 100, 100, 400, 400, 50, 0, 0, 0])[cast(mode & 15 as integer) + 1] as ms
@@ -319,7 +328,7 @@ def dps310_raw(spark, sf_dir) -> DataFrame:
 
 
 SQL_DPS310 = SQL_DPS310_COEFF + f""",
-scales as (
+scales as ( -- fixed values: scale factors of the data sheet, by log2 of the oversampling rate
   select * from (values (0, 524288.0::double), (1, 1572864.0::double), (2, 3670016.0::double), (3, 7864320.0::double),
     (4, 253952.0::double), (5, 516096.0::double), (6, 1040384.0::double), (7, 2088960.0::double)) as s(shift, k)),
 dps as (
@@ -330,7 +339,8 @@ dps as (
   from lineitem
   join scales sp on l_linenumber % 8 = sp.shift
   join scales st on l_orderkey % 8 = st.shift
-  join coeff on coeff.device_id = 's' || cast(1000 + l_suppkey as varchar)),
+  left join coeff on coeff.device_id = 's' || cast(1000 + l_suppkey as varchar)
+    and cast(substr(coeff.device_id, 2) as bigint) % 29 <> 0),
 dps_out as (
   select *, c0 * cast(0.5 as double) + c1 * t as temperature,
     (c00 + p * (c10 + p * (c20 + p * c30)) + t * c01 + t * p * (c11 + p * c21)) / cast(100 as double) as air_pressure
@@ -338,12 +348,13 @@ dps_out as (
 
 
 def scd41_raw(spark, sf_dir) -> DataFrame:
-    """Nine bytes per frame; one checksum in ten is wrong, one frame in eleven was not ready."""
+    """Nine bytes per frame; three checksums in twenty are wrong, one frame in twenty lacks its last
+    byte, one in eleven was not ready."""
     columns = {}
     for i, word in enumerate(SCD_W):
         columns[f"b{3 * i}"] = f"cast({word} div 256 as int)"
         columns[f"b{3 * i + 1}"] = f"cast({word} % 256 as int)"
-    frames = _counts(spark, sf_dir, fault=f"cast({SCD_FAULT} as int)",
+    frames = _counts(spark, sf_dir, l_partkey="l_partkey", fault=f"cast({SCD_FAULT} as int)",
                      status="cast(case when l_orderkey % 11 = 0 then 2048 * 16 else 2048 + l_linenumber end as int)",
                      **columns)
     for i in range(3):
@@ -351,7 +362,7 @@ def scd41_raw(spark, sf_dir) -> DataFrame:
         frames = frames.withColumn(
             f"b{3 * i + 2}", F.when(F.col("fault") == i, good.bitwiseXOR(F.lit(1))).otherwise(good).cast("int")
         )
-    return frames.drop("fault")
+    return frames.withColumn("b8", F.when(F.col("fault") != 3, F.col("b8"))).drop("fault")
 
 
 def _sql_crc(word: str) -> str:
@@ -363,7 +374,8 @@ def _sql_crc(word: str) -> str:
 
 SQL_SCD41 = f"""
 words as (
-  select l_orderkey * 8 + l_linenumber as sample_id, {SCD_W[0]} as w0, {SCD_W[1]} as w1, {SCD_W[2]} as w2,
+  select l_orderkey * 8 + l_linenumber as sample_id, 's' || cast(1000 + l_suppkey as varchar) as device_id, l_partkey,
+    {SCD_W[0]} as w0, {SCD_W[1]} as w1, {SCD_W[2]} as w2,
     {SCD_FAULT} as fault, case when l_orderkey % 11 = 0 then 2048 * 16 else 2048 + l_linenumber end as status
   from lineitem),
 crcs as (
@@ -372,5 +384,5 @@ frames as (
   select *,
     case when fault = 0 then xor(k0, 1) else k0 end as b2,
     case when fault = 1 then xor(k1, 1) else k1 end as b5,
-    case when fault = 2 then xor(k2, 1) else k2 end as b8
+    case fault when 2 then xor(k2, 1) when 3 then null else k2 end as b8
   from crcs)"""

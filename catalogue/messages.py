@@ -8,8 +8,9 @@ from catalogue import inputs as I
 from catalogue.registry import query
 from sensorstream.functions.timing import local_time_text
 from sensorstream.functions.topics import own_device_pattern, strip_prefix, to_kafka_topic
-from sensorstream.operators import parse, publish, samples, stats
+from sensorstream.operators import changes, parse, publish, samples, stats
 from sensorstream.operators.parse import only_metric
+from sensorstream.plans import analytics, collectors
 from sensorstream.plans import bridge as plan
 from sensorstream.plans.collectors import sensor_topic
 from sensorstream.sinks import records as sinks
@@ -33,7 +34,8 @@ parts as (
   select *, string_split(raw, ',') as p from lines),
 typed as (
   select *, p[1] as topic, string_split(p[1], '-') as t,
-    case when regexp_full_match(p[2], '[+-]?[0-9]+') then try_cast(p[2] as bigint) end as ts_ms,
+    case when regexp_full_match(p[2], '[+-]?[0-9]+')
+          and try_cast(p[2] as bigint) between -62135596800000 and 253402300799999 then try_cast(p[2] as bigint) end as ts_ms,
     case when regexp_full_match(p[3], '\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*')
          then try_cast(p[3] as double) end as value
   from parts),
@@ -64,11 +66,9 @@ def reject_report(spark, sf_dir):
     return parse.reject_report(_parsed_lines(spark, sf_dir))
 
 
-@query(f"with {I.SQL_RECORDS} select topic || ',' || ts_ms || ',' || coalesce(value, 'null') as raw, src_partition, src_offset from rec "
-       "where value is null or value in ('n/a', '1')")
+@query(f"with {I.SQL_RECORDS} select topic || ',' || ts_ms || ',' || coalesce(value, 'null') as raw, src_partition, src_offset from rec")
 def decode_envelopes(spark, sf_dir):
-    faulty = I.records(spark, sf_dir).where(F.col("value").isNull() | F.col("value").isin("n/a", "1"))
-    return parse.to_envelopes(parse.decode_records(faulty))
+    return parse.to_envelopes(parse.decode_records(I.records(spark, sf_dir)))
 
 
 @query(f"with {I.SQL_RECORDS} select event_id, topic from rec "
@@ -91,6 +91,7 @@ def fixed_topic(spark, sf_dir):
 
 @query(f"with {I.SQL_MESSAGES} select event_id, topic from messages where topic in ("
        + ", ".join(f"'i483/sensors/{I.OWNER}/{m}'" for m in (
+           # fixed values: the topics of one device
            "SCD41/co2", "SCD41/temperature", "SCD41/humidity", "BH1750/illumination", "RPR0521RS/ambient_light",
            "RPR0521RS/proximity", "RPR0521RS/illumination", "RPR0521RS/infrared_illumination",
            "DPS310/temperature", "DPS310/air_pressure", "DPS310/altitude")) + ")")
@@ -198,19 +199,71 @@ def publish_records(spark, sf_dir):
     )
 
 
-@query(f"""with {I.SQL_READINGS}
-select topic as source_topic, ts_ms, src_partition, src_offset,
-  'i483-sensors-' || device_id || '-BH1750_avg-illumination' as topic, printf('%.2f', value * 0.37::double) as value
-from readings where lower(metric) = 'illumination'""")
+def _sql_means(source: str) -> str:
+    """Means of five minutes, every half minute, as two-decimal records."""
+    return f"""ticks as (
+  select *, ((ts_ms + 29999) // 30000 + i) * 30000 as at_ms from {source}, generate_series(0, 9) as g(i)),
+means as (
+  select device_id, at_ms, sum(value) / count(*) as mean_value from ticks group by all)
+select at_ms, 'i483-sensors-' || device_id || '-BH1750_avg-illumination' as topic, printf('%.2f', mean_value) as value from means"""
+
+
+@query(f"""with {I.SQL_READINGS}, light as (select * from readings where lower(metric) = 'illumination'), {_sql_means('light')}""")
 def two_decimal_records(spark, sf_dir):
-    means = only_metric(I.readings(spark, sf_dir), "illumination").withColumn(
-        "mean_value", F.col("value") * F.lit(0.37)
-    )
-    return publish.rolling_mean_records(
-        means, keep=[F.col("topic").alias("source_topic"), F.unix_millis("ts").alias("ts_ms"), *PLACE]
+    means = stats.rolling_mean(only_metric(I.readings(spark, sf_dir), "illumination"))
+    return publish.rolling_mean_records(means, keep=[F.unix_millis("at").alias("at_ms")])
+
+
+# The collectors of five devices: payloads are taken whole.
+_DEVICES = ["s1001", "s1002", "s1003", "s1005", "s1008"]
+_TOPICS = ", ".join(f"'i483-sensors-{d}-{m}'" for m in ("BH1750-illumination", "SCD41-co2") for d in _DEVICES)
+_SQL_NUMBER = r"'\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*'"
+_SQL_COLLECTED = I.SQL_RECORDS + f""",
+wanted as (
+  select *, string_split(topic, '-') as t, coalesce(value, 'null') as payload from rec where topic in ({_TOPICS})),
+taken as (
+  select t[3] as device_id, t[4] as sensor, t[5] as metric, topic, ts_ms, src_partition, src_offset, payload,
+    case when regexp_full_match(payload, {_SQL_NUMBER}) and payload <> '1e999' then cast(payload as double) end as value
+  from wanted)"""
+
+
+@query(f"""with {_SQL_COLLECTED}, light as (select * from taken where metric = 'illumination' and value is not null), {_sql_means('light')}""")
+def collector_rolling_means(spark, sf_dir):
+    means = collectors.rolling_means(I.records(spark, sf_dir), _DEVICES)
+    return publish.rolling_mean_records(means, keep=[F.unix_millis("at").alias("at_ms")])
+
+
+@query(f"""with {_SQL_COLLECTED}, marked as (
+  select *, value > 700 as above, lag(value > 700) over (partition by device_id order by ts_ms, src_partition, src_offset) as before
+  from taken where metric = 'co2' and value is not null)
+select ts_ms, 'i483-actuators-' || device_id || '-co2_threshold_crossed' as topic, case when above then 'yes' else 'no' end as value
+from marked where before is null or before <> above""")
+def collector_crossings(spark, sf_dir):
+    edges = collectors.crossings(I.records(spark, sf_dir), _DEVICES)
+    return changes.threshold_records(edges, keep=[F.unix_millis("ts").alias("ts_ms")])
+
+
+@query(f"""with {_SQL_COLLECTED}
+select topic as source_topic, ts_ms, src_partition, src_offset, payload, 'bad value' as reject_reason from taken where value is null""")
+def collector_rejects(spark, sf_dir):
+    found = collectors.collected_rejects(I.records(spark, sf_dir), _DEVICES)
+    return found.select(
+        F.col("topic").alias("source_topic"), F.unix_millis("ts").alias("ts_ms"), *PLACE,
+        F.col("value_text").alias("payload"), "reject_reason",
     )
 
 
+@query(f"""with {I.SQL_RECORDS}, wanted as (
+  select *, split_part(coalesce(value, 'null'), ',', 1) as v from rec
+  where regexp_full_match(topic, 'i483-sensors-s[0-9]+-[A-Z0-9]+-[a-zA-Z0-9_]+'))
+select src_partition, src_offset, 'i483-dead-messages' as topic, cast(json_object('error', 'bad value', 'originalTopic', topic,
+  'originalPayload', coalesce(value, 'null'), 'timestamp', '1700000000000') as varchar) as value
+from wanted where v = '1e999' or not regexp_full_match(v, {_SQL_NUMBER})""")
+def analytics_rejects(spark, sf_dir):
+    graph = analytics.analytics(I.records(spark, sf_dir), analytics.AnalyticsOptions(owner=I.OWNER))
+    return sinks.reject_letters(graph.rejects, _failed_at(), "value_text", keep=PLACE)
+
+
 _METRICS = {
     "SCD41": ("co2", "temperature", "humidity"),
     "BH1750": ("illumination",),

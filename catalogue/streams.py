@@ -11,7 +11,7 @@ from catalogue.registry import query
 from sensorstream.operators import stats, trend
 from sensorstream.operators.parse import only_metric
 from sensorstream.plans import bridge as bridge_plan
-from sensorstream.plans.analytics import analytics
+from sensorstream.plans.analytics import analytics, transition_records
 from sensorstream.sources.messages import watermarked
 from sensorstream.streaming.changes import threshold_changes_stream as changes_stream
 from sensorstream.streaming.run import run_to_table
@@ -31,10 +31,10 @@ def stats_stream(spark, sf_dir):
 
 
 @query(f"""with {I.SQL_READINGS}, ticks as (
-  select *, (ts_ms // {15 * W.MINUTE} + 1 + i) * {15 * W.MINUTE} as at_ms
+  select *, ((ts_ms + {15 * W.MINUTE - 1}) // {15 * W.MINUTE} + i) * {15 * W.MINUTE} as at_ms
   from readings, generate_series(0, 7) as g(i) where lower(metric) = 'illumination')
 select {W.KEY}, at_ms, round(sum(value) / count(*), 8) as mean_value, count(*) as n from ticks
-where at_ms <= (select max(ts_ms) - 10000 from readings where lower(metric) = 'illumination') group by all""")
+where at_ms < (select max(ts_ms) - 10000 from readings where lower(metric) = 'illumination') group by all""")
 def rolling_mean_stream(spark, sf_dir):
     light = watermarked(only_metric(I.readings_of(I.record_stream(spark, sf_dir)), "illumination"))
     means = run_to_table(stats.rolling_mean(light, "2 hours", "15 minutes"), "means")
@@ -48,9 +48,10 @@ def rolling_mean_stream(spark, sf_dir):
     lag(value > 700) over (partition by {W.KEY} order by ts_ms, src_partition, src_offset) as before
   from readings where lower(metric) = 'co2')
 select {W.KEY}, ts_ms, value, case when above then 'yes' else 'no' end as message
-from marked where before is null or before <> above""")
+from marked where (before is null or before <> above)
+  and (ts_ms // 1000 + 1) * 1000 <= (select max(ts_ms) - 10000 from readings where lower(metric) = 'co2')""")
 def threshold_changes_stream(spark, sf_dir):
-    co2 = only_metric(I.readings_of(I.record_stream(spark, sf_dir)), "co2")
+    co2 = watermarked(only_metric(I.readings_of(I.record_stream(spark, sf_dir)), "co2"))
     return W.changes_out(run_to_table(changes_stream(co2), "changes"))
 
 
@@ -73,6 +74,16 @@ def occupancy_stream(spark, sf_dir):
     return run_to_table(graph.transitions, "occupancy").select("device_id", "state", at.alias("at_ms"))
 
 
+@query(f"""with {I.SQL_READINGS}, {W.DEVICE_EVENTS},
+fired as (select * from events_found where at_ms <= {_WATERMARK}), {W.sql_transitions(4 * W.HOUR, 'fired')}
+select at_ms, 'i483-sensors-{I.OWNER}-analytics-occupancy_detection' as topic, state as value from moves
+where at_ms <= {_WATERMARK} or state = 'Occupied'""")
+def occupancy_records_stream(spark, sf_dir):
+    graph = analytics(I.record_stream(spark, sf_dir), W.BY_DEVICE)
+    at = F.unix_millis(F.timestamp_micros(F.unix_micros("at") + 1)).alias("at_ms")
+    return run_to_table(transition_records(graph.transitions, I.OWNER, keep=[at]), "occupancy-records")
+
+
 @query(f"with {M._SQL_ROUTED} select case when error is null then kafka_topic else 'i483-dead-messages' end as topic, "
        f"case when error is null then payload else cast({M._SQL_LETTER} as varchar) end as value from routed")
 def bridge_stream(spark, sf_dir):

@@ -8,7 +8,7 @@ from catalogue import inputs as I
 from catalogue.registry import query
 from sensorstream.operators import carry, changes, late, occupancy, stats, trailing, trend
 from sensorstream.operators.parse import only_metric
-from sensorstream.plans.analytics import AnalyticsOptions, occupancy_event_stream
+from sensorstream.plans.analytics import AnalyticsOptions, occupancy_event_stream, transition_records
 
 KEY = "device_id, sensor, metric"
 SECOND, MINUTE, HOUR = 1000, 60_000, 3_600_000
@@ -214,6 +214,13 @@ def occupancy_transitions(spark, sf_dir):
     )
 
 
+@query(f"""with {I.SQL_READINGS}, {DEVICE_EVENTS}, {sql_transitions(4 * HOUR)}
+select at_ms, 'i483-sensors-{I.OWNER}-analytics-occupancy_detection' as topic, state as value from moves""")
+def occupancy_records(spark, sf_dir):
+    moves = occupancy.occupancy_transitions(_events(spark, sf_dir, BY_DEVICE), ("device_id",), BY_DEVICE.timeout)
+    return transition_records(moves, I.OWNER, keep=[millis("at", "at_ms")])
+
+
 @query(f"with {I.SQL_READINGS}, {ROOM_EVENTS}, {sql_transitions(HOUR)} select room, state, at_ms, closed from moves")
 def occupancy_one_room(spark, sf_dir):
     return occupancy.occupancy_transitions(_events(spark, sf_dir, ONE_ROOM)).select(

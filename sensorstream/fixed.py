@@ -57,8 +57,6 @@ PRODUCER_DEFAULTS = {
     "delivery.timeout.ms": "1000",
     "request.timeout.ms": "500",
     "partitioner.ignore.keys": "true",
-    "key.serializer": "org.apache.kafka.common.serialization.StringSerializer",
-    "value.serializer": "org.apache.kafka.common.serialization.StringSerializer",
     "metadata.max.age.ms": "5000",
 }
 

@@ -27,6 +27,38 @@ def parse_integer(text: Column) -> Column:
     return F.when(text.rlike(PLAIN_INTEGER), text.try_cast("bigint"))
 
 
+def whole_digits(x: Column) -> Column:
+    """All digits of a finite double from 2^62 on: an integer of at most 56 bits, times a power of
+    two, in limbs of 15 digits. Thirteen doublings are one step, since a limb times 2^13 fits 64 bits."""
+    limb = F.lit(10**15)
+    power = (F.floor(F.log2(x)) - 54).cast("int")
+    start = (x / F.pow(F.lit(2.0), power)).cast("bigint")
+
+    def times(limbs, factor):
+        def step(acc, value):
+            product = value * factor + acc["carry"]
+            return F.struct(
+                F.array_append(acc["limbs"], product % limb).alias("limbs"),
+                F.call_function("div", product, limb).alias("carry"),
+            )
+
+        empty = F.struct(F.array().cast("array<bigint>").alias("limbs"), F.lit(0).cast("bigint").alias("carry"))
+        return F.aggregate(
+            limbs, empty, step,
+            lambda acc: F.when(acc["carry"] > 0, F.array_append(acc["limbs"], acc["carry"])).otherwise(acc["limbs"]),
+        )
+
+    factors = F.concat(
+        F.array_repeat(F.lit(1 << 13), F.call_function("div", power, F.lit(13)).cast("int")),
+        F.array(F.pow(F.lit(2.0), power % 13).cast("int")),
+    )
+    limbs = F.aggregate(
+        factors, F.array(start % limb, F.call_function("div", start, limb)), lambda acc, factor: times(acc, factor.cast("bigint"))
+    )
+    padded = F.transform(F.reverse(limbs), lambda v: F.lpad(v.cast("string"), 15, "0"))
+    return F.ltrim(F.array_join(padded, ""), F.lit("0"))
+
+
 def with_fixed2(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """Adds text columns: the number with two decimals, rounded from its exact binary value,
     ties to even.
@@ -35,7 +67,8 @@ def with_fixed2(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     the double; the double itself lies just below 52.915. Here the fraction is taken times 2^62
     as an integer. That is exact unless the fraction is below 2^-10, too small to round up to
     a hundredth. The steps are separate projections, so nothing is computed twice and all of it
-    stays in generated code. From 2^53 on there is no fraction.
+    stays in generated code. From 2^53 on there is no fraction, from 2^62 on the digits come from
+    `whole_digits`.
     """
     names = list(columns)
     step = {n: [f"_{part}_{i}" for part in ("x", "m", "h")] for i, n in enumerate(names)}
@@ -77,7 +110,7 @@ def with_fixed2(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
             .when(F.isnan(x), "NaN")
             .when(F.abs(x) == float("inf"), F.concat(sign, F.lit("Infinity")))
             .when(F.abs(x) < float(1 << 62), F.concat(x.try_cast("bigint").cast("string"), F.lit(".00")))
-            .when(x.isNotNull(), F.format_string("%.2f", x))
+            .when(x.isNotNull(), F.concat(sign, whole_digits(F.abs(x)), F.lit(".00")))
         )
 
     df = df.withColumns({n: text(F.col(step[n][0]), F.col(step[n][1])) for n in names})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorstream import fixed
@@ -45,6 +45,18 @@ def floor_div(value: Column, divisor: int) -> Column:
     return F.call_function("div", value - F.pmod(value, by), by)
 
 
+def keeps_columns(columns: list[str]) -> Column:
+    """A filter that is always true and reads these columns. Above a window it keeps two branches of a
+    plan from pruning the shared shuffle in different ways, so that Spark does it once."""
+    return F.hash(*columns) <= F.lit(2**31 - 1)
+
+
+def never_null(df: DataFrame, column: str) -> Column:
+    """The column where it is known to hold no nulls, in a form that tells Spark so: a join on it adds
+    no null filter below, which would again make two branches of a plan differ."""
+    return F.coalesce(F.col(column), F.lit("0").cast(df.schema[column].dataType)).alias(column)
+
+
 def local_time_text(ts: Column, zone: str = fixed.LOCAL_ZONE) -> Column:
     """The instant as wall-clock text of `zone` (needs a UTC session time zone)."""
     return F.date_format(F.from_utc_timestamp(ts, zone), "yyyy-MM-dd HH:mm:ss")

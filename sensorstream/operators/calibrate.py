@@ -14,9 +14,16 @@ from pyspark.sql import functions as F
 
 from sensorstream import fixed
 from sensorstream.functions.bits import bits, crc8, signed, word_big_endian
+from sensorstream.sinks.records import dead_letters
 
 NAN = float("nan")
 
+FAILED_READ = "failed read"
+NO_SETTINGS = "no settings"
+BAD_ACCURACY = "accuracy out of range"
+NO_COEFFICIENTS = "no coefficients"
+BAD_FRAME = "bad checksum"
+
 
 # --- BH1750 ---------------------------------------------------------------------
 def bh1750_lux(raw: Column, accuracy: Column | float = 1.0) -> Column:
@@ -28,10 +35,17 @@ def bh1750_lux(raw: Column, accuracy: Column | float = 1.0) -> Column:
 
 
 def calibrate_bh1750(raw: DataFrame) -> DataFrame:
-    """Adds illumination from raw and accuracy; failed reads are dropped."""
-    return raw.withColumn("illumination", bh1750_lux(F.col("raw"), F.col("accuracy"))).where(
-        F.col("illumination").isNotNull()
+    """Adds illumination from raw and accuracy, and reject_reason where there is none: a failed
+    read, a device without settings, or an accuracy outside the data sheet's range. Every row stays."""
+    lowest, highest = fixed.BH1750_ACCURACY_RANGE
+    reason = (
+        F.when(F.col("raw").isNull() | (F.col("raw") < 0), FAILED_READ)
+        .when(F.col("accuracy").isNull(), NO_SETTINGS)
+        .when(~F.col("accuracy").between(lowest, highest), BAD_ACCURACY)
     )
+    return raw.withColumns({
+        "illumination": bh1750_lux(F.col("raw"), F.col("accuracy")), "reject_reason": reason,
+    })
 
 
 # --- RPR-0521RS -----------------------------------------------------------------
@@ -145,10 +159,14 @@ def calibrate_dps310(raw: DataFrame, coefficients: DataFrame, device: str = "dev
     """Adds temperature, air_pressure and altitude.
 
     `raw` has p_raw, t_raw (unsigned 24-bit), p_os, t_os and sea_level; `coefficients` has one
-    row of c0..c30 per device.
+    row of c0..c30 per device. A sample of a device without coefficients stays, without values
+    and with a reject_reason.
     """
     names = ("c0", "c1", "c00", "c10", "c01", "c11", "c20", "c21", "c30")
-    joined = raw.join(coefficients.select(device, *names), device)
+    known = coefficients.select(device, *names, F.lit(True).alias("_known"))
+    joined = raw.join(known, device, "left").withColumn(
+        "reject_reason", F.when(F.col("_known").isNull(), NO_COEFFICIENTS)
+    )
     scaled = joined.withColumns({
         "_t": F.try_divide(signed(F.col("t_raw"), 24), dps310_scale(F.col("t_os"))),
         "_p": F.try_divide(signed(F.col("p_raw"), 24), dps310_scale(F.col("p_os"))),
@@ -158,20 +176,20 @@ def calibrate_dps310(raw: DataFrame, coefficients: DataFrame, device: str = "dev
         "air_pressure": dps310_pressure(F.col("_p"), F.col("_t")),
     })
     return measured.withColumn("altitude", altitude(F.col("air_pressure"), F.col("sea_level"))).drop(
-        "_t", "_p", *names
+        "_t", "_p", "_known", *names
     )
 
 
 # --- SCD41 ----------------------------------------------------------------------
 def scd41_frame_ok(octets: Sequence[str]) -> Column:
-    """Every word of the frame agrees with the checksum byte after it."""
+    """Every word of the frame agrees with the checksum byte after it; a frame with a missing byte does not."""
     checks = [
         crc8(F.col(octets[i]), F.col(octets[i + 1])) == F.col(octets[i + 2]) for i in range(0, len(octets), 3)
     ]
     ok = checks[0]
     for check in checks[1:]:
         ok = ok & check
-    return ok
+    return F.coalesce(ok, F.lit(False))
 
 
 def scd41_data_ready(word: Column, mask: int = fixed.SCD41_READY_MASK) -> Column:
@@ -191,8 +209,8 @@ def calibrate_scd41(
 ) -> DataFrame:
     """Adds co2, temperature, humidity and frame_ok from bytes b0..b8.
 
-    A frame with any bad word has no values; where `ready_word` names a column, neither has one
-    that was read before data was ready. Split on frame_ok to route rejects.
+    A frame with any bad word has no values and a reject_reason; where `ready_word` names a
+    column, a frame that was read before data was ready has no values either, but is no reject.
     """
     octets = [f"b{i}" for i in range(9)]
     words = [word_big_endian(F.col(octets[i]), F.col(octets[i + 1])) for i in (0, 3, 6)]
@@ -201,4 +219,12 @@ def calibrate_scd41(
         usable = usable & scd41_data_ready(F.col(ready_word))
     return frames.withColumn("frame_ok", scd41_frame_ok(octets)).withColumns(
         {name: F.when(usable, value) for name, value in scd41_values(*words, divisor=divisor).items()}
+        | {"reject_reason": F.when(~F.col("frame_ok"), BAD_FRAME)}
     )
+
+
+def frame_letters(calibrated: DataFrame, topic: Column, at: Column, octets: Sequence[str], keep=()) -> DataFrame:
+    """Rejected frames as dead letters whose payload is the frame in hex, missing bytes as `??`."""
+    payload = F.concat(*[F.coalesce(F.lpad(F.hex(F.col(b).cast("bigint")), 2, "0"), F.lit("??")) for b in octets])
+    bad = calibrated.where(F.col("reject_reason").isNotNull())
+    return dead_letters(bad, F.col("reject_reason"), topic, payload, at, keep=keep)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorstream.functions.timing import duration_us, floor_div
+from sensorstream.functions.timing import duration_us, floor_div, keeps_columns, never_null
 from sensorstream.schemas import ARRIVAL_ORDER, READING_KEY
 
 
@@ -20,9 +20,9 @@ def carry_forward(
     """Every sample with `out` = its value, or the latest earlier one; null before the first.
 
     Filled inside time blocks first. Samples still empty after that look up what the earlier
-    blocks of their key hand over: one row per block, from an aggregate that combines before
-    its shuffle, joined on key and block, which is how the samples are partitioned already.
-    Key columns must not be null.
+    blocks of their key hand over: the last filled sample of each block, taken from the same
+    exchange, so the input is read once. They are joined on key and block, which is how the
+    samples are partitioned already. Key columns must not be null.
     """
     keys, order = list(key_cols), list(order_cols)
     placed = samples.withColumn("_block", floor_div(F.unix_micros("ts"), duration_us(block)))
@@ -30,14 +30,15 @@ def carry_forward(
     filled = placed.withColumn(
         out, F.last(value, ignorenulls=True).over(in_block.rowsBetween(Window.unboundedPreceding, 0))
     )
-    known_at = F.when(F.col(value).isNotNull(), F.struct(*order))
+    filled = filled.withColumn("_last", F.lead(F.lit(1)).over(in_block).isNull())
+    filled = filled.where(keeps_columns(samples.columns))
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     handed = (
-        placed.groupBy(*keys, "_block")
-        .agg(F.max_by(value, known_at).alias("_tail"))
-        .select(*keys, "_block", F.last("_tail", ignorenulls=True).over(earlier).alias("_handed"))
+        filled.where("_last")
+        .select(*keys, "_block", F.last(out, ignorenulls=True).over(earlier).alias("_handed"))
         .where(F.col("_handed").isNotNull())
     )
+    handed = handed.select(*[never_null(handed, c) for c in (*keys, "_block")], "_handed")
     return (
         filled.join(handed, [*keys, "_block"], "left")
         .withColumn(out, F.coalesce(out, "_handed"))

@@ -53,9 +53,10 @@ def threshold_changes(
     return inside.select(*columns, "above").unionByName(edges.select(*columns, "above"))
 
 
-def threshold_records(changes: DataFrame, template: str = fixed.THRESHOLD_TOPIC) -> DataFrame:
+def threshold_records(changes: DataFrame, template: str = fixed.THRESHOLD_TOPIC, keep=()) -> DataFrame:
     """One `yes`/`no` message per change, addressed to the device's actuator topic."""
     return changes.select(
+        *keep,
         fill_name(template, device=F.col("device_id")).alias("topic"),
         F.when(F.col("above"), "yes").otherwise("no").alias("value"),
     )

@@ -18,6 +18,9 @@ BAD_TIMESTAMP = "bad timestamp"
 BAD_VALUE = "bad value"
 BAD_TOPIC = "bad topic"
 
+# fixed values: the first and last millisecond of years 1 to 9999, what a Spark timestamp is meant to hold
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
 
 def decode_records(records: DataFrame) -> DataFrame:
     """Kafka rows to text records: a missing value becomes the text `null`.
@@ -49,6 +52,9 @@ def to_envelopes(decoded: DataFrame) -> DataFrame:
 def _judge(fields: DataFrame, keep: list[str]) -> DataFrame:
     """Typed columns with the reason a row is not a reading, null if it is one.
 
+    A time outside of the years 1 to 9999 is a bad timestamp: conversion and windows further on
+    would overflow and fail the job, so it is judged as a number, before it is converted.
+
     `fields` has topic, ts_ms, value, enough and the place in the source. Value and reason come
     out of a one-element generator: Spark would otherwise move a filter on them below the
     parsing and do all of it a second time inside the filter.
@@ -65,7 +71,7 @@ def _judge(fields: DataFrame, keep: list[str]) -> DataFrame:
         F.get(parts, F.lit(3)).alias("sensor"),
         F.get(parts, F.lit(4)).alias("metric"),
         "topic",
-        F.timestamp_millis("ts_ms").alias("ts"),
+        F.timestamp_millis(F.when(F.col("ts_ms").between(FIRST_MS, LAST_MS), F.col("ts_ms"))).alias("ts"),
         "src_partition",
         "src_offset",
         F.col("value").alias("_value"),
@@ -109,9 +115,14 @@ def parse_envelopes(lines: DataFrame, raw: str = "raw") -> DataFrame:
     return _judge(fields, keep=[raw])
 
 
-def parse_records(decoded: DataFrame) -> DataFrame:
-    """Decoded records, without building the text line first."""
-    fields = decoded.withColumn("_value_text", F.substring_index("value_text", ",", 1)).withColumns({
+def parse_records(decoded: DataFrame, whole: bool = False) -> DataFrame:
+    """Decoded records, without building the text line first.
+
+    As in a line, a value ends at its first comma. With `whole` it is the whole text, blanks
+    around it aside: `900,1` is then a bad value.
+    """
+    text = F.col("value_text") if whole else F.substring_index("value_text", ",", 1)
+    fields = decoded.withColumn("_value_text", text).withColumns({
         "value": parse_decimal(F.col("_value_text")),
         "enough": F.lit(True),
     })

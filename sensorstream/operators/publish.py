@@ -50,9 +50,10 @@ def rolling_mean_records(
     )
 
 
-def occupancy_records(occupied: DataFrame, owner: str, flag: str = "occupied") -> DataFrame:
+def occupancy_records(occupied: DataFrame, owner: str, flag: str = "occupied", keep=()) -> DataFrame:
     """A boolean state column as messages on the one occupancy topic."""
     return occupied.select(
+        *keep,
         F.lit(fixed.OCCUPANCY_TOPIC.format(owner=owner)).alias("topic"),
         F.when(F.col(flag), OCCUPIED).otherwise(UNOCCUPIED).alias("value"),
     )

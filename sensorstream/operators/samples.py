@@ -25,7 +25,7 @@ def samples_to_messages(
 
     `metrics` maps a sensor name to its metrics; `columns` maps `sensor/metric` to the sample
     column where that differs from `sensor_metric` in lower case. Floats are written with two
-    decimals, integers and text as they are; columns of other types are not sent. One
+    decimals, integers, booleans and text as they are; a column of another type raises. One
     generator, no shuffle.
     """
     messages = []
@@ -37,17 +37,17 @@ def samples_to_messages(
             number = text = F.lit(None)
             if isinstance(kind, (T.DoubleType, T.FloatType)):
                 number = F.col(column)
-            elif isinstance(kind, (T.IntegralType, T.StringType)):
+            elif isinstance(kind, (T.IntegralType, T.StringType, T.BooleanType)):
                 text = F.col(column)
             else:
-                continue
+                raise TypeError(f"{metric}: a column of type {kind.simpleString()} cannot be sent")
             messages.append(F.struct(
                 F.lit(metric).alias("_metric"),
                 number.cast("double").alias("_number"),
                 text.cast("string").alias("_text"),
             ))
     if not messages:
-        raise ValueError("no metric has a type that can be sent")
+        raise ValueError("no metric is named")
     kept = list(dict.fromkeys(keep))
     base = fill_name(fixed.MQTT_BASE, device=F.col(device))
     # rows first, then text: one formatter in the generated code, not one per metric

@@ -42,13 +42,11 @@ def sliding_stats(
     size_us, slide_us = duration_us(size), duration_us(slide)
     if method == "auto":
         method = "rows" if readings.isStreaming or size_us % slide_us else "panes"
-    if left_open and (readings.isStreaming or method == "rows"):
-        raise ValueError("left_open windows need the batch form with slide dividing size")
 
     keys = list(key_cols)
     readings = readings.where(F.col("value").isNotNull())
     if method == "rows":
-        merged = _by_rows(readings, keys, size, slide)
+        merged = _by_rows(readings, keys, size, slide, left_open)
     elif method == "panes":
         if readings.isStreaming or size_us % slide_us:
             raise ValueError("panes need a batch table and a slide that divides the size")
@@ -75,17 +73,24 @@ def sliding_stats(
     )
 
 
-def _by_rows(readings: DataFrame, keys: list[str], size: str, slide: str) -> DataFrame:
+def _by_rows(readings: DataFrame, keys: list[str], size: str, slide: str, left_open: bool) -> DataFrame:
+    """With `left_open` windows start a microsecond late, the smallest step of a timestamp, which makes
+    them (start, end]; their bounds are named without it. `window` itself keeps it."""
+    late = 1 if left_open else 0
+
+    def bound(name):
+        return F.timestamp_micros(F.unix_micros(f"window.{name}") - late) if late else F.col(f"window.{name}")
+
     return (
-        readings.groupBy(F.window("ts", size, slide), *keys)
+        readings.groupBy(F.window("ts", size, slide, f"{late} microseconds") if late else F.window("ts", size, slide), *keys)
         .agg(
             F.min("value").alias("min_value"),
             F.max("value").alias("max_value"),
             F.avg("value").alias("avg_value"),
             F.count(F.lit(1)).alias("n"),
         )
-        .withColumn("window_start", F.col("window.start"))
-        .withColumn("window_end", F.col("window.end"))
+        .withColumn("window_start", bound("start"))
+        .withColumn("window_end", bound("end"))
     )
 
 
@@ -143,10 +148,9 @@ def rolling_mean(
 ) -> DataFrame:
     """Every `period`, the mean of the readings newer than `width`; silence gives no row.
 
-    On tables a reading exactly `width` old is out and one at the tick is in. On streams
-    windows are the standard [start, end).
+    A reading exactly `width` old is out and one at the tick is in, on tables and on streams.
     """
-    stats = sliding_stats(readings, width, period, key_cols, left_open=not readings.isStreaming)
+    stats = sliding_stats(readings, width, period, key_cols, left_open=True)
     return stats.select(*key_cols, F.col("window_end").alias("at"), F.col("avg_value").alias("mean_value"), "n")
 
 

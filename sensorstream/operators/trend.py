@@ -19,6 +19,8 @@ from sensorstream.schemas import ARRIVAL_ORDER
 BLOCK_SPAN = 20
 # Panes per slide unless the caller says otherwise.
 PANES_PER_SLIDE = 12
+# Grains per pane on a stream.
+GRAINS_PER_PANE = 50
 
 
 def pane_us(slide_us: int, pane: str | None) -> int:
@@ -117,13 +119,16 @@ def trend_windows_stream(
     order_cols=ARRIVAL_ORDER,
     pane: str | None = None,
 ) -> DataFrame:
-    """The same windows on a watermarked stream: two chained windowed aggregates.
+    """The same windows on a watermarked stream: three chained windowed aggregates.
 
-    State holds the readings of open panes, then one summary per pane of open windows
-    (at most size/pane of them), not all readings of every open window.
+    Readings are gathered per grain, a fiftieth of a pane; grains become summaries, which are
+    gathered per pane, and those per window. No list is longer than the readings of one key in
+    one grain, the grains of a pane, or the panes of a window; the number of devices counts for
+    the first only.
     """
     slide_us = duration_us(slide)
     step_us = pane_us(slide_us, pane)
+    grain_us = step_us // GRAINS_PER_PANE if step_us % GRAINS_PER_PANE == 0 else step_us
     keys = list(key_cols)
 
     def never_falls(items, before, after):
@@ -134,15 +139,23 @@ def trend_windows_stream(
         )
         return F.forall(pairs, lambda ok: ok)
 
+    def total(runs):
+        return F.aggregate(runs, F.lit(0).cast("bigint"), lambda n, r: n + r["n"])
+
+    def rises(runs):
+        """Summaries in order: each of them rises, and none begins below the end of the one before."""
+        return F.forall(runs, lambda r: r["ok"]) & never_falls(runs, lambda a: a["last"], lambda b: b["first"])
+
     reading = F.struct(*[F.col(c) for c in order_cols], F.col("value").alias("v"))
-    panes = (
-        readings.groupBy(F.window("ts", f"{step_us} microseconds").alias("pane"), *keys)
+    grains = (
+        readings.where(F.col("value").isNotNull())
+        .groupBy(F.window("ts", f"{grain_us} microseconds").alias("grain"), *keys)
         .agg(F.array_sort(F.collect_list(reading)).alias("run"))
         .select(
-            "pane",
+            "grain",
             *keys,
             F.struct(
-                F.col("pane.start").alias("at"),
+                F.col("grain.start").alias("at"),
                 F.element_at("run", 1)["v"].alias("first"),
                 F.element_at("run", -1)["v"].alias("last"),
                 F.size("run").cast("bigint").alias("n"),
@@ -150,14 +163,26 @@ def trend_windows_stream(
             ).alias("summary"),
         )
     )
+    panes = (
+        grains.groupBy(F.window("grain", f"{step_us} microseconds").alias("pane"), *keys)
+        .agg(F.array_sort(F.collect_list("summary")).alias("run"))
+        .select(
+            "pane",
+            *keys,
+            F.struct(
+                F.col("pane.start").alias("at"),
+                F.element_at("run", 1)["first"].alias("first"),
+                F.element_at("run", -1)["last"].alias("last"),
+                total(F.col("run")).alias("n"),
+                rises(F.col("run")).alias("ok"),
+            ).alias("summary"),
+        )
+    )
     windows = (
         panes.groupBy(F.window("pane", size, slide), *keys)
         .agg(F.array_sort(F.collect_list("summary")).alias("runs"))
-        .withColumn("n", F.aggregate("runs", F.lit(0).cast("bigint"), lambda total, r: total + r["n"]))
+        .withColumn("n", total(F.col("runs")))
+    )
+    return windows.where((F.col("n") >= min_points) & rises(F.col("runs"))).select(
+        "window", *keys, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "n"
     )
-    return windows.where(
-        (F.col("n") >= min_points)
-        & F.forall("runs", lambda r: r["ok"])
-        & never_falls(F.col("runs"), lambda a: a["last"], lambda b: b["first"])
-    ).select("window", *keys, F.col("window.start").alias("window_start"),
-             F.col("window.end").alias("window_end"), "n")

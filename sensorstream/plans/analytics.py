@@ -39,18 +39,19 @@ class AnalyticsOptions:
 
 @dataclass(frozen=True)
 class Analytics:
-    """The graph's four outputs, lazily."""
+    """The graph's outputs, lazily. `rejects` are the wanted messages that are no readings."""
 
     readings: DataFrame
+    rejects: DataFrame
     stats: DataFrame
     records: DataFrame
     transitions: DataFrame
 
 
-def parsed_readings(source: DataFrame, options: AnalyticsOptions) -> DataFrame:
-    """Source rows (topic, timestamp, value, ...) to readings of the wanted topics."""
+def parsed_messages(source: DataFrame, options: AnalyticsOptions) -> DataFrame:
+    """Source rows (topic, timestamp, value, ...) of the wanted topics, parsed and judged."""
     wanted = parse.only_topics(source, options.topic_pattern)
-    return parse.readings(parse.parse_records(parse.decode_records(wanted)))
+    return parse.parse_records(parse.decode_records(wanted))
 
 
 def occupancy_event_stream(readings: DataFrame, windows: DataFrame, options: AnalyticsOptions) -> DataFrame:
@@ -70,7 +71,8 @@ def occupancy_event_stream(readings: DataFrame, windows: DataFrame, options: Ana
 
 def analytics(source: DataFrame, options: AnalyticsOptions) -> Analytics:
     """The whole graph over a table or a stream of source rows."""
-    readings = parsed_readings(source, options)
+    parsed = parsed_messages(source, options)
+    readings = parse.readings(parsed)
     streaming = readings.isStreaming
     if streaming:
         readings = watermarked(readings, options.delay)
@@ -80,15 +82,16 @@ def analytics(source: DataFrame, options: AnalyticsOptions) -> Analytics:
     follow = occupancy_transitions_stream if streaming else occ.occupancy_transitions
     return Analytics(
         readings=readings,
+        rejects=parse.rejects(parsed),
         stats=windows,
         records=publish.stats_records(windows, options.owner),
         transitions=follow(events, rooms, options.timeout),
     )
 
 
-def transition_records(transitions: DataFrame, owner: str) -> DataFrame:
+def transition_records(transitions: DataFrame, owner: str, keep=()) -> DataFrame:
     occupied = transitions.withColumn("occupied", F.col("state") == occ.OCCUPIED)
-    return publish.occupancy_records(occupied, owner)
+    return publish.occupancy_records(occupied, owner, keep=keep)
 
 
 def start_analytics(
@@ -100,7 +103,8 @@ def start_analytics(
     state_partitions: int | None = None,
     console: bool = False,
 ) -> list[StreamingQuery]:
-    """Start the streaming job: one query per sink, each with its own checkpoint."""
+    """Start the streaming job: one query per sink, each with its own checkpoint. Rejects go to
+    the dead topic; `console` also writes every result line below the checkpoint folder."""
     graph = analytics(source, options)
     with stream_settings(source.sparkSession, state_partitions):
         started = [
@@ -108,10 +112,11 @@ def start_analytics(
                            bootstrap_servers, period=period).start(),
             sinks.to_kafka(transition_records(graph.transitions, options.owner),
                            f"{checkpoint}/occupancy", bootstrap_servers, period=period).start(),
+            sinks.to_kafka(sinks.reject_letters(graph.rejects, F.current_timestamp(), "value_text"),
+                           f"{checkpoint}/rejects", bootstrap_servers, period=period).start(),
         ]
         if console:
-            started.append(sinks.to_console(graph.stats, f"{checkpoint}/console-stats", period=period).start())
-            started.append(
-                sinks.to_console(graph.transitions, f"{checkpoint}/console-occupancy", period=period).start()
-            )
+            for name, result in (("stats", graph.stats), ("occupancy", graph.transitions)):
+                lines = sinks.to_lines(result, f"{checkpoint}/lines-{name}", f"{checkpoint}/console-{name}", period)
+                started.append(lines.start())
     return started

@@ -83,13 +83,7 @@ def bridge(messages: DataFrame, options: BridgeOptions, at: Column | None = None
     message becomes exactly one record."""
     routed = route(messages, options)
     at = F.current_timestamp() if at is None else at
-    body = F.struct(
-        F.col("error"),
-        F.col("topic").alias("originalTopic"),
-        F.col("payload").alias("originalPayload"),
-        F.unix_millis(at).cast("string").alias("timestamp"),
-    )
-    letter = F.to_json(body, {"ignoreNullFields": "false"})
+    letter = sinks.letter(F.col("error"), F.col("topic"), F.col("payload"), at)
     return routed.select(
         F.when(F.col("error").isNull(), F.col("kafka_topic")).otherwise(options.dead_topic).alias("topic"),
         F.when(F.col("error").isNull(), F.col("payload")).otherwise(letter).alias("value"),

@@ -48,8 +48,16 @@ def one_record(spark: SparkSession, topic: str, text: str) -> DataFrame:
     return spark.createDataFrame([(topic, text)], RECORD)
 
 
-def to_console(df: DataFrame, checkpoint: str, rows: int = 20,
-               period: str | None = fixed.CHECKPOINT_PERIOD) -> DataStreamWriter:
+def to_lines(df: DataFrame, path: str, checkpoint: str,
+             period: str | None = fixed.CHECKPOINT_PERIOD) -> DataStreamWriter:
+    """Every row as a JSON line in text files, written where the rows are."""
+    lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    return checkpointed(lines.writeStream.format("text").option("path", path).outputMode("append"), checkpoint, period)
+
+
+def preview_on_console(df: DataFrame, checkpoint: str, rows: int = 20,
+                       period: str | None = fixed.CHECKPOINT_PERIOD) -> DataStreamWriter:
+    """A look at the first `rows` rows of each micro-batch on the driver's console; `to_lines` writes all."""
     writer = df.writeStream.format("console").outputMode("append")
     return checkpointed(writer.option("truncate", "false").option("numRows", rows), checkpoint, period)
 
@@ -97,19 +105,22 @@ def bridge_error(topic: Column, payload: Column) -> Column:
     )
 
 
-def dead_letters(failed: DataFrame, error: Column, topic: Column, payload: Column, at: Column,
-                 dead_topic: str = fixed.DEAD_TOPIC, keep=()) -> DataFrame:
-    """Failed messages as JSON records for the dead topic; `at` is the time of failure."""
+def letter(error: Column, topic: Column, payload: Column, at: Column) -> Column:
+    """The JSON text of a dead letter; `at` is the time of failure."""
     body = F.struct(
         error.alias("error"),
         topic.alias("originalTopic"),
         payload.alias("originalPayload"),
         F.unix_millis(at).cast("string").alias("timestamp"),
     )
+    return F.to_json(body, {"ignoreNullFields": "false"})
+
+
+def dead_letters(failed: DataFrame, error: Column, topic: Column, payload: Column, at: Column,
+                 dead_topic: str = fixed.DEAD_TOPIC, keep=()) -> DataFrame:
+    """Failed messages as JSON records for the dead topic."""
     return failed.select(
-        *keep,
-        F.lit(dead_topic).alias("topic"),
-        F.to_json(body, {"ignoreNullFields": "false"}).alias("value"),
+        *keep, F.lit(dead_topic).alias("topic"), letter(error, topic, payload, at).alias("value")
     )
 
 

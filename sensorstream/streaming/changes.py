@@ -4,38 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sensorstream import fixed
+from sensorstream.functions.timing import duration_us
 from sensorstream.operators.changes import is_above
 from sensorstream.schemas import ARRIVAL_ORDER, READING_KEY
 
+PANE = "1 second"
 
-class LastStatus(StatefulProcessor):
-    """Keeps one boolean per key; puts each micro-batch in order and compares neighbours."""
 
-    def __init__(self, key_cols, order_cols):
-        self.key_cols = list(key_cols)
-        self.order_cols = list(order_cols)
+class PaneEdges(StatefulProcessor):
+    """Keeps the last status of each key. A pane brings its first reading and the readings at which the
+    status changes inside; the first one is a change only if the pane before ended differently."""
+
+    def __init__(self, names: list[str], key_names: list[str]):
+        self.names = names
+        self.key_names = key_names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", T.StructType([T.StructField("above", T.BooleanType())]))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order_cols, kind="stable")
-        above = batch["above"].to_numpy(dtype=bool)
-        changed = np.empty(len(above), dtype=bool)
-        changed[1:] = above[1:] != above[:-1]
-        known = self.last.get() if self.last.exists() else None
-        changed[0] = known is None or bool(known[0]) != above[0]
-        self.last.update((bool(above[-1]),))
-        if changed.any():
-            yield batch[changed]
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known = self.last.get()[0] if self.last.exists() else None
+        own = dict(zip(self.key_names, key))
+        for row in sorted(rows, key=lambda r: r["pane_us"]):
+            for edge in row["edges"]:
+                if edge["above"] != known:
+                    known = edge["above"]
+                    yield Row(**{name: own[name] if name in own else edge[name] for name in self.names})
+        if known is not None:
+            self.last.update((known,))
 
     def close(self) -> None:
         pass
@@ -46,20 +48,35 @@ def threshold_changes_stream(
     threshold: float = fixed.CO2_THRESHOLD,
     key_cols=READING_KEY,
     order_cols=ARRIVAL_ORDER,
+    pane: str = PANE,
 ) -> DataFrame:
-    """The stream form of `threshold_changes`.
+    """The stream form of `threshold_changes`, over readings watermarked on `ts`.
 
-    Readings are ordered by `order_cols` inside a micro-batch; between micro-batches the order
-    is that of arrival. A key's readings of one micro-batch meet in one task, so bound the
-    micro-batch at the source (`maxOffsetsPerTrigger`, `files_per_trigger`).
+    Readings are first put in order per key and pane by a windowed aggregate, which hands a pane
+    on once the watermark has passed it; the state step then sees one row per pane, in event
+    order, whatever the micro-batches were. A change shows a pane and the watermark's delay
+    after it happened. The largest unit is the readings of one key in one pane.
     """
     keys, order = list(key_cols), list(order_cols)
     columns = list(dict.fromkeys([*keys, *order, "value"]))
     rows = readings.where(F.col("value").isNotNull()).select(
         *columns, is_above(F.col("value"), threshold).alias("above")
     )
-    return rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=LastStatus(keys, order),
+    inner = [c for c in dict.fromkeys([*order, *columns, "above"]) if c not in keys]
+    run = F.array_sort(F.collect_list(F.struct(*inner)))
+    panes = (
+        rows.groupBy(F.window("ts", f"{duration_us(pane)} microseconds").alias("pane"), *keys)
+        .agg(run.alias("run"))
+        .select(
+            *keys,
+            F.unix_micros("pane.start").alias("pane_us"),
+            F.filter(
+                "run", lambda r, i: (i == 0) | (r["above"] != F.get("run", i - 1)["above"])
+            ).alias("edges"),
+        )
+    )
+    return panes.groupBy(*keys).transformWithState(
+        statefulProcessor=PaneEdges(rows.columns, keys),
         outputStructType=rows.schema,
         outputMode="Append",
         timeMode="None",

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,19 +12,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensorstream.session import STATE_SETTINGS
 
-_OWN_SCRATCH: list[str] = []
+_OWN_SCRATCH: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a local one only where none is set."""
+    """The folder the cluster names for checkpoints. Where it names none, a folder below the
+    warehouse, which is removed when a local session's process ends; on a cluster the
+    warehouse must then not be a local path."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if named:
         return named.rstrip("/")
-    if not _OWN_SCRATCH:
-        _OWN_SCRATCH.append(tempfile.mkdtemp(prefix="sensorstream-"))
-    return _OWN_SCRATCH[0]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = warehouse.startswith(("/", "file:"))
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if warehouse not in _OWN_SCRATCH:
+        _OWN_SCRATCH[warehouse] = f"{warehouse}/sensorstream-{uuid.uuid4().hex}"
+        if local:
+            path = "/" + _OWN_SCRATCH[warehouse].removeprefix("file:").lstrip("/")
+            atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return _OWN_SCRATCH[warehouse]
 
 
 @contextmanager

@@ -16,7 +16,9 @@ def one(spark, **columns):
 ])
 def test_bh1750(spark, raw, accuracy, lux):
     found = C.calibrate_bh1750(one(spark, raw=raw, accuracy=accuracy)).collect()
-    assert [round(r.illumination, 2) for r in found] == ([] if lux is None else [lux])
+    assert len(found) == 1
+    assert (None if found[0].illumination is None else round(found[0].illumination, 2)) == lux
+    assert (found[0].reject_reason is None) == (lux is not None)
 
 
 # gain 1, 100 ms; recorded on a device

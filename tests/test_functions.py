@@ -10,10 +10,12 @@ from sensorstream.functions import bits, text, timing, topics
 def test_two_decimals_follow_the_exact_binary_value(spark):
     rnd = random.Random(1)
     numbers = [52.915, 0.125, 0.135, 0.005, 0.015, -0.005, -0.0, 0.0, 1e-300, 0.995, 1.005, 2.5, 99.995,
-               4503599627370497.5, 1e15 + 0.5, 9007199254740993.0, 1e17, float("inf"), float("-inf")]
+               4503599627370497.5, 1e15 + 0.5, 9007199254740993.0, 1e17, float("inf"), float("-inf"),
+               2.0**62, -(2.0**62), 2.0**63, 1e23, -1e23, 2.0**126, 1e38, 1e100, 1.7976931348623157e308]
     for _ in range(4000):
         numbers += [rnd.uniform(-1, 1), rnd.uniform(-1e3, 1e3), rnd.randint(-10**6, 10**6) / 8192,
                     (2 * rnd.randint(0, 10**5) + 1) / 200, rnd.uniform(-1e15, 1e15)]
+    numbers += [rnd.choice([-1, 1]) * 10 ** rnd.uniform(18, 308) for _ in range(300)]
     wanted = {n: f"{n:.2f}".replace("inf", "Infinity") for n in numbers}
     df = text.with_fixed2(spark.createDataFrame([(n,) for n in numbers], "x double"), {"t": F.col("x")})
     assert [(r.x, r.t) for r in df.collect() if wanted[r.x] != r.t and r.x != 0] == []

@@ -49,12 +49,14 @@ def test_samples_become_messages(spark):
     found = sorted((r.n, r.topic, r.payload) for r in samples.samples_to_messages(df, metrics, keep=["n"]).collect())
     assert found == [
         (1, "i483/sensors/s1001/SCD41/co2", "1306"),
+        (1, "i483/sensors/s1001/SCD41/flag", "true"),
         (1, "i483/sensors/s1001/SCD41/note", "ok"),
         (1, "i483/sensors/s1001/SCD41/temperature", f"{22.465:.2f}"),
+        (2, "i483/sensors/s1002/SCD41/flag", "false"),
         (2, "i483/sensors/s1002/SCD41/temperature", "NaN"),
     ]
-    with pytest.raises(ValueError):
-        samples.samples_to_messages(df, {"SCD41": ("flag",)})
+    with pytest.raises(TypeError):
+        samples.samples_to_messages(df.selectExpr("device_id", "cast(1.5 as decimal(3,1)) scd41_co2"), {"SCD41": ("co2",)})
 
 
 def test_latest_command_wins(spark):
@@ -84,10 +86,8 @@ def test_bridge_options():
 def test_bridge_option_defaults():
     options = plan.BridgeOptions.from_properties(PROPERTIES)
     assert (options.topic_separator, options.dead_topic) == ("-", "i483-dead-messages")
-    text = "org.apache.kafka.common.serialization.StringSerializer"
     for name, value in {"linger.ms": "10", "delivery.timeout.ms": "1000", "request.timeout.ms": "500",
-                        "partitioner.ignore.keys": "true", "metadata.max.age.ms": "5000",
-                        "key.serializer": text, "value.serializer": text}.items():
+                        "partitioner.ignore.keys": "true", "metadata.max.age.ms": "5000"}.items():
         assert options.producer[name] == value
     changed = plan.BridgeOptions.from_properties(PROPERTIES | {"linger.ms": "50"})
     assert changed.producer["linger.ms"] == "50"

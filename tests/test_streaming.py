@@ -68,16 +68,34 @@ def test_late_rows_are_left_out_of_closed_windows(spark, land):
         (0, 1, 1.0), (3_600_000, 3, 4.0)]
 
 
-@pytest.mark.parametrize("batches", [1, 5])
+def edges(df, limit):
+    """Changes in panes of a second that the watermark has passed."""
+    rows = sorted((r.device_id, ms(r.ts), r.src_offset, r.above) for r in df.collect())
+    return [r for r in rows if (r[1] // 1000 + 1) * 1000 <= limit]
+
+
+def watermark(readings):
+    return ms(readings.agg(F.max("ts")).first()[0]) - 10_000
+
+
+@pytest.mark.parametrize("batches", [1, 5, 50])
 def test_threshold_changes(spark, land, batches):
     readings = random_readings(spark, 300, step_ms=5_000)
-    stream = land(*slices(readings, batches))
+    stream = src.watermarked(land(*slices(readings, batches)))
     found = run_to_table(threshold_changes_stream(stream), "changes", PARTITIONS)
+    limit = watermark(readings)
+    assert edges(found, 10**18) == edges(changes.threshold_changes(readings), limit)
 
-    def rows(df):
-        return sorted((r.device_id, ms(r.ts), r.src_offset, r.above) for r in df.collect())
 
-    assert rows(found) == rows(changes.threshold_changes(readings))
+def test_threshold_changes_out_of_order_across_micro_batches(spark, land):
+    # micro-batches of 8 s of readings, each late half in the next one
+    readings = random_readings(spark, 400, span_s=64, step_ms=250)
+    at = F.unix_millis("ts") - ms(START)
+    place = F.floor(at / 8000) + F.when(F.col("src_offset") % 2 == 0, 1).otherwise(0)
+    frames = [readings.where(place == i) for i in range(9)]
+    stream = src.watermarked(land(*frames))
+    found = run_to_table(threshold_changes_stream(stream), "disorder", PARTITIONS)
+    assert edges(found, 10**18) == edges(changes.threshold_changes(readings), watermark(readings))
 
 
 @pytest.mark.parametrize("batches", [1, 4])
@@ -99,14 +117,13 @@ def test_a_restarted_query_goes_on_where_it_stopped(spark, tmp_path):
     path, folder = str(tmp_path / "landed"), str(tmp_path / "query")
 
     def run():
-        stream = src.read_stream(spark, f"{path}/*", readings.schema, files_per_trigger=1)
+        stream = src.watermarked(src.read_stream(spark, f"{path}/*", readings.schema, files_per_trigger=1))
         return run_to_table(threshold_changes_stream(stream), "restart", PARTITIONS, folder)
 
     for i, part in enumerate(slices(readings, 3)):
         part.coalesce(1).write.parquet(f"{path}/{i}")
         found = run()
-    assert sorted((r.device_id, ms(r.ts), r.src_offset, r.above) for r in found.collect()) == sorted(
-        (r.device_id, ms(r.ts), r.src_offset, r.above) for r in changes.threshold_changes(readings).collect())
+    assert edges(found, 10**18) == edges(changes.threshold_changes(readings), watermark(readings))
 
 
 def test_latest_commands_follow_a_stream(spark, land, tmp_path):
@@ -196,11 +213,71 @@ def test_collectors(spark, land):
     devices = ["s1001", "s1002"]
     found = run_to_table(collectors.crossings(stream, devices), "crossings", PARTITIONS)
     wanted = collectors.crossings(table, devices)
-    assert sorted(tuple(r) for r in found.collect()) == sorted(tuple(r) for r in wanted.collect())
+    limit = watermark(readings.where(F.col("device_id").isin(devices)))
+    assert edges(found, 10**18) == edges(wanted, limit)
     assert {r.device_id for r in wanted.collect()} == {"s1001", "s1002"}
     means = run_to_table(collectors.rolling_means(stream, devices, "SCD41/co2"), "means", PARTITIONS)
-    windows = closed(stats.sliding_stats(readings.where(F.col("device_id").isin(devices))), readings)
-    assert means.count() == windows.count()
+    own = readings.where(F.col("device_id").isin(devices))
+    wanted = collectors.rolling_means(table, devices, "SCD41/co2").where(F.unix_millis("at") < limit)
+    plain = lambda df: sorted((r.device_id, ms(r.at), round(r.mean_value, 6), r.n) for r in df.collect())
+    assert own.count() and plain(means) == plain(wanted)
+
+
+def test_a_surplus_part_is_no_value_for_a_collector(spark):
+    rows = [("i483-sensors-s1001-BH1750-illumination", START, text, 0, i) for i, text in enumerate(["900,1", " 7 ", "x", None])]
+    table = spark.createDataFrame(rows, "topic string, timestamp timestamp, value string, partition int, offset long")
+    assert [r.value for r in collectors.collect(table, ["s1001"], "BH1750/illumination").collect()] == [7.0]
+    assert sorted(r.value_text for r in collectors.collected_rejects(table, ["s1001"]).collect()) == ["900,1", "null", "x"]
+
+
+def test_extreme_timestamps_do_not_stop_a_job(spark, land):
+    from sensorstream.operators import parse
+
+    stamps = [2**63 - 1, -(2**63), 9223372036854775, 253402300800000, 253402300799999, -62135596800000, -62135596800001, 1748660400000]
+    lines = spark.createDataFrame([(f"i483-sensors-s1001-SCD41-co2,{t},1", 0, i) for i, t in enumerate(stamps)], "raw string, src_partition int, src_offset long")
+    parsed = parse.parse_envelopes(lines)
+    assert sorted(r.src_offset for r in parse.rejects(parsed).collect()) == [0, 1, 2, 3, 6]
+    assert {r.reject_reason for r in parse.rejects(parsed).collect()} == {"bad timestamp"}
+    assert stats.sliding_stats(parse.readings(parsed), method="rows").count() == 30
+    stream = src.watermarked(parse.readings(parse.parse_envelopes(land(lines))))
+    assert run_to_table(stats.sliding_stats(stream).drop("window"), "extremes", PARTITIONS).count() >= 10
+
+
+def test_trend_stream_with_nulls_and_many_devices(spark, land):
+    rows = [(START + timedelta(milliseconds=7 * i), None if i % 5 == 0 else i // 100, f"s{i % 1000}") for i in range(3000)]
+    rows += [(START + timedelta(seconds=60 * i), i, "s1") for i in range(1, 60)]
+    readings = make_readings(spark, rows)
+    found = run_to_table(trend.trend_windows_stream(src.watermarked(land(*slices(readings, 2)))).drop("window"), "nulls", PARTITIONS)
+    wanted = closed(trend.trend_windows(readings), readings)
+    plain = lambda df: sorted((r.sensor, ms(r.window_start), r.n) for r in df.collect())
+    assert plain(found) == plain(wanted) and plain(found)
+
+
+def test_lines_hold_every_row(spark, land, tmp_path):
+    frame = spark.range(500).selectExpr("id", "concat('r', id) as name")
+    sinks.to_lines(land(frame), str(tmp_path / "lines"), str(tmp_path / "cp"), None).start().awaitTermination()
+    assert spark.read.text(str(tmp_path / "lines")).count() == 500
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from sensorstream.streaming import run
+
+    class Conf:
+        def get(self, name, default=None):
+            return {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}.get(name, default)
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getConf():
+                return Conf()
+
+    with pytest.raises(ValueError):
+        run.shared_folder(Cluster())
 
 
 def test_bridge_tables_hold_every_batch_once(spark, land, tmp_path):
@@ -220,7 +297,7 @@ def test_bridge_tables_hold_every_batch_once(spark, land, tmp_path):
 def test_kafka_writers_only_take_options(spark, land):
     writer = sinks.to_kafka(land(events_of(spark, [0])).selectExpr("room as topic", "room as value"), "/cp", "k:9092", period="30 seconds")
     assert hasattr(writer, "start")
-    assert hasattr(sinks.to_console(land(events_of(spark, [0])), "/cp"), "start")
+    assert hasattr(sinks.preview_on_console(land(events_of(spark, [0])), "/cp"), "start")
 
 
 def test_scratch_goes_to_the_shared_folder(spark):
