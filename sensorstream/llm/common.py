@@ -40,6 +40,24 @@ def spread(df: DataFrame, rows: int) -> DataFrame:
     return df.repartition(max(1, min(rows, most)))
 
 
+#: Bits of the filter that `rows_of` broadcasts: half a megabyte, whatever the tables' sizes.
+FILTER_BITS, CHUNK_BITS = 1 << 22, 1 << 15
+
+
+def rows_of(df: DataFrame, ids: DataFrame, key: str = "key") -> DataFrame:
+    """The rows of `df` whose `key` is in `ids` (one column of that name, not null): a left semi join, before which a
+    bitmap of hashed ids of fixed size drops most other rows where they lie. Wide rows that nobody wants
+    then do not travel; with more ids than bits it drops less, and the join alone decides."""
+    place = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    bits = ids.select(F.expr(f"pmod(xxhash64({key}), {FILTER_BITS}) div {CHUNK_BITS}").alias("_chunk"), (place % CHUNK_BITS).alias("_bit"))
+    filled = bits.groupBy("_chunk").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    marked = df.withColumn("_at", place).withColumn("_own", F.expr(f"_at div {CHUNK_BITS}"))
+    byte = F.conv(F.hex(F.substring("_bits", F.expr(f"int(_at % {CHUNK_BITS} div 8) + 1"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("shiftright", byte, (F.col("_at") % 8).cast("int")).bitwiseAND(1) == 1
+    likely = marked.join(F.broadcast(filled), F.col("_own") == F.col("_chunk")).where(is_set).select(*df.columns)
+    return likely.join(ids, key, "left_semi")
+
+
 def crc32_utf8(text: Column) -> Column:
     """Unsigned CRC-32 of the UTF-8 bytes; null counts as empty."""
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))

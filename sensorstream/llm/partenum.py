@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorstream.llm.common import components, mix, mix1, pieces, shingle_sets, table
+from sensorstream.llm.common import components, mix, mix1, pieces, rows_of, shingle_sets, table
 
 #: Ratios that a band spans; the next band starts one ratio before its end.
 BAND = 3
@@ -123,10 +123,15 @@ def shingled(docs: DataFrame, percent: int, width: int) -> DataFrame:
     return docs.select("key", "text").mapInArrow(run, SETS)
 
 
+def _wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of the wanted keys, repeated rows once."""
+    return rows_of(texts, ids).withColumn("_same", F.xxhash64("text")).dropDuplicates(["key", "_same"]).drop("_same")
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """Those (a, b) of `pairs` whose shingle sets reach the threshold. Only texts that occur in a pair travel."""
     ids = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    wanted = table(texts.join(ids, "key", "left_semi"), "join-texts")
+    wanted = table(_wanted(texts, ids), "join-texts")
     full = pairs.join(wanted.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a").join(wanted.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +174,7 @@ def _block_links(nodes: DataFrame, texts: DataFrame, percent: int, width: int) -
         for i in (0, 1)
     ]
     ids = dealt.select(F.col("rep").alias("key")).distinct()
-    wanted = table(texts.join(ids, "key", "left_semi").dropDuplicates(["key"]).withColumnRenamed("key", "rep"), "join-texts")
+    wanted = table(_wanted(texts, ids).withColumnRenamed("key", "rep"), "join-texts")
     full = sides[0].unionByName(sides[1]).join(wanted, "rep")
 
     def compare(group):
@@ -220,9 +225,12 @@ def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, key:
     members = heads.select("sig", "h1").unionByName(inside.select("sig", "h1")).unionByName(inside.select("sig", F.col("low").alias("h1")))
     members = table(members.distinct(), "join-members")
 
-    ids = classes.select("h1", "rep")
+    ids = classes.select("h1", "rep", "n")
     stars = heads.where("h1 <> low").select("low", "h1").unionByName(inside.select("low", "h1")).distinct()
-    stars = stars.join(ids.select(F.col("h1").alias("low"), F.col("rep").alias("x")), "low").join(ids.select("h1", F.col("rep").alias("y")), "h1")
+    # Sizes alone decide against many candidates before any text moves.
+    near = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
+    stars = stars.join(ids.select(F.col("h1").alias("low"), F.col("rep").alias("x"), F.col("n").alias("nx")), "low")
+    stars = stars.join(ids.select("h1", F.col("rep").alias("y"), F.col("n").alias("ny")), "h1").where(near)
     twins = ids.groupBy("h1").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y").select("x", "y")
     stars = stars.select("x", "y").unionByName(twins).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
     stars = table(stars, "join-stars")
@@ -230,13 +238,14 @@ def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, key:
     found = table(components(links), "join-components")
 
     # What lies in several components under one signature.
-    placed = members.join(ids, "h1").select("sig", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    placed = placed.select("sig", "rep", F.coalesce("component", "rep").alias("component"))
+    placed = members.join(ids, "h1").select("sig", "rep", "n").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    placed = placed.select("sig", "rep", F.col("n").alias("size"), F.coalesce("component", "rep").alias("component"))
     several = placed.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("n"), F.min("rep").alias("first"))
     rest = table(placed.join(several.where("c0 <> c1 and n > 2").select("sig", "n", "first"), "sig"), "join-rest")
     few = rest.where(F.col("n") <= FEW)
     left, right = few.alias("l"), few.alias("r")
-    across = left.join(right, F.col("l.sig") == F.col("r.sig")).where("l.rep < r.rep and l.component <> r.component").select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
+    across = left.join(right, F.col("l.sig") == F.col("r.sig")).where("l.rep < r.rep and l.component <> r.component")
+    across = across.where(100 * F.least("l.size", "r.size") >= percent * F.greatest("l.size", "r.size")).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
     across = table(across.join(stars, ["a", "b"], "left_anti"), "join-across")
     more = _similar(across, plain, percent, width)
     many = rest.where(F.col("n") > FEW)
