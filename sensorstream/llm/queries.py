@@ -102,7 +102,7 @@ ORACLES["op1_partenum_join"] = r"""
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
 s as (select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
-  else list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as g from w),
+  else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as g from w),
 e as (select doc_id, len(g) as n, unnest(g) as x from s),
 c as (select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as shared from e a join e b on a.x = b.x and a.doc_id <> b.doc_id
   and 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) group by 1, 2),
@@ -121,3 +121,15 @@ def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = wrappers.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+ORACLES["op8_multi_index"] = """
+with recursive v as (select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings),
+n as (select vec_id, e, sqrt(list_dot_product(e, e)) as norm from v where e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0),
+l as (select a.vec_id as a, b.vec_id as b from n a join n b on a.vec_id <> b.vec_id
+  where a.norm > 0 and b.norm > 0 and list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+r as (select vec_id as node, vec_id as seen from v union select r.node, l.b from r join l on r.seen = l.a),
+c as (select node, min(seen) as component_id from r group by 1)
+select v.vec_id, (select count(*) from l where l.a = v.vec_id) as n_links, c.component_id, v.vec_id = c.component_id as kept
+from v join c on c.node = v.vec_id
+"""
