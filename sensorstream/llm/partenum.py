@@ -154,6 +154,15 @@ def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
     return full.mapInArrow(run, "a long, b long")
 
 
+def _near_labels(links: DataFrame) -> DataFrame:
+    """(node, component): the least label within two links, in two rounds of minima. Equal labels mean connected nodes, and
+    a star has one label throughout; that is enough to spare comparisons, the final components come later."""
+    both = table(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))), "join-both")
+    once = both.groupBy("u").agg(F.least("u", F.min("v")).alias("low"))
+    twice = both.join(once.select(F.col("u").alias("v"), "low"), "v").groupBy("u").agg(F.min("low").alias("near"))
+    return twice.join(once, "u").select(F.col("u").alias("node"), F.least("near", "low").alias("component"))
+
+
 def _block_links(nodes: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """Links (a, b) between different components of the same cluster, from `nodes` (rep, component, cluster, n), at least
     one for each pair of components that has any. Blocks are filled by hash: components of some size have
@@ -235,9 +244,9 @@ def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, key:
     stars = stars.select("x", "y").unionByName(twins).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
     stars = table(stars, "join-stars")
     links = table(_similar(stars, plain, percent, width), "join-links")
-    found = table(components(links), "join-components")
+    found = table(_near_labels(links), "join-labels")
 
-    # What lies in several components under one signature.
+    # What lies in several components under one signature, as far as known.
     placed = members.join(ids, "h1").select("sig", "rep", "n").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
     placed = placed.select("sig", "rep", F.col("n").alias("size"), F.coalesce("component", "rep").alias("component"))
     several = placed.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("n"), F.min("rep").alias("first"))
@@ -254,10 +263,7 @@ def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, key:
         nodes = many.select("rep", "component").distinct().join(clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "rep")
         nodes = nodes.join(classes.groupBy("rep").agg(F.max("n").alias("n")), "rep")
         more = more.unionByName(_block_links(nodes, plain, percent, width))
-    more = table(more, "join-more")
-    if more.head(1):
-        joined = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        found = table(components(joined.unionByName(more)), "join-components")
+    found = table(components(links.unionByName(more)), "join-components")
 
     own = known.select("key", "h1", "h2").join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).join(found.withColumnRenamed("node", "rep"), "rep", "left")
     own = own.groupBy("key").agg(F.min(F.coalesce("component", "rep")).alias("component"))
