@@ -55,7 +55,8 @@ def rows_of(df: DataFrame, ids: DataFrame, key: str = "key") -> DataFrame:
     byte = F.conv(F.hex(F.substring("_bits", F.expr(f"int(_at % {CHUNK_BITS} div 8) + 1"), F.lit(1))), 16, 10).cast("int")
     is_set = F.call_function("shiftright", byte, (F.col("_at") % 8).cast("int")).bitwiseAND(1) == 1
     likely = marked.join(F.broadcast(filled), F.col("_own") == F.col("_chunk")).where(is_set).select(*df.columns)
-    return likely.join(ids, key, "left_semi")
+    # An inner join on distinct ids: a semi join would be moved below the bitmap, to where all rows are.
+    return likely.join(ids.distinct(), key).select(*df.columns)
 
 
 def crc32_utf8(text: Column) -> Column:
