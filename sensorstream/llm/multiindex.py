@@ -4,12 +4,12 @@ The halves of the unit vectors get a codebook each, fitted apart; a pair of code
 vector is listed under its cell. A vector looks for partners in cells by the multi-sequence
 order. What a cell costs is the squared distance from the vector to it: per half, the
 distance to the plane that parts the cell's codeword from the vector's own. A partner within squared
-distance 2 - 2t lies in no cell that costs more, so stopping there finds every pair of cosine t. The
-stop is set lower, where brute force over all rows for a sample of queries shows the target recall.
+distance 2 - 2t lies in no cell that costs more, so the search stops there and misses no pair of cosine t.
 
-Candidates meet in blocks of bounded size, where products in double precision decide. A block gives
-back counts and spanning links, not pairs. A pair that is found from both sides counts once for each;
-one that is found from one side only counts for both, so links are symmetric.
+In many dimensions that stop reaches a large part of all cells. So neighbouring cells share a shelf, and a
+vector travels once to each shelf that has a cell in reach, not to every cell; of two shelves the later one is asked by
+the vectors of the earlier one only. Candidates meet in blocks of bounded size, where products in double
+precision decide. A block gives back counts and spanning links, not pairs.
 """
 
 from __future__ import annotations
@@ -22,14 +22,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorstream.llm.common import components, table
 
-#: Rows that codebooks are fitted on, passes of the fit, queries that the stop is set with, recall it is set for.
-SAMPLE, FIT_PASSES, QUERIES, RECALL = 4096, 12, 256, 0.999
-#: Rows per cell that the codebooks' size aims at, most codewords, rows of either side in a block.
-CELL_ROWS, MOST_WORDS, BLOCK_ROWS = 48, 512, 512
-BINS = 512
+#: Rows that codebooks are fitted on, passes of the fit, recall of the stop: all pairs, nothing lower is offered.
+SAMPLE, FIT_PASSES, RECALL = 4096, 12, 1.0
+#: Rows per cell that the codebooks' size aims at, most codewords.
+CELL_ROWS, MOST_WORDS = 48, 512
+#: Rows of either side in a block, and of a shelf: the table's share, but no fewer and no more than these.
+BLOCK_ROWS, BLOCK_SHARE, MOST_BLOCK_ROWS = 512, 16, 8192
+#: Rows multiplied at a time; allowance for rounding of costs, which only adds cells.
+STRIP_ROWS, SLACK = 256, 1e-9
 
 
 @dataclass
@@ -89,40 +93,12 @@ def fit_codebook(x: np.ndarray, words: int) -> np.ndarray:
 
 
 def fit(vectors: DataFrame, rows: int, threshold: float) -> MultiIndex:
-    """Codebooks from at most `SAMPLE` rows of (h, vec) by hash order; then the stop, from a histogram of what true
-    partners' cells cost for `QUERIES` of them against all rows."""
+    """Codebooks from at most `SAMPLE` rows of (h, vec) by hash order; the stop is the full radius."""
     sample = vectors.orderBy(F.xxhash64("h"), "h").limit(SAMPLE).select("vec").toArrow()
     x = _matrix(sample.column("vec"))
     words = int(np.clip(np.ceil(np.sqrt(rows / CELL_ROWS)), 2, MOST_WORDS))
     half = x.shape[1] // 2
-    index = MultiIndex((fit_codebook(x[:, :half], words), fit_codebook(x[:, half:], words)), threshold)
-    radius = 2 - 2 * threshold
-    queries = x[:QUERIES]
-    _, cost = index.costs(queries)
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BINS, np.int64)
-        for batch in batches:
-            if not len(batch):
-                continue
-            y = _matrix(batch.column("vec"))
-            (i, j), _ = index.costs(y)
-            close = queries @ y.T
-            q, r = np.nonzero((close >= threshold) & (close < 1 - 1e-12))
-            spent = cost[0][q, i[r]] + cost[1][q, j[r]]
-            total += np.bincount(np.minimum(np.ceil(spent / radius * (BINS - 1)), BINS - 1).astype(int), minlength=BINS)
-        bins = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(bins.astype(np.int32)), pa.array(total[bins])], names=["bin", "n"])
-
-    counts = {r["bin"]: r["n"] for r in vectors.select("vec").mapInArrow(measure, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()}
-    have, need = 0, RECALL * sum(counts.values())
-    index.stop = radius
-    for b in sorted(counts):
-        have += counts[b]
-        if have >= need:
-            index.stop = min(radius, 2 * max(b, 1) / (BINS - 1) * radius)
-            break
-    return index
+    return MultiIndex((fit_codebook(x[:, :half], words), fit_codebook(x[:, half:], words)), threshold, 2 - 2 * threshold + SLACK)
 
 
 def _local(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -138,38 +114,38 @@ def _local(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         low = new
 
 
-def _block(index: MultiIndex):
+def _block(threshold: float):
     schema = pa.schema([("h", pa.int64()), ("links", pa.int64()), ("low", pa.int64())])
 
     def run(group: pa.Table) -> pa.Table:
         side = group.column("probe").to_numpy()
-        h, weight, x = group.column("h").to_numpy(), group.column("rows").to_numpy(), _matrix(group.column("vec"))
-        p, q = np.flatnonzero(side), np.flatnonzero(~side)
-        if not len(p) or not len(q):
-            return schema.empty_table()
-        i, j = np.nonzero(x[p] @ x[q].T >= index.threshold)
-        i, j = p[i], q[j]
-        i, j = i[h[i] != h[j]], j[h[i] != h[j]]
-        if not len(i):
+        if side.all() or not side.any():
             return schema.empty_table()
-        (wi, wj), _ = index.costs(x[i])
-        _, back = index.costs(x[j])
-        alone = back[0][np.arange(len(j)), wi] + back[1][np.arange(len(j)), wj] > index.stop
-        got = np.zeros(len(h), np.int64)
-        np.add.at(got, i, weight[j])
-        np.add.at(got, j[alone], weight[i[alone]])
-        order = np.argsort(h, kind="stable")
-        place = np.searchsorted(h[order], h)
-        low = h[order][_local(len(h), place[i], place[j])[place]]
-        out = np.unique(np.concatenate([i, j]))
-        return pa.table([pa.array(h[out]), pa.array(got[out]), pa.array(low[out])], schema=schema)
+        h, node = np.unique(group.column("h").to_numpy(), return_inverse=True)
+        weight, x = group.column("rows").to_numpy(), _matrix(group.column("vec"))
+        # Vectors of the shelf itself ask each other from both sides; from another shelf one side asks for both.
+        both = group.column("own").to_numpy() != group.column("shelf").to_numpy()
+        q = np.flatnonzero(~side)
+        got, low = np.zeros(len(h), np.int64), np.arange(len(h))
+        for k in range(0, len(side), STRIP_ROWS):
+            p = np.flatnonzero(side[k : k + STRIP_ROWS]) + k
+            i, j = np.nonzero(x[p] @ x[q].T >= threshold)
+            i, j = p[i], q[j]
+            other = node[i] != node[j]
+            i, j = i[other], j[other]
+            if len(i):
+                np.add.at(got, node[i], weight[j])
+                np.add.at(got, node[j[both[i]]], weight[i[both[i]]])
+                low = _local(len(h), np.append(node[i], np.arange(len(h))), np.append(node[j], low))
+        out = np.flatnonzero((got > 0) | (low != np.arange(len(h))) | np.isin(np.arange(len(h)), low[low != np.arange(len(h))]))
+        return pa.table([pa.array(h[out]), pa.array(got[out]), pa.array(h[low[out]])], schema=schema)
 
     return run
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row: n_links counts the other rows whose cosine, in double precision, is
-    at least `threshold` (of the pairs that the index finds, none below), component_id is the least key reachable.
+    at least `threshold`, component_id is the least key reachable.
 
     Rows with equal vectors are one class and link with each other. Null vectors, zero vectors, vectors with null
     or non-finite components, vectors of another length than most, and rows with a null key link with nothing:
@@ -186,29 +162,57 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, key: str = "
     classes = table(classes, "index-classes")
     if lengths["d"] < 2:
         classes = classes.withColumn("vec", F.concat("vec", F.array(F.lit(0.0))))
-    index = fit(classes.select("h", "vec"), classes.count(), threshold)
+    n = classes.count()
+    index = fit(classes.select("h", "vec"), n, threshold)
+    # Floats travel as floats.
+    kind = "float" if isinstance(embeddings.schema[vector].dataType.elementType, T.FloatType) else "double"
+    vec = F.col("vec").cast(f"array<{kind}>").alias("vec")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, len(batch), 2048):
                 part = batch.slice(k, 2048)
-                (i, j), cost = index.costs(_matrix(part.column("vec")))
-                cells = [list(index.visits(a, b)) for a, b in zip(*cost, strict=True)]
-                own = [c[0] * MOST_WORDS + c[1] for c in zip(i.tolist(), j.tolist(), strict=True)]
-                lists = pa.array([[a * MOST_WORDS + b for a, b in c] for c in cells], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("h", "vec", "rows")), pa.array(own, pa.int64()), lists], names=["h", "vec", "rows", "own", "visits"])
-
-    placed = table(classes.select("h", "vec", "rows").mapInArrow(place, "h long, vec array<double>, rows long, own long, visits array<long>"), "index-cells")
-    listed = placed.select("h", "vec", "rows", F.col("own").alias("cell"))
-    probes = placed.select("h", "vec", "rows", F.explode("visits").alias("cell"))
-    share = lambda name: F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("long").alias(name)
-    sizes = listed.groupBy("cell").agg(share("lists")).join(probes.groupBy("cell").agg(share("asks")), "cell")
+                (i, j), _ = index.costs(_matrix(part.column("vec")))
+                own = pa.array(i * MOST_WORDS + j, pa.int64())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("h", "vec", "rows")), own], names=["h", "vec", "rows", "cell"])
+
+    placed = table(classes.select("h", vec, "rows").mapInArrow(place, f"h long, vec array<{kind}>, rows long, cell long"), "index-cells")
+    block = int(np.clip(-(-n // BLOCK_SHARE), BLOCK_ROWS, MOST_BLOCK_ROWS))
+    # At most MOST_WORDS squared cells, in order of their codewords; cells without rows are on no shelf.
+    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).orderBy("cell").toArrow()
+    counts = cells.column("n").to_numpy()
+    shelf_of = np.full((MOST_WORDS, MOST_WORDS), -1, np.int32)
+    shelf_of.ravel()[cells.column("cell").to_numpy()] = (np.cumsum(counts) - counts) // block
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = shelf_of.ravel()[batch.column("cell").to_numpy()]
+            shelves = []
+            for k in range(0, len(batch), 2048):
+                _, cost = index.costs(_matrix(batch.column("vec").slice(k, 2048)))
+                for mine, a, b in zip(own[k : k + 2048].tolist(), *cost, strict=True):
+                    last, met = last_shelf - mine + 1, set()
+                    for i, j in index.visits(a, b):
+                        if shelf_of[i, j] >= mine:
+                            met.add(int(shelf_of[i, j]))
+                            if len(met) == last:
+                                break
+                    shelves.append(sorted(met))
+            columns = [*(batch.column(c) for c in ("h", "vec", "rows")), pa.array(own, pa.int64()), pa.array(shelves, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["h", "vec", "rows", "own", "visits"])
+
+    last_shelf = int(shelf_of.max())
+    asked = table(placed.mapInArrow(ask, f"h long, vec array<{kind}>, rows long, own long, visits array<long>"), "index-shelves")
+    listed = asked.select("h", "vec", "rows", "own", F.col("own").alias("shelf"))
+    probes = asked.select("h", "vec", "rows", "own", F.explode("visits").alias("shelf"))
+    share = lambda name: F.ceil(F.count(F.lit(1)) / block).cast("long").alias(name)
+    sizes = listed.groupBy("shelf").agg(share("lists")).join(probes.groupBy("shelf").agg(share("asks")), "shelf")
     number = lambda seed, n: F.pmod(F.xxhash64("h", F.lit(seed)), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    left = probes.join(sizes, "cell").withColumn("ask", number(1, "asks")).withColumn("list", every("lists")).withColumn("probe", F.lit(True))
-    right = listed.join(sizes, "cell").withColumn("list", number(2, "lists")).withColumn("ask", every("asks")).withColumn("probe", F.lit(False))
-    both = left.unionByName(right).select("cell", "ask", "list", "probe", "h", "rows", "vec")
-    found = table(both.groupBy("cell", "ask", "list").applyInArrow(_block(index), "h long, links long, low long"), "index-links")
+    left = probes.join(F.broadcast(sizes), "shelf").withColumn("ask", number(1, "asks")).withColumn("list", every("lists")).withColumn("probe", F.lit(True))
+    right = listed.join(F.broadcast(sizes), "shelf").withColumn("list", number(2, "lists")).withColumn("ask", every("asks")).withColumn("probe", F.lit(False))
+    both = left.unionByName(right).select("shelf", "ask", "list", "probe", "own", "h", "rows", "vec")
+    found = table(both.groupBy("shelf", "ask", "list").applyInArrow(_block(threshold), "h long, links long, low long"), "index-links")
 
     counted = found.groupBy("h").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("h").alias("a"), F.col("low").alias("b")))

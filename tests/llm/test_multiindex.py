@@ -52,6 +52,23 @@ def test_stopping_at_the_full_radius_misses_nothing(spark, monkeypatch):
     assert found == brute(rows)
 
 
+def test_a_tight_hot_group_leaves_the_looser_pairs_of_others(spark):
+    rnd = np.random.default_rng(5)
+    hot = rnd.normal(size=16)
+    rows = [hot + rnd.normal(size=16) * 0.001 for _ in range(500)]
+    for _ in range(500):
+        base = rnd.normal(size=16)
+        rows += [base, base + rnd.normal(size=16) * 0.25]
+    rows = list(enumerate(r.astype(np.float32).tolist() for r in rows))
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in multiindex.near_duplicates(table(spark, rows)).collect()}
+    x = np.array([v for _, v in rows], float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    close = x @ x.T >= 0.95
+    assert [found[i][0] for i in range(len(rows))] == (close.sum(1) - 1).tolist()
+    assert all(found[i][1] == 0 for i in range(500)) and 100 < sum(close[i, i + 1] for i in range(500, 1500, 2)) < 500
+    assert all(found[i + 1][2] != close[i, i + 1] for i in range(500, 1500, 2) if close[i + 1].sum() <= 2)
+
+
 def test_cells_come_by_rising_cost():
     index = multiindex.MultiIndex((np.zeros((4, 1)), np.zeros((4, 1))), 0.95, 9.0)
     rnd = np.random.default_rng(3)
