@@ -86,17 +86,20 @@ def shingled(docs: DataFrame, percent: int, width: int) -> DataFrame:
     """Of every row (key, text): size and 128-bit hash of its shingle set, and its PartEnum signatures. A signature that
     several sets of the same Arrow batch have stands in `sigs` of the set with the least h1 only; the others have it in
     `near`, with that h1. So what is shuffled by signature is combined before: a signature has a row per batch,
-    however many near copies share it. Copies of a set in a batch have their signatures once."""
+    however many near copies share it. Copies of a set in a batch have their signatures once. Rows without a key are linked
+    with nothing: they have no signatures and hold none for others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, h1, h2, sigs = [], [], [], []
             met: set[tuple[int, int]] = set()
             for part in pieces(batch, "text"):
-                for s in shingle_sets(part.column("text"), width):
+                keyed = part.column("key").is_valid().to_pylist()
+                for s, has_key in zip(shingle_sets(part.column("text"), width), keyed, strict=True):
                     own = mix1(len(s), int(s.sum(dtype=np.uint64))), mix1(len(s) + 1, int(mix(s).sum(dtype=np.uint64)))
-                    sigs.append(signatures(s, percent) if own not in met else np.zeros(0, np.uint64))
-                    met.add(own)
+                    sigs.append(signatures(s, percent) if has_key and own not in met else np.zeros(0, np.uint64))
+                    if has_key:
+                        met.add(own)
                     sizes.append(len(s))
                     h1.append(own[0])
                     h2.append(own[1])

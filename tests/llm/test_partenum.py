@@ -68,6 +68,22 @@ def test_components_are_those_of_all_pairs(spark, monkeypatch, percent, width):
     assert sorted((tuple(r) for r in found), key=repr) == brute(rows, percent, width)
 
 
+def test_rows_without_a_key_take_no_links_from_others(spark):
+    rnd = random.Random(4)
+    edited = lambda words: " ".join([*words[:50], f"e{rnd.randrange(10**9)}", *words[51:]])
+    first, second = [], []
+    for g in range(8):
+        a, b = ([f"w{rnd.randrange(10**6)}" for _ in range(100)] for _ in range(2))
+        copy = edited(a)
+        first += [(None, copy), (10 * g, copy), (10 * g + 1, edited(a))]
+        near = [edited(b) for _ in range(4)]
+        first += [(None, near[0]), (10 * g + 2, near[1]), (10 * g + 3, near[2])]
+        second.append((10 * g + 4, near[3]))
+    one, two = (spark.createDataFrame(rows, "doc_id long, text string").coalesce(1) for rows in (first, second))
+    found = partenum.similar_components(one.union(two), 80, 5).collect()
+    assert sorted((tuple(r) for r in found), key=repr) == brute(first + second, 80, 5)
+
+
 def test_edges(edges, nothing):
     rows = [(r.doc_id, r.text) for r in edges.collect()]
     found = partenum.similar_components(edges, 90, 3).collect()
