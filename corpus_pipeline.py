@@ -24,8 +24,11 @@ PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Predict the language of every text, learning from the labelled ones, and reject what has none."""
+    """Predict the language of every text, learning from the labelled ones, and reject what has none. Where nothing is
+    labelled there is no prediction, and letters alone decide."""
     model = langid.fit(docs, F.lit(True))
+    if not model.families:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = langid.identify(docs, model)
     return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 

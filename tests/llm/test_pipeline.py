@@ -14,6 +14,14 @@ def test_language_rejects_what_has_no_letter(spark, edges):
     assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == wanted
 
 
+def test_documents_with_letters_stay_where_no_language_is_known(spark, edges):
+    wanted = sorted((r.doc_id or -1, r.text) for r in edges.collect() if any(c.isalpha() for c in r.text or ""))
+    for lang in (F.lit(None).cast("string"), F.when(~F.col("text").rlike(r"\p{L}"), "en")):
+        kept = pipeline.language(spark, edges.withColumn("lang", lang), "")
+        assert kept.columns == edges.columns
+        assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == wanted
+
+
 def test_one_document_of_each_group_stays(spark, edges):
     base = [f"w{i}" for i in range(400)]
     near = [*base[:200], "other", *base[201:]]
