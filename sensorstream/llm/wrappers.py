@@ -6,7 +6,8 @@ runs that repeat become iterated groups, what one sequence lacks becomes an opti
 that differ become slots, while a text that is the same wherever it occurs is part of the template. The
 expressions of a host's paths are its wrapper. Slots are then judged: those below menus, page headers,
 footers, sidebars, notices, adverts, forms and reader comments never carry content; if a page fills slots
-inside an article these are its text, otherwise the remaining slots that are no template text.
+inside an article these are its text, otherwise the remaining slots that are no template text. Copies of a page count
+once, and a page that has nothing but template text keeps it.
 
 Sequences and texts are counted where the pages lie; only different sequences of a path travel, and they
 are merged in two levels, so a host with a third of all pages costs no more than another.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from sensorstream.llm.common import pieces, table
 
-#: A text is template when it alone fills its slot on so many pages; branches of the merge tree; longest repeated group.
+#: A text is template when it alone fills its slot on so many different pages; branches of the merge tree; longest repeated group.
 TEMPLATE_PAGES, BRANCHES, GROUP = 8, 64, 4
 
 # Names of elements and words of class, id and role attributes, by what they mean here.
@@ -232,14 +233,15 @@ def _merge(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def infer(pages: DataFrame, url: str = "url", page: str = "html") -> tuple[DataFrame, DataFrame]:
-    """The wrappers of all hosts, from all pages: (host, path, expression), and (host, path, texts, literal) with the number of texts
-    that filled the path's slot and the text's hash if it was always the same."""
-    schema = "host string, path string, expression string, low long, high long, n long"
+    """The wrappers of all hosts, from all pages: (host, path, expression), and (host, path, texts, literal, differ) with the number
+    of texts that filled the path's slot, the text's hash if it was always the same, and on how many different pages that was,
+    counted up to `TEMPLATE_PAGES`."""
+    schema = "host string, path string, expression string, low long, high long, n long, pages array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set[tuple[str, str, str]] = set()
-            slots: dict[tuple[str, str], list[int]] = {}
+            slots: dict[tuple[str, str], list] = {}
             for part in pieces(batch, "page"):
                 for host, value in zip(part.column("host").to_pylist(), part.column("page").to_pylist(), strict=True):
                     texts, models = parse(value or "")
@@ -247,14 +249,20 @@ def infer(pages: DataFrame, url: str = "url", page: str = "html") -> tuple[DataF
                     whole: dict[str, list[str]] = {}
                     for path, text in texts:
                         whole.setdefault(path, []).append(text)
+                    page = _hash("\0".join(f"{path}\n{text}" for path, text in texts))
                     for path, own in whole.items():
                         h = _hash("\n".join(own))
-                        slot = slots.setdefault((host, path), [h, h, 0])
-                        slot[:] = min(slot[0], h), max(slot[1], h), slot[2] + 1
-            rows = [(*x, None, None, None) for x in seen] + [(host, path, None, *x) for (host, path), x in slots.items()]
+                        slot = slots.setdefault((host, path), [h, h, 0, set()])
+                        slot[:3] = min(slot[0], h), max(slot[1], h), slot[2] + 1
+                        # Any so many different pages settle the question; fewer are all kept.
+                        if len(slot[3]) < TEMPLATE_PAGES:
+                            slot[3].add(page)
+            rows = [(*x, None, None, None, None) for x in seen]
+            rows += [(host, path, None, *x, list(pages) if x[0] == x[1] else []) for (host, path), (*x, pages) in slots.items()]
             if rows:
-                columns = zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], names=["host", "path", "expression", "low", "high", "n"])
+                kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+                columns = zip(zip(*rows, strict=True), kinds, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], names=["host", "path", "expression", "low", "high", "n", "pages"])
 
     read_ = pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("page"))
     found = table(read_.mapInArrow(run, schema), "wrapper-parts")
@@ -263,8 +271,13 @@ def infer(pages: DataFrame, url: str = "url", page: str = "html") -> tuple[DataF
     kind = "host string, path string, expression string"
     once = salted.groupBy("host", "path", "salt").applyInPandas(_merge, kind + ", salt long")
     models = once.drop("salt").groupBy("host", "path").applyInPandas(_merge, kind)
-    slots = found.where("expression is null").groupBy("host", "path").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("texts"))
-    return models, slots.select("host", "path", "texts", F.when(F.col("low") == F.col("high"), F.col("low")).alias("literal"))
+    filled = found.where("expression is null")
+    slots = filled.groupBy("host", "path").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("texts"))
+    different = filled.select("host", "path", F.explode("pages").alias("page")).distinct().groupBy("host", "path").agg(F.count(F.lit(1)).alias("differ"))
+    slots = slots.join(different, ["host", "path"], "left")
+    return models, slots.select(
+        "host", "path", "texts", F.when(F.col("low") == F.col("high"), F.col("low")).alias("literal"), F.least(F.coalesce("differ", F.lit(0)), F.lit(TEMPLATE_PAGES)).alias("differ"),
+    )
 
 
 def _hash(text: str) -> int:
@@ -274,18 +287,20 @@ def _hash(text: str) -> int:
 
 
 def content_slots(models: DataFrame, slots: DataFrame) -> DataFrame:
-    """(host, inside, outside): paths of each host's wrapper whose texts are content, within articles and elsewhere."""
+    """(host, inside, outside, template): paths of each host's wrapper whose texts are content, within articles and
+    elsewhere, and those outside articles whose text is the same on different pages."""
     clean = ~F.col("path").contains("!")
-    template = F.col("literal").isNotNull() & (F.col("texts") >= TEMPLATE_PAGES)
+    template = F.col("literal").isNotNull() & (F.col("differ") >= TEMPLATE_PAGES)
     holding = models.where(F.col("expression").contains("#")).select("host", "path")
-    judged = holding.join(slots, ["host", "path"]).where(clean).withColumn("inside", F.col("path").contains("*")).where(F.col("inside") | ~template)
+    judged = holding.join(slots, ["host", "path"]).where(clean).withColumn("inside", F.col("path").contains("*")).withColumn("fixed", template)
     paths = lambda c: F.array_sort(F.collect_set(F.when(c, F.col("path"))))
-    return judged.groupBy("host").agg(paths(F.col("inside")).alias("inside"), paths(~F.col("inside")).alias("outside"))
+    inside, fixed = F.col("inside"), F.col("fixed")
+    return judged.groupBy("host").agg(paths(inside).alias("inside"), paths(~inside & ~fixed).alias("outside"), paths(~inside & fixed).alias("template"))
 
 
 def extract(pages: DataFrame, slots: DataFrame, url: str = "url", page: str = "html", text: str = "text") -> DataFrame:
     """Add `text` to every page: the texts of its content slots in page order, joined by one space. A column of that
-    name is replaced; other columns pass through. Null or empty pages and pages without content have the
+    name is replaced; other columns pass through. A page without any has its template texts. Null or empty pages and pages without content have the
     empty text; pages without a host share one wrapper. Every page is kept, repeated ones too. Spark
     broadcasts the slots if they are small and splits hot hosts otherwise."""
     keep = [f for f in pages.schema.fields if f.name != text]
@@ -296,14 +311,16 @@ def extract(pages: DataFrame, slots: DataFrame, url: str = "url", page: str = "h
         for batch in batches:
             for part in pieces(batch, page):
                 out = []
-                for value, inside, outside in zip(*(part.column(c).to_pylist() for c in (page, "_inside", "_outside")), strict=True):
+                for value, *ranked in zip(*(part.column(c).to_pylist() for c in (page, "_inside", "_outside", "_template")), strict=True):
                     texts, _ = parse(value or "")
-                    first, second = set(inside or ()), set(outside or ())
-                    chosen = [t for p, t in texts if p in first] or [t for p, t in texts if p in second]
+                    chosen: list[str] = []
+                    for slots_ in ranked:
+                        own = set(slots_ or ())
+                        chosen = chosen or [t for p, t in texts if p in own]
                     out.append(" ".join(chosen))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(out, pa.string())], names=[*names, text])
 
-    named = slots.select(F.col("host").alias("_host"), F.col("inside").alias("_inside"), F.col("outside").alias("_outside"))
+    named = slots.select(F.col("host").alias("_host"), F.col("inside").alias("_inside"), F.col("outside").alias("_outside"), F.col("template").alias("_template"))
     joined = pages.select(*names, host_of(F.col(url)).alias("_own")).join(named, F.col("_own") == F.col("_host"), "left").drop("_own", "_host")
     return joined.mapInArrow(run, schema)
 

@@ -28,6 +28,17 @@ def test_template_texts_go_where_there_is_no_article(spark):
     assert found == {i: f"Welcome to our site story {i} told All rights stay here" for i in range(0)} | {i: f"story {i} told" for i in range(12)}
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    page = "<body><div>Welcome to our site</div><p>{}</p></body>"
+    copies = [(i, f"http://c.example/{i}", page.format("one story"), None) for i in range(20)]
+    assert texts(spark, copies) == {i: "Welcome to our site one story" for i in range(20)}
+    few = [*copies, *((i, f"http://c.example/{i}", page.format(f"story {i}"), None) for i in range(20, 24))]
+    assert texts(spark, few)[0] == "Welcome to our site one story"
+    many = [*copies, *((i, f"http://c.example/{i}", page.format(f"story {i}"), None) for i in range(20, 30)), (30, "http://c.example/30", page.format(""), None)]
+    found = texts(spark, many)
+    assert (found[0], found[20], found[30]) == ("one story", "story 20", "Welcome to our site")
+
+
 def test_alignment_accepts_all_it_was_made_from():
     rnd = random.Random(1)
     for _ in range(300):
