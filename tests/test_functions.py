@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import at
+from readings import at
 from pyspark.sql import functions as F
 
 from sensorstream.functions import bits, text, timing, topics

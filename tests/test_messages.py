@@ -4,7 +4,7 @@ import json
 from datetime import timedelta
 
 import pytest
-from conftest import START, at, make_readings, ms
+from readings import START, at, make_readings, ms
 from pyspark.sql import functions as F
 
 from sensorstream import fixed

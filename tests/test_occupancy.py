@@ -2,7 +2,7 @@ import random
 from datetime import timedelta
 
 import pytest
-from conftest import START, at, make_readings, ms, random_readings
+from readings import START, at, make_readings, ms, random_readings
 
 from sensorstream.operators import occupancy as occ
 from sensorstream.operators import stats, trend

@@ -4,7 +4,7 @@ import random
 from datetime import timedelta
 
 import pytest
-from conftest import START, at, by_key, make_readings, ms, random_readings
+from readings import START, at, by_key, make_readings, ms, random_readings
 from pyspark.sql import functions as F
 
 from sensorstream.operators import carry, changes, late, trailing, trend

@@ -1,4 +1,4 @@
-from conftest import at, ms
+from readings import at, ms
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -4,7 +4,7 @@ import uuid
 from datetime import timedelta
 
 import pytest
-from conftest import START, at, make_readings, ms, random_readings
+from readings import START, at, make_readings, ms, random_readings
 from pyspark.sql import functions as F
 
 from sensorstream.operators import changes, occupancy, samples, stats, trend
