@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorstream.llm import hilbert, langid, mixing, multiindex, partenum, piece, rans, spotsigs, warc, wrappers
+from sensorstream.llm import hilbert, langid, lexical, mixing, multiindex, partenum, piece, rans, spotsigs, warc, wrappers
 from sensorstream.llm.common import crc32_utf8, shared_path, table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,22 @@ c as (select node, min(seen) as component_id from r group by 1)
 select v.vec_id, (select count(*) from l where l.a = v.vec_id) as n_links, c.component_id, v.vec_id = c.component_id as kept
 from v join c on c.node = v.vec_id
 """
+
+
+@query
+def op12_presence_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 50)
+
+
+ORACLES["op12_presence_masks"] = r"""
+with w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+d as (select row_number() over () as row, doc_id, w, len(w)::bigint as n from w where len(w) > 0),
+k as (select count(*)::bigint as docs, sum(n)::bigint as total from d),
+t as (select row, doc_id, any_value(n) as n, term, count(*)::bigint as tf from (select row, doc_id, n, unnest(w) as term from d) group by row, doc_id, term),
+i as (select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+f as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as weight from t, k group by term, docs),
+s as (select item_id, row, t.doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::bigint as score
+  from t join i using (term) join f using (term), k group by item_id, row, t.doc_id),
+r as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score from s where score > 0)
+select * from r where rank <= 50
+"""
