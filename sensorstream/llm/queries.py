@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorstream.llm import hilbert, langid, lexical, mixing, multiindex, partenum, piece, rans, spotsigs, warc, wrappers
+from sensorstream.llm import hilbert, langid, lexical, mixing, multiindex, partenum, piece, rans, spotsigs, warc, whitening, wrappers
 from sensorstream.llm.common import crc32_utf8, shared_path, table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,8 @@ s as (select item_id, row, t.doc_id, sum(weight * ((1000000000 * tf) // (1000 *
 r as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score from s where score > 0)
 select * from r where rank <= 50
 """
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
