@@ -79,15 +79,14 @@ def turns_as_replies(messages: DataFrame, tree: str = "conv_id", turn: str = "tu
 
 
 def _follow(left: DataFrame, right: DataFrame, key: str, rows: int) -> DataFrame:
-    """Left join on `key`, of which `right` has one row each. Keys with more than one in HOT of the left rows, fewer than HOT
-    by count, are broadcast: a message with very many answers is not one task's work."""
+    """Join on `key`, of which `right` has at most one row each. Keys with more than one in HOT of all rows on the left, fewer than
+    HOT by count, are broadcast: a message with very many answers is not one task's work."""
     count = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = [r[0] for r in count.where(F.col("_n") * HOT > max(rows, 64 * HOT)).select(key).collect()]
     if not hot:
-        return left.join(right, key, "left")
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+        return left.join(right, key)
     few = F.broadcast(right.where(F.col(key).isin(hot)))
-    return left.where(is_hot).join(few, key, "left").unionByName(left.where(~is_hot).join(right, key, "left"))
+    return left.where(F.col(key).isin(hot)).join(few, key).unionByName(left.where(~F.col(key).isin(hot)).join(right, key))
 
 
 def branches(replies: DataFrame, best: int | None = 1) -> tuple[DataFrame, DataFrame]:
@@ -99,21 +98,20 @@ def branches(replies: DataFrame, best: int | None = 1) -> tuple[DataFrame, DataF
     messages on or below a cycle of parents have no root and are on no branch."""
     light = table(replies.select("tree", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")), "chat-light")
     rows = light.count()
-    there = light.select(F.col("node").alias("parent"), F.lit(True).alias("_there"))
-    known = _follow(light, there, "parent", rows)
-    up = F.when(F.col("_there"), F.col("parent"))
-    jump = table(known.select("tree", "node", up.alias("up"), F.lit(1).cast("long").alias("steps"), "score"), "chat-jump")
-    jumps = [jump]
-    while (1 << (len(jumps) - 1)) <= rows and jump.where("up is not null").head(1):
-        further = jump.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("score").alias("score2"))
-        both = _follow(jump, further, "up", rows)
-        jump = table(
-            both.select("tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score")),
-            "chat-jump",
-        )
-        jumps.append(jump)
-    answered = jumps[0].where("up is not null").select(F.col("up").alias("node")).distinct()
-    leaves = jump.where("up is null").join(answered, "node", "left_anti")
+    answers = _follow(light.where("parent is not null"), light.select(F.col("node").alias("parent")), "parent", rows)
+    roots = light.join(answers.select("node"), "node", "left_anti").select("tree", "node", F.lit(None).cast("long").alias("up"), F.lit(1).cast("long").alias("steps"), "score")
+    jump = table(roots.unionByName(answers.select("tree", "node", F.col("parent").alias("up"), F.lit(1).cast("long").alias("steps"), "score")), "chat-jump")
+    # A message is finished once its jump passes the root; later rounds carry the others only.
+    rounds, finished = [jump], jump.where("up is null")
+    while (1 << (len(rounds) - 1)) <= rows and rounds[-1].where("up is not null").head(1):
+        going = rounds[-1].where("up is not null")
+        further = finished.unionByName(going).select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("score").alias("score2"))
+        both = _follow(going, further, "up", rows)
+        jump = table(both.select("tree", "node", F.col("up2").alias("up"), (F.col("steps") + F.col("steps2")).alias("steps"), (F.col("score") + F.col("score2")).alias("score")), "chat-jump")
+        rounds.append(jump)
+        finished = finished.unionByName(jump.where("up is null"))
+    answered = rounds[0].where("up is not null").select(F.col("up").alias("node")).distinct()
+    leaves = finished.join(answered, "node", "left_anti")
     ranked = leaves.select("tree", F.col("node").alias("leaf"), "score", F.col("steps").alias("depth"))
     if best is None:
         chosen = ranked.withColumn("rank", F.lit(None).cast("int"))
@@ -122,15 +120,14 @@ def branches(replies: DataFrame, best: int | None = 1) -> tuple[DataFrame, DataF
         chosen = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
     chosen = table(chosen.select("tree", "leaf", "rank", "score", "depth"), "chat-leaves")
     path = chosen.select("leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("above"))
-    for reach, known in enumerate(jumps[:-1]):
-        step = known.where("up is not null").select("node", "up")
-        higher = _follow(path, step, "node", rows).where("up is not null")
-        path = table(path.unionByName(higher.select("leaf", F.col("up").alias("node"), (F.col("above") + (1 << reach)).alias("above"))), "chat-paths")
+    for reach, known in enumerate(rounds[:-1]):
+        higher = _follow(path, known.where("up is not null").select("node", "up"), "node", rows)
+        path = path.unionByName(table(higher.select("leaf", F.col("up").alias("node"), (F.col("above") + (1 << reach)).alias("above")), "chat-paths"))
     return chosen, path
 
 
 def format_branches(replies: DataFrame, best: int | None = 1, loss_roles=("assistant",)) -> DataFrame:
-    """(tree, leaf, rank, part, formatted, loss): the `best` branches of each tree as conversations, null texts and roles as
+    """(tree, leaf, rank, parts, part, formatted, loss): the `best` branches of each tree as conversations, null texts and roles as
     empty ones. `loss` lists the (start, length), in code points of `formatted`, that training counts: the texts of `loss_roles`,
     without role, marks or line feeds of the template.
 
@@ -148,7 +145,8 @@ def format_branches(replies: DataFrame, best: int | None = 1, loss_roles=("assis
     parts = full.select("leaf", "part", turn.alias("t")).groupBy("leaf", "part").agg(F.sort_array(F.collect_list("t")).alias("t"))
     loss = F.transform(F.filter("t", lambda t: t["counts"]), lambda t: F.struct(t["start"].alias("start"), t["length"].cast("long").alias("length")))
     parts = parts.select("leaf", "part", F.array_join("t.turn", "").alias("formatted"), loss.alias("loss"))
-    return parts.join(chosen, "leaf").select("tree", "leaf", "rank", "part", "formatted", "loss")
+    count = F.ceil(F.col("depth") / PART_TURNS).alias("parts")
+    return parts.join(chosen, "leaf").select("tree", "leaf", "rank", count, "part", "formatted", "loss")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -159,11 +157,15 @@ def read_back(formatted: DataFrame) -> DataFrame:
     said = lambda t: F.substring(t, F.length(F.substring_index(t, "\n", 1)) + 2, F.length(t))
     plain = F.transform(each, lambda t: F.concat(unescape_role(name(t)), F.lit("\n"), unescape(said(t)), F.lit("\n")))
     under = F.transform("loss", lambda s: unescape(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
-    parts = formatted.select(
-        "tree", "leaf", "rank", F.length("formatted").cast("long").alias("chars"), F.size(each).cast("long").alias("turns"),
-        F.struct("part", F.array_join(plain, "").alias("plain"), F.array_join(under, "").alias("loss")).alias("piece"),
+    read = formatted.select(
+        "tree", "leaf", "rank", "parts", "part", F.size(each).cast("long").alias("n_turns"), F.array_join(plain, "").alias("turns"), F.array_join(under, "").alias("loss_text"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
     )
-    whole = parts.groupBy("leaf").agg(
-        F.first("tree").alias("tree"), F.first("rank").alias("rank"), F.sum("turns").alias("n_turns"), F.sum("chars").alias("formatted_chars"), F.sort_array(F.collect_list("piece")).alias("pieces")
+    columns = ["tree", "leaf", "rank", "n_turns", "turns", "loss_text", "formatted_chars"]
+    # Only conversations of several parts have anything to put together.
+    piece = F.struct("part", "turns", "loss_text")
+    several = read.where("parts > 1").groupBy("leaf").agg(
+        F.first("tree").alias("tree"), F.first("rank").alias("rank"), F.sum("n_turns").alias("n_turns"), F.sum("formatted_chars").alias("formatted_chars"), F.sort_array(F.collect_list(piece)).alias("p")
     )
-    return whole.select("tree", "leaf", "rank", "n_turns", F.array_join("pieces.plain", "").alias("turns"), F.array_join("pieces.loss", "").alias("loss_text"), "formatted_chars")
+    several = several.withColumn("turns", F.array_join("p.turns", "")).withColumn("loss_text", F.array_join("p.loss_text", ""))
+    return read.where("parts = 1").select(*columns).unionByName(several.select(*columns))
