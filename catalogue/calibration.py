@@ -44,7 +44,8 @@ def rpr_register_settings(spark, sf_dir):
 # fixed values in the SQL: the data sheet's lux segments
 @query(f"""with {I.SQL_RPR}
 select sample_id, d0 as illumination, d1 as infrared_illumination,
-  cast(case when ms = 0 then -1 when d0 = 0 then 0
+  case when data0 is null or ps is null then 'failed read' when ms = 0 then 'not measuring' end as reject_reason,
+  cast(case when data0 is null then null when ms = 0 then -1 when d0 = 0 then 0
     when d1 / d0 < 0.595::double then 1.682::double * d0 - 1.877::double * d1
     when d1 / d0 < 1.015::double then 0.644::double * d0 - 0.132::double * d1
     when d1 / d0 < 1.352::double then 0.756::double * d0 - 0.243::double * d1
@@ -53,10 +54,10 @@ select sample_id, d0 as illumination, d1 as infrared_illumination,
 from rpr_adj""")
 def calibrate_rpr(spark, sf_dir):
     out = C.calibrate_rpr(_rpr(spark, sf_dir))
-    return out.select("sample_id", "illumination", "infrared_illumination", "ambient_light")
+    return out.select("sample_id", "illumination", "infrared_illumination", "ambient_light", "reject_reason")
 
 
-@query(f"with {I.SQL_RPR} select sample_id, ps as proximity, case when ps >= 1000 then 1 else 0 end as near from rpr")
+@query(f"with {I.SQL_RPR} select sample_id, ps as proximity, case when ps >= 1000 then 1 when ps < 1000 then 0 end as near from rpr")
 def proximity_state(spark, sf_dir):
     return C.calibrate_rpr(_rpr(spark, sf_dir)).select("sample_id", F.col("proximity").cast("bigint").alias("proximity"), "near")
 
@@ -70,7 +71,7 @@ def dps310_coefficients(spark, sf_dir):
 select sample_id, temperature, air_pressure,
   case when air_pressure > 0 then
     round(cast(44330 as double) * (1 - pow(air_pressure / sea_level, cast(0.190284 as double))), 4) end as altitude,
-  coalesce(air_pressure <= 0, false) as no_altitude, case when c0 is null then 'no coefficients' end as reject_reason
+  coalesce(air_pressure <= 0, false) as no_altitude, reject_reason
 from dps_out""")
 def calibrate_dps310(spark, sf_dir):
     raw = I.dps310_raw(spark, sf_dir).withColumns({
@@ -79,12 +80,15 @@ def calibrate_dps310(spark, sf_dir):
     })
     coefficients = C.dps310_coefficients(I.dps310_tables(spark, sf_dir))
     some = coefficients.where("cast(substr(device_id, 2) as bigint) % 29 <> 0")
+    # some devices have the same row twice, some a second one that differs
+    number = F.expr("cast(substr(device_id, 2) as bigint)")
+    some = some.unionByName(some.where(number % 7 == 0)).unionByName(some.where(number % 31 == 0).withColumn("c30", F.col("c30") + 1))
     out = C.calibrate_dps310(raw, some)
     return out.select("sample_id", "temperature", "air_pressure", *_altitude_out(), "reject_reason")
 
 
 def _altitude_out():
-    unknown = F.isnan("altitude")
+    unknown = F.coalesce(F.isnan("altitude"), F.lit(False))
     return F.when(~unknown, F.round("altitude", 4)).alias("altitude"), unknown.alias("no_altitude")
 
 

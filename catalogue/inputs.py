@@ -134,10 +134,10 @@ def as_messages(source: DataFrame) -> DataFrame:
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings whose partitions deliver every five rows in reverse."""
-    return readings(spark, sf_dir).withColumn(
-        "src_offset", F.expr("(src_offset div 5) * 5 + (4 - src_offset % 5)")
-    )
+    """Readings whose partitions deliver every five rows in reverse; the last partition has no number."""
+    return readings(spark, sf_dir).withColumns({
+        "src_offset": F.expr("(src_offset div 5) * 5 + (4 - src_offset % 5)"), "src_partition": F.expr("nullif(src_partition, 3)"),
+    })
 
 
 # The same mappings for the oracle.
@@ -254,8 +254,8 @@ bh as (
 def rpr_raw(spark, sf_dir) -> DataFrame:
     return _counts(
         spark, sf_dir,
-        ps=f"cast({RPR_PS} as int)",
-        d0_lo=f"cast({RPR_D0} % 256 as int)", d0_hi=f"cast({RPR_D0} div 256 as int)",
+        ps=f"case when l_orderkey % 43 <> 0 then cast({RPR_PS} as int) end",
+        d0_lo=f"case when l_orderkey % 41 <> 0 then cast({RPR_D0} % 256 as int) end", d0_hi=f"cast({RPR_D0} div 256 as int)",
         d1_lo=f"cast({RPR_D1} % 256 as int)", d1_hi=f"cast({RPR_D1} div 256 as int)",
         als_ps_reg="cast((l_suppkey * 37) % 256 as int)", mode_reg="cast((l_suppkey * 11) % 256 as int)",
     )
@@ -264,7 +264,7 @@ def rpr_raw(spark, sf_dir) -> DataFrame:
 SQL_RPR = f"""
 rpr as (
   select l_orderkey * 8 + l_linenumber as sample_id, 's' || cast(1000 + l_suppkey as varchar) as device_id,
-    {RPR_PS} as ps, {RPR_D0} as data0, {RPR_D1} as data1,
+    case when l_orderkey % 43 <> 0 then {RPR_PS} end as ps, case when l_orderkey % 41 <> 0 then {RPR_D0} end as data0, {RPR_D1} as data1,
     (l_suppkey * 37) % 256 as als, (l_suppkey * 11) % 256 as mode
   from lineitem),
 rpr_set as ( -- fixed values: gains and measurement times of the data sheet, by register field
@@ -319,9 +319,9 @@ coeff as (
 def dps310_raw(spark, sf_dir) -> DataFrame:
     return _counts(
         spark, sf_dir,
-        p2=f"cast({DPS_P} div 65536 as int)", p1=f"cast({DPS_P} div 256 % 256 as int)", p0=f"cast({DPS_P} % 256 as int)",
+        p2=f"cast({DPS_P} div 65536 as int)", p1=f"cast({DPS_P} div 256 % 256 as int)", p0=f"case when l_orderkey % 50 <> 0 then cast({DPS_P} % 256 as int) end",
         t2=f"cast({DPS_T} div 65536 as int)", t1=f"cast({DPS_T} div 256 % 256 as int)", t0=f"cast({DPS_T} % 256 as int)",
-        p_os="cast(shiftleft(1, cast(l_linenumber % 8 as int)) as int)",
+        p_os="case when l_suppkey % 17 = 0 then 3 else cast(shiftleft(1, cast(l_linenumber % 8 as int)) as int) end",
         t_os="cast(shiftleft(1, cast(l_orderkey % 8 as int)) as int)",
         sea_level="cast(1000 + l_suppkey % 30 as double)",
     )
@@ -333,17 +333,20 @@ scales as ( -- fixed values: scale factors of the data sheet, by log2 of the ove
     (4, 253952.0::double), (5, 516096.0::double), (6, 1040384.0::double), (7, 2088960.0::double)) as s(shift, k)),
 dps as (
   select l_orderkey * 8 + l_linenumber as sample_id, coeff.*,
-    (case when {DPS_P} >= 8388608 then {DPS_P} - 16777216 else {DPS_P} end) / sp.k as p,
+    l_orderkey % 50 = 0 as unread, sp.k is null as unscaled, cast(substr(coeff.device_id, 2) as bigint) % 31 = 0 as several,
+    case when l_orderkey % 50 <> 0 then (case when {DPS_P} >= 8388608 then {DPS_P} - 16777216 else {DPS_P} end) / sp.k end as p,
     (case when {DPS_T} >= 8388608 then {DPS_T} - 16777216 else {DPS_T} end) / st.k as t,
     cast(1000 + l_suppkey % 30 as double) as sea_level
   from lineitem
-  join scales sp on l_linenumber % 8 = sp.shift
+  left join scales sp on l_linenumber % 8 = sp.shift and l_suppkey % 17 <> 0
   join scales st on l_orderkey % 8 = st.shift
   left join coeff on coeff.device_id = 's' || cast(1000 + l_suppkey as varchar)
     and cast(substr(coeff.device_id, 2) as bigint) % 29 <> 0),
 dps_out as (
-  select *, c0 * cast(0.5 as double) + c1 * t as temperature,
-    (c00 + p * (c10 + p * (c20 + p * c30)) + t * c01 + t * p * (c11 + p * c21)) / cast(100 as double) as air_pressure
+  select *, case when not several then c0 * cast(0.5 as double) + c1 * t end as temperature,
+    case when not several then (c00 + p * (c10 + p * (c20 + p * c30)) + t * c01 + t * p * (c11 + p * c21)) / cast(100 as double) end as air_pressure,
+    case when several then 'several coefficients' when c0 is null then 'no coefficients' when unread then 'failed read'
+      when unscaled then 'unknown oversampling' end as reject_reason
   from dps)"""
 
 

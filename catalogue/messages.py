@@ -214,8 +214,8 @@ def two_decimal_records(spark, sf_dir):
     return publish.rolling_mean_records(means, keep=[F.unix_millis("at").alias("at_ms")])
 
 
-# The collectors of five devices: payloads are taken whole.
-_DEVICES = ["s1001", "s1002", "s1003", "s1005", "s1008"]
+# The collectors of all devices: payloads are taken whole.
+_DEVICES = [f"s{1000 + i}" for i in range(10)]
 _TOPICS = ", ".join(f"'i483-sensors-{d}-{m}'" for m in ("BH1750-illumination", "SCD41-co2") for d in _DEVICES)
 _SQL_NUMBER = r"'\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*'"
 _SQL_COLLECTED = I.SQL_RECORDS + f""",

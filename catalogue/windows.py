@@ -229,7 +229,7 @@ def occupancy_one_room(spark, sf_dir):
 
 
 @query(f"""with {I.SQL_READINGS}, arrivals as (
-  select * replace ((src_offset // 5) * 5 + (4 - src_offset % 5) as src_offset) from readings),
+  select * replace ((src_offset // 5) * 5 + (4 - src_offset % 5) as src_offset, nullif(src_partition, 3) as src_partition) from readings),
 seen as (
   select *, max(ts_ms) over (partition by src_partition order by src_offset
     rows between unbounded preceding and 1 preceding) as top
@@ -243,13 +243,16 @@ def late_rows(spark, sf_dir):
 
 
 @query(f"""with {I.SQL_READINGS}, gappy as (
-  select *, case when src_offset % 3 <> 0 then value end as sample from readings)
+  select * replace (case when src_offset % 11 <> 0 then device_id end as device_id), case when src_offset % 3 <> 0 then value end as sample from readings)
 select {KEY}, ts_ms, src_partition, src_offset, sample,
   last_value(sample ignore nulls) over (partition by {KEY} order by ts_ms, src_partition, src_offset
     rows between unbounded preceding and current row) as published
 from gappy""")
 def carry_forward(spark, sf_dir):
-    gappy = I.readings(spark, sf_dir).withColumn("sample", F.when(F.col("src_offset") % 3 != 0, F.col("value")))
+    # some readings have lost the name of their device
+    gappy = I.readings(spark, sf_dir).withColumns({
+        "sample": F.when(F.col("src_offset") % 3 != 0, F.col("value")), "device_id": F.when(F.col("src_offset") % 11 != 0, F.col("device_id")),
+    })
     filled = carry.carry_forward(gappy, value="sample", block="6 hours")
     return filled.select(
         "device_id", "sensor", "metric", millis("ts", "ts_ms"), "src_partition", "src_offset", "sample", "published"

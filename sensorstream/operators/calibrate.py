@@ -22,6 +22,9 @@ FAILED_READ = "failed read"
 NO_SETTINGS = "no settings"
 BAD_ACCURACY = "accuracy out of range"
 NO_COEFFICIENTS = "no coefficients"
+SEVERAL_COEFFICIENTS = "several coefficients"
+BAD_OVERSAMPLING = "unknown oversampling"
+NOT_MEASURING = "not measuring"
 BAD_FRAME = "bad checksum"
 
 
@@ -80,14 +83,15 @@ def rpr_lux(d0: Column, d1: Column) -> Column:
 
 
 def proximity_state(ps: Column, near: int = fixed.RPR_NEAR_COUNT) -> Column:
-    return F.when(ps >= near, F.lit(1)).otherwise(F.lit(0))
+    """1 near, 0 far, null without a count."""
+    return F.when(ps >= near, F.lit(1)).when(ps < near, F.lit(0))
 
 
 def calibrate_rpr(raw: DataFrame) -> DataFrame:
     """Adds illumination, infrared_illumination, ambient_light, proximity and near.
 
     Takes ps, data0, data1, als_ps_reg, mode_reg. Ambient light is -1 where the sensor is set
-    not to measure.
+    not to measure, and null without counts or registers. `reject_reason` says why values are missing.
     """
     timed = rpr_settings(raw)
     adjusted = timed.withColumns({
@@ -95,12 +99,20 @@ def calibrate_rpr(raw: DataFrame) -> DataFrame:
         "infrared_illumination": _rpr_adjusted(F.col("data1"), F.col("gain1"), F.col("measure_ms")),
     })
     measured = F.col("illumination").isNotNull() & F.col("infrared_illumination").isNotNull()
+    unread = F.col("data0").isNull() | F.col("data1").isNull()
+    unset = F.col("measure_ms").isNull() | F.col("gain0").isNull() | F.col("gain1").isNull()
+    reason = (
+        F.when(unread | F.col("ps").isNull(), FAILED_READ)
+        .when(unset, NO_SETTINGS)
+        .when(~measured, NOT_MEASURING)
+    )
     return adjusted.withColumns({
         "ambient_light": F.when(
             measured, rpr_lux(F.col("illumination"), F.col("infrared_illumination"))
-        ).otherwise(F.lit(-1.0)),
+        ).when(~unread & ~unset, F.lit(-1.0)),
         "proximity": F.col("ps"),
         "near": proximity_state(F.col("ps")),
+        "reject_reason": reason,
     })
 
 
@@ -158,15 +170,26 @@ def sea_level_pressure(pressure: Column, height: Column) -> Column:
 def calibrate_dps310(raw: DataFrame, coefficients: DataFrame, device: str = "device_id") -> DataFrame:
     """Adds temperature, air_pressure and altitude.
 
-    `raw` has p_raw, t_raw (unsigned 24-bit), p_os, t_os and sea_level; `coefficients` has one
-    row of c0..c30 per device. A sample of a device without coefficients stays, without values
-    and with a reject_reason.
+    `raw` has p_raw, t_raw (unsigned 24-bit), p_os, t_os and sea_level; `coefficients` has
+    c0..c30 per device; rows that say the same are one. Every sample stays, once, with a reject_reason where a value is
+    missing: no or incomplete coefficients, several different ones, no count, an unknown oversampling
+    rate, no pressure at sea level.
     """
     names = ("c0", "c1", "c00", "c10", "c01", "c11", "c20", "c21", "c30")
-    known = coefficients.select(device, *names, F.lit(True).alias("_known"))
-    joined = raw.join(known, device, "left").withColumn(
-        "reject_reason", F.when(F.col("_known").isNull(), NO_COEFFICIENTS)
+    row = F.struct(*names)
+    known = coefficients.groupBy(device).agg(F.min(row).alias("_row"), (F.min(row) != F.max(row)).alias("_several"))
+    joined = raw.join(known, device, "left")
+    usable = F.when(~F.col("_several"), F.col("_row"))
+    joined = joined.withColumns({name: usable[name] for name in names})
+    scales = {name: dps310_scale(F.col(name)) for name in ("t_os", "p_os")}
+    reason = (
+        F.when(F.col("_several"), SEVERAL_COEFFICIENTS)
+        .when(F.greatest(*[F.col(name).isNull() for name in names]), NO_COEFFICIENTS)
+        .when(F.col("t_raw").isNull() | F.col("p_raw").isNull(), FAILED_READ)
+        .when(scales["t_os"].isNull() | scales["p_os"].isNull(), BAD_OVERSAMPLING)
+        .when(F.col("sea_level").isNull(), NO_SETTINGS)
     )
+    joined = joined.withColumn("reject_reason", reason)
     scaled = joined.withColumns({
         "_t": F.try_divide(signed(F.col("t_raw"), 24), dps310_scale(F.col("t_os"))),
         "_p": F.try_divide(signed(F.col("p_raw"), 24), dps310_scale(F.col("p_os"))),
@@ -176,7 +199,7 @@ def calibrate_dps310(raw: DataFrame, coefficients: DataFrame, device: str = "dev
         "air_pressure": dps310_pressure(F.col("_p"), F.col("_t")),
     })
     return measured.withColumn("altitude", altitude(F.col("air_pressure"), F.col("sea_level"))).drop(
-        "_t", "_p", "_known", *names
+        "_t", "_p", "_row", "_several", *names
     )
 
 

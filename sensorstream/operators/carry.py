@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorstream.functions.timing import duration_us, floor_div, keeps_columns, never_null
+from sensorstream.functions.timing import duration_us, floor_div, keeps_columns
 from sensorstream.schemas import ARRIVAL_ORDER, READING_KEY
 
 
@@ -22,25 +22,27 @@ def carry_forward(
     Filled inside time blocks first. Samples still empty after that look up what the earlier
     blocks of their key hand over: the last filled sample of each block, taken from the same
     exchange, so the input is read once. They are joined on key and block, which is how the
-    samples are partitioned already. Key columns must not be null.
+    samples are partitioned already. Null keys are keys like any other; samples without a time
+    come before all others of their key.
     """
     keys, order = list(key_cols), list(order_cols)
-    placed = samples.withColumn("_block", floor_div(F.unix_micros("ts"), duration_us(block)))
-    in_block = Window.partitionBy(*keys, "_block").orderBy(*order)
+    # A structure is never null itself, and its null fields are equal to each other.
+    place = F.struct(F.struct(*keys).alias("key"), floor_div(F.unix_micros("ts"), duration_us(block)).alias("block"))
+    placed = samples.withColumn("_place", place)
+    in_block = Window.partitionBy("_place").orderBy(*order)
     filled = placed.withColumn(
         out, F.last(value, ignorenulls=True).over(in_block.rowsBetween(Window.unboundedPreceding, 0))
     )
     filled = filled.withColumn("_last", F.lead(F.lit(1)).over(in_block).isNull())
     filled = filled.where(keeps_columns(samples.columns))
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_place.key").orderBy("_place.block").rowsBetween(Window.unboundedPreceding, -1)
     handed = (
         filled.where("_last")
-        .select(*keys, "_block", F.last(out, ignorenulls=True).over(earlier).alias("_handed"))
+        .select("_place", F.last(out, ignorenulls=True).over(earlier).alias("_handed"))
         .where(F.col("_handed").isNotNull())
     )
-    handed = handed.select(*[never_null(handed, c) for c in (*keys, "_block")], "_handed")
     return (
-        filled.join(handed, [*keys, "_block"], "left")
+        filled.join(handed, "_place", "left")
         .withColumn(out, F.coalesce(out, "_handed"))
         .select(*samples.columns, out)
     )

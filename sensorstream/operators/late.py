@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorstream import fixed
-from sensorstream.functions.timing import duration_us, floor_div, keeps_columns, never_null
+from sensorstream.functions.timing import duration_us, floor_div, keeps_columns
 
 
 def late_rows(
@@ -21,27 +21,29 @@ def late_rows(
     Arrival order exists per source partition. It is cut into blocks of offsets, of equal
     size even when one partition holds most rows; per block only the highest timestamp
     travels on, from the block's last row in the same exchange, so the input is read once.
-    Rows without an offset have no order: they make the query fail rather than pass unseen.
+    Rows without an offset have no order: they make the query fail rather than pass unseen. Rows
+    without a partition are one partition of their own.
     """
     delay_us = duration_us(delay)
     offset = F.coalesce(F.col(offset_col), F.raise_error(f"late_rows: {offset_col} is null").cast("bigint"))
-    placed = readings.withColumn("_at", F.unix_micros("ts")).withColumn("_block", floor_div(offset, block_rows))
+    # A structure is never null itself, and its null fields are equal to each other.
+    place = F.struct(F.col(source_col).alias("source"), floor_div(offset, block_rows).alias("block"))
+    placed = readings.withColumn("_at", F.unix_micros("ts")).withColumn("_place", place)
     before_block = (
-        Window.partitionBy(source_col).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_place.source").orderBy("_place.block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    in_block = Window.partitionBy(source_col, "_block").orderBy(offset_col)
+    in_block = Window.partitionBy("_place").orderBy(offset_col)
     seen = placed.withColumn("_seen", F.max("_at").over(in_block.rowsBetween(Window.unboundedPreceding, -1))).withColumn(
         "_last", F.lead(F.lit(1)).over(in_block).isNull()
     ).where(keeps_columns(readings.columns))
     handed = (
         seen.where("_last")
         .withColumn("_top", F.greatest("_seen", "_at"))
-        .select(source_col, "_block", F.max("_top").over(before_block).alias("_handed"))
+        .select("_place", F.max("_top").over(before_block).alias("_handed"))
     )
-    handed = handed.select(*[never_null(handed, c) for c in (source_col, "_block")], "_handed")
     lag_us = F.greatest("_seen", "_handed") - F.col("_at")
     return (
-        seen.join(handed, [source_col, "_block"], "left")
+        seen.join(handed, "_place", "left")
         .withColumn("_lag_us", lag_us)
         .where(F.col("_lag_us") > delay_us)
         .select(*readings.columns, floor_div(F.col("_lag_us"), 1000).alias("lag_ms"))

@@ -128,3 +128,24 @@ def test_one_bad_device_does_not_need_python(spark):
     plan = C.calibrate_scd41(spark.createDataFrame([frame(1, 2, 3)], [f"b{i}" for i in range(9)]))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Exchange" not in text
+
+
+def test_every_sample_comes_out_once_with_a_reason(spark):
+    names = ["c0", "c1", "c00", "c10", "c01", "c11", "c20", "c21", "c30"]
+    row = lambda device, c30: (device, 200, -260, 80000, -50000, -2500, 1200, -9000, 10, c30)
+    known = spark.createDataFrame([row("one", 5), row("one", 5), row("two", 5), row("two", 6), row("gap", None)], "device_id string, " + ", ".join(f"{n} int" for n in names))
+    raw = spark.createDataFrame(
+        [(1, "one", 1, 1, 1, 1, 1013.0), (2, "two", 1, 1, 1, 1, 1013.0), (3, "gap", 1, 1, 1, 1, 1013.0), (4, None, 1, 1, 1, 1, 1013.0), (5, "one", None, 1, 1, 1, 1013.0),
+         (6, "one", 1, 1, 3, 1, 1013.0), (7, "one", 1, 1, 1, 1, None)],
+        "id int, device_id string, p_raw int, t_raw int, p_os int, t_os int, sea_level double")
+    got = {r.id: r for r in C.calibrate_dps310(raw, known).collect()}
+    assert {i: r.reject_reason for i, r in got.items()} == {
+        1: None, 2: C.SEVERAL_COEFFICIENTS, 3: C.NO_COEFFICIENTS, 4: C.NO_COEFFICIENTS, 5: C.FAILED_READ, 6: C.BAD_OVERSAMPLING, 7: C.NO_SETTINGS}
+    assert got[1].altitude is not None and got[2].temperature is None and got[5].temperature is not None and got[5].air_pressure is None
+
+
+def test_optical_counts_that_are_missing(spark):
+    raw = spark.createDataFrame([(1, 1200, 5, 5, 0, 6), (2, None, 5, 5, 0, 6), (3, 10, None, 5, 0, 6), (4, 10, 5, 5, None, 6), (5, 10, 5, 5, 0, 0)],
+                                "id int, ps int, data0 int, data1 int, als_ps_reg int, mode_reg int")
+    got = {r.id: (r.near, r.ambient_light is None, r.reject_reason) for r in C.calibrate_rpr(raw).collect()}
+    assert got == {1: (1, False, None), 2: (None, False, C.FAILED_READ), 3: (0, True, C.FAILED_READ), 4: (0, True, C.NO_SETTINGS), 5: (0, False, C.NOT_MEASURING)}

@@ -189,6 +189,18 @@ def test_late_rows_against_a_walk(spark, block_rows):
     assert sorted((r.src_offset, r.lag_ms) for r in found) == wanted
 
 
+def test_null_partitions_keys_and_times_are_their_own(spark):
+    rows = [(at("2025-05-31 04:10:00"), 1), (at("2025-05-31 04:00:00"), 2), (at("2025-05-31 04:09:00"), 3), (at("2025-05-31 04:08:00"), 4)]
+    mixed = make_readings(spark, rows).withColumn("src_partition", F.when(F.col("src_offset") % 2 == 1, F.lit(0)))
+    for block_rows in (1, 1000):
+        assert [(r.value, r.src_partition, r.lag_ms) for r in late.late_rows(mixed, block_rows=block_rows).collect()] == [(3.0, None, 60_000)]
+    samples = mixed.withColumns({"device_id": F.when(F.col("src_offset") != 1, F.lit("0")), "sensor": F.lit(None).cast("string"),
+                                 "value": F.when(F.col("value") != 3, F.col("value")), "ts": F.when(F.col("src_offset") != 0, F.col("ts"))})
+    for block in ("1 second", "1 day"):
+        got = carry.carry_forward(samples, block=block).collect()
+        assert sorted((r.src_offset, r.device_id, r.published) for r in got) == [(0, "0", 1.0), (1, None, 2.0), (2, "0", 4.0), (3, "0", 4.0)]
+
+
 def walk_trend(readings, keys, size_ms, slide_ms, min_points=3, strict=False):
     out = []
     for key, rows in by_key(readings, *keys).items():
