@@ -22,16 +22,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
-    if ":" not in base.split("/")[0]:
-        base = f"file://{base}"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    # A path without scheme is one of the cluster's default file system.
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    whole = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toString()
+    return f"file://{whole[5:]}" if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: work is kept when executors go, lineage ends."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables made by `table` that nothing will read again."""
+    for df in tables:
+        spark, path = df.sparkSession, df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def spread(df: DataFrame, rows: int) -> DataFrame:

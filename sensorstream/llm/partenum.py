@@ -3,16 +3,19 @@
 Sets whose similarity reaches the threshold have sizes within its ratio and differ in a bounded number
 k of elements. Sizes are cut into bands, each band overlapping the next by one ratio, so that two such
 sets meet in a band; k follows from the band's largest size. The element domain is hashed into parts,
-few enough that two sets within k differ in one part by one element at most; each part is hashed into
+so many that two sets within k differ by one element at most in at least two parts; each part is hashed into
 cells, and leaving out one cell in turn, one choice leaves the difference out. So similar sets
-share a signature for certain: the hash of what a set has in a part without one of its cells.
+share a signature for certain: the hash of what a set has in a part without one of its cells. What is left may be
+nothing, which many sets share: a set in which that can happen in one part only goes without such signatures, as another part
+remains.
 
 Equal sets are one class before anything is joined. Of the classes under one signature only links to
 the least one are tried first (a star, in each batch and then over all batches). What then still lies in several components under one signature is
-compared across components: in pairs where a signature has few members, else in blocks of bounded
-size that meet two at a time in a task and give back links only. All candidates are compared exactly, on
-sets made anew from the texts. Nothing is capped, no group is gathered in one task and no list of all
-pairs of a group is made.
+compared across components, signature by signature: in pairs where it has few members, else in blocks of bounded
+size that meet two at a time in a task and give back links only. Before any text moves, candidates are held against each other by sketches, a byte for
+every element or two: the cells in which they differ are no more than the elements in which the sets differ, so none that are
+similar is lost. What remains is compared exactly, on sets made anew from the texts. Nothing is capped and
+no group is gathered in one task.
 """
 
 from __future__ import annotations
@@ -25,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorstream.llm.common import components, mix, mix1, pieces, rows_of, shingle_sets, table
+from sensorstream.llm.common import components, discard, mix, mix1, pieces, rows_of, shingle_sets, table
 
 #: Ratios that a band spans; the next band starts one ratio before its end.
-BAND = 3
+BAND = 1
 CELLS = 3
-#: Members of a signature up to which they are paired; rows and shingles per block beyond.
-FEW, BLOCK_ROWS, BLOCK_SHINGLES = 8, 256, 200_000
+#: Parts beyond those that the pigeonhole asks for: in so many a set may go without signatures of nothing.
+SPARE = 1
+#: Members of a signature up to which they are paired; rows, bytes of sketches and shingles per block beyond.
+FEW, BLOCK_ROWS, BLOCK_BYTES, BLOCK_SHINGLES = 32, 256, 400_000, 200_000
 
 
 @lru_cache(maxsize=128)
@@ -41,7 +46,7 @@ def bands(percent: int, upto: int) -> tuple[tuple[int, int, int], ...]:
     ratios = [1]
     while ratios[-1] <= upto:
         ratios.append(ratios[-1] * 100 // percent + 1)
-    while len(ratios) % BAND != 1 or len(ratios) < BAND + 2:
+    while (len(ratios) - 1) % BAND or len(ratios) < BAND + 2:
         ratios.append(ratios[-1] * 100 // percent + 1)
     ratios += [ratios[-1] * 100 // percent + 1, ratios[-1] * 100 // percent * 100 // percent + 2]
     out = []
@@ -59,7 +64,7 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
     for number, (low, high, k) in enumerate(bands(percent, 1 << max(6, n.bit_length()))):
         if not low <= n <= high or not k:
             continue
-        parts = k // 2 + 1
+        parts = k // 2 + 1 + SPARE
         place = mix(elements ^ np.uint64(mix1(number)))
         part = ((place >> np.uint64(34)) * np.uint64(parts) >> np.uint64(30)).astype(np.int64)
         cell = (place & np.uint64(0xFFFF)).astype(np.int64) % CELLS
@@ -71,27 +76,62 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
         sums = ((high_half << np.uint64(32)) + low_half).reshape(parts, CELLS)
         left = sums.sum(1, keepdims=True, dtype=np.uint64) - sums
         label = np.arange(size, dtype=np.uint64).reshape(parts, CELLS) + np.uint64((number + 1) << 32)
-        found.append(mix(left ^ mix(label)).ravel())
+        held = np.bincount(at, minlength=size).reshape(parts, CELLS)
+        nothing = held.sum(1, keepdims=True) == held
+        own = mix(left ^ mix(label))
+        found.append(own.ravel() if nothing.any(1).sum() > SPARE else own[~nothing])
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
+def sketch(elements: np.ndarray) -> bytes:
+    """A byte per cell of the element domain, as many cells as the greatest power of two up to the set's size: the exclusive or
+    of a byte of each element's hash. Sets of n and m elements whose sketches differ in c cells differ in c elements at least."""
+    if not len(elements):
+        return b""
+    cells = 1 << (len(elements).bit_length() - 1)
+    place = mix(elements ^ np.uint64(0xA24BAED4963EE407))
+    cell = (place >> np.uint64(32)).astype(np.int64) & (cells - 1)
+    order = np.argsort(cell, kind="stable")
+    heads = np.flatnonzero(np.append(True, np.diff(cell[order]) != 0))
+    out = np.zeros(cells, np.uint8)
+    out[cell[order][heads]] = np.bitwise_xor.reduceat((place & np.uint64(0xFF)).astype(np.uint8)[order], heads)
+    return out.tobytes()
+
+
+def _folded(sketch: np.ndarray, cells: int) -> np.ndarray:
+    while len(sketch) > cells:
+        half = len(sketch) // 2
+        sketch = sketch[:half] ^ sketch[half:]
+    return sketch
+
+
+def may_be_similar(a: bytes, b: bytes, na: int, nb: int, percent: int) -> bool:
+    """False only for sets that are not similar."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    cells = min(len(x), len(y))
+    differ = int(np.count_nonzero(_folded(x, cells) != _folded(y, cells)))
+    return differ * (100 + percent) <= (100 - percent) * (na + nb)
+
+
 def _long(values: np.ndarray) -> pa.Array:
     return pa.array(np.asarray(values, np.uint64).view(np.int64))
 
 
-SETS = "key long, n_shingles long, h1 long, h2 long, sigs array<long>, near array<struct<sig: long, low: long>>"
+SETS = "key long, n_shingles long, h1 long, h2 long, sketch binary, near array<struct<sig: long, low: long>>"
+HEADS = "h1 long, sigs array<long>"
 
 
-def shingled(docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """Of every row (key, text): size and 128-bit hash of its shingle set, and its PartEnum signatures. A signature that
+def shingled(docs: DataFrame, percent: int, width: int, heads: bool = False) -> DataFrame:
+    """Of every row (key, text): size, 128-bit hash and sketch of its shingle set, and its PartEnum signatures. A signature that
     several sets of the same Arrow batch have stands in `sigs` of the set with the least h1 only; the others have it in
     `near`, with that h1. So what is shuffled by signature is combined before: a signature has a row per batch,
     however many near copies share it. Copies of a set in a batch have their signatures once. Rows without a key are linked
-    with nothing: they have no signatures and hold none for others."""
+    with nothing: they have no signatures and hold none for others. `sigs` is most of the bytes, so it is not written: with `heads` only h1 and
+    `sigs` are returned, made anew on their way into a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, h1, h2, sigs = [], [], [], []
+            sizes, h1, h2, sketches, sigs = [], [], [], [], []
             met: set[tuple[int, int]] = set()
             for part in pieces(batch, "text"):
                 keyed = part.column("key").is_valid().to_pylist()
@@ -100,6 +140,7 @@ def shingled(docs: DataFrame, percent: int, width: int) -> DataFrame:
                     sigs.append(signatures(s, percent) if has_key and own not in met else np.zeros(0, np.uint64))
                     if has_key:
                         met.add(own)
+                    sketches.append(sketch(s) if has_key and not heads else None)
                     sizes.append(len(s))
                     h1.append(own[0])
                     h2.append(own[1])
@@ -117,13 +158,17 @@ def shingled(docs: DataFrame, percent: int, width: int) -> DataFrame:
             near = ~head & (low != h[row])
             ends = lambda mask: pa.array(np.append(0, np.cumsum(np.bincount(row[mask], minlength=len(sigs)))), pa.int32())
             lists = pa.ListArray.from_arrays(ends(head), pa.array(sig[head]))
+            if heads:
+                yield pa.RecordBatch.from_arrays([pa.array(h), lists], names=["h1", "sigs"])
+                continue
             pairs = pa.StructArray.from_arrays([pa.array(sig[near]), pa.array(low[near])], names=["sig", "low"])
+            near_lists = pa.ListArray.from_arrays(ends(near), pairs)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(h), _long(np.array(h2, np.uint64)), lists, pa.ListArray.from_arrays(ends(near), pairs)],
-                names=["key", "n_shingles", "h1", "h2", "sigs", "near"],
+                [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(h), _long(np.array(h2, np.uint64)), pa.array(sketches, pa.binary()), near_lists],
+                names=["key", "n_shingles", "h1", "h2", "sketch", "near"],
             )
 
-    return docs.select("key", "text").mapInArrow(run, SETS)
+    return docs.select("key", "text").mapInArrow(run, HEADS if heads else SETS)
 
 
 def _wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
@@ -154,7 +199,22 @@ def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
                     good.append(100 * both >= percent * (len(kept[x]) + len(s) - both))
                 yield part.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
-    return full.mapInArrow(run, "a long, b long")
+    links = table(full.mapInArrow(run, "a long, b long"), "join-links")
+    discard(wanted)
+    return links
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those (a, b) of `pairs` whose sketches do not rule them out."""
+    own = lambda side: classes.select(F.col("rep").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}"))
+    full = pairs.join(own("a"), "a").where(F.col("na") > 0).join(own("b"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = zip(*(batch.column(c).to_pylist() for c in ("sa", "sb", "na", "nb")), strict=True)
+            yield batch.filter(pa.array([may_be_similar(*s, percent) for s in sides], pa.bool_())).select(["a", "b"])
+
+    return full.mapInArrow(run, "a long, b long").distinct()
 
 
 def _near_labels(links: DataFrame) -> DataFrame:
@@ -213,6 +273,49 @@ def _block_links(nodes: DataFrame, texts: DataFrame, percent: int, width: int) -
     return full.groupBy("pair").applyInPandas(compare, "a long, b long").distinct()
 
 
+def _block_clusters(members: DataFrame, percent: int) -> DataFrame:
+    """(rep, cluster) of all that have a partner in another component under one of their signatures that sketches do not rule out,
+    from `members` (sig, rep, component, n, sketch); such partners are in one cluster. A task hands on a row for each of its sets, however many pairs there are. Blocks are filled by hash: components of some size have blocks of their own, which are not held against each other, all
+    others of a signature share blocks."""
+    weight = [F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("sketch")).alias("bytes")]
+    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("bytes") / BLOCK_BYTES)).cast("long")
+    wide = members.groupBy("sig", "component").agg(*weight).where(F.col("rows") * 2 >= BLOCK_ROWS).select("sig", "component", F.col("component").alias("label"))
+    named = members.join(wide, ["sig", "component"], "left").withColumn("label", F.coalesce("label", F.lit(-(2**63))))
+    fill = named.groupBy("sig", "label").agg(*weight).select("sig", "label", blocks.alias("blocks"))
+    dealt = named.join(fill, ["sig", "label"]).withColumn("at", F.struct("label", F.pmod(F.xxhash64("rep"), "blocks").alias("block")))
+    dealt = table(dealt.select("sig", "at", "rep", "component", "n", "sketch"), "join-blocks")
+    have = dealt.select("sig", "at").distinct()
+    meet = have.alias("l").join(have.alias("r"), "sig").where("l.at <= r.at and (l.at.label <> r.at.label or l.at.label = -9223372036854775808L)")
+    meet = meet.select("sig", F.col("l.at").alias("at0"), F.col("r.at").alias("at1"), F.xxhash64("sig", "l.at", "r.at").alias("pair"))
+    sides = [
+        dealt.join(meet.select("sig", F.col(f"at{i}").alias("at"), "pair"), ["sig", "at"]).select("pair", F.lit(i).alias("side"), "rep", "component", "n", "sketch")
+        for i in (0, 1)
+    ]
+
+    def compare(group: pa.Table) -> pa.Table:
+        side, rep = group.column("side").to_numpy(), group.column("rep").to_numpy()
+        part, n = group.column("component").to_numpy(), group.column("n").to_numpy()
+        raw = [np.frombuffer(s, np.uint8) for s in group.column("sketch").to_pylist()]
+        cells = min(map(len, raw))
+        flat = np.stack([_folded(s, cells) for s in raw])
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        known, node = np.unique(rep, return_inverse=True)
+        low = np.arange(len(known))
+        paired = np.zeros(len(known), bool)
+        for i in left.tolist():
+            differ = np.count_nonzero(flat[right] != flat[i], axis=1)
+            size = n[right]
+            good = (differ * (100 + percent) <= (100 - percent) * (n[i] + size)) & (part[right] != part[i]) & (100 * np.minimum(size, n[i]) >= percent * np.maximum(size, n[i]))
+            if good.any():
+                joined = np.append(node[right[good]], node[i])
+                paired[joined] = True
+                low[np.isin(low, low[joined])] = low[joined].min()
+        return pa.table({"a": known[paired], "b": known[low[paired]]})
+
+    edges = table(sides[0].unionByName(sides[1]).groupBy("pair").applyInArrow(compare, "a long, b long").distinct(), "join-edges")
+    return components(edges).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+
+
 def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) for every row: documents whose sets of `width`-word shingles have a Jaccard similarity
     of `percent` / 100 or more are linked, and component_id is the least key reachable over links.
@@ -222,51 +325,57 @@ def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, key:
     one document: they get the least component of any of them. Null keys are never linked and have a null component. Other
     columns are not read; an empty table gives an empty table."""
     plain = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    rows = table(shingled(plain, percent, width), "join-sets")
-    known = rows.where("n_shingles > 0 and key is not null")
-    classes = known.groupBy("h1", "h2").agg(F.min("key").alias("rep"), F.max("n_shingles").alias("n"))
+    full = table(shingled(plain, percent, width), "join-sets")
+    rows = table(full.select("key", "n_shingles", "h1", "h2"), "join-rows")
+    known = full.where("n_shingles > 0 and key is not null")
+    classes = known.groupBy("h1", "h2").agg(F.min("key").alias("rep"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"))
     classes = table(classes, "join-classes")
 
     # Of each signature: the least set over all batches, beside every batch's least one.
     every = Window.partitionBy("sig")
-    heads = known.select("h1", F.explode("sigs").alias("sig")).select(
+    heads = shingled(plain, percent, width, heads=True).select("h1", F.explode("sigs").alias("sig")).select(
         "sig", "h1", F.min("h1").over(every).alias("low"), F.max("h1").over(every).alias("high")
     )
     heads = table(heads.where("low <> high").select("sig", "low", "h1"), "join-heads")
-    inside = known.select("h1", F.explode("near").alias("n")).select("n.sig", "n.low", "h1")
+    inside = table(known.select("h1", F.explode("near").alias("n")).select("n.sig", "n.low", "h1"), "join-near")
+    discard(full)
+    known = rows.where("n_shingles > 0 and key is not null")
     members = heads.select("sig", "h1").unionByName(inside.select("sig", "h1")).unionByName(inside.select("sig", F.col("low").alias("h1")))
     members = table(members.distinct(), "join-members")
 
     ids = classes.select("h1", "rep", "n")
     stars = heads.where("h1 <> low").select("low", "h1").unionByName(inside.select("low", "h1")).distinct()
-    # Sizes alone decide against many candidates before any text moves.
+    # Sizes alone decide against many candidates, sketches against nearly all others that are not similar.
     near = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
     stars = stars.join(ids.select(F.col("h1").alias("low"), F.col("rep").alias("x"), F.col("n").alias("nx")), "low")
     stars = stars.join(ids.select("h1", F.col("rep").alias("y"), F.col("n").alias("ny")), "h1").where(near)
     twins = ids.groupBy("h1").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y").select("x", "y")
     stars = stars.select("x", "y").unionByName(twins).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
-    stars = table(stars, "join-stars")
-    links = table(_similar(stars, plain, percent, width), "join-links")
+    stars = table(_likely(stars, classes, percent), "join-stars")
+    discard(heads, inside)
+    links = _similar(stars, plain, percent, width)
     found = table(_near_labels(links), "join-labels")
 
     # What lies in several components under one signature, as far as known.
     placed = members.join(ids, "h1").select("sig", "rep", "n").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    placed = placed.select("sig", "rep", F.col("n").alias("size"), F.coalesce("component", "rep").alias("component"))
-    several = placed.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("n"), F.min("rep").alias("first"))
-    rest = table(placed.join(several.where("c0 <> c1 and n > 2").select("sig", "n", "first"), "sig"), "join-rest")
-    few = rest.where(F.col("n") <= FEW)
+    placed = placed.select("sig", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    several = placed.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("rows"))
+    rest = table(placed.join(several.where("c0 <> c1 and rows > 2").select("sig", "rows"), "sig"), "join-rest")
+    discard(members, found)
+    few = rest.where(F.col("rows") <= FEW)
     left, right = few.alias("l"), few.alias("r")
     across = left.join(right, F.col("l.sig") == F.col("r.sig")).where("l.rep < r.rep and l.component <> r.component")
-    across = across.where(100 * F.least("l.size", "r.size") >= percent * F.greatest("l.size", "r.size")).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
+    across = across.where(100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n")).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
+    across = _likely(across, classes, percent)
     across = table(across.join(stars, ["a", "b"], "left_anti"), "join-across")
     more = _similar(across, plain, percent, width)
-    many = rest.where(F.col("n") > FEW)
+    many = rest.where(F.col("rows") > FEW)
     if many.head(1):
-        clusters = components(many.select(F.col("first").alias("a"), F.col("rep").alias("b")).where("a <> b"))
-        nodes = many.select("rep", "component").distinct().join(clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "rep")
-        nodes = nodes.join(classes.groupBy("rep").agg(F.max("n").alias("n")), "rep")
-        more = more.unionByName(_block_links(nodes, plain, percent, width))
+        clusters = table(_block_clusters(many.join(classes.select("rep", "sketch"), "rep"), percent), "join-clusters")
+        nodes = many.select("rep", "component").distinct().join(clusters, "rep").join(classes.groupBy("rep").agg(F.max("n").alias("n")), "rep")
+        more = table(more.unionByName(_block_links(nodes, plain, percent, width)), "join-more")
     found = table(components(links.unionByName(more)), "join-components")
+    discard(rest, across, stars, links, more)
 
     own = known.select("key", "h1", "h2").join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).join(found.withColumnRenamed("node", "rep"), "rep", "left")
     own = own.groupBy("key").agg(F.min(F.coalesce("component", "rep")).alias("component"))

@@ -96,3 +96,26 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in queries.documents(spark, sf).collect()]
     found = queries.QUERIES["op1_partenum_join"](spark, sf).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted((tuple(r) for r in found), key=repr) == brute(rows, 90, 3)
+
+
+def test_candidates_are_few_beside_links(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    asked = []
+    similar = partenum._similar
+    monkeypatch.setattr(partenum, "_similar", lambda pairs, *rest: (asked.append(pairs.count()), similar(pairs, *rest))[1])
+    found = partenum.similar_components(docs, percent=80, width=5).collect()
+    linked = sum(r.component_id != r.doc_id for r in found)
+    assert linked > 20 and sum(asked) <= 4 * linked
+
+
+def test_sketches_rule_out_no_similar_sets():
+    rnd = np.random.default_rng(4)
+    for n in (1, 2, 7, 63, 64, 300, 5000):
+        a = rnd.integers(0, 2**63, n).astype(np.uint64)
+        for change in (0, n // 20, n // 10, n // 9):
+            b = np.unique(np.append(a[change:], rnd.integers(0, 2**63, change).astype(np.uint64)))
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= 80 * (len(a) + len(b) - both):
+                assert partenum.may_be_similar(partenum.sketch(a), partenum.sketch(b), len(a), len(b), 80)
+        other = rnd.integers(0, 2**63, n).astype(np.uint64)
+        assert n < 60 or not partenum.may_be_similar(partenum.sketch(a), partenum.sketch(other), n, n, 80)
