@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalogue import inputs as I
 from catalogue import messages as M
 from catalogue import windows as W
 from catalogue.registry import query
-from sensorstream.operators import stats, trend
+from sensorstream.operators import samples, stats, trend
 from sensorstream.operators.parse import only_metric
 from sensorstream.plans import bridge as bridge_plan
 from sensorstream.plans.analytics import analytics, transition_records
 from sensorstream.sources.messages import watermarked
 from sensorstream.streaming.changes import threshold_changes_stream as changes_stream
-from sensorstream.streaming.run import run_to_table
+from sensorstream.streaming.latest import latest_to_table
+from sensorstream.streaming.run import run_to_table, shared_folder
 
 # A window is written once the watermark, 10 s behind the last reading, has passed its end.
 _WATERMARK = "(select max(ts_ms) - 10000 from readings)"
@@ -89,3 +92,11 @@ def occupancy_records_stream(spark, sf_dir):
 def bridge_stream(spark, sf_dir):
     landed = I.as_messages(I.record_stream(spark, sf_dir))
     return run_to_table(bridge_plan.bridge(landed, M._BRIDGE, M._failed_at()), "bridge")
+
+
+@query(f"with {M._SQL_COMMANDS} select topic, arg_max(is_on, (ts_ms, src_partition, src_offset)) as is_on, "
+       "max(ts_ms) as since_ms from commands group by topic")
+def actuator_stream(spark, sf_dir):
+    commands = samples.actuator_commands(M.command_messages(I.readings_of(I.record_stream(spark, sf_dir))))
+    kept = latest_to_table(commands, f"{shared_folder(spark)}/actuators-{uuid.uuid4().hex}", ["topic"])
+    return kept.select("topic", F.col("on").alias("is_on"), F.unix_millis("ts").alias("since_ms"))

@@ -13,6 +13,7 @@ from sensorstream.plans import analytics as plan
 from sensorstream.plans import bridge, collectors
 from sensorstream.sinks import records as sinks
 from sensorstream.sources import messages as src
+from sensorstream.streaming.latest import LatestTable, latest_to_table
 from sensorstream.streaming.changes import threshold_changes_stream
 from sensorstream.streaming.occupancy import occupancy_transitions_stream
 from sensorstream.streaming.run import run_to_table, shared_folder, stream_settings
@@ -142,6 +143,36 @@ def test_latest_commands_follow_a_stream(spark, land, tmp_path):
     assert [spark.read.parquet(f"{path}/{i}").first().on for i in range(3)] == [True, False, False]
 
 
+COMMANDS = "topic string, on boolean, ts timestamp, src_partition int, src_offset bigint"
+
+
+@pytest.mark.parametrize("batches", [1, 7])
+def test_the_latest_command_is_kept_in_a_table(spark, land, tmp_path, batches):
+    readings = random_readings(spark, 300, devices=5, span_s=400, step_ms=1000)
+    commands = readings.select(F.nullif("device_id", F.lit("s1003")).alias("topic"), (F.col("value") > 700).alias("on"), "ts", "src_partition", "src_offset")
+    rows = sorted(commands.collect(), key=lambda r: r.src_offset % 17)
+    size = -(-len(rows) // batches)
+    frames = [spark.createDataFrame(rows[i: i + size], COMMANDS) for i in range(0, len(rows), size)]
+    found = latest_to_table(land(*frames), str(tmp_path / "t"), ["topic"], compact_every=3)
+    wanted = samples.actuator_latest(commands)
+    assert {(r.topic, r.on, r.ts) for r in found.collect()} == {(r.topic, r.on, r.since) for r in wanted.collect()}
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    frame = lambda *rows: spark.createDataFrame([(t, on, START + timedelta(seconds=s), 0, s) for t, on, s in rows], COMMANDS)
+    table = LatestTable(spark, str(tmp_path / "t"), frame(("a", True, 1)).schema, ["topic"], compact_every=2)
+    state = lambda: {(r.topic, r.on, r.src_offset) for r in table.read().collect()}
+    assert state() == set()
+    for number, rows in enumerate([[("a", True, 5), ("b", True, 1)], [("a", False, 3)], [("b", False, 9), ("b", True, 8), (None, True, 1)]]):
+        table.write_batch(frame(*rows), number)
+        before = state()
+        table.write_batch(frame(*rows), number)
+        assert state() == before
+    assert before == {("a", True, 5), ("b", False, 9), (None, True, 1)}
+    table.write_batch(frame(("a", False, 7)).limit(0), 3)
+    assert state() == before and table._batches("base") == [1, 3]
+
+
 def events_of(spark, minutes, room="r"):
     return spark.createDataFrame([(room, START + timedelta(minutes=m)) for m in minutes], "room string, at timestamp")
 
