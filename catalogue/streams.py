@@ -13,10 +13,12 @@ from catalogue.registry import query
 from sensorstream.operators import samples, stats, trend
 from sensorstream.operators.parse import only_metric
 from sensorstream.plans import bridge as bridge_plan
-from sensorstream.plans.analytics import analytics, transition_records
-from sensorstream.sources.messages import watermarked
+from sensorstream.plans.analytics import analytics, from_windows, transition_records, window_rows
+from sensorstream.sources.messages import read_stream, watermarked
 from sensorstream.streaming.changes import threshold_changes_stream as changes_stream
+from sensorstream.streaming.hold import held_values_stream as hold_stream
 from sensorstream.streaming.latest import latest_to_table
+from sensorstream.streaming.occupancy import occupancy_stays_stream as stays_stream
 from sensorstream.streaming.run import run_to_table, shared_folder
 
 # A window is written once the watermark, 10 s behind the last reading, has passed its end.
@@ -87,6 +89,53 @@ def occupancy_records_stream(spark, sf_dir):
     return run_to_table(transition_records(graph.transitions, I.OWNER, keep=[at]), "occupancy-records")
 
 
+# Windows that the windows query has written when its stream ends; those that follow it see no later time
+# than the last end among them.
+_CLOSED = f"closed as (select max(end_ms) as last_ms from stats where end_ms <= {_WATERMARK})"
+
+
+def _followed(spark, sf_dir):
+    """The windows table of the whole stream, and the results of a second stream that follows it."""
+    folder = f"{shared_folder(spark)}/windows-{uuid.uuid4().hex}"
+    written = run_to_table(window_rows(I.record_stream(spark, sf_dir), W.BY_DEVICE), "windows", folder=folder)
+    return from_windows(read_stream(spark, f"{folder}/rows", written.schema), W.BY_DEVICE)
+
+
+@query(f"""with {I.SQL_READINGS}, {W.DEVICE_EVENTS}, {_CLOSED},
+fired as (select * from events_found where at_ms <= (select last_ms from closed)), {W.sql_transitions(4 * W.HOUR, 'fired')}
+select room as device_id, state, at_ms from moves where at_ms <= (select last_ms from closed) or state = 'Occupied'""")
+def occupancy_from_windows_stream(spark, sf_dir):
+    moves = run_to_table(_followed(spark, sf_dir).transitions, "followed")
+    return moves.select("device_id", "state", W.millis("at", "at_ms"))
+
+
+@query(f"with {I.SQL_READINGS}, {W.sql_stats(3 * W.HOUR, 30 * W.MINUTE)} select {W.STATS_OUT} from stats where end_ms <= {_WATERMARK}")
+def stats_from_windows_stream(spark, sf_dir):
+    return W.stats_out(run_to_table(_followed(spark, sf_dir).stats, "followed-stats"))
+
+
+@query(f"""with {I.SQL_READINGS}, bright as (
+  select device_id, ts_ms, ts_ms - lag(ts_ms) over (partition by device_id order by ts_ms) as gap
+  from readings where lower(metric) = 'illumination' and value > 100),
+numbered as (
+  select *, count(*) filter (where gap is null or gap > {2 * W.HOUR}) over (partition by device_id order by ts_ms) as stay
+  from bright)
+select device_id, min(ts_ms) as since_ms, max(ts_ms) + {2 * W.HOUR} as until_ms, count(*) as n from numbered
+group by device_id, stay having max(ts_ms) + {2 * W.HOUR} + 1 <= (
+  select max(ts_ms) - 10000 from bright)""")
+def occupancy_stays_stream(spark, sf_dir):
+    light = only_metric(I.readings_of(I.record_stream(spark, sf_dir)), "illumination").where(F.col("value") > 100)
+    stays = stays_stream(watermarked(light).withColumnRenamed("ts", "at"), ("device_id",), "2 hours")
+    return run_to_table(stays, "stays").select("device_id", W.millis("since", "since_ms"), W.millis("until", "until_ms"), "n")
+
+
+@query(f"with {I.SQL_READINGS}, {W.sql_held(30 * W.MINUTE, _WATERMARK)} select {W.KEY}, at_ms, value from held")
+def held_values_stream(spark, sf_dir):
+    samples = W.gappy_samples(_readings(spark, sf_dir))
+    held = run_to_table(hold_stream(samples, "30 minutes"), "held")
+    return held.select("device_id", "sensor", "metric", W.millis("at", "at_ms"), "value")
+
+
 @query(f"with {M._SQL_ROUTED} select case when error is null then kafka_topic else 'i483-dead-messages' end as topic, "
        f"case when error is null then payload else cast({M._SQL_LETTER} as varchar) end as value from routed")
 def bridge_stream(spark, sf_dir):

@@ -48,6 +48,11 @@ def sliding_stats_5m30s(spark, sf_dir):
     return stats_out(stats.sliding_stats(I.readings(spark, sf_dir)))
 
 
+@query(f"with {I.SQL_READINGS}, {sql_stats(6 * HOUR, 10 * MINUTE)} select {STATS_OUT} from stats")
+def sliding_stats_6h10m(spark, sf_dir):
+    return stats_out(stats.sliding_stats(I.readings(spark, sf_dir), "6 hours", "10 minutes"))
+
+
 @query(f"with {I.SQL_READINGS}, {sql_stats(6 * HOUR, HOUR)} select {STATS_OUT} from stats")
 def sliding_stats_rows(spark, sf_dir):
     return stats_out(stats.sliding_stats(I.readings(spark, sf_dir), "6 hours", "1 hour", method="rows"))
@@ -257,3 +262,29 @@ def carry_forward(spark, sf_dir):
     return filled.select(
         "device_id", "sensor", "metric", millis("ts", "ts_ms"), "src_partition", "src_offset", "sample", "published"
     )
+
+
+def sql_held(tick_ms: int, until: str) -> str:
+    """Every third reading without a value, some without a device; each key's grid of ticks from its first value on."""
+    return f"""gappy as (
+  select * replace (case when src_offset % 11 <> 0 then device_id end as device_id, case when src_offset % 3 <> 0 then value end as value)
+  from readings),
+known as (
+  select {KEY}, (ts_ms + {tick_ms - 1}) // {tick_ms} * {tick_ms} as tick_ms, arg_max(value, (ts_ms, src_partition, src_offset)) as value
+  from gappy where value is not null group by all),
+spans as (
+  select *, coalesce(lead(tick_ms) over (partition by {KEY} order by tick_ms), {until}) as next_ms from known),
+held as (
+  select {KEY}, unnest(range(tick_ms, least(next_ms, {until}), {tick_ms})) as at_ms, value from spans)"""
+
+
+def gappy_samples(readings):
+    return readings.withColumns({
+        "value": F.when(F.col("src_offset") % 3 != 0, F.col("value")), "device_id": F.when(F.col("src_offset") % 11 != 0, F.col("device_id")),
+    })
+
+
+@query(f"with {I.SQL_READINGS}, {sql_held(30 * MINUTE, '(1706659200000)')} select {KEY}, at_ms, value from held")
+def held_values(spark, sf_dir):
+    held = carry.held_values(gappy_samples(I.readings(spark, sf_dir)), "2024-01-31", "30 minutes")
+    return held.select("device_id", "sensor", "metric", millis("at", "at_ms"), "value")

@@ -14,10 +14,13 @@ from sensorstream.operators import parse, publish, stats, trend
 from sensorstream.operators.parse import only_metric
 from sensorstream.schemas import READING_KEY
 from sensorstream.sinks import records as sinks
-from sensorstream.sources.messages import watermarked
+from sensorstream.sources.messages import read_stream, watermarked
 from sensorstream.streaming.occupancy import occupancy_transitions_stream
 from sensorstream.streaming.run import stream_settings
 
+# kinds of rows in the windows table
+STATS, TREND = "stats", "trend"
+
 
 @dataclass(frozen=True)
 class AnalyticsOptions:
@@ -54,16 +57,20 @@ def parsed_messages(source: DataFrame, options: AnalyticsOptions) -> DataFrame:
     return parse.parse_records(parse.decode_records(wanted))
 
 
-def occupancy_event_stream(readings: DataFrame, windows: DataFrame, options: AnalyticsOptions) -> DataFrame:
-    """Light and trend events with the room they count for."""
+def found_trends(readings: DataFrame, options: AnalyticsOptions) -> DataFrame:
     find = trend.trend_windows_stream if readings.isStreaming else trend.trend_windows
-    rooms = list(options.room_keys)
-    trends = find(
+    return find(
         only_metric(readings, options.trend_metric),
         options.trend_size,
         options.trend_slide,
-        key_cols=tuple(dict.fromkeys([*options.trend_keys, *rooms])),
+        key_cols=tuple(dict.fromkeys([*options.trend_keys, *options.room_keys])),
     )
+
+
+def occupancy_event_stream(readings: DataFrame, windows: DataFrame, options: AnalyticsOptions) -> DataFrame:
+    """Light and trend events with the room they count for."""
+    rooms = list(options.room_keys)
+    trends = found_trends(readings, options)
     jumps = occ.light_jumps(windows, options.jump_threshold, options.jump_metric)
     events = occ.occupancy_events(jumps, trends, rooms)
     return events if rooms else occ.with_global_key(events)
@@ -94,6 +101,59 @@ def transition_records(transitions: DataFrame, owner: str, keep=()) -> DataFrame
     return publish.occupancy_records(occupied, owner, keep=keep)
 
 
+def window_rows(source: DataFrame, options: AnalyticsOptions) -> DataFrame:
+    """Statistics and trends of a stream or table as rows of one windows table, told apart by `kind`.
+
+    On a stream this is the only query that keeps windows: records, lines and occupancy follow the table
+    it appends to (`from_windows`), so the statistics have one state however many sinks there are.
+    """
+    readings = parse.readings(parsed_messages(source, options))
+    if readings.isStreaming:
+        readings = watermarked(readings, options.delay)
+    windows = stats.sliding_stats(readings, options.stats_size, options.stats_slide, READING_KEY)
+    tagged = [
+        rows.drop("window").select(F.lit(kind).alias("kind"), "*")
+        for kind, rows in ((STATS, windows), (TREND, found_trends(readings, options)))
+    ]
+    return tagged[0].unionByName(tagged[1], allowMissingColumns=True)
+
+
+@dataclass(frozen=True)
+class WindowResults:
+    """What follows from a windows table, lazily."""
+
+    stats: DataFrame
+    records: DataFrame
+    transitions: DataFrame
+
+
+def from_windows(table: DataFrame, options: AnalyticsOptions) -> WindowResults:
+    """The sinks' rows from the windows table, read as a table or followed as a stream.
+
+    A stream of the table must bring what one batch of the windows query wrote in one micro-batch, as
+    a file source without a limit of files does: windows come in the order in which they closed, so
+    occupancy's watermark is the latest window's end, moved on by every window and not only by those
+    that are events.
+    """
+    windows = table.where(F.col("kind") == STATS).drop("kind")
+    rooms = list(options.room_keys)
+    ordered = table.withWatermark("window_end", "0 seconds") if table.isStreaming else table
+    is_jump = (
+        (F.col("kind") == STATS)
+        & (F.lower("metric") == options.jump_metric.lower())
+        & (F.col("max_value") - F.col("min_value") > options.jump_threshold)
+    )
+    # out of a generator: a filter would be moved below the watermark and hide the other windows from it
+    fired = F.when(is_jump, F.array(F.lit("light"))).when(F.col("kind") == TREND, F.array(F.lit("co2")))
+    events = ordered.select(*rooms, F.col("window_end").alias("at"), F.explode(fired).alias("kind"))
+    follow = occupancy_transitions_stream if table.isStreaming else occ.occupancy_transitions
+    return WindowResults(
+        stats=windows,
+        records=publish.stats_records(windows, options.owner),
+        transitions=follow(events if rooms else occ.with_global_key(events), rooms or ("room",), options.timeout),
+    )
+
+
 def start_analytics(
     source: DataFrame,
     options: AnalyticsOptions,
@@ -103,16 +163,23 @@ def start_analytics(
     state_partitions: int | None = None,
     console: bool = False,
 ) -> list[StreamingQuery]:
-    """Start the streaming job: one query per sink, each with its own checkpoint. Rejects go to
-    the dead topic; `console` also writes every result line below the checkpoint folder."""
-    graph = analytics(source, options)
-    with stream_settings(source.sparkSession, state_partitions):
-        started = [
+    """Start the streaming job. One query keeps the windows and appends them to a table below the
+    checkpoint folder, whose log names the files of each batch once; the queries of the sinks follow
+    that table, each with its own checkpoint. Rejects go to the dead topic; `console` also
+    writes every result line below the checkpoint folder."""
+    spark = source.sparkSession
+    rows = window_rows(source, options)
+    rejects = parse.rejects(parsed_messages(source, options))
+    with stream_settings(spark, state_partitions):
+        # the windows first: a follower must find the table's log
+        started = [sinks.to_table(rows, f"{checkpoint}/windows", f"{checkpoint}/windows-query", period).start()]
+        graph = from_windows(read_stream(spark, f"{checkpoint}/windows", rows.schema), options)
+        started += [
             sinks.to_kafka(graph.records.select("topic", "value"), f"{checkpoint}/stats",
                            bootstrap_servers, period=period).start(),
             sinks.to_kafka(transition_records(graph.transitions, options.owner),
                            f"{checkpoint}/occupancy", bootstrap_servers, period=period).start(),
-            sinks.to_kafka(sinks.reject_letters(graph.rejects, F.current_timestamp(), "value_text"),
+            sinks.to_kafka(sinks.reject_letters(rejects, F.current_timestamp(), "value_text"),
                            f"{checkpoint}/rejects", bootstrap_servers, period=period).start(),
         ]
         if console:

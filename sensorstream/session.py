@@ -12,6 +12,8 @@ ROCKSDB_PROVIDER = (
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # sessions of one key are merged in each task before they are shuffled
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 # Settings that change results or plan shape, not cluster sizing.

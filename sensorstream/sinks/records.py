@@ -55,6 +55,13 @@ def to_lines(df: DataFrame, path: str, checkpoint: str,
     return checkpointed(lines.writeStream.format("text").option("path", path).outputMode("append"), checkpoint, period)
 
 
+def to_table(df: DataFrame, path: str, checkpoint: str,
+             period: str | None = fixed.CHECKPOINT_PERIOD) -> DataStreamWriter:
+    """Append to a table that other queries follow. The log kept in the table names each batch's files
+    once: a batch that runs again adds nothing, and readers see all of a batch or none of it."""
+    return checkpointed(df.writeStream.format("parquet").option("path", path).outputMode("append"), checkpoint, period)
+
+
 def preview_on_console(df: DataFrame, checkpoint: str, rows: int = 20,
                        period: str | None = fixed.CHECKPOINT_PERIOD) -> DataStreamWriter:
     """A look at the first `rows` rows of each micro-batch on the driver's console; `to_lines` writes all."""

@@ -98,3 +98,22 @@ def occupancy_transitions_stream(
         outputMode="Append",
         timeMode="EventTime",
     )
+
+
+def occupancy_stays_stream(
+    events: DataFrame, key_cols=("room",), timeout: str = fixed.OCCUPANCY_TIMEOUT
+) -> DataFrame:
+    """key_cols, since, until, n: every stay once it is over, with its number of events. `events` is
+    watermarked on `at`.
+
+    A stay is a session window with a gap of the timeout and a microsecond, as exactly one timeout
+    apart is the same stay. Spark merges sessions inside each task before the shuffle (a stream
+    setting of `stream_settings`) and in the state store, without Python. A stay is shown when the
+    watermark passes its end; `occupancy_transitions_stream` shows Occupied at once.
+    """
+    keys = list(key_cols)
+    stays = events.groupBy(F.session_window("at", f"{duration_us(timeout) + 1} microseconds").alias("stay"), *keys).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    until = F.timestamp_micros(F.unix_micros("stay.end") - 1)
+    return stays.select(*keys, F.col("stay.start").alias("since"), until.alias("until"), "n")

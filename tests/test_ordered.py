@@ -245,3 +245,38 @@ def test_readings_at_the_same_time_keep_arrival_order(spark):
     down = make_readings(spark, [(START, 3), (START, 2), (START, 1)])
     assert trend.trend_windows(up).count() == 5
     assert trend.trend_windows(down).count() == 0
+
+
+def held_by_hand(samples, tick_ms, until_ms):
+    out = []
+    for key, rows in by_key(samples.where("ts is not null and value is not null"), "device_id").items():
+        tick = -(-ms(rows[0].ts) // tick_ms) * tick_ms
+        while tick < until_ms:
+            out.append((key[0] or "", tick, [r.value for r in rows if ms(r.ts) <= tick][-1]))
+            tick += tick_ms
+    return sorted(out)
+
+
+def held_rows(df):
+    return sorted((r.device_id or "", ms(r.at), r.value) for r in df.collect())
+
+
+@pytest.mark.parametrize("block_ticks", [1, 4, 240])
+def test_held_values(spark, block_ticks):
+    samples = random_readings(spark, 150, span_s=6_000, step_ms=5_000).withColumns({
+        "value": F.when(F.col("src_offset") % 3 != 0, F.col("value")),
+        "device_id": F.nullif("device_id", F.lit("s1003")),
+    })
+    odd = samples.limit(2).withColumn("ts", F.lit(None).cast("timestamp"))
+    until = START + timedelta(seconds=9_000)
+    found = carry.held_values(samples.unionByName(odd), F.lit(until), "20 seconds", block_ticks=block_ticks)
+    wanted = held_by_hand(samples, 20_000, ms(START) + 9_000_000)
+    assert held_rows(found) == wanted and len(wanted) > 1000
+    early = carry.held_values(samples, F.lit(START + timedelta(seconds=3_000)), "20 seconds", block_ticks=block_ticks)
+    assert held_rows(early) == held_by_hand(samples, 20_000, ms(START) + 3_000_000)
+
+
+def test_held_values_of_nothing(spark):
+    none = make_readings(spark, [(START, None)])
+    assert carry.held_values(none, "2030-01-01").count() == 0
+    assert carry.held_values(make_readings(spark, [(START, 1)]), F.lit(START)).count() == 0

@@ -31,10 +31,10 @@ def brute(readings, size_ms, slide_ms, left_open=False):
 
 
 @pytest.mark.parametrize("size, slide", [("5 minutes", "30 seconds"), ("5 minutes", "5 minutes"), ("2 minutes", "1 minute")])
-def test_both_methods_match_brute_force(spark, size, slide):
+def test_all_methods_match_brute_force(spark, size, slide):
     readings = random_readings(spark, 400)
     wanted = brute(readings, *(stats.duration_us(x) // 1000 for x in (size, slide)))
-    for method in ("rows", "panes"):
+    for method in ("rows", "panes", "edges"):
         assert as_rows(stats.sliding_stats(readings, size, slide, method=method)) == wanted
 
 
@@ -44,6 +44,29 @@ def test_left_open_windows(spark):
     assert as_rows(found) == brute(readings, 300_000, 30_000, left_open=True)
 
 
+@pytest.mark.parametrize("span_s, n", [(300, 500), (20_000, 60)])
+def test_windows_of_many_slides_are_put_together_from_block_edges(spark, span_s, n):
+    """Dense and sparse readings, from before the epoch on, with null keys, values and times."""
+    readings = random_readings(spark, n, span_s=span_s, seed=span_s).withColumns({
+        "ts": F.timestamp_millis(F.unix_millis("ts") - ms(START) - span_s * 500),
+        "device_id": F.nullif("device_id", F.lit("s1002")),
+        "value": F.when(F.col("src_offset") % 7 != 0, F.col("value")),
+    })
+    odd = readings.limit(3).withColumn("ts", F.lit(None).cast("timestamp"))
+    for left_open in (False, True):
+        found = stats.sliding_stats(readings.unionByName(odd), "2 minutes", "1 second", left_open=left_open)
+        wanted = stats.sliding_stats(readings, "2 minutes", "1 second", left_open=left_open, method="panes")
+        plain = lambda df: sorted((r.device_id or "", *r[3:6], round(r.avg_value, 8), r.n) for r in df.collect())
+        assert plain(found) == plain(wanted) and found.count() > 200
+    assert stats.sliding_stats(readings.limit(0), "2 minutes", "1 second").count() == 0
+
+
+def test_block_edges_shuffle_panes_only(spark):
+    readings = random_readings(spark, 50)
+    plan = stats.sliding_stats(readings, "1 hour", "1 second")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Window [") >= 3
+
+
 def test_window_edges(spark):
     readings = make_readings(spark, [(at("2025-05-31 04:00:00"), 1), (at("2025-05-31 04:05:00"), 2)])
     windows = as_rows(stats.sliding_stats(readings))

@@ -7,15 +7,16 @@ import pytest
 from readings import START, at, make_readings, ms, random_readings
 from pyspark.sql import functions as F
 
-from sensorstream.operators import changes, occupancy, samples, stats, trend
+from sensorstream.operators import carry, changes, occupancy, samples, stats, trend
 from sensorstream.operators.parse import only_metric
 from sensorstream.plans import analytics as plan
 from sensorstream.plans import bridge, collectors
 from sensorstream.sinks import records as sinks
 from sensorstream.sources import messages as src
+from sensorstream.streaming.hold import held_values_stream
 from sensorstream.streaming.latest import LatestTable, latest_to_table
 from sensorstream.streaming.changes import threshold_changes_stream
-from sensorstream.streaming.occupancy import occupancy_transitions_stream
+from sensorstream.streaming.occupancy import occupancy_stays_stream, occupancy_transitions_stream
 from sensorstream.streaming.run import run_to_table, shared_folder, stream_settings
 
 PARTITIONS = 1
@@ -173,6 +174,21 @@ def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
     assert state() == before and table._batches("base") == [1, 3]
 
 
+@pytest.mark.parametrize("batches", [1, 5])
+def test_held_values(spark, land, batches):
+    """A tick is shown once, whatever the micro-batches, by sensors that have fallen silent too."""
+    samples = random_readings(spark, 90, span_s=1_500, step_ms=5_000).withColumns({
+        "value": F.when(F.col("src_offset") % 3 != 0, F.col("value")), "device_id": F.nullif("device_id", F.lit("s1003")),
+    })
+    quiet = make_readings(spark, [(START + timedelta(seconds=t), 5, "s9") for t in (20, 40)])
+    clock = make_readings(spark, [(START + timedelta(seconds=t), None, "clock") for t in (1_700, 2_000)])
+    samples = samples.unionByName(quiet).unionByName(clock)
+    found = run_to_table(held_values_stream(src.watermarked(land(*slices(samples, batches))), "20 seconds"), "held", PARTITIONS)
+    plain = lambda df: sorted((r.device_id or "", ms(r.at), r.value) for r in df.collect())
+    wanted = plain(carry.held_values(samples, F.lit(START + timedelta(seconds=1_990)), "20 seconds"))
+    assert plain(found) == wanted and ("s9", ms(START) + 1_980_000, 5.0) in wanted
+
+
 def events_of(spark, minutes, room="r"):
     return spark.createDataFrame([(room, START + timedelta(minutes=m)) for m in minutes], "room string, at timestamp")
 
@@ -195,6 +211,25 @@ def test_stays(spark, land, split):
     assert states(found) == [r for r in states(whole) if r[1] <= passed]
 
 
+@pytest.mark.parametrize("split", [
+    [[0, 60, 121, 400, 1000]], [[0], [60], [121], [400], [1000]], [[0, 121], [60], [400, 400], [1000]],
+    [[0], [30], [20], [85], [1000]],
+])
+def test_finished_stays(spark, land, split):
+    frames = [events_of(spark, part) for part in split]
+    found = run_to_table(occupancy_stays_stream(land(*frames).withWatermark("at", "90 minutes")), "sessions", PARTITIONS)
+    moves = states(occupancy.occupancy_transitions(events_of(spark, sum(split, []))))
+    wanted = [(a[1], b[1]) for a, b in zip(moves[::2], moves[1::2]) if b[1] < ms(START) + (1000 - 90) * 60_000]
+    assert sorted((ms(r.since), ms(r.until)) for r in found.collect()) == wanted
+    assert sum(r.n for r in found.collect()) == sum(map(len, split)) - 1
+
+
+def test_a_late_event_reopens_no_stay_and_null_rooms_are_rooms(spark, land):
+    frames = [events_of(spark, [0]), events_of(spark, [300]), events_of(spark, [301], None), events_of(spark, [10]), events_of(spark, [900])]
+    found = run_to_table(occupancy_stays_stream(land(*frames).withWatermark("at", "10 minutes")), "late-stays", PARTITIONS)
+    assert sorted((r.room or "", (ms(r.since) - ms(START)) // 60_000, r.n) for r in found.collect()) == [("", 301, 1), ("r", 0, 1), ("r", 300, 1)]
+
+
 def test_timer_needs_no_further_event_of_the_room(spark, land):
     frames = [events_of(spark, [0], "a"), events_of(spark, [30], "b"), events_of(spark, [200], "c")]
     stream = land(*frames).withWatermark("at", "10 seconds")
@@ -237,6 +272,53 @@ def test_whole_graph(spark, land, batches):
     assert records.count() == 6 * whole.count()
 
 
+def windows_folder(spark, stream, options, folder):
+    written = run_to_table(plan.window_rows(stream, options), "windows", PARTITIONS, str(folder))
+    return src.read_stream(spark, f"{folder}/rows", written.schema), written
+
+
+@pytest.mark.parametrize("batches, rooms", [(1, ()), (3, ("device_id",))])
+def test_sinks_follow_one_windows_table(spark, land, tmp_path, batches, rooms):
+    readings = room_readings(spark)
+    options = plan.AnalyticsOptions(owner="s1001", room_keys=rooms)
+    batch = plan.analytics(source_rows(readings), options)
+    stream = land(*[source_rows(p) for p in slices(readings, batches)])
+    followed, written = windows_folder(spark, stream, options, tmp_path / "w")
+    graph = plan.from_windows(followed, options)
+    limit = ms(readings.agg(F.max("ts")).first()[0]) - 10_000
+    assert window_rows(run_to_table(graph.stats, "s", PARTITIONS)) == window_rows(batch.stats.where(F.unix_millis("window_end") <= limit))
+    assert run_to_table(graph.records.select("topic"), "r", PARTITIONS).count() == 6 * written.where("kind = 'stats'").count()
+    room = rooms[0] if rooms else "room"
+    plain = lambda df: sorted((r[room], ms(r.at), r.state) for r in df.collect())
+    last = ms(written.agg(F.max("window_end")).first()[0])
+    found = plain(run_to_table(graph.transitions, "t", PARTITIONS))
+    assert found == [r for r in plain(batch.transitions) if r[1] <= last] and len(found) == 4
+    # the same table, read as a table
+    assert [r for r in plain(plan.from_windows(written, options).transitions) if r[1] <= last] == found
+
+
+def test_occupancy_follows_windows_that_come_in_pieces(spark, land, tmp_path):
+    """Windows query and followers take turns; the last batch of the windows query runs twice."""
+    readings, options = room_readings(spark), plan.AnalyticsOptions(owner="s1001")
+    path, windows = str(tmp_path / "landed"), tmp_path / "w"
+    for i, part in enumerate(slices(readings, 3)):
+        source_rows(part).coalesce(1).write.parquet(f"{path}/{i}")
+        stream = src.read_stream(spark, f"{path}/*", source_rows(readings).schema, files_per_trigger=1)
+        followed, written = windows_folder(spark, stream, options, windows)
+        before = written.count()
+        commits = windows / "checkpoint" / "commits"
+        last = max((p for p in commits.iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+        last.unlink()
+        (commits / f".{last.name}.crc").unlink(missing_ok=True)
+        stream = src.read_stream(spark, f"{path}/*", source_rows(readings).schema, files_per_trigger=1)
+        _, again = windows_folder(spark, stream, options, windows)
+        assert again.count() == before
+        found = run_to_table(plan.from_windows(followed, options).transitions, "t", PARTITIONS, str(tmp_path / "t"))
+    batch = plan.analytics(source_rows(readings), options)
+    last = ms(written.agg(F.max("window_end")).first()[0])
+    assert states(found) == [r for r in states(batch.transitions) if r[1] <= last] and found.count() == 4
+
+
 def test_collectors(spark, land):
     readings = random_readings(spark, 200, span_s=2_000)
     table = source_rows(readings)
