@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,6 +30,8 @@ from sensorstream.llm.common import pieces, table
 
 #: A text is template when it alone fills its slot on so many different pages; branches of the merge tree; longest repeated group.
 TEMPLATE_PAGES, BRANCHES, GROUP = 8, 64, 4
+#: Sequences are aligned by a full table up to so many cells, longer ones from anchors; paths are written out up to so many characters.
+TABLE_CELLS, LONG_PATH = 250_000, 400
 
 # Names of elements and words of class, id and role attributes, by what they mean here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,15 +48,16 @@ NOISE_WORDS = set(
     "search share sharing social comment comments commentlist disqus discussion respond replies reply feedback related recommended recommendations widget widgets copyright disclaimer skip "
     "complementary contentinfo".split()
 )
+# Elements that make a form a part of the page's frame.
+STRUCTURE = set("article main nav header footer aside h1 h2".split())
 HEAD_WORDS = {"header", "head"}
 CONTENT_WORDS = {("article", "body"), ("article", "content"), ("post", "content"), ("post", "body"), ("entry", "content"), ("main", "content"), ("story", "body"), ("page", "content")}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    rf"|<({'|'.join(sorted(RAW))})\b[^>]*>(?:.*?</\1\s*[^>]*>|.*\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.S | re.I,
-)
+# Where a tag, comment or declaration may begin, the rest of a tag with its quoted values, and the ends of raw elements.
+_OPENING = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|[!?])")
+_REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
+_SPECIAL = re.compile(r"""[>"']""")
+_RAW_END = {name: re.compile(rf"</{name}(?![a-zA-Z0-9])[^>]*(?:>|\Z)", re.I) for name in RAW}
 _HINT = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
@@ -83,10 +87,105 @@ def _label(name: str, attributes: str, inside: bool) -> str:
     return name
 
 
+def _tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """All of `>`, `"` and `'` in the page, and for each the end of a tag that goes on there outside of quotes, or -1."""
+    marks = [(m.start(), m[0]) for m in _SPECIAL.finditer(page)]
+    ends = [-1] * len(marks)
+    later = {'"': -1, "'": -1}
+    for k in range(len(marks) - 1, -1, -1):
+        where, mark = marks[k]
+        if mark == ">":
+            ends[k] = where + 1
+        else:
+            shut, later[mark] = later[mark], k
+            if 0 <= shut < len(marks) - 1:
+                ends[k] = ends[shut + 1]
+    return [where for where, _ in marks], ends
+
+
+def tokens(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(start, end, closing, name, attributes) of tags, and of comments and declarations without a name; a CDATA section has its text as
+    attributes. Raw elements come whole, with their content. A quoted value may hold `>`; where quotes do not match up, the tag ends
+    at the next `>`. What never ends is text, but for comments, CDATA and raw elements, which end with the page.
+
+    Scans that came to nothing are counted; when they add up to more than the page, the ends of all tags are looked up
+    in a table made once, from the back, so that the whole stays linear."""
+    last = page.rfind(">")
+    table_: tuple[list[int], list[int]] | None = None
+    wasted = at = 0
+    while m := _OPENING.search(page, at):
+        start, head = m.start(), m.end()
+        if not m[2]:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                yield start, len(page) if end < 0 else end + 3, False, "", ""
+                at = len(page) if end < 0 else end + 3
+            elif page[start : start + 9].upper() == "<![CDATA[":
+                end = page.find("]]>", start + 9)
+                yield start, len(page) if end < 0 else end + 3, False, "", page[start + 9 : len(page) if end < 0 else end]
+                at = len(page) if end < 0 else end + 3
+            elif head <= last:
+                at = page.find(">", head) + 1
+                yield start, at, False, "", ""
+            else:
+                at = head
+            continue
+        name = m[2].lower()
+        if head > last:
+            # nothing ends any more, but a comment or CDATA section may still begin
+            at = head
+            continue
+        if name in RAW and not m[1]:
+            at = page.find(">", head) + 1
+            shut = _RAW_END[name].search(page, at)
+            at = shut.end() if shut else len(page)
+            yield start, at, False, name, ""
+            continue
+        if table_ is None and wasted > len(page):
+            table_ = _tag_ends(page)
+        if table_ is None:
+            rest = _REST.match(page, head)
+            end = rest.end() if rest else -1
+            wasted += 0 if rest else len(page) - head
+        else:
+            k = bisect_left(table_[0], head)
+            end = table_[1][k] if k < len(table_[0]) else -1
+        if end < 0:
+            end = page.find(">", head) + 1
+        yield start, end, bool(m[1]), name, page[head : end - 1]
+        at = end
+
+
+def page_forms(page: str) -> set[int]:
+    """Where forms begin that are laid around (part of) a page: they hold structure, not just controls and their labels."""
+    found: set[int] = set()
+    open_: list[int] = []
+    if "<form" not in page and "<FORM" not in page and "<Form" not in page:
+        return found
+    for start, _, closing, name, _ in tokens(page):
+        if name == "form":
+            if not closing:
+                open_.append(start)
+            elif open_:
+                open_.pop()
+        elif open_ and not closing and name in STRUCTURE:
+            found.update(open_)
+            open_.clear()
+    return found
+
+
+def _below(path: str, label: str) -> str:
+    """The path one element down. A long one goes on from a digest, which keeps both marks, so deep pages stay linear."""
+    if len(path) > LONG_PATH:
+        path = "/" + "".join(mark for mark in "!*" if mark in path) + format(_hash(path) + 2**63, "016x")
+    return f"{path}/{label}"
+
+
 def parse(page: str) -> tuple[list[tuple[str, str]], dict[str, list[list[str]]]]:
     """The page's texts in order, as (path, text), and the child sequences of its elements by path. Paths name
     the open block elements; an element within one of its own label shares its path. A text runs on through inline elements; line
-    breaks count as white space. Elements left open end with their parents or the page."""
+    breaks count as white space. Elements left open end with their parents or the page; a head also ends at the first text or element
+    that cannot be in it. The work grows with the page's length, whatever the markup."""
     texts: list[tuple[str, str]] = []
     models: dict[str, list[list[str]]] = {}
     stack: list[tuple[str, str, str, list[str]]] = [("", "", "", [])]
@@ -104,19 +203,26 @@ def parse(page: str) -> tuple[list[tuple[str, str]], dict[str, list[list[str]]]]
         _, _, path, children = stack.pop()
         models.setdefault(path, []).append(children)
 
+    def leave_head() -> None:
+        while stack[-1][0] == "head":
+            close()
+
+    forms = page_forms(page)
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            run.append(page[at : m.start()])
-        at = m.end()
-        if m[1]:
+    for start, end, closing, name, attributes in tokens(page):
+        between = page[at:start]
+        if between:
+            if stack[-1][0] == "head" and not between.isspace():
+                leave_head()
+            run.append(between)
+        at = end
+        if name in RAW:
             flush()
-            stack[-1][3].append(m[1].lower() + "!")
+            stack[-1][3].append(name + "!")
             continue
-        name = (m[3] or m[6] or "").lower()
         if not name:
-            if m[0].startswith("<![CDATA["):
-                run.append(html.escape(m[0][9:].removesuffix("]]>")))
+            if attributes:
+                run.append(html.escape(attributes))
             continue
         if name in INLINE:
             continue
@@ -124,7 +230,7 @@ def parse(page: str) -> tuple[list[tuple[str, str]], dict[str, list[list[str]]]]
             run.append(" ")
             continue
         flush()
-        if m[2] or m[5]:
+        if closing:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == name:
                     while len(stack) > k:
@@ -133,15 +239,18 @@ def parse(page: str) -> tuple[list[tuple[str, str]], dict[str, list[list[str]]]]
                 if name in OPTIONAL_END and stack[k][0] in SCOPE and stack[k][0] != name:
                     break
             continue
+        leave_head()
         ends = OPTIONAL_END.get(name, set()) | ({"p"} if name in PARAGRAPH_END else set())
         while len(stack) > 1 and stack[-1][0] in ends:
             close()
         parent = stack[-1]
-        label = _label(name, m[4] or m[7] or "", "*" in parent[2])
-        path = parent[2] if parent[1] == label else f"{parent[2]}/{label}"
+        label = name if start in forms else _label(name, attributes, "*" in parent[2])
+        path = parent[2] if parent[1] == label else _below(parent[2], label)
         parent[3].append(label)
         stack.append((name, label, path, []))
     if at < len(page):
+        if not page[at:].isspace():
+            leave_head()
         run.append(page[at:])
     flush()
     while stack:
@@ -183,23 +292,86 @@ def tidy(items: list[Item]) -> list[Item]:
     return out
 
 
+def _common(a: list, b: list) -> list[tuple[int, int]]:
+    """Index pairs of a common subsequence of two sequences, in order: the longest one where the table
+    of the parts that differ is small; else what surrounds the values that both have once, in the same order; without such
+    values the next occurrence in turn. No table grows with the square of long sequences."""
+    work = [(0, len(a), 0, len(b))]
+    pairs: list[tuple[int, int]] = []
+    while work:
+        i0, i1, j0, j1 = work.pop()
+        while i0 < i1 and j0 < j1 and a[i0] == b[j0]:
+            pairs.append((i0, j0))
+            i0, j0 = i0 + 1, j0 + 1
+        while i0 < i1 and j0 < j1 and a[i1 - 1] == b[j1 - 1]:
+            i1, j1 = i1 - 1, j1 - 1
+            pairs.append((i1, j1))
+        if i0 == i1 or j0 == j1:
+            continue
+        if (i1 - i0) * (j1 - j0) <= TABLE_CELLS:
+            best = [[0] * (j1 - j0 + 1) for _ in range(i1 - i0 + 1)]
+            for i in range(i1 - 1, i0 - 1, -1):
+                row, below = best[i - i0], best[i - i0 + 1]
+                for j in range(j1 - 1, j0 - 1, -1):
+                    row[j - j0] = below[j - j0 + 1] + 1 if a[i] == b[j] else max(below[j - j0], row[j - j0 + 1])
+            i, j = i0, j0
+            while i < i1 and j < j1:
+                if a[i] == b[j]:
+                    pairs.append((i, j))
+                    i, j = i + 1, j + 1
+                elif best[i - i0 + 1][j - j0] >= best[i - i0][j - j0 + 1]:
+                    i += 1
+                else:
+                    j += 1
+            continue
+        counts_a, counts_b = Counter(a[i0:i1]), Counter(b[j0:j1])
+        where = {x: j for j, x in enumerate(b[j0:j1], j0) if counts_b[x] == 1 and counts_a[x] == 1}
+        anchors = _rising([(i, where[a[i]]) for i in range(i0, i1) if a[i] in where])
+        if anchors:
+            pairs.extend(anchors)
+            edges = [(i0 - 1, j0 - 1), *anchors, (i1, j1)]
+            work.extend((p + 1, r, q + 1, t) for (p, q), (r, t) in zip(edges, edges[1:]))
+            continue
+        places: dict = {}
+        for j in range(j0, j1):
+            places.setdefault(b[j], []).append(j)
+        j = j0
+        for i in range(i0, i1):
+            own = places.get(a[i], [])
+            k = bisect_left(own, j)
+            # not so far ahead that one odd element uses up the other sequence
+            if k < len(own) and own[k] - j <= max(i1 - i0, j1 - j0) // 8:
+                pairs.append((i, own[k]))
+                j = own[k] + 1
+    return sorted(pairs)
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A longest run of pairs whose second parts rise as the first ones do."""
+    tops: list[int] = []
+    ends: list[int] = []
+    back = [-1] * len(pairs)
+    for k, (_, j) in enumerate(pairs):
+        place = bisect_right(tops, j)
+        back[k] = ends[place - 1] if place else -1
+        tops[place : place + 1] = [j]
+        ends[place : place + 1] = [k]
+    out, k = [], ends[-1] if ends else -1
+    while k >= 0:
+        out.append(pairs[k])
+        k = back[k]
+    return out[::-1]
+
+
 def align(a: list[Item], b: list[Item]) -> list[Item]:
-    """The union-free expression over two: groups of a longest common subsequence stay, what only one has is optional."""
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and a[i][0] == b[j][0]:
-            out.append((a[i][0], a[i][1] or b[j][1], a[i][2] or b[j][2]))
-            i, j = i + 1, j + 1
-        elif j == len(b) or (i < len(a) and best[i + 1][j] >= best[i][j + 1]):
-            out.append((a[i][0], a[i][1], True))
-            i += 1
-        else:
-            out.append((b[j][0], b[j][1], True))
-            j += 1
+    """The union-free expression over two: groups of a common subsequence stay, what only one has is optional."""
+    out: list[Item] = []
+    i = j = 0
+    for k, m in [*_common([x[0] for x in a], [x[0] for x in b]), (len(a), len(b))]:
+        out += [(group, repeated, True) for group, repeated, _ in [*a[i:k], *b[j:m]]]
+        if k < len(a):
+            out.append((a[k][0], a[k][1] or b[m][1], a[k][2] or b[m][2]))
+        i, j = k + 1, m + 1
     return tidy(out)
 
 

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import random
+import time
+
+import pytest
 
 from sensorstream.llm import queries, wrappers
 
@@ -78,6 +81,60 @@ def test_edges(spark):
     assert wrappers.main_text(df.limit(0)).count() == 0
 
 
+def test_optional_head_and_body():
+    for start in ("<head><title>T</title><body>", "<html><head><meta charset=u><body class=x>", "<head><title>T</title>", "<title>T</title>", "<head></head>"):
+        found, _ = wrappers.parse(start + "<article><p>Story</p></article>")
+        assert [(p.endswith("/article*/p") and "!" not in p, t) for p, t in found] == [(True, "Story")]
+    assert wrappers.parse("<head> <title>T</title> words <p>more")[0] == [("", "words"), ("/p", "more")]
+
+
+def test_a_form_around_the_page_is_a_container(spark):
+    page = "<body><form action=x><nav>Menu</nav><article><p>Story</p><form>Name <input></form><p>end</p></article></form></body>"
+    around = "<body><form><div><h1>Title</h1><p>Words</p></div><input></form></body>"
+    assert texts(spark, [(1, "http://f.example/1", page, None), (2, "http://g.example/1", around, None)]) == {1: "Story end", 2: "Title Words"}
+    assert wrappers.page_forms("<form><label>a</label><p><input></p></form><h1>x</h1>") == set()
+
+
+@pytest.mark.parametrize("unit", ['<a "', "<!", "<a", '<p "\'>', "<p '\">", "</script", "<script>x</script", "<![CDATA[", "<div class='", "<p class=\"a\" '>x", "<", "&", "<b \"'>\"<i '\">"])
+@pytest.mark.parametrize("tail", ["", ">", '"', "'>"])
+def test_hostile_pages_take_time_by_their_length(unit, tail):
+    started = time.process_time()
+    wrappers.parse(unit * (600_000 // len(unit)) + tail)
+    assert time.process_time() - started < 8
+
+
+def test_tag_ends_from_the_table_are_those_of_the_scan():
+    rnd = random.Random(3)
+    for _ in range(3000):
+        page = "".join(rnd.choice("<p>\"' a/=") for _ in range(rnd.randint(0, 40)))
+        where, ends = wrappers._tag_ends(page)
+        for at in range(len(page) + 1):
+            rest = wrappers._REST.match(page, at)
+            k = next((k for k, w in enumerate(where) if w >= at), None)
+            assert (rest.end() if rest else -1) == (-1 if k is None else ends[k]), (page, at)
+
+
+def test_long_sequences_are_aligned_without_a_square():
+    rnd = random.Random(4)
+    a = [((rnd.choice("abcdefgh") + str(rnd.randrange(50)),), False, False) for _ in range(20_000)]
+    b = [x for x in a if rnd.random() > 0.1] + a[:100]
+    started = time.process_time()
+    found = wrappers.align(a, b)
+    assert time.process_time() - started < 20
+    # each of the two is what is left of the expression without some optional groups
+    for items in (a, b):
+        rest = iter(found)
+        kept = sum(any(x[0] == group for x in rest) for group, _, _ in wrappers.tidy(items))
+        assert kept == len(wrappers.tidy(items))
+
+
+def test_deep_pages_have_short_paths():
+    page = "<article>" + "<div><section>" * 3000 + "deep" + "</section></div>" * 3000 + "</article>"
+    found, models = wrappers.parse(page)
+    assert [t for _, t in found] == ["deep"] and "*" in found[0][0] and "!" not in found[0][0]
+    assert sum(map(len, models)) < 4_000_000 and len(models) == 6002
+
+
 def test_query(spark):
     found = queries.QUERIES["op2_wrappers"](spark, "/root/testdata/sf0.001").collect()
     assert len(found) == spark.read.parquet("/root/testdata/sf0.001/pages.parquet").count()
