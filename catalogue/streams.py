@@ -10,7 +10,7 @@ from catalogue import inputs as I
 from catalogue import messages as M
 from catalogue import windows as W
 from catalogue.registry import query
-from sensorstream.operators import samples, stats, trend
+from sensorstream.operators import samples, stats, trailing, trend
 from sensorstream.operators.parse import only_metric
 from sensorstream.plans import bridge as bridge_plan
 from sensorstream.plans.analytics import analytics, from_windows, transition_records, window_rows
@@ -136,6 +136,33 @@ def held_values_stream(spark, sf_dir):
     return held.select("device_id", "sensor", "metric", W.millis("at", "at_ms"), "value")
 
 
+# Six hours of readings show when the watermark has passed them.
+_SHOWN = f"(ts_ms // {6 * W.HOUR} + 1) * {6 * W.HOUR}"
+
+
+@query(f"""with {I.SQL_READINGS}, means as (
+  select *, sum(value) over w / count(*) over w as mean, count(*) over w as n from readings
+  window w as (partition by {W.KEY} order by ts_ms range between {6 * W.HOUR - 1} preceding and current row))
+select {W.KEY}, ts_ms, src_partition, src_offset, value, round(mean, 8) as mean_value, n from means where {_SHOWN} <= {_WATERMARK}""")
+def rolling_mean_arrival_stream(spark, sf_dir):
+    means = trailing.rolling_mean_per_reading(_readings(spark, sf_dir), "6 hours", keep=["src_partition", "src_offset"])
+    return run_to_table(means, "arrivals").select(
+        "device_id", "sensor", "metric", W.millis("ts", "ts_ms"), "src_partition", "src_offset", "value",
+        F.round("mean_value", 8).alias("mean_value"), "n",
+    )
+
+
+@query(f"""with {I.SQL_READINGS}, frames as (
+  select *, min(value) over (partition by {W.KEY} order by ts_ms range between {6 * W.HOUR - 1} preceding and current row) as lowest
+  from readings where lower(metric) = 'illumination')
+select {W.KEY}, ts_ms as at_ms, round(value - lowest, 8) as rise from frames where value - lowest > 100
+  and {_SHOWN} <= (select max(ts_ms) - 10000 from readings where lower(metric) = 'illumination')""")
+def light_sudden_increase_stream(spark, sf_dir):
+    light = watermarked(only_metric(I.readings_of(I.record_stream(spark, sf_dir)), "illumination"))
+    found = run_to_table(trailing.sudden_increases(light, width="6 hours"), "rises")
+    return found.select("device_id", "sensor", "metric", W.millis("at", "at_ms"), F.round("rise", 8).alias("rise"))
+
+
 @query(f"with {M._SQL_ROUTED} select case when error is null then kafka_topic else 'i483-dead-messages' end as topic, "
        f"case when error is null then payload else cast({M._SQL_LETTER} as varchar) end as value from routed")
 def bridge_stream(spark, sf_dir):

@@ -20,10 +20,14 @@ from pyspark.sql import functions as F
 from sensorstream import fixed
 from sensorstream.functions.timing import duration_us, floor_div
 from sensorstream.schemas import READING_KEY
+from sensorstream.streaming.trailing import trailing_stream
 
 
 def trailing(readings: DataFrame, width: str, key_cols=READING_KEY, keep=()) -> DataFrame:
-    """key_cols, ts, value, `keep`, and n, sum_value, min_value, max_value of (ts - width, ts]."""
+    """key_cols, ts, value, `keep`, and n, sum_value, min_value, max_value of (ts - width, ts]. A watermarked
+    stream gives the same rows, once the watermark has passed a block of `width`."""
+    if readings.isStreaming:
+        return trailing_stream(readings, width, key_cols, keep)
     width_us = duration_us(width)
     keys = list(key_cols)
     columns = list(dict.fromkeys([*keys, "ts", "value", *keep]))

@@ -7,7 +7,7 @@ import pytest
 from readings import START, at, make_readings, ms, random_readings
 from pyspark.sql import functions as F
 
-from sensorstream.operators import carry, changes, occupancy, samples, stats, trend
+from sensorstream.operators import carry, changes, occupancy, samples, stats, trailing, trend
 from sensorstream.operators.parse import only_metric
 from sensorstream.plans import analytics as plan
 from sensorstream.plans import bridge, collectors
@@ -17,6 +17,7 @@ from sensorstream.streaming.hold import held_values_stream
 from sensorstream.streaming.latest import LatestTable, latest_to_table
 from sensorstream.streaming.changes import threshold_changes_stream
 from sensorstream.streaming.occupancy import occupancy_stays_stream, occupancy_transitions_stream
+from sensorstream.streaming.trailing import trailing_stream
 from sensorstream.streaming.run import run_to_table, shared_folder, stream_settings
 
 PARTITIONS = 1
@@ -174,6 +175,27 @@ def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
     assert state() == before and table._batches("base") == [1, 3]
 
 
+@pytest.mark.parametrize("batches, step", [(1, None), (4, "20 seconds")])
+def test_frames_that_end_at_every_reading(spark, land, batches, step):
+    """Ties, readings exactly a width apart, missing values, null keys, an odd key of one reading."""
+    readings = random_readings(spark, 300, span_s=1_200, step_ms=1_000).withColumns({
+        "value": F.when(F.col("src_offset") % 3 != 0, F.col("value")), "device_id": F.nullif("device_id", F.lit("s1003")),
+    }).unionByName(make_readings(spark, [(START + timedelta(seconds=31), None, "s9"), (START + timedelta(seconds=9_000), 1, "end")]))
+    stream = src.watermarked(land(*slices(readings, batches)))
+    found = run_to_table(trailing_stream(stream, "1 minute", keep=["src_offset"], step=step), "frames", PARTITIONS)
+    plain = lambda df: sorted((r.device_id or "", ms(r.ts), r.src_offset, r.value is None, r.n, r.min_value or 0, r.max_value or 0, round(r.sum_value or 0, 6))
+                              for r in df.collect())
+    wanted = trailing.trailing(readings.where("device_id is null or device_id <> 'end'"), "1 minute", keep=["src_offset"])
+    assert plain(found) == plain(wanted) and len(plain(found)) == 301
+    lone = found.where("device_id = 's9'").first()
+    assert (lone.n, lone.sum_value, lone.min_value) == (0, None, None)
+
+
+def test_a_step_must_divide_the_width(spark, land):
+    with pytest.raises(ValueError):
+        trailing_stream(src.watermarked(land(random_readings(spark, 5))), "1 minute", step="25 seconds")
+
+
 @pytest.mark.parametrize("batches", [1, 5])
 def test_held_values(spark, land, batches):
     """A tick is shown once, whatever the micro-batches, by sensors that have fallen silent too."""
