@@ -288,3 +288,38 @@ def gappy_samples(readings):
 def held_values(spark, sf_dir):
     held = carry.held_values(gappy_samples(I.readings(spark, sf_dir)), "2024-01-31", "30 minutes")
     return held.select("device_id", "sensor", "metric", millis("at", "at_ms"), "value")
+
+
+def sql_split(size_ms: int, slide_ms: int, delay_ms: int) -> str:
+    return f"""arrivals as (
+  select * replace ((src_offset // 5) * 5 + (4 - src_offset % 5) as src_offset, nullif(src_partition, 3) as src_partition) from readings),
+seen as (
+  select *, max(ts_ms) over (partition by src_partition order by src_offset rows between unbounded preceding and 1 preceding) as top
+  from arrivals),
+in_windows as (
+  select *, (ts_ms // {slide_ms} - i) * {slide_ms} as start_ms, (ts_ms // {slide_ms} - i) * {slide_ms} + {size_ms} as end_ms,
+    coalesce(end_ms <= top - {delay_ms}, false) as is_late
+  from seen, generate_series(0, {size_ms // slide_ms - 1}) as g(i))"""
+
+
+def _split(spark, sf_dir):
+    return late.split_windows(I.arrivals(spark, sf_dir), "1 hour", "10 minutes", "20 minutes", block_rows=1000)
+
+
+@query(f"""with {I.SQL_READINGS}, {sql_split(HOUR, 10 * MINUTE, 20 * MINUTE)}
+select {KEY}, start_ms, end_ms, min(value) as min_value, max(value) as max_value, round(sum(value) / count(*), 8) as avg_value, count(*) as n
+from in_windows where not is_late group by all""")
+def windows_on_time(spark, sf_dir):
+    return _split(spark, sf_dir).on_time.select(
+        "device_id", "sensor", "metric", millis("window_start", "start_ms"), millis("window_end", "end_ms"),
+        "min_value", "max_value", F.round("avg_value", 8).alias("avg_value"), "n",
+    )
+
+
+@query(f"""with {I.SQL_READINGS}, {sql_split(HOUR, 10 * MINUTE, 20 * MINUTE)}
+select {KEY}, ts_ms, src_partition, src_offset, value, start_ms, end_ms from in_windows where is_late""")
+def late_windows(spark, sf_dir):
+    return _split(spark, sf_dir).late.select(
+        "device_id", "sensor", "metric", millis("ts", "ts_ms"), "src_partition", "src_offset", "value",
+        millis("window_start", "start_ms"), millis("window_end", "end_ms"),
+    )

@@ -280,3 +280,27 @@ def test_held_values_of_nothing(spark):
     none = make_readings(spark, [(START, None)])
     assert carry.held_values(none, "2030-01-01").count() == 0
     assert carry.held_values(make_readings(spark, [(START, 1)]), F.lit(START)).count() == 0
+
+
+def test_windows_are_split_where_the_watermark_had_closed_them(spark):
+    """On time and late together are every reading in every of its windows; a partition's first reading is never late."""
+    rnd = random.Random(5)
+    rows = [(START + timedelta(seconds=30 * i - rnd.choice((0, 0, 0, 200, 900))), None if i % 11 == 0 else i, f"s{i % 2}") for i in range(300)]
+    readings = make_readings(spark, rows).withColumn("src_partition", F.nullif(F.col("src_offset").cast("int") % 3, F.lit(2)))
+    for block_rows in (10, 10**6):
+        split = late.split_windows(readings, "5 minutes", "1 minute", "30 seconds", block_rows=block_rows)
+        on_time, closed, top = {}, [], {}
+        for r in sorted(readings.where("value is not null").collect(), key=lambda r: r.src_offset):
+            t, limit = ms(r.ts), top.get(r.src_partition, -(10**15)) - 30_000
+            for end in range((t // 60_000 + 1) * 60_000, (t // 60_000 + 6) * 60_000, 60_000):
+                if end <= limit:
+                    closed.append((r.src_offset, end))
+                else:
+                    on_time.setdefault((r.device_id, end), []).append(r.value)
+            top[r.src_partition] = max(top.get(r.src_partition, t), t)
+        assert sorted((r.src_offset, ms(r.window_end)) for r in split.late.collect()) == sorted(closed) and len(closed) > 20
+        found = {(r.device_id, ms(r.window_end)): (r.min_value, r.max_value, round(r.avg_value, 8), r.n) for r in split.on_time.collect()}
+        assert found == {k: (min(v), max(v), round(sum(v) / len(v), 8), len(v)) for k, v in on_time.items()}
+    assert late.split_windows(readings.limit(0)).late.count() == 0
+    with pytest.raises(ValueError):
+        late.split_windows(readings, "5 minutes", "2 minutes")
