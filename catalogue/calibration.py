@@ -9,6 +9,7 @@ from catalogue.registry import query
 from sensorstream.functions.bits import word_big_endian, word_little_endian
 from sensorstream.operators import calibrate as C
 from sensorstream.operators.carry import carry_forward
+from sensorstream.operators.settings import settings_in_force
 
 
 def _bh1750(spark, sf_dir):
@@ -186,3 +187,60 @@ def data_ready(spark, sf_dir):
 @query(f"with {I.SQL_RPR} select sample_id, data0, data1 from rpr")
 def little_endian_words(spark, sf_dir):
     return _rpr(spark, sf_dir).select("sample_id", "data0", "data1")
+
+
+def _in_force(samples, spark, sf_dir, *names):
+    return settings_in_force(samples, I.settings_log(spark, sf_dir), names, tie_cols=("settings_id",))
+
+
+@query(f"""with {I.SQL_SETTINGS}, bh as (
+  select l_orderkey * 8 + l_linenumber as sample_id, case when l_orderkey % 50 = 0 then -1 else {I.BH_RAW} end as raw,
+    cast(0.9 as double) + (settings_id % 60) / cast(100 as double) as accuracy from {I.SQL_SETTINGS_LINES}),
+judged as (
+  select *, case when raw < 0 then 'failed read' when accuracy is null then 'no settings'
+    when not accuracy between cast(0.96 as double) and cast(1.44 as double) then 'accuracy out of range' end as reject_reason
+  from bh)
+select sample_id, accuracy, reject_reason,
+  case when reject_reason is null then raw / cast(1.2 as double) / accuracy end as illumination from judged""")
+def bh1750_changing_accuracy(spark, sf_dir):
+    """Light by the accuracy that was set when the sample was taken."""
+    samples = I.bh1750_samples(spark, sf_dir)
+    out = C.calibrate_bh1750(_in_force(samples, spark, sf_dir, "accuracy"))
+    return out.select("sample_id", "accuracy", "illumination", "reject_reason")
+
+
+# fixed values in the SQL: the data sheet's lux segments
+@query(f"""with {I.SQL_SETTINGS}, {I.sql_rpr("(settings_id * 37) % 256", "(settings_id * 11) % 256", I.SQL_SETTINGS_LINES)}
+select sample_id, gain0, gain1, ms as measure_ms,
+  case when data0 is null or ps is null then 'failed read' when ms is null then 'no settings' when ms = 0 then 'not measuring' end as reject_reason,
+  cast(case when data0 is null or ms is null then null when ms = 0 then -1 when d0 = 0 then 0
+    when d1 / d0 < 0.595::double then 1.682::double * d0 - 1.877::double * d1
+    when d1 / d0 < 1.015::double then 0.644::double * d0 - 0.132::double * d1
+    when d1 / d0 < 1.352::double then 0.756::double * d0 - 0.243::double * d1
+    when d1 / d0 < 3.053::double then 0.766::double * d0 - 0.25::double * d1
+    else 0 end as double) as ambient_light
+from rpr_adj""")
+def rpr_changing_registers(spark, sf_dir):
+    """Light by the gains and the measurement time of the registers in force."""
+    samples = _rpr(spark, sf_dir).drop("als_ps_reg", "mode_reg")
+    out = C.calibrate_rpr(_in_force(samples, spark, sf_dir, "als_ps_reg", "mode_reg"))
+    return out.select("sample_id", "gain0", "gain1", "measure_ms", "ambient_light", "reject_reason")
+
+
+@query(f"""with {I.SQL_SETTINGS}, p as (
+  select l_orderkey * 8 + l_linenumber as sample_id, {_PRESSURE} as p,
+    cast(980 + settings_id % 60 as double) as p0 from {I.SQL_SETTINGS_LINES})
+select sample_id, p0 as sea_level, case when p > 0 then
+    round(cast(44330 as double) * (1 - pow(p / p0, cast(0.190284 as double))), 4) end as altitude,
+  coalesce(p <= 0, false) and p0 is not null as no_altitude
+from p""")
+def altitude_changing_sea_level(spark, sf_dir):
+    """Height by the pressure at sea level that was set last."""
+    samples = I.table(spark, sf_dir, "lineitem").select(
+        F.expr("l_orderkey * 8 + l_linenumber").alias("sample_id"),
+        F.expr("concat('s', cast(1000 + l_suppkey as string))").alias("device_id"),
+        F.col("l_shipdate").cast("timestamp").alias("ts"), F.expr(_PRESSURE).alias("air_pressure"),
+    )
+    known = _in_force(samples, spark, sf_dir, "sea_level")
+    out = known.withColumn("altitude", C.altitude(F.col("air_pressure"), F.col("sea_level")))
+    return out.select("sample_id", "sea_level", *_altitude_out())

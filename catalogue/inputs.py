@@ -243,6 +243,12 @@ def bh1750_raw(spark, sf_dir) -> DataFrame:
     return counts.join(settings.where("settings_id % 23 <> 0"), "settings_id", "left").drop("settings_id")
 
 
+def bh1750_samples(spark, sf_dir) -> DataFrame:
+    """Counts with their time and without settings."""
+    raw = f"case when l_orderkey % 50 = 0 then -1 else cast({BH_RAW} as int) end"
+    return _counts(spark, sf_dir, ts="cast(l_shipdate as timestamp)", raw=raw)
+
+
 SQL_BH1750 = f"""
 bh as (
   select l_orderkey * 8 + l_linenumber as sample_id, 's' || cast(1000 + l_suppkey as varchar) as device_id,
@@ -251,6 +257,24 @@ bh as (
   from lineitem left join supplier on l_suppkey = s_suppkey and s_suppkey % 23 <> 0)"""
 
 
+def settings_log(spark, sf_dir) -> DataFrame:
+    """Settings by device and time, a row per order; devices may have several of the same instant, or none."""
+    return table(spark, sf_dir, "orders").select(
+        F.expr("concat('s', cast(1000 + o_custkey as string))").alias("device_id"),
+        F.col("o_orderdate").cast("timestamp").alias("since"), F.col("o_orderkey").alias("settings_id"),
+        F.expr("cast(0.9 as double) + (o_orderkey % 60) / cast(100 as double)").alias("accuracy"),
+        F.expr("cast((o_orderkey * 37) % 256 as int)").alias("als_ps_reg"),
+        F.expr("cast((o_orderkey * 11) % 256 as int)").alias("mode_reg"),
+        F.expr("cast(980 + o_orderkey % 60 as double)").alias("sea_level"),
+    )
+
+
+SQL_SETTINGS = """
+settings as (
+  select o_custkey as number, o_orderdate as since, max(o_orderkey) as settings_id from orders group by all)"""
+SQL_SETTINGS_LINES = "(lineitem asof left join settings on l_suppkey = number and l_shipdate >= since)"
+
+
 def rpr_raw(spark, sf_dir) -> DataFrame:
     return _counts(
         spark, sf_dir,
@@ -258,15 +282,17 @@ def rpr_raw(spark, sf_dir) -> DataFrame:
         d0_lo=f"case when l_orderkey % 41 <> 0 then cast({RPR_D0} % 256 as int) end", d0_hi=f"cast({RPR_D0} div 256 as int)",
         d1_lo=f"cast({RPR_D1} % 256 as int)", d1_hi=f"cast({RPR_D1} div 256 as int)",
         als_ps_reg="cast((l_suppkey * 37) % 256 as int)", mode_reg="cast((l_suppkey * 11) % 256 as int)",
+        ts="cast(l_shipdate as timestamp)",
     )
 
 
-SQL_RPR = f"""
+def sql_rpr(als: str, mode: str, lines: str = "lineitem") -> str:
+    return f"""
 rpr as (
   select l_orderkey * 8 + l_linenumber as sample_id, 's' || cast(1000 + l_suppkey as varchar) as device_id,
     case when l_orderkey % 43 <> 0 then {RPR_PS} end as ps, case when l_orderkey % 41 <> 0 then {RPR_D0} end as data0, {RPR_D1} as data1,
-    (l_suppkey * 37) % 256 as als, (l_suppkey * 11) % 256 as mode
-  from lineitem),
+    {als} as als, {mode} as mode
+  from {lines}),
 rpr_set as ( -- fixed values: gains and measurement times of the data sheet, by register field
   select *, ([1, 2, 64, 128])[cast((als >> 4) & 3 as integer) + 1] as gain0,
     ([1, 2, 64, 128])[cast((als >> 2) & 3 as integer) + 1] as gain1,
@@ -281,6 +307,9 @@ rpr_adj as (
   from rpr_set)"""
 
 
+SQL_RPR = sql_rpr("(l_suppkey * 37) % 256", "(l_suppkey * 11) % 256")
+
+
 def dps310_tables(spark, sf_dir) -> DataFrame:
     """Eighteen coefficient bytes per device."""
     octets = [F.expr(f"cast((s_suppkey * {31 * i + 17} + {53 * i}) % 256 as int)") for i in range(18)]

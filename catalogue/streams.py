@@ -10,11 +10,12 @@ from catalogue import inputs as I
 from catalogue import messages as M
 from catalogue import windows as W
 from catalogue.registry import query
-from sensorstream.operators import samples, stats, trailing, trend
+from sensorstream.operators import changes, samples, stats, trailing, trend
 from sensorstream.operators.parse import only_metric
 from sensorstream.plans import bridge as bridge_plan
 from sensorstream.plans.analytics import analytics, from_windows, transition_records, window_rows
 from sensorstream.sources.messages import read_stream, watermarked
+from sensorstream.streaming.changes import last_status
 from sensorstream.streaming.changes import threshold_changes_stream as changes_stream
 from sensorstream.streaming.hold import held_values_stream as hold_stream
 from sensorstream.streaming.latest import latest_to_table
@@ -48,18 +49,31 @@ def rolling_mean_stream(spark, sf_dir):
     )
 
 
-@query(f"""with {I.SQL_READINGS}, marked as (
+_SQL_CHANGES = f"""with {I.SQL_READINGS}, marked as (
   select *, value > 700 as above,
     lag(value > 700) over (partition by {W.KEY} order by ts_ms, src_partition, src_offset) as before
   from readings where lower(metric) = 'co2')
 select {W.KEY}, ts_ms, value, case when above then 'yes' else 'no' end as message
 from marked where (before is null or before <> above)
-  and (ts_ms // 1000 + 1) * 1000 <= (select max(ts_ms) - 10000 from readings where lower(metric) = 'co2')""")
+  and (ts_ms // 1000 + 1) * 1000 <= (select max(ts_ms) - 10000 from readings where lower(metric) = 'co2')"""
+
+
+@query(_SQL_CHANGES)
 def threshold_changes_stream(spark, sf_dir):
     co2 = watermarked(only_metric(I.readings_of(I.record_stream(spark, sf_dir)), "co2"))
     return W.changes_out(run_to_table(changes_stream(co2), "changes"))
 
 
+@query(_SQL_CHANGES)
+def threshold_changes_from_table(spark, sf_dir, handover="2024-01-16 00:00:00"):
+    """What happened before the hand-over from a table, the rest from a stream that starts with the table's last status."""
+    cut = F.lit(handover).cast("timestamp")
+    history = only_metric(I.readings(spark, sf_dir), "co2").where(F.col("ts") < cut)
+    rest = only_metric(I.readings_of(I.record_stream(spark, sf_dir)), "co2").where(F.col("ts") >= cut)
+    found = run_to_table(changes_stream(watermarked(rest), initial=last_status(history)), "resumed")
+    return W.changes_out(changes.threshold_changes(history, block="6 hours").unionByName(found))
+
+
 @query(f"with {I.SQL_READINGS}, {W.sql_trend('sensor', W.HOUR, 15 * W.MINUTE, 'co2')} "
        "select sensor, start_ms, end_ms, n from trend "
        "where end_ms <= (select max(ts_ms) - 10000 from readings where lower(metric) = 'co2')")

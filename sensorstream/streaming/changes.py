@@ -28,6 +28,9 @@ class PaneEdges(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", T.StructType([T.StructField("above", T.BooleanType())]))
 
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self.last.update((initialState["above"],))
+
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         known = self.last.get()[0] if self.last.exists() else None
         own = dict(zip(self.key_names, key))
@@ -43,12 +46,22 @@ class PaneEdges(StatefulProcessor):
         pass
 
 
+def last_status(
+    readings: DataFrame, threshold: float = fixed.CO2_THRESHOLD, key_cols=READING_KEY, order_cols=ARRIVAL_ORDER
+) -> DataFrame:
+    """key_cols, above: the status of each key's last reading in a table. Combined before the shuffle."""
+    above = is_above(F.col("value"), threshold)
+    known = readings.where(F.col("value").isNotNull())
+    return known.groupBy(*key_cols).agg(F.max_by(above, F.struct(*order_cols)).alias("above"))
+
+
 def threshold_changes_stream(
     readings: DataFrame,
     threshold: float = fixed.CO2_THRESHOLD,
     key_cols=READING_KEY,
     order_cols=ARRIVAL_ORDER,
     pane: str = PANE,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """The stream form of `threshold_changes`, over readings watermarked on `ts`.
 
@@ -56,6 +69,10 @@ def threshold_changes_stream(
     on once the watermark has passed it; the state step then sees one row per pane, in event
     order, whatever the micro-batches were. A change shows a pane and the watermark's delay
     after it happened. The largest unit is the readings of one key in one pane.
+
+    `initial` (see `last_status`) has the status at which keys start, one row per key, taken over by the query's first run:
+    the first reading of such a key is a change only if its status differs. Then history from a table and
+    what comes after it on the stream give the changes of both together.
     """
     keys, order = list(key_cols), list(order_cols)
     columns = list(dict.fromkeys([*keys, *order, "value"]))
@@ -75,9 +92,11 @@ def threshold_changes_stream(
             ).alias("edges"),
         )
     )
+    started = initial.select(*keys, "above").groupBy(*keys) if initial is not None else None
     return panes.groupBy(*keys).transformWithState(
         statefulProcessor=PaneEdges(rows.columns, keys),
         outputStructType=rows.schema,
         outputMode="Append",
         timeMode="None",
+        initialState=started,
     )

@@ -15,7 +15,7 @@ from sensorstream.sinks import records as sinks
 from sensorstream.sources import messages as src
 from sensorstream.streaming.hold import held_values_stream
 from sensorstream.streaming.latest import LatestTable, latest_to_table
-from sensorstream.streaming.changes import threshold_changes_stream
+from sensorstream.streaming.changes import last_status, threshold_changes_stream
 from sensorstream.streaming.occupancy import occupancy_stays_stream, occupancy_transitions_stream
 from sensorstream.streaming.trailing import trailing_stream
 from sensorstream.streaming.run import run_to_table, shared_folder, stream_settings
@@ -101,6 +101,30 @@ def test_threshold_changes_out_of_order_across_micro_batches(spark, land):
     assert edges(found, 10**18) == edges(changes.threshold_changes(readings), watermark(readings))
 
 
+@pytest.mark.parametrize("batches", [1, 4])
+def test_threshold_changes_go_on_from_a_table(spark, land, batches):
+    readings = random_readings(spark, 300, step_ms=5_000)
+    cut = F.col("ts") < F.lit(START + timedelta(seconds=9_000))
+    # a key that only the table has, and one whose last value in the table is missing
+    only = make_readings(spark, [(START, 900.0, "s7"), (START + timedelta(seconds=5), 100.0, "s7"), (START + timedelta(seconds=9), None, "s7")])
+    history = readings.where(cut).unionByName(only)
+    stream = src.watermarked(land(*slices(readings.where(~cut), batches)))
+    rest = run_to_table(threshold_changes_stream(stream, initial=last_status(history)), "resumed", PARTITIONS)
+    whole = changes.threshold_changes(readings.unionByName(only))
+    limit = watermark(readings)
+    both = changes.threshold_changes(history).unionByName(rest)
+    assert edges(both, 10**18) == edges(whole, limit)
+    # without the status, readings that are no change would show as first ones
+    assert rest.count() < changes.threshold_changes(readings.where(~cut)).count()
+
+
+def test_initial_status_without_rows(spark, land):
+    readings = random_readings(spark, 50, step_ms=5_000)
+    stream = src.watermarked(land(readings))
+    found = run_to_table(threshold_changes_stream(stream, initial=last_status(readings.limit(0))), "fresh", PARTITIONS)
+    assert edges(found, 10**18) == edges(changes.threshold_changes(readings), watermark(readings))
+
+
 @pytest.mark.parametrize("batches", [1, 4])
 def test_trend(spark, land, batches):
     rows = [(START + timedelta(seconds=20 * i), (i % 23) // 2, f"s{1001 + i % 2}") for i in range(200)]
