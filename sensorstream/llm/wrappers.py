@@ -2,15 +2,20 @@
 
 A page becomes a stream of block elements and texts. Over all pages of a host, the child sequences met
 under one element path are aligned one after the other into a union-free regular expression:
-runs that repeat become iterated groups, what one sequence lacks becomes an optional group, and texts
-that differ become slots, while a text that is the same wherever it occurs is part of the template. The
-expressions of a host's paths are its wrapper. Slots are then judged: those below menus, page headers,
-footers, sidebars, notices, adverts, forms and reader comments never carry content; if a page fills slots
-inside an article these are its text, otherwise the remaining slots that are no template text. Copies of a page count
-once, and a page that has nothing but template text keeps it.
-
-Sequences and texts are counted where the pages lie; only different sequences of a path travel, and they
-are merged in two levels, so a host with a third of all pages costs no more than another.
+runs that repeat become iterated groups, and what one sequence lacks becomes an optional group. The
+expressions of a host's paths are its wrapper. Each sequence is then matched with its path's expression, which
+gives every text a slot: its path, the place of its element among the parent's children and its own
+place in the element, as items of the two expressions. Within a slot texts that differ between pages are content; a
+text that most of the different pages filling the slot have there is a part of the template, inside articles
+too. Slots below menus, page headers, footers, sidebars, notices, adverts, forms and reader comments never carry
+content; if a page fills slots inside an article these are its text, otherwise the others. A page that has
+nothing but template text keeps it.
+
+Pages are different by their texts outside articles, and inside by the longest text there, so that neither copies nor edited
+copies of one article make a template of it.
+
+Sequences, places and hashes of texts are gathered where the pages lie; only different sequences of a path travel, and
+they are merged in two levels, so a host with a third of all pages costs no more than another.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
@@ -28,7 +34,7 @@ from pyspark.sql import functions as F
 
 from sensorstream.llm.common import pieces, table
 
-#: A text is template when it alone fills its slot on so many different pages; branches of the merge tree; longest repeated group.
+#: A text may be template from so many different pages on, fewer are no evidence; branches of the merge tree; longest repeated group.
 TEMPLATE_PAGES, BRANCHES, GROUP = 8, 64, 4
 #: Sequences are aligned by a full table up to so many cells, longer ones from anchors; paths are written out up to so many characters.
 TABLE_CELLS, LONG_PATH = 250_000, 400
@@ -181,14 +187,26 @@ def _below(path: str, label: str) -> str:
     return f"{path}/{label}"
 
 
-def parse(page: str) -> tuple[list[tuple[str, str]], dict[str, list[list[str]]]]:
-    """The page's texts in order, as (path, text), and the child sequences of its elements by path. Paths name
+class Element(NamedTuple):
+    """A block element: its path, its parent and its place there (numbers in lists), its children's labels."""
+
+    name: str
+    label: str
+    path: str
+    children: list[str]
+    number: int
+    parent: int
+    place: int
+
+
+def outline(page: str) -> tuple[list[tuple[int, int, str]], list[Element]]:
+    """The page's texts in order, as (number of the element, place among its children, text), and its elements. Paths name
     the open block elements; an element within one of its own label shares its path. A text runs on through inline elements; line
     breaks count as white space. Elements left open end with their parents or the page; a head also ends at the first text or element
     that cannot be in it. The work grows with the page's length, whatever the markup."""
-    texts: list[tuple[str, str]] = []
-    models: dict[str, list[list[str]]] = {}
-    stack: list[tuple[str, str, str, list[str]]] = [("", "", "", [])]
+    texts: list[tuple[int, int, str]] = []
+    elements = [Element("", "", "", [], 0, -1, 0)]
+    stack = elements[:]
     run: list[str] = []
 
     def flush() -> None:
@@ -196,29 +214,25 @@ def parse(page: str) -> tuple[list[tuple[str, str]], dict[str, list[list[str]]]]
             value = " ".join(html.unescape("".join(run)).split())
             run.clear()
             if value:
-                texts.append((stack[-1][2], value))
-                stack[-1][3].append("#")
-
-    def close() -> None:
-        _, _, path, children = stack.pop()
-        models.setdefault(path, []).append(children)
+                texts.append((stack[-1].number, len(stack[-1].children), value))
+                stack[-1].children.append("#")
 
     def leave_head() -> None:
-        while stack[-1][0] == "head":
-            close()
+        while stack[-1].name == "head":
+            stack.pop()
 
     forms = page_forms(page)
     at = 0
     for start, end, closing, name, attributes in tokens(page):
         between = page[at:start]
         if between:
-            if stack[-1][0] == "head" and not between.isspace():
+            if stack[-1].name == "head" and not between.isspace():
                 leave_head()
             run.append(between)
         at = end
         if name in RAW:
             flush()
-            stack[-1][3].append(name + "!")
+            stack[-1].children.append(name + "!")
             continue
         if not name:
             if attributes:
@@ -232,30 +246,38 @@ def parse(page: str) -> tuple[list[tuple[str, str]], dict[str, list[list[str]]]]
         flush()
         if closing:
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
+                if stack[k].name == name:
                     while len(stack) > k:
-                        close()
+                        stack.pop()
                     break
-                if name in OPTIONAL_END and stack[k][0] in SCOPE and stack[k][0] != name:
+                if name in OPTIONAL_END and stack[k].name in SCOPE and stack[k].name != name:
                     break
             continue
         leave_head()
         ends = OPTIONAL_END.get(name, set()) | ({"p"} if name in PARAGRAPH_END else set())
-        while len(stack) > 1 and stack[-1][0] in ends:
-            close()
+        while len(stack) > 1 and stack[-1].name in ends:
+            stack.pop()
         parent = stack[-1]
-        label = name if start in forms else _label(name, attributes, "*" in parent[2])
-        path = parent[2] if parent[1] == label else _below(parent[2], label)
-        parent[3].append(label)
-        stack.append((name, label, path, []))
+        label = name if start in forms else _label(name, attributes, "*" in parent.path)
+        path = parent.path if parent.label == label else _below(parent.path, label)
+        stack.append(Element(name, label, path, [], len(elements), parent.number, len(parent.children)))
+        elements.append(stack[-1])
+        parent.children.append(label)
     if at < len(page):
         if not page[at:].isspace():
             leave_head()
         run.append(page[at:])
     flush()
-    while stack:
-        close()
-    return texts, models
+    return texts, elements
+
+
+def parse(page: str) -> tuple[list[tuple[str, str]], dict[str, list[list[str]]]]:
+    """The page's texts in order, as (path, text), and the child sequences of its elements by path."""
+    texts, elements = outline(page)
+    models: dict[str, list[list[str]]] = {}
+    for element in elements:
+        models.setdefault(element.path, []).append(element.children)
+    return [(elements[number].path, text) for number, _, text in texts], models
 
 
 # ---- union-free expressions: lists of (group of labels, repeated, optional) -----------------------
@@ -292,6 +314,25 @@ def tidy(items: list[Item]) -> list[Item]:
     return out
 
 
+def places(items: list[Item], children: list[str]) -> list[int]:
+    """For each child the number of its item in the folded sequence."""
+    out: list[int] = []
+    for number, (group, repeated, _) in enumerate(items):
+        width = len(group)
+        out += [number] * width
+        while repeated and tuple(children[len(out) : len(out) + width]) == group:
+            out += [number] * width
+    return out
+
+
+def positions(sequence: list[Item], expression: list[Item]) -> list[int]:
+    """For each item of a folded sequence the item of the expression that it is aligned with, or -1."""
+    out = [-1] * len(sequence)
+    for k, m in _common([x[0] for x in sequence], [x[0] for x in expression]):
+        out[k] = m
+    return out
+
+
 def _common(a: list, b: list) -> list[tuple[int, int]]:
     """Index pairs of a common subsequence of two sequences, in order: the longest one where the table
     of the parts that differ is small; else what surrounds the values that both have once, in the same order; without such
@@ -404,77 +445,121 @@ def _merge(group: pd.DataFrame) -> pd.DataFrame:
     return group.iloc[:1].assign(expression=write(found or []))
 
 
-def infer(pages: DataFrame, url: str = "url", page: str = "html") -> tuple[DataFrame, DataFrame]:
-    """The wrappers of all hosts, from all pages: (host, path, expression), and (host, path, texts, literal, differ) with the number
-    of texts that filled the path's slot, the text's hash if it was always the same, and on how many different pages that was,
-    counted up to `TEMPLATE_PAGES`."""
-    schema = "host string, path string, expression string, low long, high long, n long, pages array<long>"
+def gather(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
+    """What the wrappers need of all pages, as a table with rows of three kinds: (host, path, expression, seq), a folded child sequence;
+    (host, path, key, above, above_item, seq, item), a place where texts stand, by sequences of the element and its parent; and
+    (key, text, page), that a text stands at a place of a page, the last two as hashes."""
+    names = ["host", "path", "expression", "seq", "item", "above", "above_item", "key", "text", "page"]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    schema = "host string, path string, expression string, seq long, item int, above long, above_item int, key long, text long, page long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: set[tuple[str, str, str]] = set()
-            slots: dict[tuple[str, str], list] = {}
+            sequences: set[tuple] = set()
+            stands: set[tuple] = set()
             for part in pieces(batch, "page"):
+                filled: set[tuple[int, int, int]] = set()
                 for host, value in zip(part.column("host").to_pylist(), part.column("page").to_pylist(), strict=True):
-                    texts, models = parse(value or "")
-                    seen.update((host, path, e) for path, lists in models.items() for e in {write(fold(c)) for c in lists})
-                    whole: dict[str, list[str]] = {}
-                    for path, text in texts:
-                        whole.setdefault(path, []).append(text)
-                    page = _hash("\0".join(f"{path}\n{text}" for path, text in texts))
-                    for path, own in whole.items():
-                        h = _hash("\n".join(own))
-                        slot = slots.setdefault((host, path), [h, h, 0, set()])
-                        slot[:3] = min(slot[0], h), max(slot[1], h), slot[2] + 1
-                        # Any so many different pages settle the question; fewer are all kept.
-                        if len(slot[3]) < TEMPLATE_PAGES:
-                            slot[3].add(page)
-            rows = [(*x, None, None, None, None) for x in seen]
-            rows += [(host, path, None, *x, list(pages) if x[0] == x[1] else []) for (host, path), (*x, pages) in slots.items()]
-            if rows:
-                kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-                columns = zip(zip(*rows, strict=True), kinds, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], names=["host", "path", "expression", "low", "high", "n", "pages"])
+                    texts, elements = outline(value or "")
+                    folded = [fold(e.children) for e in elements]
+                    own = [places(items, e.children) for items, e in zip(folded, elements, strict=True)]
+                    written = [write(items) for items in folded]
+                    seqs = [_hash(f"{host}\n{e.path}\n{text}") for e, text in zip(elements, written, strict=True)]
+                    sequences.update((host, e.path, text, seq) for e, text, seq in zip(elements, written, seqs, strict=True))
+                    whole = _hash("\0".join(f"{elements[n].path}\n{text}" for n, _, text in texts))
+                    inner = _hash(max((t for n, _, t in texts if "*" in elements[n].path and "!" not in elements[n].path), key=lambda t: (len(t), t), default=""))
+                    for number, place, text in texts:
+                        e = elements[number]
+                        if "!" in e.path:
+                            continue
+                        above, above_item = (seqs[e.parent], own[e.parent][e.place]) if e.parent >= 0 else (0, 0)
+                        item = own[number][place]
+                        key = _hash(f"{above} {above_item} {seqs[number]} {item}")
+                        stands.add((host, e.path, seqs[number], item, above, above_item, key))
+                        filled.add((key, mark(e.path, text), inner if "*" in e.path else whole))
+                yield _batch([(None,) * 7 + x for x in filled], kinds, names)
+            yield _batch([(*x, *(None,) * 6) for x in sequences], kinds, names)
+            yield _batch([(host, path, None, *x, None, None) for host, path, *x in stands], kinds, names)
 
     read_ = pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("page"))
-    found = table(read_.mapInArrow(run, schema), "wrapper-parts")
+    return table(read_.mapInArrow(run, schema), "wrapper-parts")
+
+
+def _batch(rows: list[tuple], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[] for _ in names]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
+def _hash(text: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(text) - 2**63
+
+
+def mark(path: str, text: str) -> int:
+    """A text at a path, as a hash."""
+    return _hash(f"{path}\n{text}")
+
+
+def expressions(found: DataFrame) -> DataFrame:
+    """(host, path, expression): all sequences of a host and path, merged."""
     parts = found.where("expression is not null").select("host", "path", "expression").distinct()
     salted = parts.withColumn("salt", F.pmod(F.xxhash64("expression"), F.lit(BRANCHES)))
     kind = "host string, path string, expression string"
     once = salted.groupBy("host", "path", "salt").applyInPandas(_merge, kind + ", salt long")
-    models = once.drop("salt").groupBy("host", "path").applyInPandas(_merge, kind)
-    filled = found.where("expression is null")
-    slots = filled.groupBy("host", "path").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("texts"))
-    different = filled.select("host", "path", F.explode("pages").alias("page")).distinct().groupBy("host", "path").agg(F.count(F.lit(1)).alias("differ"))
-    slots = slots.join(different, ["host", "path"], "left")
-    return models, slots.select(
-        "host", "path", "texts", F.when(F.col("low") == F.col("high"), F.col("low")).alias("literal"), F.least(F.coalesce("differ", F.lit(0)), F.lit(TEMPLATE_PAGES)).alias("differ"),
-    )
+    return once.drop("salt").groupBy("host", "path").applyInPandas(_merge, kind)
 
 
-def _hash(text: str) -> int:
-    import xxhash
+def slots_of(found: DataFrame, models: DataFrame) -> DataFrame:
+    """(key, host, path, slot): the slot of every place, from the alignment of its two sequences with the wrapper."""
 
-    return xxhash.xxh64_intdigest(text) - 2**63
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for seq, sequence, model in zip(*(batch.column(c).to_pylist() for c in ("seq", "sequence", "expression")), strict=True):
+                rows = [(seq, k, m) for k, m in enumerate(positions(read(sequence), read(model)))]
+                yield _batch(rows, [pa.int64(), pa.int32(), pa.int32()], ["seq", "item", "position"])
 
+    parts = found.where("expression is not null").select("host", "path", F.col("expression").alias("sequence"), "seq").distinct()
+    placed = parts.join(models, ["host", "path"]).mapInArrow(run, "seq long, item int, position int")
+    stands = found.where("item is not null").select("key", "host", "path", "seq", "item", "above", "above_item").distinct()
+    above = placed.select(F.col("seq").alias("above"), F.col("item").alias("above_item"), F.col("position").alias("above_position"))
+    known = stands.join(placed, ["seq", "item"]).join(above, ["above", "above_item"], "left")
+    return known.select("key", "host", "path", F.xxhash64("host", "path", "above_position", "position").alias("slot"))
 
-def content_slots(models: DataFrame, slots: DataFrame) -> DataFrame:
-    """(host, inside, outside, template): paths of each host's wrapper whose texts are content, within articles and
-    elsewhere, and those outside articles whose text is the same on different pages."""
-    clean = ~F.col("path").contains("!")
-    template = F.col("literal").isNotNull() & (F.col("differ") >= TEMPLATE_PAGES)
-    holding = models.where(F.col("expression").contains("#")).select("host", "path")
-    judged = holding.join(slots, ["host", "path"]).where(clean).withColumn("inside", F.col("path").contains("*")).withColumn("fixed", template)
-    paths = lambda c: F.array_sort(F.collect_set(F.when(c, F.col("path"))))
-    inside, fixed = F.col("inside"), F.col("fixed")
-    return judged.groupBy("host").agg(paths(inside).alias("inside"), paths(~inside & ~fixed).alias("outside"), paths(~inside & fixed).alias("template"))
 
+def fillings(found: DataFrame, slots: DataFrame) -> DataFrame:
+    """(slot, text, page), each once: which texts fill a slot on which different pages."""
+    return found.where("text is not null").select("key", "text", "page").join(slots.select("key", "slot"), "key").select("slot", "text", "page").distinct()
 
-def extract(pages: DataFrame, slots: DataFrame, url: str = "url", page: str = "html", text: str = "text") -> DataFrame:
+
+def infer(pages: DataFrame, url: str = "url", page: str = "html") -> tuple[DataFrame, DataFrame]:
+    """The wrappers of all hosts, from all pages: (host, path, expression), and (host, path, slot, literal, differ) with the
+    hash of the text if a slot always has the same one, and on how many different pages it is filled."""
+    found = gather(pages, url, page)
+    models = table(expressions(found), "wrapper-models")
+    slots = table(slots_of(found, models), "wrapper-slots")
+    filled = fillings(found, slots)
+    differ = filled.select("slot", "page").distinct().groupBy("slot").agg(F.count(F.lit(1)).alias("differ"))
+    literal = filled.groupBy("slot").agg(F.when(F.min("text") == F.max("text"), F.min("text")).alias("literal"))
+    return models, slots.select("host", "path", "slot").distinct().join(literal, "slot").join(differ, "slot")
+
+
+def template_texts(found: DataFrame, slots: DataFrame) -> DataFrame:
+    """(host, template): per host the hashes (see `mark`) of texts that more than half of the different pages filling their slot have there,
+    and no fewer than `TEMPLATE_PAGES`. A host has no more of them than about two pages have texts per slot."""
+    filled = table(fillings(found, slots), "wrapper-fillings")
+    often = filled.groupBy("slot", "text").agg(F.count(F.lit(1)).alias("holding")).where(F.col("holding") >= TEMPLATE_PAGES)
+    differ = filled.select("slot", "page").distinct().groupBy("slot").agg(F.count(F.lit(1)).alias("differ"))
+    fixed = often.join(differ, "slot").where(2 * F.col("holding") > F.col("differ")).select("slot", "text")
+    hosts = slots.select("slot", "host").distinct()
+    return fixed.join(hosts, "slot").groupBy("host").agg(F.array_sort(F.collect_set("text")).alias("template"))
+
+
+def extract(pages: DataFrame, templates: DataFrame, url: str = "url", page: str = "html", text: str = "text") -> DataFrame:
     """Add `text` to every page: the texts of its content slots in page order, joined by one space. A column of that
     name is replaced; other columns pass through. A page without any has its template texts. Null or empty pages and pages without content have the
     empty text; pages without a host share one wrapper. Every page is kept, repeated ones too. Spark
-    broadcasts the slots if they are small and splits hot hosts otherwise."""
+    broadcasts the templates if they are small and splits hot hosts otherwise."""
     keep = [f for f in pages.schema.fields if f.name != text]
     names = [f.name for f in keep]
     schema = pages.select(*names).withColumn(text, F.lit("").cast("string")).schema
@@ -483,21 +568,24 @@ def extract(pages: DataFrame, slots: DataFrame, url: str = "url", page: str = "h
         for batch in batches:
             for part in pieces(batch, page):
                 out = []
-                for value, *ranked in zip(*(part.column(c).to_pylist() for c in (page, "_inside", "_outside", "_template")), strict=True):
-                    texts, _ = parse(value or "")
+                for value, template in zip(part.column(page).to_pylist(), part.column("_template").to_pylist(), strict=True):
+                    fixed = set(template or ())
+                    clean = [(p, t, bool(fixed) and mark(p, t) in fixed) for p, t in parse(value or "")[0] if "!" not in p]
                     chosen: list[str] = []
-                    for slots_ in ranked:
-                        own = set(slots_ or ())
-                        chosen = chosen or [t for p, t in texts if p in own]
+                    for skip in (False, True):
+                        for inside in (True, False):
+                            chosen = chosen or [t for p, t, known in clean if known == skip and ("*" in p) == inside]
                     out.append(" ".join(chosen))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(out, pa.string())], names=[*names, text])
 
-    named = slots.select(F.col("host").alias("_host"), F.col("inside").alias("_inside"), F.col("outside").alias("_outside"), F.col("template").alias("_template"))
+    named = templates.select(F.col("host").alias("_host"), F.col("template").alias("_template"))
     joined = pages.select(*names, host_of(F.col(url)).alias("_own")).join(named, F.col("_own") == F.col("_host"), "left").drop("_own", "_host")
     return joined.mapInArrow(run, schema)
 
 
 def main_text(pages: DataFrame, url: str = "url", page: str = "html", text: str = "text") -> DataFrame:
     """Wrappers of all hosts from all pages, then the main text of every page."""
-    models, slots = infer(pages, url, page)
-    return extract(pages, table(content_slots(models, slots), "wrappers"), url, page, text)
+    found = gather(pages, url, page)
+    models = table(expressions(found), "wrapper-models")
+    slots = table(slots_of(found, models), "wrapper-slots")
+    return extract(pages, table(template_texts(found, slots), "wrappers"), url, page, text)
