@@ -11,8 +11,8 @@ too. Slots below menus, page headers, footers, sidebars, notices, adverts, forms
 content; if a page fills slots inside an article these are its text, otherwise the others. A page that has
 nothing but template text keeps it.
 
-Pages are different by their texts outside articles, and inside by the longest text there, so that neither copies nor edited
-copies of one article make a template of it.
+Pages are different by all their texts. Inside articles those that hold a text count as different only by the longest other
+text there, so that neither copies nor edited copies of one article make a template of it.
 
 Sequences, places and hashes of texts are gathered where the pages lie; only different sequences of a path travel, and
 they are merged in two levels, so a host with a third of all pages costs no more than another.
@@ -25,6 +25,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from heapq import nlargest
 from typing import NamedTuple
 
 import pandas as pd
@@ -448,17 +449,18 @@ def _merge(group: pd.DataFrame) -> pd.DataFrame:
 def gather(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     """What the wrappers need of all pages, as a table with rows of three kinds: (host, path, expression, seq), a folded child sequence;
     (host, path, key, above, above_item, seq, item), a place where texts stand, by sequences of the element and its parent; and
-    (key, text, page), that a text stands at a place of a page, the last two as hashes."""
-    names = ["host", "path", "expression", "seq", "item", "above", "above_item", "key", "text", "page"]
-    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-    schema = "host string, path string, expression string, seq long, item int, above long, above_item int, key long, text long, page long"
+    (key, text, page, story), that a text stands at a place of a page, with hashes of the text, of all the page's texts, and of what tells
+    stories apart: inside articles the longest other text there."""
+    names = ["host", "path", "expression", "seq", "item", "above", "above_item", "key", "text", "page", "story"]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    schema = "host string, path string, expression string, seq long, item int, above long, above_item int, key long, text long, page long, story long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sequences: set[tuple] = set()
             stands: set[tuple] = set()
             for part in pieces(batch, "page"):
-                filled: set[tuple[int, int, int]] = set()
+                filled: set[tuple[int, int, int, int]] = set()
                 for host, value in zip(part.column("host").to_pylist(), part.column("page").to_pylist(), strict=True):
                     texts, elements = outline(value or "")
                     folded = [fold(e.children) for e in elements]
@@ -467,7 +469,9 @@ def gather(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
                     seqs = [_hash(f"{host}\n{e.path}\n{text}") for e, text in zip(elements, written, strict=True)]
                     sequences.update((host, e.path, text, seq) for e, text, seq in zip(elements, written, seqs, strict=True))
                     whole = _hash("\0".join(f"{elements[n].path}\n{text}" for n, _, text in texts))
-                    inner = _hash(max((t for n, _, t in texts if "*" in elements[n].path and "!" not in elements[n].path), key=lambda t: (len(t), t), default=""))
+                    inner = {t for n, _, t in texts if "*" in elements[n].path and "!" not in elements[n].path}
+                    longest = [*nlargest(2, inner, key=lambda t: (len(t), t)), "", ""]
+                    first, second = _hash(longest[0]), _hash(longest[1])
                     for number, place, text in texts:
                         e = elements[number]
                         if "!" in e.path:
@@ -476,10 +480,11 @@ def gather(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
                         item = own[number][place]
                         key = _hash(f"{above} {above_item} {seqs[number]} {item}")
                         stands.add((host, e.path, seqs[number], item, above, above_item, key))
-                        filled.add((key, mark(e.path, text), inner if "*" in e.path else whole))
+                        story = whole if "*" not in e.path else second if text == longest[0] else first
+                        filled.add((key, mark(e.path, text), whole, story))
                 yield _batch([(None,) * 7 + x for x in filled], kinds, names)
-            yield _batch([(*x, *(None,) * 6) for x in sequences], kinds, names)
-            yield _batch([(host, path, None, *x, None, None) for host, path, *x in stands], kinds, names)
+            yield _batch([(*x, *(None,) * 7) for x in sequences], kinds, names)
+            yield _batch([(host, path, None, *x, None, None, None) for host, path, *x in stands], kinds, names)
 
     read_ = pages.select(host_of(F.col(url)).alias("host"), F.col(page).alias("page"))
     return table(read_.mapInArrow(run, schema), "wrapper-parts")
@@ -528,8 +533,9 @@ def slots_of(found: DataFrame, models: DataFrame) -> DataFrame:
 
 
 def fillings(found: DataFrame, slots: DataFrame) -> DataFrame:
-    """(slot, text, page), each once: which texts fill a slot on which different pages."""
-    return found.where("text is not null").select("key", "text", "page").join(slots.select("key", "slot"), "key").select("slot", "text", "page").distinct()
+    """(slot, text, page, story), each once: which texts fill a slot on which different pages."""
+    stand = found.where("text is not null").select("key", "text", "page", "story")
+    return stand.join(slots.select("key", "slot"), "key").select("slot", "text", "page", "story").distinct()
 
 
 def infer(pages: DataFrame, url: str = "url", page: str = "html") -> tuple[DataFrame, DataFrame]:
@@ -548,7 +554,7 @@ def template_texts(found: DataFrame, slots: DataFrame) -> DataFrame:
     """(host, template): per host the hashes (see `mark`) of texts that more than half of the different pages filling their slot have there,
     and no fewer than `TEMPLATE_PAGES`. A host has no more of them than about two pages have texts per slot."""
     filled = table(fillings(found, slots), "wrapper-fillings")
-    often = filled.groupBy("slot", "text").agg(F.count(F.lit(1)).alias("holding")).where(F.col("holding") >= TEMPLATE_PAGES)
+    often = filled.select("slot", "text", "story").distinct().groupBy("slot", "text").agg(F.count(F.lit(1)).alias("holding")).where(F.col("holding") >= TEMPLATE_PAGES)
     differ = filled.select("slot", "page").distinct().groupBy("slot").agg(F.count(F.lit(1)).alias("differ"))
     fixed = often.join(differ, "slot").where(2 * F.col("holding") > F.col("differ")).select("slot", "text")
     hosts = slots.select("slot", "host").distinct()
