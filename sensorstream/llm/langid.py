@@ -24,6 +24,8 @@ from sensorstream.llm.common import pieces, text_bytes
 #: Most rows per language that the machines are fitted on; most passes over them; cost of an error.
 TRAIN_ROWS, PASSES, COST = 400, 30, 4.0
 BUCKETS, ORDERS, SCALE = 1 << 13, (2, 3, 4), 40.0
+#: Bytes of text that are scored together (a longer text goes alone); their n-grams take some 60 times that.
+SCORE_BYTES = 256 << 10
 UNKNOWN = "und"
 
 # Language codes by family. A code that is not listed is a family of its own.
@@ -53,9 +55,14 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     double[at[:-1]] = False
     keep = np.flatnonzero(~double)
     data, at = data[keep].astype(np.uint32), np.searchsorted(keep, at)
-    ends = np.repeat(at[1:], np.diff(at))
-    places, found = [], []
-    for n in ORDERS:
+    length = np.diff(at)
+    counts = np.stack([np.maximum(length - n + 1, 0) for n in ORDERS])
+    begins = np.concatenate([[0], np.cumsum(counts.sum(0))])
+    out = np.empty(begins[-1], np.int32)
+    kind = np.int32 if begins[-1] < 1 << 31 else np.int64
+    ends = np.repeat(at[1:].astype(kind), length)
+    place = begins[:-1].copy()
+    for n, own in zip(ORDERS, counts, strict=True):
         if len(data) < n:
             continue
         value = np.zeros(len(data) - n + 1, np.uint32)
@@ -63,14 +70,13 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             value = value * np.uint32(0x01000193) + data[i : len(data) - n + 1 + i] + np.uint32(n)
         value ^= value >> np.uint32(15)
         value *= np.uint32(0x2C1B3C6D)
-        whole = np.flatnonzero(np.arange(len(value)) + n <= ends[: len(value)])
-        places.append(np.searchsorted(at, whole, side="right") - 1)
-        found.append((value[whole] >> np.uint32(32 - 13)).astype(np.int32))
-    if not found:
-        return np.zeros(0, np.int32), np.zeros(len(at), np.int64)
-    owner, bucket = np.concatenate(places), np.concatenate(found)
-    order = np.argsort(owner, kind="stable")
-    return bucket[order], np.searchsorted(owner[order], np.arange(len(at)))
+        value >>= np.uint32(32 - 13)
+        value = value[np.arange(n, len(data) + 1, dtype=kind) <= ends[: len(value)]]
+        # a text's n-grams of this order stand together, after those of the orders before
+        before = np.cumsum(own) - own
+        out[np.repeat((place - before).astype(kind), own) + np.arange(len(value), dtype=kind)] = value
+        place += own
+    return out, begins
 
 
 def fit_machine(rows: np.ndarray, positive: np.ndarray) -> np.ndarray:
@@ -115,7 +121,7 @@ class LanguageModel:
         margin = np.tile(self.bias, (len(sizes), 1))
         for k in range(self.weights.shape[1]):
             if len(some):
-                margin[some, k] += np.add.reduceat(self.weights[:, k][bucket], at[some]) * SCALE / sizes[some]
+                margin[some, k] += np.add.reduceat(np.ascontiguousarray(self.weights[:, k])[bucket], at[some]) * SCALE / sizes[some]
         names, scores = [UNKNOWN] * len(sizes), [0.0] * len(sizes)
         n = len(self.families)
         for i in np.flatnonzero(lettered).tolist():
@@ -160,7 +166,7 @@ def fit(docs: DataFrame, eligible: Column, text: str = "text", lang: str = "lang
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", SCORE_BYTES):
                 bucket, at = grams(part.column("text"))
                 rows = [np.unique(bucket[a:b], return_counts=True) for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -211,7 +217,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, text):
+            for part in pieces(batch, text, SCORE_BYTES):
                 names, scores = model.predict(part.column(text))
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 

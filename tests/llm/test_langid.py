@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorstream.llm import langid, queries
 
@@ -65,3 +67,28 @@ def test_edges(edges, nothing):
     empty = langid.fit(nothing, F.lit(True))
     assert langid.identify(nothing, model).count() == 0
     assert {r.lang_pred for r in langid.identify(edges, empty).collect()} == {"und"}
+
+
+def test_scoring_a_batch_holds_little():
+    class Docs:
+        schema = T.StructType([T.StructField("text", T.StringType())])
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    model = langid.LanguageModel([["de", "en"], ["fr"]], [[(0, 1, 1)], []], np.ones((langid.BUCKETS, 2), np.float32), np.zeros(2))
+    batch = pa.RecordBatch.from_pydict({"text": ["ein Haus am See und " * 500, None, ""] * 400})
+    tracemalloc.start()
+    found = pa.Table.from_batches(langid.identify(Docs(), model)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == 1200 and found.column("lang_pred").null_count == 0
+    assert peak < 40e6
+
+
+def test_grams_stand_text_by_text_and_order_by_order():
+    texts = ["ab", None, "", "é 1 2  3", "a house by the lake"]
+    bucket, at = langid.grams(pa.array(texts))
+    alone = [langid.grams(pa.array([t], pa.string()))[0].tolist() for t in texts]
+    assert [bucket[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == alone
+    assert len(alone[0]) == 6 and len(alone[4]) == 3 * 21 - 6
