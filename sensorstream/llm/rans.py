@@ -23,11 +23,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorstream.llm.common import pieces, spread, table
+from sensorstream.llm.common import SPACE, pieces, spread, table, text_bytes
 from sensorstream.llm.files import make_folder, open_file, publish
 
 MAGIC = b"RANSIDS1"
@@ -35,7 +36,10 @@ MAGIC = b"RANSIDS1"
 SCALE, LOW = 18, 1 << 31
 #: Ids per block and per file (a document is never cut, so both may be exceeded by one document), most lanes.
 BLOCK_IDS, FILE_IDS, LANES = 1 << 19, 1 << 23, 4096
-MEMO_ENTRIES = 1_200_000
+#: Stretches (in arrays, some 30 bytes each) and parts (in a dictionary, some 250 bytes each) that a worker remembers.
+MEMO_ENTRIES, PART_ENTRIES = 1_200_000, 600_000
+#: Bytes of text that are tokenized together.
+SLICE_BYTES = 4 << 20
 
 # ---- coding ----------------------------------------------------------------------------------
 
@@ -49,7 +53,9 @@ class Table:
 
     @classmethod
     def count(cls, ids: np.ndarray) -> Table:
-        counts = np.bincount(ids)
+        counts = np.zeros(int(ids.max()) + 1, np.int64)
+        for begin in range(0, len(ids), BLOCK_IDS):
+            counts += np.bincount(ids[begin : begin + BLOCK_IDS], minlength=len(counts))
         symbols = np.flatnonzero(counts)
         counts, slots = counts[symbols], 1 << SCALE
         if len(symbols) > slots:
@@ -58,6 +64,12 @@ class Table:
         freq[np.argmax(freq)] += slots - freq.sum()
         return cls(symbols, freq)
 
+    def places(self) -> np.ndarray:
+        """Where each symbol stands in the table, by symbol."""
+        out = np.zeros(int(self.symbols[-1]) + 1, np.int32)
+        out[self.symbols] = np.arange(len(self.symbols), dtype=np.int32)
+        return out
+
     def pack(self) -> bytes:
         gaps = np.diff(self.symbols.astype(np.int64), prepend=0)
         return zlib.compress(struct.pack("<I", len(gaps)) + gaps.astype("<u4").tobytes() + self.freq.astype("<u4").tobytes(), 6)
@@ -74,7 +86,7 @@ def encode_block(ids: np.ndarray, table: Table) -> bytes:
     """Lanes take ids in turn; coding runs from the last id to the first so that decoding runs forward."""
     n = len(ids)
     lanes = max(1, min(LANES, n // 256))
-    place = np.searchsorted(table.symbols, ids)
+    place = table.places()[ids]
     state = np.full(lanes, LOW, np.uint64)
     words: list[np.ndarray] = []
     shift, full = np.uint64(SCALE), np.uint64((LOW >> SCALE) << 32)
@@ -128,7 +140,7 @@ _PARTS = re.compile(rf"[A-Za-zÀ-ÖØ-öø-ÿ]+(?![^{_ASCII_SPACE}!-&(-/:;=?@\[-
 class WordEncoder:
     """`Tokenizer.encode(text, add_special_tokens=False)` for tokenizers whose words end at white space
     and between letters and punctuation: the library encodes each different part once, all new parts of
-    a slice of texts together, and texts are joined from parts. Only texts of Latin-1 characters are
+    a slice of texts together, and texts are joined from stretches of parts. Only stretches of Latin-1 characters are
     lower-cased first, where that is one character for one; others leave it to the library."""
 
     def __init__(self, path: str):
@@ -139,19 +151,66 @@ class WordEncoder:
         for token, i in self.library.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
         self.memo: dict[str, bytes] = {}
+        self._forget()
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers. New parts of all texts are learnt together."""
+        return self._ids(text).tobytes()
+
+    def _ids(self, text: str) -> np.ndarray:
+        """By the library's form without offsets; a batch of one text, so one thread."""
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def __call__(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; null is empty. Stretches between white space met
+        before are looked up, new ones are cut into parts, and new parts of all texts are learnt together."""
+        data, at = text_bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        gap = SPACE[data]
+        begins = ~gap
+        begins[1:] &= gap[:-1]
+        firsts = at[:-1][at[:-1] < len(data)]
+        begins[firsts] = ~gap[firsts]
+        begins = np.flatnonzero(begins)
+        if not len(begins):
+            return [b""] * len(texts)
+        body = data[~gap]
+        bounds = np.append(begins - np.cumsum(gap, dtype=np.int32 if len(gap) < 1 << 31 else np.int64)[begins], len(body))
+        stretches = pa.Array.from_buffers(pa.large_string(), len(begins), [None, pa.py_buffer(bounds), pa.py_buffer(body)]).dictionary_encode()
+        place = self._places(stretches.dictionary)[stretches.indices.to_numpy()]
+        n = np.diff(self.start)[place]
+        ends = np.cumsum(n)
+        ids = self.pool[np.repeat(self.start[place] - (ends - n), n) + np.arange(ends[-1])].tobytes()
+        cuts = 4 * np.append(0, ends)[np.searchsorted(begins, at)]
+        return [ids[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+    def _forget(self) -> None:
+        self.known, self.pool, self.start = pa.array([], pa.large_string()), np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def _places(self, stretches: pa.Array) -> np.ndarray:
+        """Places of different stretches among the known ones; those not known before are added."""
+        if len(self.known) > MEMO_ENTRIES:
+            self._forget()
+        place = pc.fill_null(pc.index_in(stretches, value_set=self.known), -1).to_numpy().copy()
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            place[new] = len(self.known) + np.arange(len(new))
+            fresh = stretches.take(pa.array(new))
+            coded = self._encode(fresh.to_pylist())
+            self.known = pa.concat_arrays([self.known, fresh])
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(coded), "<u4")])
+            self.start = np.append(self.start, self.start[-1] + np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) // 4))
+        return place
+
+    def _encode(self, stretches: list[str]) -> list[bytes]:
         parts = []
-        for text in texts:
+        for text in stretches:
+            if text.isascii() and text.isalpha():
+                parts.append((text.lower(),))
+                continue
             if not _WIDE.search(text) and "<|" not in text:
                 text = text.lower()
             parts.append(_PARTS.findall(text))
         memo = self.memo
-        if len(memo) > MEMO_ENTRIES:
+        if len(memo) > PART_ENTRIES:
             memo.clear()
         fresh = set(chain.from_iterable(parts)).difference(memo)
         if fresh:
@@ -160,7 +219,7 @@ class WordEncoder:
 
     def _learn(self, parts: list[str]) -> None:
         plain = [p for p in parts if p.isalpha()]
-        ids = np.array(self.library.encode(" ".join(plain), add_special_tokens=False).ids, "<u4") if plain else np.zeros(0, "<u4")
+        ids = self._ids(" ".join(plain)) if plain else np.zeros(0, "<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) == len(plain):
             raw, begin = ids.tobytes(), 0
@@ -188,19 +247,19 @@ class _Writer:
         self.clear()
 
     def clear(self) -> None:
-        self.ids: list[bytes] = []
+        self.raw = bytearray()
         self.docs: list[int | None] = []
         self.sizes: list[int] = []
         self.n = 0
 
     def add(self, doc: int | None, ids: bytes) -> None:
-        self.ids.append(ids)
+        self.raw += ids
         self.docs.append(doc)
         self.sizes.append(len(ids) // 4)
         self.n += len(ids) // 4
 
     def close(self) -> tuple[str, int, int]:
-        table = Table.count(np.frombuffer(b"".join(self.ids), "<u4"))
+        table = Table.count(np.frombuffer(self.raw, "<u4"))
         name = f"{self.folder}/ids-{self.run:06d}-{self.seq:06d}.rans"
         index, at = [], len(MAGIC)
         with publish(name) as out:
@@ -211,7 +270,7 @@ class _Writer:
                 while k < len(self.sizes) and (k == begin or n + self.sizes[k] <= BLOCK_IDS):
                     n += self.sizes[k]
                     k += 1
-                raw = b"".join(self.ids[begin:k])
+                raw = memoryview(self.raw)[4 * first : 4 * (first + n)]
                 coded = encode_block(np.frombuffer(raw, "<u4"), table)
                 out.write(coded)
                 index.append({
@@ -248,8 +307,8 @@ def write_ids(df: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", t
         encode, tail = word_encoder(tokenizer), struct.pack("<I", end_id)
         writer, done = _Writer(folder, TaskContext.get().partitionId()), []
         for batch in batches:
-            for part in pieces(batch, "text"):
-                for doc, own in zip(part.column("key").to_pylist(), encode(part.column("text").to_pylist()), strict=True):
+            for part in pieces(batch, "text", SLICE_BYTES):
+                for doc, own in zip(part.column("key").to_pylist(), encode(part.column("text")), strict=True):
                     writer.add(doc, own + tail)
                     if writer.n >= FILE_IDS:
                         done.append(writer.close())

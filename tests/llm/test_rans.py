@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -37,6 +38,21 @@ def test_words_are_encoded_as_by_the_library():
         assert np.frombuffer(raw, "<u4").tolist() == of(text), repr(text)
 
 
+def test_known_stretches_are_not_cut_again(monkeypatch):
+    rnd, encode = random.Random(3), rans.WordEncoder(queries.WORD_TOKENIZER)
+    words = ["".join(rnd.choice(PARTS) for _ in range(rnd.randint(1, 4))) for _ in range(300)]
+    texts = [None, "", " \n ", *("\t".join(rnd.choices(words, k=40)) for _ in range(200))]
+    cut, encode._encode = [], lambda new, before=encode._encode: cut.extend(new) or before(new)
+    first = encode(pa.array(texts))
+    assert len(cut) == len(set(cut))
+    seen = len(cut)
+    assert encode(pa.array(texts, pa.large_string()).slice(2)) == first[2:] and len(cut) == seen
+    assert [np.frombuffer(raw, "<u4").tolist() for raw in first] == [of(t) for t in texts]
+    monkeypatch.setattr(rans, "MEMO_ENTRIES", 10)
+    assert encode(pa.array(texts)) == first and encode(pa.array(texts[100:])) == first[100:]
+    assert len(cut) > seen and len(encode.known) <= seen
+
+
 def wanted(rows):
     out, start = [], 0
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
