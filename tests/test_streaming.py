@@ -1,11 +1,16 @@
 """Streams against tables: the same rows, whatever the micro-batches."""
 
+import tracemalloc
 import uuid
 from datetime import timedelta
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from readings import START, at, make_readings, ms, random_readings
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorstream.operators import carry, changes, occupancy, samples, stats, trailing, trend
 from sensorstream.operators.parse import only_metric
@@ -15,7 +20,7 @@ from sensorstream.sinks import records as sinks
 from sensorstream.sources import messages as src
 from sensorstream.streaming.hold import held_values_stream
 from sensorstream.streaming.latest import LatestTable, latest_to_table
-from sensorstream.streaming.changes import last_status, threshold_changes_stream
+from sensorstream.streaming.changes import Packing, PaneEdges, last_status, threshold_changes_stream
 from sensorstream.streaming.occupancy import occupancy_stays_stream, occupancy_transitions_stream
 from sensorstream.streaming.trailing import trailing_stream
 from sensorstream.streaming.run import run_to_table, shared_folder, stream_settings
@@ -101,6 +106,55 @@ def test_threshold_changes_out_of_order_across_micro_batches(spark, land):
     assert edges(found, 10**18) == edges(changes.threshold_changes(readings), watermark(readings))
 
 
+def test_threshold_changes_keep_missing_keys_and_odd_columns(spark, land):
+    readings = random_readings(spark, 60, step_ms=5_000).withColumns({
+        "sensor": F.expr("nullif(sensor, sensor)"), "src_partition": F.expr("if(src_offset % 3 = 0, null, src_offset % 2)"),
+        "value": F.expr("case src_offset % 11 when 4 then double('NaN') when 5 then -0.0d else value end"),
+        "mark": F.expr("if(src_offset % 4 = 0, null, repeat('é', int(src_offset % 3)))"), "cents": F.expr("cast(src_offset as decimal(20, 2))"),
+        "flag": F.expr("nullif(src_offset % 3, 0) = 1"), "small": F.expr("cast(src_offset as smallint)"), "day": F.expr("if(src_offset % 5 = 0, null, date'0001-01-03')"),
+    })
+    order = ("ts", "src_partition", "src_offset", "mark", "cents", "flag", "small", "day")
+    found = run_to_table(threshold_changes_stream(src.watermarked(land(readings)), order_cols=order), "odd", PARTITIONS)
+    wanted = changes.threshold_changes(readings, order_cols=order).where((F.floor(F.unix_millis("ts") / 1000) + 1) * 1000 <= watermark(readings))
+    assert found.schema.simpleString() == wanted.schema.simpleString()
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect())) and found.count() > 5
+
+
+def test_threshold_changes_of_a_key_stay_small_in_python():
+    inner = T.StructType.fromDDL("_pane long, _at int, ts timestamp, src_partition int, src_offset long, value double, above boolean")
+    packing = Packing(inner.fields)
+    n, size = 100_000, 1_000
+    rows = pa.table({
+        "_pane": np.arange(n)[::-1], "_at": np.zeros(n, np.int32), "ts": pa.array(np.arange(n)).cast(pa.timestamp("us", "UTC")), "src_partition": pa.nulls(n, pa.int32()),
+        "src_offset": np.arange(n), "value": np.ones(n), "above": np.arange(n) % 2 == 0,
+    })
+    packed = [Row(_fixed=packing.records(rows.slice(i, size)).tobytes(), _other=None) for i in range(0, n, size)]
+
+    class Last:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    step = PaneEdges(packing, ["device_id"])
+    step.last = Last()
+    tracemalloc.start()
+    found = list(step.handleInputRows(("s1",), iter(packed), None))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 * n and step.last.value == (True,)
+    out = np.concatenate([np.frombuffer(r["_fixed"], packing.record) for r in found])
+    assert packing.values(out, "src_offset").to_pylist() == list(range(n))[::-1] and packing.values(out, "src_partition").null_count == n
+    # what follows is a change only where it differs from the last one
+    assert len(list(step.handleInputRows(("s1",), iter(packed[-1:]), None))) == 1 and step.last.value == (True,)
+
+
 @pytest.mark.parametrize("batches", [1, 4])
 def test_threshold_changes_go_on_from_a_table(spark, land, batches):
     readings = random_readings(spark, 300, step_ms=5_000)
