@@ -30,6 +30,9 @@ from pyspark.sql import functions as F
 
 from sensorstream.llm.common import components, discard, mix, mix1, pieces, rows_of, shingle_sets, table
 
+#: Bytes of text whose shingle sets are made together (a longer text goes alone); making them takes some 80 times that.
+SET_BYTES = 256 << 10
+
 #: Ratios that a band spans; the next band starts one ratio before its end.
 BAND = 1
 CELLS = 3
@@ -133,7 +136,7 @@ def shingled(docs: DataFrame, percent: int, width: int, heads: bool = False) ->
         for batch in batches:
             sizes, h1, h2, sketches, sigs = [], [], [], [], []
             met: set[tuple[int, int]] = set()
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", SET_BYTES):
                 keyed = part.column("key").is_valid().to_pylist()
                 for s, has_key in zip(shingle_sets(part.column("text"), width), keyed, strict=True):
                     own = mix1(len(s), int(s.sum(dtype=np.uint64))), mix1(len(s) + 1, int(mix(s).sum(dtype=np.uint64)))

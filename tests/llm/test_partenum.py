@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sensorstream.llm import partenum, queries
+from sensorstream.llm.common import pieces, shingle_sets
 
 
 def sets_of(text, width):
@@ -119,3 +122,12 @@ def test_sketches_rule_out_no_similar_sets():
                 assert partenum.may_be_similar(partenum.sketch(a), partenum.sketch(b), len(a), len(b), 80)
         other = rnd.integers(0, 2**63, n).astype(np.uint64)
         assert n < 60 or not partenum.may_be_similar(partenum.sketch(a), partenum.sketch(other), n, n, 80)
+
+
+def test_sets_of_a_batch_are_made_in_small_slices():
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(f"w{i * k % 997}" for i in range(1, 2000)) for k in range(1, 400)]})
+    tracemalloc.start()
+    found = sum(len(s) for part in pieces(batch, "text", partenum.SET_BYTES) for s in shingle_sets(part.column("text"), 5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == sum(map(len, shingle_sets(batch.column("text"), 5))) and peak < 40e6
