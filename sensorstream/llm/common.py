@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -127,6 +128,15 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
             yield batch.slice(a, b - a)
 
 
+def hand_back() -> None:
+    """At the end of a task: give memory that its arrays have left free back to the system. A Python worker waits for further tasks,
+    and what it still holds adds to what these need."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 _POWERS = np.ones(1, np.uint64)
 
 

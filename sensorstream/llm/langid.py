@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorstream.llm.common import pieces, text_bytes
+from sensorstream.llm.common import hand_back, pieces, text_bytes
 
 #: Most rows per language that the machines are fitted on; most passes over them; cost of an error.
 TRAIN_ROWS, PASSES, COST = 400, 30, 4.0
@@ -173,6 +173,7 @@ def fit(docs: DataFrame, eligible: Column, text: str = "text", lang: str = "lang
                     [part.column("lang"), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1].astype(np.int32) for r in rows], pa.list_(pa.int32()))],
                     names=["lang", "bucket", "n"],
                 )
+        hand_back()
 
     found = chosen.select("lang", "text").mapInArrow(run, "lang string, bucket array<int>, n array<int>").toArrow()
     langs = np.array(found.column("lang").to_pylist(), object)
@@ -220,6 +221,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
             for part in pieces(batch, text, SCORE_BYTES):
                 names, scores = model.predict(part.column(text))
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
+        hand_back()
 
     return docs.mapInArrow(run, schema)
 

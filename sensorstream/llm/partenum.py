@@ -28,10 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorstream.llm.common import components, discard, mix, mix1, pieces, rows_of, shingle_sets, table
+from sensorstream.llm.common import components, discard, hand_back, mix, mix1, pieces, rows_of, shingle_sets, table
 
 #: Bytes of text whose shingle sets are made together (a longer text goes alone); making them takes some 80 times that.
-SET_BYTES = 256 << 10
+#: Signatures that go back to Spark together (a set with more goes alone).
+SET_BYTES, OUT_SIGS = 256 << 10, 1 << 18
 
 #: Ratios that a band spans; the next band starts one ratio before its end.
 BAND = 1
@@ -124,6 +125,30 @@ SETS = "key long, n_shingles long, h1 long, h2 long, sketch binary, near array<s
 HEADS = "h1 long, sigs array<long>"
 
 
+def _least(sig: np.ndarray, row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of signatures, their rows and the rows' hashes: which stand for their equals, as the first with the least hash; the places of
+    those whose equals have a lesser hash, ascending; and that hash. Sorted a sixteenth at a time, by the highest bits."""
+    cell = sig.view(np.uint8)[7::8] >> 4
+    head, near, low = np.zeros(len(sig), bool), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for c in range(16):
+        at = np.flatnonzero(cell == c)
+        if not len(at):
+            continue
+        own = h[row[at]]
+        order = np.lexsort((own, sig[at]))
+        at, own = at[order], own[order]
+        value = sig[at]
+        first = np.append(True, value[1:] != value[:-1])
+        least = own[np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))]
+        head[at[first]] = True
+        more = least != own
+        near.append(at[more])
+        low.append(least[more])
+    near, low = np.concatenate(near), np.concatenate(low)
+    order = np.argsort(near)
+    return head, near[order], low[order]
+
+
 def shingled(docs: DataFrame, percent: int, width: int, heads: bool = False) -> DataFrame:
     """Of every row (key, text): size, 128-bit hash and sketch of its shingle set, and its PartEnum signatures. A signature that
     several sets of the same Arrow batch have stands in `sigs` of the set with the least h1 only; the others have it in
@@ -134,42 +159,43 @@ def shingled(docs: DataFrame, percent: int, width: int, heads: bool = False) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, h1, h2, sketches, sigs = [], [], [], [], []
+            sizes, h1, h2, sketches, counts = [], [], [], [], []
+            held = bytearray()
             met: set[tuple[int, int]] = set()
             for part in pieces(batch, "text", SET_BYTES):
                 keyed = part.column("key").is_valid().to_pylist()
                 for s, has_key in zip(shingle_sets(part.column("text"), width), keyed, strict=True):
                     own = mix1(len(s), int(s.sum(dtype=np.uint64))), mix1(len(s) + 1, int(mix(s).sum(dtype=np.uint64)))
-                    sigs.append(signatures(s, percent) if has_key and own not in met else np.zeros(0, np.uint64))
+                    sigs = signatures(s, percent) if has_key and own not in met else np.zeros(0, np.uint64)
+                    held += sigs.tobytes()
+                    counts.append(len(sigs))
                     if has_key:
                         met.add(own)
                     sketches.append(sketch(s) if has_key and not heads else None)
                     sizes.append(len(s))
                     h1.append(own[0])
                     h2.append(own[1])
-            counts = np.array([len(x) for x in sigs], np.int64)
-            sig = np.concatenate(sigs).view(np.int64) if sigs else np.zeros(0, np.int64)
-            row = np.repeat(np.arange(len(sigs)), counts)
-            h = np.array(h1, np.uint64).view(np.int64)
-            order = np.lexsort((h[row], sig))
-            first = np.ones(len(order), bool)
-            first[1:] = sig[order[1:]] != sig[order[:-1]]
-            low = np.empty(len(sig), np.int64)
-            low[order] = h[row[order]][np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))] if len(order) else 0
-            head = np.zeros(len(sig), bool)
-            head[order[first]] = True
-            near = ~head & (low != h[row])
-            ends = lambda mask: pa.array(np.append(0, np.cumsum(np.bincount(row[mask], minlength=len(sigs)))), pa.int32())
-            lists = pa.ListArray.from_arrays(ends(head), pa.array(sig[head]))
-            if heads:
-                yield pa.RecordBatch.from_arrays([pa.array(h), lists], names=["h1", "sigs"])
-                continue
-            pairs = pa.StructArray.from_arrays([pa.array(sig[near]), pa.array(low[near])], names=["sig", "low"])
-            near_lists = pa.ListArray.from_arrays(ends(near), pairs)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(h), _long(np.array(h2, np.uint64)), pa.array(sketches, pa.binary()), near_lists],
-                names=["key", "n_shingles", "h1", "h2", "sketch", "near"],
-            )
+            sig, h = np.frombuffer(held, np.int64) if held else np.zeros(0, np.int64), np.array(h1, np.uint64).view(np.int64)
+            head, near, low = _least(sig, np.repeat(np.arange(len(h), dtype=np.int32), np.array(counts, np.int64)), h)
+            bounds = np.append(0, np.cumsum(counts, dtype=np.int64))
+            # Back to Spark in short stretches of rows: as many signatures as OUT_SIGS at a time, or one row's.
+            cuts = [0, *(np.flatnonzero(np.diff(bounds[:-1] // OUT_SIGS)) + 1).tolist(), len(h)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                begin, end = bounds[a], bounds[b]
+                if heads:
+                    picked = head[begin:end]
+                    ends = np.append(0, np.cumsum(picked))[bounds[a : b + 1] - begin]
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sig[begin:end][picked]))
+                    yield pa.RecordBatch.from_arrays([pa.array(h[a:b]), lists], names=["h1", "sigs"])
+                    continue
+                first, last = np.searchsorted(near, [begin, end])
+                pairs = pa.StructArray.from_arrays([pa.array(sig[near[first:last]]), pa.array(low[first:last])], names=["sig", "low"])
+                near_lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(near, bounds[a : b + 1]) - first, pa.int32()), pairs)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key").slice(a, b - a), pa.array(sizes[a:b], pa.int64()), pa.array(h[a:b]), _long(np.array(h2[a:b], np.uint64)), pa.array(sketches[a:b], pa.binary()), near_lists],
+                    names=["key", "n_shingles", "h1", "h2", "sketch", "near"],
+                )
+        hand_back()
 
     return docs.select("key", "text").mapInArrow(run, HEADS if heads else SETS)
 
@@ -188,7 +214,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
         for batch in batches:
-            for part in pieces(batch, "ta", 1 << 20):
+            for part in pieces(batch, "ta", SET_BYTES):
                 a = part.column("a").to_pylist()
                 fresh = [i for i, x in enumerate(a) if x not in kept and x not in a[:i]]
                 if len(kept) > 64:
@@ -201,6 +227,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
                     both = len(np.intersect1d(kept[x], s, assume_unique=True))
                     good.append(100 * both >= percent * (len(kept[x]) + len(s) - both))
                 yield part.filter(pa.array(good, pa.bool_())).select(["a", "b"])
+        hand_back()
 
     links = table(full.mapInArrow(run, "a long, b long"), "join-links")
     discard(wanted)

@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from sensorstream.llm.common import hand_back, pieces
+
 SPACE_MARK = "▁"
-#: Runs that a worker remembers, and the longest such run.
-MEMO_ENTRIES, MEMO_LENGTH = 600_000, 48
+#: Runs that a task remembers, the longest such run, and neighbours whose fit it remembers.
+MEMO_ENTRIES, MEMO_LENGTH, MEMO_FITS = 300_000, 48, 300_000
 #: Bytes of text from which ids go back to Spark.
-OUT_BYTES = 4 << 20
+OUT_BYTES = 1 << 20
 
 
 class Runs(dict):
@@ -69,6 +71,7 @@ class PieceModel:
             self.surface[i] = ""
         self.surface[self.unknown] = " ⁇ "
         self.history: dict[int, list] = {}
+        self.same = {p: p for p in self.id_of}
         self.piece_of = {i: p for p, i in self.id_of.items()}
         joined = {c for p in self.id_of if len(p) > 1 for c in p}
         for c in joined - set(self.id_of):
@@ -78,7 +81,7 @@ class PieceModel:
             if len(piece) == 1 or self._merges(i)[-1][1] == piece:
                 self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.cut = self._cuts()
         self.n = n
         self.runs = Runs(self._run)
@@ -119,7 +122,8 @@ class PieceModel:
                 best, k = max(((self.score.get(parts[i] + parts[i + 1], -np.inf), -i) for i in range(len(parts) - 1)))
                 if best == -np.inf:
                     break
-                parts[-k : 2 - k] = [parts[-k] + parts[1 - k]]
+                joined = parts[-k] + parts[1 - k]
+                parts[-k : 2 - k] = [self.same[joined]]
                 steps.append((best, parts[-1], parts[0]))
             self.history[token] = steps
         return self.history[token]
@@ -155,12 +159,12 @@ class PieceModel:
             if last[end] < 0:
                 begin = end - length
                 if begin:
-                    pair = (last[begin], token)
+                    pair = last[begin] << 32 | token
                     ok = fits.get(pair)
                     if ok is None:
-                        if len(fits) > 2_000_000:
+                        if len(fits) >= MEMO_FITS:
                             fits.clear()
-                        ok = fits[pair] = fit(*pair)
+                        ok = fits[pair] = fit(last[begin], token)
                     if not ok:
                         continue
                 last[end], size[end] = token, length
@@ -183,6 +187,11 @@ class PieceModel:
         marked = SPACE_MARK + text.replace(" ", SPACE_MARK)
         return list(chain.from_iterable(map(self.runs.__getitem__, self.cut.findall(marked))))
 
+    def forget(self) -> None:
+        """Let go of what was remembered of texts; the model stays."""
+        self.runs.clear()
+        self.fits.clear()
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes that are no UTF-8 become U+FFFD each, control pieces nothing, and the
         space that encoding put before the text goes."""
@@ -245,7 +254,7 @@ def encode_pieces(df: DataFrame, model: str, text: str = "text", ids: str = "ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = piece_model(model)
         for batch in batches:
-            for part in _by_bytes(batch, text):
+            for part in pieces(batch, text, OUT_BYTES):
                 found, sizes, texts = [], [0], []
                 for value in part.column(text).to_pylist():
                     own = m.encode(value) if value else []
@@ -257,6 +266,8 @@ def encode_pieces(df: DataFrame, model: str, text: str = "text", ids: str = "ids
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), flat)
                 columns = [part.column(f.name) for f in keep] + [lists] + [pa.array(texts, pa.string())] * bool(decoded)
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        m.forget()
+        hand_back()
 
     return df.mapInArrow(run, schema)
 
@@ -275,8 +286,3 @@ def decode_pieces(df: DataFrame, model: str, ids: str = "ids", text: str = "text
 
     return df.mapInArrow(run, schema)
 
-
-def _by_bytes(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    from sensorstream.llm.common import pieces
-
-    yield from pieces(batch, column, OUT_BYTES)

@@ -131,3 +131,46 @@ def test_sets_of_a_batch_are_made_in_small_slices():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found == sum(map(len, shingle_sets(batch.column("text"), 5))) and peak < 40e6
+
+
+class Frame:
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+@pytest.mark.parametrize("heads", [False, True])
+def test_signatures_of_a_batch_are_combined_in_little_memory(heads):
+    texts = [" ".join(f"w{k // 2}-{i}" for i in range(150 + k % 2)) for k in range(4000)]
+    batch = pa.RecordBatch.from_pydict({"key": pa.array([*range(3999), None], pa.int64()), "text": texts})
+    sigs = sum(len(partenum.signatures(s, 80)) for s in shingle_sets(batch.column("text"), 5))
+    tracemalloc.start()
+    rows = most = 0
+    for out in partenum.shingled(Frame(), 80, 5, heads=heads)(iter([batch])):
+        rows, most = rows + out.num_rows, max(most, out.nbytes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 4000 and sigs > 500_000
+    assert most < 6 << 20 and peak < 45 * sigs
+
+
+def test_signatures_of_a_batch_stand_with_the_least_set(monkeypatch):
+    monkeypatch.setattr(partenum, "OUT_SIGS", 1000, raising=False)
+    rnd = random.Random(9)
+    base = [f"v{i}" for i in range(60)]
+    texts = [None, "", "a b", *(" ".join(w if rnd.random() > 0.03 else "x" for w in base) for _ in range(80)), "a b"]
+    batch = pa.RecordBatch.from_pydict({"key": pa.array([k if k % 9 else None for k in range(len(texts))], pa.int64()), "text": texts})
+    sets = pa.Table.from_batches(partenum.shingled(Frame(), 80, 5)(iter([batch, batch.slice(0, 2), batch.slice(0, 0)]))).to_pylist()
+    found = pa.Table.from_batches(partenum.shingled(Frame(), 80, 5, heads=True)(iter([batch, batch.slice(0, 2), batch.slice(0, 0)]))).to_pylist()
+    assert [r["h1"] for r in sets] == [r["h1"] for r in found] and len(sets) == len(texts) + 2
+    least, own = {}, []
+    for r, s in zip(sets, shingle_sets(batch.column("text"), 5), strict=False):
+        first = r["key"] is not None and r["h1"] not in [h for h, _ in own]
+        own.append((r["h1"] if r["key"] is not None else None, set(partenum.signatures(s, 80).view(np.int64).tolist()) if first else set()))
+        for x in own[-1][1]:
+            least[x] = min(least.get(x, r["h1"]), r["h1"])
+    for (h, signs), r, f in zip(own, sets, found, strict=False):
+        assert {(x["sig"], x["low"]) for x in r["near"]} == {(x, least[x]) for x in signs if least[x] != h}
+        assert set(f["sigs"]) == {x for x in signs if least[x] == h}

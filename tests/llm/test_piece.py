@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
+from pyspark.sql import types as T
 
 from sensorstream.llm import queries
 from sensorstream.llm.piece import decode_pieces, encode_pieces, piece_model
@@ -56,3 +59,24 @@ def test_query(spark):
         ids = LIBRARY.encode(texts[r.doc_id] or "")
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(LIBRARY.decode(ids).encode()).hexdigest()
+
+
+def test_a_worker_keeps_the_model_only():
+    class Docs:
+        schema = T.StructType([T.StructField("text", T.StringType())])
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    rnd = random.Random(5)
+    texts = [" ".join("".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(5, 12))) for _ in range(300)) for _ in range(100)]
+    batch = pa.RecordBatch.from_pydict({"text": [*texts, None, ""]})
+    model = piece_model(MODEL)
+    model.encode(texts[0])
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in encode_pieces(Docs(), MODEL, decoded="decoded")(iter([batch])))
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert rows == 102 and peak > 2e6
+    assert held < 1e6
+    assert model.encode(texts[0]) == LIBRARY.encode(texts[0])
