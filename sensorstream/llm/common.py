@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -128,6 +129,23 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
             yield batch.slice(a, b - a)
 
 
+#: Rows that hold texts, two perhaps, which go to a Python worker together.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """While tables are written in here, Python workers get at most `BATCH_ROWS` rows at once. Of wide rows Spark's 10,000 are some 70 MB,
+    which the executor and its worker both hold, and more while they are filled. The session's own value comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def hand_back() -> None:
     """At the end of a task: give memory that its arrays have left free back to the system. A Python worker waits for further tasks,
     and what it still holds adds to what these need."""

@@ -28,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorstream.llm.common import components, discard, hand_back, mix, mix1, pieces, rows_of, shingle_sets, table
+from sensorstream.llm.common import components, discard, hand_back, mix, mix1, pieces, rows_of, shingle_sets, short_batches, table
 
 #: Bytes of text whose shingle sets are made together (a longer text goes alone); making them takes some 80 times that.
 #: Signatures that go back to Spark together (a set with more goes alone).
 SET_BYTES, OUT_SIGS = 256 << 10, 1 << 18
+#: Rows of a task whose signatures are combined.
+COMBINED_ROWS = 10_000
 
 #: Ratios that a band spans; the next band starts one ratio before its end.
 BAND = 1
@@ -151,20 +153,43 @@ def _least(sig: np.ndarray, row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray,
 
 def shingled(docs: DataFrame, percent: int, width: int, heads: bool = False) -> DataFrame:
     """Of every row (key, text): size, 128-bit hash and sketch of its shingle set, and its PartEnum signatures. A signature that
-    several sets of the same Arrow batch have stands in `sigs` of the set with the least h1 only; the others have it in
-    `near`, with that h1. So what is shuffled by signature is combined before: a signature has a row per batch,
-    however many near copies share it. Copies of a set in a batch have their signatures once. Rows without a key are linked
+    several sets of the same `COMBINED_ROWS` rows of a task have stands in `sigs` of the set with the least h1 only; the others have it in
+    `near`, with that h1. So what is shuffled by signature is combined before: a signature has a row per so many,
+    however many near copies share it. Copies of a set in them have their signatures once. Rows without a key are linked
     with nothing: they have no signatures and hold none for others. `sigs` is most of the bytes, so it is not written: with `heads` only h1 and
     `sigs` are returned, made anew on their way into a shuffle."""
 
+    def combined(keys: list, sizes: list, h1: list, h2: list, sketches: list, counts: list, held: bytearray) -> Iterator[pa.RecordBatch]:
+        sig, h = np.frombuffer(held, np.int64) if held else np.zeros(0, np.int64), np.array(h1, np.uint64).view(np.int64)
+        head, near, low = _least(sig, np.repeat(np.arange(len(h), dtype=np.int32), np.array(counts, np.int64)), h)
+        bounds = np.append(0, np.cumsum(counts, dtype=np.int64))
+        # Back to Spark in short stretches of rows: as many signatures as OUT_SIGS at a time, or one row's.
+        cuts = [0, *(np.flatnonzero(np.diff(bounds[:-1] // OUT_SIGS)) + 1).tolist(), len(h)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            begin, end = bounds[a], bounds[b]
+            if heads:
+                picked = head[begin:end]
+                ends = np.append(0, np.cumsum(picked))[bounds[a : b + 1] - begin]
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sig[begin:end][picked]))
+                yield pa.RecordBatch.from_arrays([pa.array(h[a:b]), lists], names=["h1", "sigs"])
+                continue
+            first, last = np.searchsorted(near, [begin, end])
+            pairs = pa.StructArray.from_arrays([pa.array(sig[near[first:last]]), pa.array(low[first:last])], names=["sig", "low"])
+            near_lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(near, bounds[a : b + 1]) - first, pa.int32()), pairs)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[a:b], pa.int64()), pa.array(sizes[a:b], pa.int64()), pa.array(h[a:b]), _long(np.array(h2[a:b], np.uint64)), pa.array(sketches[a:b], pa.binary()), near_lists],
+                names=["key", "n_shingles", "h1", "h2", "sketch", "near"],
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, sizes, h1, h2, sketches, counts, held = [], [], [], [], [], [], bytearray()
+        met: set[tuple[int, int]] = set()
         for batch in batches:
-            sizes, h1, h2, sketches, counts = [], [], [], [], []
-            held = bytearray()
-            met: set[tuple[int, int]] = set()
             for part in pieces(batch, "text", SET_BYTES):
-                keyed = part.column("key").is_valid().to_pylist()
-                for s, has_key in zip(shingle_sets(part.column("text"), width), keyed, strict=True):
+                own_keys = part.column("key").to_pylist()
+                keys += own_keys
+                for s, key in zip(shingle_sets(part.column("text"), width), own_keys, strict=True):
+                    has_key = key is not None
                     own = mix1(len(s), int(s.sum(dtype=np.uint64))), mix1(len(s) + 1, int(mix(s).sum(dtype=np.uint64)))
                     sigs = signatures(s, percent) if has_key and own not in met else np.zeros(0, np.uint64)
                     held += sigs.tobytes()
@@ -175,26 +200,11 @@ def shingled(docs: DataFrame, percent: int, width: int, heads: bool = False) ->
                     sizes.append(len(s))
                     h1.append(own[0])
                     h2.append(own[1])
-            sig, h = np.frombuffer(held, np.int64) if held else np.zeros(0, np.int64), np.array(h1, np.uint64).view(np.int64)
-            head, near, low = _least(sig, np.repeat(np.arange(len(h), dtype=np.int32), np.array(counts, np.int64)), h)
-            bounds = np.append(0, np.cumsum(counts, dtype=np.int64))
-            # Back to Spark in short stretches of rows: as many signatures as OUT_SIGS at a time, or one row's.
-            cuts = [0, *(np.flatnonzero(np.diff(bounds[:-1] // OUT_SIGS)) + 1).tolist(), len(h)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                begin, end = bounds[a], bounds[b]
-                if heads:
-                    picked = head[begin:end]
-                    ends = np.append(0, np.cumsum(picked))[bounds[a : b + 1] - begin]
-                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sig[begin:end][picked]))
-                    yield pa.RecordBatch.from_arrays([pa.array(h[a:b]), lists], names=["h1", "sigs"])
-                    continue
-                first, last = np.searchsorted(near, [begin, end])
-                pairs = pa.StructArray.from_arrays([pa.array(sig[near[first:last]]), pa.array(low[first:last])], names=["sig", "low"])
-                near_lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(near, bounds[a : b + 1]) - first, pa.int32()), pairs)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").slice(a, b - a), pa.array(sizes[a:b], pa.int64()), pa.array(h[a:b]), _long(np.array(h2[a:b], np.uint64)), pa.array(sketches[a:b], pa.binary()), near_lists],
-                    names=["key", "n_shingles", "h1", "h2", "sketch", "near"],
-                )
+            if len(keys) >= COMBINED_ROWS:
+                yield from combined(keys, sizes, h1, h2, sketches, counts, held)
+                keys, sizes, h1, h2, sketches, counts, held = [], [], [], [], [], [], bytearray()
+                met.clear()
+        yield from combined(keys, sizes, h1, h2, sketches, counts, held)
         hand_back()
 
     return docs.select("key", "text").mapInArrow(run, HEADS if heads else SETS)
@@ -354,6 +364,11 @@ def similar_components(docs: DataFrame, percent: int = 80, width: int = 5, key:
     empty and blank texts have none and are linked with nothing. Rows with equal keys are separate rows of
     one document: they get the least component of any of them. Null keys are never linked and have a null component. Other
     columns are not read; an empty table gives an empty table."""
+    with short_batches(docs.sparkSession):
+        return _similar_components(docs, percent, width, key, text)
+
+
+def _similar_components(docs: DataFrame, percent: int, width: int, key: str, text: str) -> DataFrame:
     plain = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     full = table(shingled(plain, percent, width), "join-sets")
     rows = table(full.select("key", "n_shingles", "h1", "h2"), "join-rows")
