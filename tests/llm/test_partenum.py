@@ -174,3 +174,16 @@ def test_signatures_of_a_batch_stand_with_the_least_set(monkeypatch):
     for (h, signs), r, f in zip(own, sets, found, strict=False):
         assert {(x["sig"], x["low"]) for x in r["near"]} == {(x, least[x]) for x in signs if least[x] != h}
         assert set(f["sigs"]) == {x for x in signs if least[x] == h}
+
+
+def test_batches_are_short_inside_only(spark):
+    from sensorstream.llm.common import BATCH_ROWS, short_batches
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    rows = spark.range(0, 3000, 1, 1)
+    with pytest.raises(KeyError), short_batches(spark):
+        sizes = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+        assert sum(r.n for r in sizes) == 3000 and max(r.n for r in sizes) <= BATCH_ROWS
+        raise KeyError
+    assert spark.conf.get(name) == before
