@@ -12,9 +12,10 @@ remains.
 Equal sets are one class before anything is joined. Of the classes under one signature only links to
 the least one are tried first (a star, in each batch and then over all batches). What then still lies in several components under one signature is
 compared across components, signature by signature: in pairs where it has few members, else in blocks of bounded
-size that meet two at a time in a task and give back links only. Before any text moves, candidates are held against each other by sketches, a byte for
-every element or two: the cells in which they differ are no more than the elements in which the sets differ, so none that are
-similar is lost. What remains is compared exactly, on sets made anew from the texts. Nothing is capped and
+size that meet two at a time in a task and give back links only. Before any text moves, candidates are held against each other by sketches, a bit or
+two for every element: the bits in which they differ are no more than the elements in which the sets differ, so none that are
+similar is lost. What remains is compared exactly, on sets made anew from the texts. Signatures, blocks and pairs of blocks are found on
+rows without sketches, which travel once, to where they are compared. Nothing is capped and
 no group is gathered in one task.
 """
 
@@ -90,22 +91,17 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
 
 
 def sketch(elements: np.ndarray) -> bytes:
-    """A byte per cell of the element domain, as many cells as the greatest power of two up to the set's size: the exclusive or
-    of a byte of each element's hash. Sets of n and m elements whose sketches differ in c cells differ in c elements at least."""
+    """A bit per cell of the element domain, twice as many cells (eight at least) as the greatest power of two up to the set's size: whether
+    the cell holds an odd number of elements. Sets whose sketches differ in c bits differ in c elements at least."""
     if not len(elements):
         return b""
-    cells = 1 << (len(elements).bit_length() - 1)
-    place = mix(elements ^ np.uint64(0xA24BAED4963EE407))
-    cell = (place >> np.uint64(32)).astype(np.int64) & (cells - 1)
-    order = np.argsort(cell, kind="stable")
-    heads = np.flatnonzero(np.append(True, np.diff(cell[order]) != 0))
-    out = np.zeros(cells, np.uint8)
-    out[cell[order][heads]] = np.bitwise_xor.reduceat((place & np.uint64(0xFF)).astype(np.uint8)[order], heads)
-    return out.tobytes()
-
-
-def _folded(sketch: np.ndarray, cells: int) -> np.ndarray:
-    while len(sketch) > cells:
+    cells = max(8, 2 << (len(elements).bit_length() - 1))
+    cell = (mix(elements ^ np.uint64(0xA24BAED4963EE407)) >> np.uint64(32)).astype(np.int64) & (cells - 1)
+    return np.packbits((np.bincount(cell, minlength=cells) & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    while len(sketch) > size:
         half = len(sketch) // 2
         sketch = sketch[:half] ^ sketch[half:]
     return sketch
@@ -114,8 +110,8 @@ def _folded(sketch: np.ndarray, cells: int) -> np.ndarray:
 def may_be_similar(a: bytes, b: bytes, na: int, nb: int, percent: int) -> bool:
     """False only for sets that are not similar."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    cells = min(len(x), len(y))
-    differ = int(np.count_nonzero(_folded(x, cells) != _folded(y, cells)))
+    size = min(len(x), len(y))
+    differ = int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
     return differ * (100 + percent) <= (100 - percent) * (na + nb)
 
 
@@ -280,20 +276,17 @@ def _block_links(nodes: DataFrame, texts: DataFrame, percent: int, width: int) -
     have = dealt.select("cluster", F.struct("label", "block").alias("at")).distinct()
     meet = have.alias("l").join(have.alias("r"), "cluster").where("l.at <= r.at and (l.at.label <> r.at.label or l.at.label = -9223372036854775808L)")
     meet = meet.select("cluster", F.col("l.at").alias("at0"), F.col("r.at").alias("at1"), F.xxhash64("cluster", "l.at", "r.at").alias("pair"))
-    at = F.struct("label", "block")
-    sides = [
-        dealt.withColumn("at", at).join(meet.select("cluster", F.col(f"at{i}").alias("at"), "pair"), ["cluster", "at"]).select("pair", F.lit(i).alias("side"), "rep", "component")
-        for i in (0, 1)
-    ]
+    sides = _sides(dealt.withColumn("at", F.struct("label", "block")), meet, "cluster").select("pair", "side", "rep", "component")
     ids = dealt.select(F.col("rep").alias("key")).distinct()
     wanted = table(_wanted(texts, ids).withColumnRenamed("key", "rep"), "join-texts")
-    full = sides[0].unionByName(sides[1]).join(wanted, "rep")
+    full = sides.join(wanted, "rep")
 
     def compare(group):
         import pandas as pd
 
-        side = [group[group["side"] == i].sort_values("rep") for i in (0, 1)]
-        sets = [shingle_sets(pa.array(x["text"], pa.string()), width) for x in side]
+        side = [group[group["side"].isin((i, 2))].sort_values("rep") for i in (0, 1)]
+        sets = [shingle_sets(pa.array(side[0]["text"], pa.string()), width)]
+        sets.append(sets[0] if (group["side"] == 2).all() else shingle_sets(pa.array(side[1]["text"], pa.string()), width))
         size = np.array([len(x) for x in sets[1]], np.int64)
         flat = np.concatenate(sets[1]) if sets[1] else np.zeros(0, np.uint64)
         order = np.argsort(flat, kind="stable")
@@ -310,49 +303,59 @@ def _block_links(nodes: DataFrame, texts: DataFrame, percent: int, width: int) -
             found += [(rep, reps[i]) for i in good[first]]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return full.groupBy("pair").applyInPandas(compare, "a long, b long").distinct()
+    links = table(full.groupBy("pair").applyInPandas(compare, "a long, b long").distinct(), "join-block-links")
+    discard(dealt, wanted)
+    return links
+
+
+def _sides(dealt: DataFrame, meet: DataFrame, by: str) -> DataFrame:
+    """The rows of `dealt` (`by`, at) for each `pair` of blocks (`by`, at0, at1) in `meet`, with their side of it: 0 or 1, or 2 where a block meets
+    itself, whose rows come once."""
+    own = F.when(F.col("at0") == F.col("at1"), 2)
+    left = meet.select(by, F.col("at0").alias("at"), "pair", own.otherwise(0).alias("side"))
+    right = meet.where("at0 <> at1").select(by, F.col("at1").alias("at"), "pair", F.lit(1).alias("side"))
+    return dealt.join(left.unionByName(right), [by, "at"])
 
 
-def _block_clusters(members: DataFrame, percent: int) -> DataFrame:
+def _block_clusters(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """(rep, cluster) of all that have a partner in another component under one of their signatures that sketches do not rule out,
-    from `members` (sig, rep, component, n, sketch); such partners are in one cluster. A task hands on a row for each of its sets, however many pairs there are. Blocks are filled by hash: components of some size have blocks of their own, which are not held against each other, all
-    others of a signature share blocks."""
-    weight = [F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("sketch")).alias("bytes")]
+    from `members` (sig, rep, component, n) and `sketches` (rep, sketch); such partners are in one cluster. A task hands on a row for each of its sets, however many pairs there are. Blocks are filled by hash: components of some size have blocks of their own, which are not held against each other, all
+    others of a signature share blocks. Sketches join when it is known which blocks meet."""
+    # A sketch has a byte for four elements at most, and one at least.
+    weight = [F.count(F.lit(1)).alias("rows"), F.sum(F.greatest(F.col("n") / 4, F.lit(1))).alias("bytes")]
     blocks = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("bytes") / BLOCK_BYTES)).cast("long")
     wide = members.groupBy("sig", "component").agg(*weight).where(F.col("rows") * 2 >= BLOCK_ROWS).select("sig", "component", F.col("component").alias("label"))
     named = members.join(wide, ["sig", "component"], "left").withColumn("label", F.coalesce("label", F.lit(-(2**63))))
     fill = named.groupBy("sig", "label").agg(*weight).select("sig", "label", blocks.alias("blocks"))
     dealt = named.join(fill, ["sig", "label"]).withColumn("at", F.struct("label", F.pmod(F.xxhash64("rep"), "blocks").alias("block")))
-    dealt = table(dealt.select("sig", "at", "rep", "component", "n", "sketch"), "join-blocks")
+    dealt = table(dealt.select("sig", "at", "rep", "component", "n"), "join-blocks")
     have = dealt.select("sig", "at").distinct()
     meet = have.alias("l").join(have.alias("r"), "sig").where("l.at <= r.at and (l.at.label <> r.at.label or l.at.label = -9223372036854775808L)")
     meet = meet.select("sig", F.col("l.at").alias("at0"), F.col("r.at").alias("at1"), F.xxhash64("sig", "l.at", "r.at").alias("pair"))
-    sides = [
-        dealt.join(meet.select("sig", F.col(f"at{i}").alias("at"), "pair"), ["sig", "at"]).select("pair", F.lit(i).alias("side"), "rep", "component", "n", "sketch")
-        for i in (0, 1)
-    ]
+    full = _sides(dealt, meet, "sig").select("pair", "side", "rep", "component", "n").join(sketches, "rep")
 
     def compare(group: pa.Table) -> pa.Table:
         side, rep = group.column("side").to_numpy(), group.column("rep").to_numpy()
         part, n = group.column("component").to_numpy(), group.column("n").to_numpy()
         raw = [np.frombuffer(s, np.uint8) for s in group.column("sketch").to_pylist()]
-        cells = min(map(len, raw))
-        flat = np.stack([_folded(s, cells) for s in raw])
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        size = min(map(len, raw))
+        flat = np.stack([_folded(s, size) for s in raw])
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         known, node = np.unique(rep, return_inverse=True)
         low = np.arange(len(known))
         paired = np.zeros(len(known), bool)
         for i in left.tolist():
-            differ = np.count_nonzero(flat[right] != flat[i], axis=1)
-            size = n[right]
-            good = (differ * (100 + percent) <= (100 - percent) * (n[i] + size)) & (part[right] != part[i]) & (100 * np.minimum(size, n[i]) >= percent * np.maximum(size, n[i]))
+            differ = np.bitwise_count(flat[right] ^ flat[i]).sum(1, dtype=np.int64)
+            own = n[right]
+            good = (differ * (100 + percent) <= (100 - percent) * (n[i] + own)) & (part[right] != part[i]) & (100 * np.minimum(own, n[i]) >= percent * np.maximum(own, n[i]))
             if good.any():
                 joined = np.append(node[right[good]], node[i])
                 paired[joined] = True
                 low[np.isin(low, low[joined])] = low[joined].min()
         return pa.table({"a": known[paired], "b": known[low[paired]]})
 
-    edges = table(sides[0].unionByName(sides[1]).groupBy("pair").applyInArrow(compare, "a long, b long").distinct(), "join-edges")
+    edges = table(full.groupBy("pair").applyInArrow(compare, "a long, b long").distinct(), "join-edges")
+    discard(dealt)
     return components(edges).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
 
 
@@ -416,7 +419,7 @@ def _similar_components(docs: DataFrame, percent: int, width: int, key: str, tex
     more = _similar(across, plain, percent, width)
     many = rest.where(F.col("rows") > FEW)
     if many.head(1):
-        clusters = table(_block_clusters(many.join(classes.select("rep", "sketch"), "rep"), percent), "join-clusters")
+        clusters = table(_block_clusters(many, classes.select("rep", "sketch"), percent), "join-clusters")
         nodes = many.select("rep", "component").distinct().join(clusters, "rep").join(classes.groupBy("rep").agg(F.max("n").alias("n")), "rep")
         more = table(more.unionByName(_block_links(nodes, plain, percent, width)), "join-more")
     found = table(components(links.unionByName(more)), "join-components")

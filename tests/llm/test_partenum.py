@@ -124,6 +124,19 @@ def test_sketches_rule_out_no_similar_sets():
         assert n < 60 or not partenum.may_be_similar(partenum.sketch(a), partenum.sketch(other), n, n, 80)
 
 
+def test_sketches_are_a_quarter_byte_per_element_at_most():
+    rnd = np.random.default_rng(5)
+    for n in (1, 3, 4, 8, 63, 64, 1000):
+        assert 0 < len(partenum.sketch(rnd.integers(0, 2**63, n).astype(np.uint64))) <= max(1, n // 4)
+
+
+def test_a_block_that_meets_itself_comes_once(spark):
+    dealt = spark.createDataFrame([(1, 0, 10), (1, 0, 11), (1, 1, 12)], "sig long, at long, rep long")
+    meet = spark.createDataFrame([(1, 0, 0, 5), (1, 0, 1, 6)], "sig long, at0 long, at1 long, pair long")
+    found = partenum._sides(dealt, meet, "sig").select("pair", "side", "rep").collect()
+    assert sorted(tuple(r) for r in found) == [(5, 2, 10), (5, 2, 11), (6, 0, 10), (6, 0, 11), (6, 1, 12)]
+
+
 def test_sets_of_a_batch_are_made_in_small_slices():
     batch = pa.RecordBatch.from_pydict({"text": [" ".join(f"w{i * k % 997}" for i in range(1, 2000)) for k in range(1, 400)]})
     tracemalloc.start()
